@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension tables (labels, clusters, features, bins) are broadcast when they
+# have at most this many rows; anything larger takes a shuffle join.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    The count is one cheap action on an already small (aggregated) frame.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
