@@ -80,7 +80,7 @@ def l1_dist(c, center: Sequence[float]) -> Column:
     """Σ sqrt((x_i - c_i)^2) = Σ |x_i - c_i| (M12 computes this despite its name)."""
     acc = None
     for i, v in enumerate(center):
-        t = F.sqrt(F.pow(elem(c, i) - F.lit(float(v)), 2))
+        t = F.abs(elem(c, i) - F.lit(float(v)))
         acc = t if acc is None else acc + t
     return acc
 

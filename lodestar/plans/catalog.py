@@ -5,4 +5,4 @@ from __future__ import annotations
 from lodestar.plans import oracles, queries
 
 QUERIES = dict(queries.QUERIES)
-ORACLES = {k: v for k, v in oracles.SQL.items() if k in QUERIES}
+ORACLES = {k: v for k, v in oracles.finalize(oracles.SQL).items() if k in QUERIES}

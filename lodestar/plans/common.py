@@ -15,7 +15,8 @@ SEED = 42
 
 
 def r6(c) -> "F.Column":
-    return F.round(F.col(c) if isinstance(c, str) else c, ROUND)
+    """Round to 6 decimals; ``+ 0.0`` turns −0.0 into 0.0 (as in the oracles)."""
+    return F.round(F.col(c) if isinstance(c, str) else c, ROUND) + F.lit(0.0)
 
 
 def std_e(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,3 +128,159 @@ SQL["cluster_label_variance"] = with_(E, EL, ST, SL, near(10), (
     "SELECT cluster, CAST(max(nn) AS BIGINT) AS n, round(sum(CASE WHEN nn > 1 THEN "
     "CAST(m AS DOUBLE) * (nn - m) / (nn * (nn - 1)) ELSE 0.0 END), 6) AS label_var "
     "FROM mm GROUP BY cluster")
+
+
+# --- Lloyd iterations unrolled as chained CTEs -------------------------------
+
+def lloyd_ctes(ks: list[int], iters: int) -> list[str]:
+    """Models keyed by k; starts = first k ids; empty clusters keep their centre.
+    Produces c0..c{iters} and a0..a{iters} (a_t = assignment to c_t)."""
+    kv = ", ".join(f"({k})" for k in ks)
+    ctes = [
+        f"ks AS (SELECT * FROM (VALUES {kv}) t(k))",
+        "rk AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS r "
+        "FROM (SELECT DISTINCT id FROM sl))",
+        "c0 AS (SELECT ks.k, rk.r AS cluster, s.j, s.v AS c FROM ks JOIN rk ON rk.r < ks.k "
+        "JOIN sl s ON s.id = rk.id)",
+    ]
+    for t in range(iters + 1):
+        ctes.append(
+            f"d{t} AS (SELECT c.k, s.id, s.label, c.cluster, sum((s.v - c.c) * (s.v - c.c)) AS d2 "
+            f"FROM sl s JOIN c{t} c USING (j) GROUP BY c.k, s.id, s.label, c.cluster)")
+        ctes.append(
+            f"a{t} AS (SELECT k, id, label, cluster, d2 FROM d{t} "
+            f"QUALIFY row_number() OVER (PARTITION BY k, id ORDER BY d2, cluster) = 1)")
+        if t < iters:
+            ctes.append(
+                f"c{t + 1} AS (SELECT o.k, o.cluster, o.j, coalesce(m.c, o.c) AS c FROM c{t} o "
+                f"LEFT JOIN (SELECT a.k, a.cluster, s.j, avg(s.v) AS c FROM a{t} a JOIN sl s USING (id) "
+                f"GROUP BY a.k, a.cluster, s.j) m USING (k, cluster, j))")
+    return ctes
+
+
+SQL["kmeans_lloyd"] = with_(E, EL, ST, SL, *lloyd_ctes([4], 3)) + (
+    "SELECT cluster, CAST(count(*) AS BIGINT) AS n, round(sum(d2), 6) AS within_ss "
+    "FROM a3 GROUP BY cluster")
+
+SQL["kmeans_sse_curve"] = with_(E, EL, ST, SL, *lloyd_ctes([2, 4, 8], 2)) + (
+    "SELECT CAST(k AS INTEGER) AS k, round(sum(d2) / count(*), 6) AS within_ss_mean "
+    "FROM a2 GROUP BY k")
+
+SQL["cluster_label_error_curve"] = with_(E, EL, ST, SL, LV, *lloyd_ctes([2, 4, 8], 2), (
+    "kc AS (SELECT a.k, a.cluster, lv.label_ix, count(*) AS n FROM a2 a JOIN lv USING (label) "
+    "GROUP BY a.k, a.cluster, lv.label_ix)"), (
+    "kw AS (SELECT k, cluster, n AS win_n, sum(n) OVER (PARTITION BY k, cluster) AS size FROM kc "
+    "QUALIFY row_number() OVER (PARTITION BY k, cluster ORDER BY n DESC, label_ix) = 1)")) + (
+    "SELECT CAST(k AS INTEGER) AS k, round(sum((1 - CAST(win_n AS DOUBLE) / size) * size) "
+    "/ sum(size), 6) AS err FROM kw GROUP BY k")
+
+# --- cumulative distance histograms ------------------------------------------
+
+HIST_TAIL = (
+    ", prm AS (SELECT 2 * avg(d) AS top, 2 * avg(d) / 499 AS w FROM dist), "
+    "bn AS (SELECT cls, CASE WHEN d <= top THEN least(499, greatest(1, CAST(ceil(d / w) AS INTEGER))) "
+    "ELSE 500 END AS bin FROM dist, prm), "
+    "hc AS (SELECT cls, bin, count(*) AS c FROM bn GROUP BY cls, bin), "
+    "hs AS (SELECT cls, count(*) AS size FROM dist GROUP BY cls), "
+    "hg AS (SELECT cls, size, CAST(UNNEST(range(1, 500)) AS INTEGER) AS bin FROM hs) "
+    "SELECT cls AS \"class\", bin, round((bin - 0.5) * w, 6) AS mid, "
+    "round(sum(coalesce(c, 0)) OVER (PARTITION BY cls ORDER BY bin "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / size, 6) AS cum_prob "
+    "FROM hg LEFT JOIN hc USING (cls, bin) CROSS JOIN prm")
+
+SQL["distance_histogram"] = with_(E, EL, ST, SL, near(4), (
+    "dist AS (SELECT a.id, a.cluster AS cls, sum(abs(s.v - c.c)) AS d FROM asg a "
+    "JOIN sl s USING (id) JOIN cl c ON c.cluster = a.cluster AND c.j = s.j "
+    "GROUP BY a.id, a.cluster)")) + HIST_TAIL
+
+SQL["event_value_histogram"] = with_(
+    "ev AS (SELECT event_type AS cls, CAST(value AS DOUBLE) AS value FROM events)",
+    "evm AS (SELECT cls, avg(value) AS center FROM ev GROUP BY cls)",
+    "dist AS (SELECT cls, abs(value - center) AS d FROM ev JOIN evm USING (cls))") + HIST_TAIL
+
+# --- exact silhouettes on Euclidean distances --------------------------------
+
+SV = "sv AS (SELECT id, list(v ORDER BY j) AS x FROM sl GROUP BY id)"
+PAIRS = ("pd AS (SELECT a.id AS i, b.id AS o, list_distance(a.x, b.x) AS d FROM sv a "
+         "JOIN sv b ON a.id <> b.id)")
+
+
+def silhouette_sql(asg: str, keys: str) -> str:
+    """Per-row silhouette from pair distances; ``keys`` partitions models."""
+    kk = f"{keys}, " if keys else ""
+    jk = f" AND x.{keys} = y.{keys}" if keys else ""
+    return (
+        f"sz AS (SELECT {kk}cluster, count(*) AS n FROM {asg} GROUP BY {kk}cluster), "
+        f"ps AS (SELECT {('x.' + keys + ', ') if keys else ''}x.id, x.cluster, y.cluster AS oc, "
+        f"sum(p.d) AS sd FROM {asg} x JOIN pd p ON p.i = x.id JOIN {asg} y ON y.id = p.o{jk} "
+        f"GROUP BY {('x.' + keys + ', ') if keys else ''}x.id, x.cluster, y.cluster), "
+        f"md AS (SELECT ps.*, CASE WHEN ps.oc = ps.cluster THEN ps.sd / (z.n - 1) "
+        f"ELSE ps.sd / z.n END AS m FROM ps JOIN sz z ON z.cluster = ps.oc"
+        f"{(' AND z.' + keys + ' = ps.' + keys) if keys else ''}), "
+        f"own AS (SELECT {kk}a.id, a.cluster, z.n AS n_own FROM {asg} a JOIN sz z USING ({kk}cluster)), "
+        f"nb AS (SELECT {kk}id, oc AS neighbour, m AS b FROM md WHERE oc <> cluster "
+        f"QUALIFY row_number() OVER (PARTITION BY {kk}id ORDER BY m, oc) = 1), "
+        f"aa AS (SELECT {kk}id, m AS a FROM md WHERE oc = cluster), "
+        f"sil AS (SELECT {('own.' + keys + ', ') if keys else ''}own.id, own.cluster, nb.neighbour, "
+        f"CASE WHEN own.n_own <= 1 OR nb.b IS NULL THEN 0.0 "
+        f"WHEN greatest(coalesce(aa.a, 0), nb.b) = 0 THEN 0.0 "
+        f"ELSE (nb.b - coalesce(aa.a, 0)) / greatest(coalesce(aa.a, 0), nb.b) END AS s "
+        f"FROM own LEFT JOIN nb USING ({kk}id) LEFT JOIN aa USING ({kk}id))")
+
+
+SQL["pairwise_silhouette"] = with_(E, EL, ST, SL, near(4), SV, PAIRS, silhouette_sql("asg", "")) + (
+    "SELECT id, cluster, neighbour, round(s, 6) AS s FROM sil")
+
+SQL["silhouette_by_k"] = with_(E, EL, ST, SL, SV, PAIRS, (
+    "kk AS (SELECT * FROM (VALUES (2), (4)) t(k))"), (
+    "rk AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS r "
+    "FROM (SELECT DISTINCT id FROM sl))"), (
+    "kc AS (SELECT kk.k, rk.r AS cluster, s.j, s.v AS c FROM kk JOIN rk ON rk.r < kk.k "
+    "JOIN sl s ON s.id = rk.id)"), (
+    "kd AS (SELECT c.k, s.id, c.cluster, sum((s.v - c.c) * (s.v - c.c)) AS d2 FROM sl s "
+    "JOIN kc c USING (j) GROUP BY c.k, s.id, c.cluster)"), (
+    "ka AS (SELECT k, id, cluster FROM kd "
+    "QUALIFY row_number() OVER (PARTITION BY k, id ORDER BY d2, cluster) = 1)"),
+    silhouette_sql("ka", "k")) + (
+    "SELECT CAST(k AS INTEGER) AS k, round(avg(s), 6) AS avg_width FROM sil GROUP BY k")
+
+# --- Gram, covariance, reconstruction error ----------------------------------
+
+SQL["covariance_matrix"] = with_(E, EL) + (
+    "SELECT a.j AS i, b.j AS j, round(covar_samp(a.v, b.v), 6) AS cov "
+    "FROM el a JOIN el b ON a.id = b.id GROUP BY a.j, b.j")
+
+SQL["gram_matrix"] = BASE + (
+    "SELECT a.j AS i, b.j AS j, round(sum(a.v * b.v), 6) AS v "
+    "FROM sl a JOIN sl b ON a.id = b.id GROUP BY a.j, b.j")
+
+SQL["recon_error_axis"] = BASE + (
+    ", sq AS (SELECT j, sum(v * v) AS s FROM sl GROUP BY j), "
+    "nn AS (SELECT count(DISTINCT id) AS n FROM sl) "
+    "SELECT CAST(d.d AS INTEGER) AS dims, round(sum(CASE WHEN sq.j >= d.d THEN sq.s ELSE 0 END), 6) "
+    "AS err_total, round(sum(CASE WHEN sq.j >= d.d THEN sq.s ELSE 0 END) / max(nn.n), 6) AS err_mean "
+    "FROM range(1, 65) d(d) CROSS JOIN sq CROSS JOIN nn GROUP BY d.d")
+
+
+def _zero_fix(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)`` so −0.0 prints as 0.0."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("round")
+        while True:
+            ch = sql[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            k += 1
+            if depth == 0:
+                break
+        out.append(sql[i:j] + "(round" + _zero_fix(sql[j + 5:k]) + " + 0.0)")
+        i = k
+
+
+def finalize(sql: dict[str, str]) -> dict[str, str]:
+    return {k: _zero_fix(v) for k, v in sql.items()}

@@ -127,3 +127,124 @@ QUERIES = {
     "cluster_spectrum": cluster_spectrum,
     "cluster_label_variance": cluster_label_variance,
 }
+
+
+# --- iterative k-means (U oracles: first ids as starts, fixed iterations) ----
+
+def kmeans_lloyd(spark: SparkSession, sf: str) -> DataFrame:
+    s = std_e(spark, sf).persist()
+    m = KM.lloyd(s, [KM.first_rows(s, 4)], max_iter=3)[0]
+    a = KM.assign(s, m.centers)
+    return KM.cost_table(a).select("cluster", F.col("n").cast("bigint").alias("n"),
+                                   r6("within_ss").alias("within_ss"))
+
+
+def kmeans_sse_curve(spark: SparkSession, sf: str) -> DataFrame:
+    s = std_e(spark, sf).persist()
+    c = KM.sse_curve(s, [2, 4, 8], SEED, runs=1, max_iter=2, init="first")
+    return c.select("k", r6("within_ss_mean").alias("within_ss_mean"))
+
+
+def cluster_label_error_curve(spark: SparkSession, sf: str) -> DataFrame:
+    s = std_e(spark, sf).persist()
+    lv, _ = e_levels(s)
+    best = KM.kmeans_grid(s, [2, 4, 8], SEED, runs=1, max_iter=2, init="first")
+    parts = [scoring.label_error(KM.assign(s, m.centers), lv).select(F.lit(k).alias("k"), "err")
+             for k, m in sorted(best.items())]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out.select(F.col("k").cast("int").alias("k"), r6("err").alias("err"))
+
+
+# --- distance histograms ------------------------------------------------------
+
+def distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import histogram as H
+    s = std_e(spark, sf)
+    a0, centers = near(s, 4)
+    a = KM.assign(s, centers, passthrough=("id", "x"))
+    d = H.distances_to_own_center(a, centers)
+    h = H.cumulative_histogram(d, 500)
+    return h.select("class", "bin", r6("mid").alias("mid"), r6("cum_prob").alias("cum_prob"))
+
+
+def event_value_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.functions.joins import bounded_broadcast
+    from lodestar.operators import histogram as H
+    v = tables.features_events(spark, sf)
+    v1 = v.select("label", F.col("x")[0].alias("value"))
+    means = v1.groupBy("label").agg(F.avg("value").alias("center"))
+    d = v1.join(bounded_broadcast(means), "label").select(
+        F.col("label").alias("class"), F.abs(F.col("value") - F.col("center")).alias("d"))
+    h = H.cumulative_histogram(d, 500)
+    return h.select("class", "bin", r6("mid").alias("mid"), r6("cum_prob").alias("cum_prob"))
+
+
+# --- silhouettes ---------------------------------------------------------------
+
+def pairwise_silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import silhouette as SH
+    s = std_e(spark, sf)
+    centers = KM.first_rows(s, 4)
+    a = KM.assign(s, centers, passthrough=("id", "x"))
+    per = SH.silhouette_exact(a)
+    return per.select("id", "cluster", "neighbour", r6("s").alias("s"))
+
+
+def silhouette_by_k(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import silhouette as SH
+    s = std_e(spark, sf).persist()
+    parts = []
+    for k in (2, 4):
+        a = KM.assign(s, KM.first_rows(s, k), passthrough=("id", "x"))
+        parts.append(SH.average_width(SH.silhouette_exact(a)).select(F.lit(k).alias("k"), "avg_width"))
+    return parts[0].unionByName(parts[1]).select(F.col("k").cast("int").alias("k"),
+                                                 r6("avg_width").alias("avg_width"))
+
+
+# --- Gram / covariance / reconstruction error ---------------------------------
+
+def covariance_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    e = tables.features_embeddings(spark, sf).persist()
+    st = prep.column_stats(e)
+    mo = LA.moments(e, len(st.mean), shift=st.mean)
+    return LA.matrix_frame(spark, mo.covariance(), "cov").select("i", "j", r6("cov").alias("cov"))
+
+
+def gram_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    s = std_e(spark, sf)
+    p = tables.dims(s)
+    return LA.matrix_frame(spark, LA.gram(s, p), "v").select("i", "j", r6("v").alias("v"))
+
+
+def recon_error_axis(spark: SparkSession, sf: str) -> DataFrame:
+    import numpy as np
+    from lodestar.operators import linalg as LA
+    s = std_e(spark, sf)
+    p = tables.dims(s)
+    mo = LA.moments(s, p)
+    S = mo.gram()
+    rows = []
+    for d in range(1, p + 1):
+        M = np.diag([1.0] * d + [0.0] * (p - d))
+        err = LA.recon_error(S, M)
+        rows.append((d, err, err / mo.n))
+    df = spark.createDataFrame(rows, "dims INT, err_total DOUBLE, err_mean DOUBLE")
+    return df.select("dims", r6("err_total").alias("err_total"), r6("err_mean").alias("err_mean"))
+
+
+QUERIES.update({
+    "kmeans_lloyd": kmeans_lloyd,
+    "kmeans_sse_curve": kmeans_sse_curve,
+    "cluster_label_error_curve": cluster_label_error_curve,
+    "distance_histogram": distance_histogram,
+    "event_value_histogram": event_value_histogram,
+    "pairwise_silhouette": pairwise_silhouette,
+    "silhouette_by_k": silhouette_by_k,
+    "covariance_matrix": covariance_matrix,
+    "gram_matrix": gram_matrix,
+    "recon_error_axis": recon_error_axis,
+})
