@@ -63,7 +63,8 @@ def sq_dist(c, center: Sequence[float]) -> Column:
     """Σ (x_i - c_i)^2 for a literal centre."""
     acc = None
     for i, v in enumerate(center):
-        t = F.pow(elem(c, i) - F.lit(float(v)), 2)
+        diff = elem(c, i) - F.lit(float(v))
+        t = diff * diff
         acc = t if acc is None else acc + t
     return acc
 

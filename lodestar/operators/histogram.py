@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions import vectors as V
+import numpy as np
+
+from lodestar.functions.arrowkit import map_rows
 
 
 def distances_to_own_center(assigned: DataFrame, centers, x: str = "x",
@@ -20,14 +22,17 @@ def distances_to_own_center(assigned: DataFrame, centers, x: str = "x",
     """(class, d): distance of each row to its own centre (J2 + F1).
 
     ``metric='l1'`` is what the reference computes (D1); ``'sq'`` is the
-    squared Euclidean distance its comment describes.
+    squared Euclidean distance its comment describes.  The centre lookup is
+    an index into the k x p centre matrix shipped with the task.
     """
-    f = V.l1_dist if metric == "l1" else V.sq_dist
-    d = None
-    for c, ctr in enumerate(centers):
-        term = F.when(F.col(cluster) == c, f(x, ctr))
-        d = term if d is None else d.when(F.col(cluster) == c, f(x, ctr))
-    return assigned.select(F.col(cluster).alias("class"), d.alias("d"))
+    C = np.asarray(centers, dtype=float)
+
+    def fn(b):
+        diff = b[x] - C[b[cluster].astype(int)]
+        d = np.abs(diff).sum(1) if metric == "l1" else np.einsum("ij,ij->i", diff, diff)
+        return {"class": b[cluster].astype(np.int32), "d": d}
+
+    return map_rows(assigned, [x, cluster], fn, "class INT, d DOUBLE")
 
 
 def cumulative_histogram(dist: DataFrame, bins: int = 500, cls: str = "class",

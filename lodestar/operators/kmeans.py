@@ -65,6 +65,52 @@ def assign(df: DataFrame, centers: np.ndarray, x: str = "x",
     return map_rows(df, [x], fn, schema, passthrough=keep)
 
 
+def center_distances(df: DataFrame, centers: np.ndarray, x: str = "x", metric: str = "sq",
+                     passthrough: tuple = ("id", "label"), out: str = "d",
+                     running_min: bool = False) -> DataFrame:
+    """Distance of every row to every centre as ``d ARRAY<DOUBLE>`` (k entries).
+
+    ``metric``: ``sq`` (squared Euclidean, exact differences) or ``l1``.
+    ``running_min`` returns min over the first 1..k centres instead.
+    """
+    C = np.asarray(centers, dtype=float)
+    keep = [c for c in passthrough if c in df.columns]
+
+    def fn(b):
+        X = b[x]
+        D = np.empty((X.shape[0], C.shape[0]))
+        for c in range(C.shape[0]):
+            diff = X - C[c]
+            D[:, c] = np.abs(diff).sum(1) if metric == "l1" else np.einsum("ij,ij->i", diff, diff)
+        if running_min:
+            D = np.minimum.accumulate(D, axis=1)
+        return {out: D}
+
+    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] +
+                       [f"{out} ARRAY<DOUBLE>"])
+    return map_rows(df, [x], fn, schema, passthrough=keep)
+
+
+def soft_assign(df: DataFrame, centers: np.ndarray, x: str = "x",
+                passthrough: tuple = ("id", "label")) -> DataFrame:
+    """Deterministic soft assignment z = softmax(−‖x − c‖²) per row (stable form)."""
+    C = np.asarray(centers, dtype=float)
+    keep = [c for c in passthrough if c in df.columns]
+
+    def fn(b):
+        X = b[x]
+        D = np.empty((X.shape[0], C.shape[0]))
+        for c in range(C.shape[0]):
+            diff = X - C[c]
+            D[:, c] = np.einsum("ij,ij->i", diff, diff)
+        E = np.exp(D.min(1, keepdims=True) - D)
+        return {"z": E / E.sum(1, keepdims=True)}
+
+    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] +
+                       ["z ARRAY<DOUBLE>"])
+    return map_rows(df, [x], fn, schema, passthrough=keep)
+
+
 def cost_table(assigned: DataFrame) -> DataFrame:
     """(cluster, n, within_ss) (M4 per cluster, A14, A2)."""
     return assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import vectors as V
+from lodestar.functions.arrowkit import map_rows
 from lodestar.functions.joins import bounded_broadcast
 
 
@@ -151,9 +152,13 @@ def soft_label_confusion(soft: DataFrame, lv: DataFrame, k: int, n_levels: int,
     M = np.zeros((k, n_levels))
     for r in cm.collect():  # k x c cells
         M[r["cluster"], r["label_ix"]] = r["p"]
-    probs = F.array(*[V.dot(z, M[:, l]) for l in range(n_levels)])
-    rows = soft.join(bounded_broadcast(lv), label).select(
-        V.argmax_first(probs).alias("p_ix"), F.col("label_ix").alias("a_ix"))
+
+    def fn(b):
+        P = b[z] @ M  # n x c label probabilities (C6)
+        return {"p_ix": np.argmax(P, axis=1).astype(np.int32)}
+
+    labelled = soft.join(bounded_broadcast(lv), label).withColumnRenamed("label_ix", "a_ix")
+    rows = map_rows(labelled, [z], fn, "a_ix INT, p_ix INT", passthrough=["a_ix"])
     cells = rows.groupBy("p_ix", "a_ix").agg(F.count(F.lit(1)).alias("n"))
     grid = lv.select(F.col("label_ix").alias("p_ix"),
                      F.explode(F.sequence(F.lit(0), F.lit(n_levels - 1))).alias("a_ix"))
@@ -163,17 +168,6 @@ def soft_label_confusion(soft: DataFrame, lv: DataFrame, k: int, n_levels: int,
     return full.select("p_ix", "a_ix", "predicted", "actual", F.col("n").cast("bigint").alias("n"))
 
 
-def softmax_neg_d2(x: str, centers: np.ndarray) -> "F.Column":
-    """Deterministic soft assignment: softmax of −‖x−c‖² (stable form)."""
-    d = [V.sq_dist(x, c) for c in centers]
-    mn = F.least(*d) if len(d) > 1 else d[0]
-    e = [F.exp(mn - di) for di in d]
-    tot = e[0]
-    for t in e[1:]:
-        tot = tot + t
-    return F.array(*[t / tot for t in e])
-
-
 def best_bic(bic: DataFrame, n: int, g: str = "numClusters") -> DataFrame:
     """Per G the largest BIC over families (nulls and NaN skipped), / n."""
     clean = bic.withColumn("bic", F.when(F.isnan("bic"), None).otherwise(F.col("bic")))

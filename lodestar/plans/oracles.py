@@ -284,3 +284,178 @@ def _zero_fix(sql: str) -> str:
 
 def finalize(sql: dict[str, str]) -> dict[str, str]:
     return {k: _zero_fix(v) for k, v in sql.items()}
+
+
+# --- hashed-sign random projections --------------------------------------------
+
+def sign_rows(dims: list[int], runs: int, p: int = 64) -> str:
+    dv = ", ".join(f"({d})" for d in dims)
+    return (
+        f"pr AS (SELECT CAST(dd.d AS INTEGER) AS dims, CAST(rr.r AS INTEGER) AS run, "
+        f"CAST(ii.i AS INTEGER) AS i, CAST(jj.j AS INTEGER) AS j, "
+        f"CASE WHEN substr(md5('42:' || rr.r || ':' || ii.i || ':' || jj.j), 1, 1) < '8' "
+        f"THEN 1.0 ELSE -1.0 END / sqrt(dd.d) AS r "
+        f"FROM (VALUES {dv}) dd(d) CROSS JOIN range({runs}) rr(r) CROSS JOIN range({p}) ii(i) "
+        f"CROSS JOIN range({max(dims)}) jj(j) WHERE jj.j < dd.d)")
+
+
+PROJ_ERR = (
+    "pz AS (SELECT pr.dims, pr.run, s.id, pr.j, sum(s.v * pr.r) AS z FROM sl s JOIN pr ON pr.i = s.j "
+    "GROUP BY pr.dims, pr.run, s.id, pr.j), "
+    "rec AS (SELECT pz.dims, pz.run, pz.id, pr.i, sum(pz.z * pr.r) AS xh FROM pz JOIN pr "
+    "ON pr.dims = pz.dims AND pr.run = pz.run AND pr.j = pz.j GROUP BY pz.dims, pz.run, pz.id, pr.i), "
+    "perr AS (SELECT rec.dims, rec.run, sum((s.v - rec.xh) * (s.v - rec.xh)) AS err FROM rec "
+    "JOIN sl s ON s.id = rec.id AND s.j = rec.i GROUP BY rec.dims, rec.run)")
+
+SQL["sign_projection"] = with_(E, EL, ST, SL, sign_rows([4], 1)) + (
+    "SELECT s.id, pr.j, round(sum(s.v * pr.r), 6) AS v FROM sl s JOIN pr ON pr.i = s.j "
+    "GROUP BY s.id, pr.j")
+
+SQL["projection_error"] = with_(E, EL, ST, SL, sign_rows([2, 4], 10), PROJ_ERR) + (
+    "SELECT dims, run, round(err, 6) AS err FROM perr")
+
+SQL["projection_running_best"] = with_(E, EL, ST, SL, sign_rows([4], 20), PROJ_ERR) + (
+    "SELECT run, round(err, 6) AS err, round(min(err) OVER (ORDER BY run ROWS BETWEEN "
+    "UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS best_err FROM perr")
+
+SQL["cluster_projected"] = with_(E, EL, ST, SL, LV, sign_rows([4], 1), (
+    "zl AS (SELECT s.id, s.label, pr.j, sum(s.v * pr.r) AS v FROM sl s JOIN pr ON pr.i = s.j "
+    "GROUP BY s.id, s.label, pr.j)"), near(10, src="zl"), CNT, (
+    "w AS (SELECT cluster, label AS argmax, n AS win_n, sum(n) OVER (PARTITION BY cluster) AS size "
+    "FROM cnt QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label_ix) = 1)")) + (
+    "SELECT cluster, argmax, CAST(size AS BIGINT) AS size, "
+    "round((1 - CAST(win_n AS DOUBLE) / size) * size, 6) AS err FROM w")
+
+# --- symmetric uncertainty (ntile(5) equal-frequency bins) --------------------
+
+def H(cells: str, keys: str, c: str = "c") -> str:
+    return f"SELECT {keys}, ln(sum({c})) - sum({c} * ln({c})) / sum({c}) AS h FROM {cells} GROUP BY {keys}"
+
+
+SUC = (
+    "bn AS (SELECT id, label, j, ntile(5) OVER (PARTITION BY j ORDER BY v, id) AS bin FROM el), "
+    "bc AS (SELECT j, bin, label, count(*) AS c FROM bn GROUP BY j, bin, label), "
+    f"hx AS ({H('(SELECT j, bin, sum(c) AS c FROM bc GROUP BY j, bin)', 'j')}), "
+    f"hy AS ({H('(SELECT j, label, sum(c) AS c FROM bc GROUP BY j, label)', 'j')}), "
+    f"hxy AS ({H('bc', 'j')}), "
+    "suc AS (SELECT j, CASE WHEN hx.h + hy.h > 0 THEN 2 * (hx.h + hy.h - hxy.h) / (hx.h + hy.h) "
+    "ELSE 0.0 END AS su FROM hx JOIN hy USING (j) JOIN hxy USING (j))")
+
+SUP8 = (
+    "b8 AS (SELECT id, j, ntile(5) OVER (PARTITION BY j ORDER BY v, id) AS bin FROM el WHERE j < 8), "
+    "pc AS (SELECT a.j AS i, b.j AS j, a.bin AS bi, b.bin AS bj, count(*) AS c FROM b8 a "
+    "JOIN b8 b ON a.id = b.id AND a.j < b.j GROUP BY a.j, b.j, a.bin, b.bin), "
+    f"hi AS ({H('(SELECT i, j, bi, sum(c) AS c FROM pc GROUP BY i, j, bi)', 'i, j')}), "
+    f"hj AS ({H('(SELECT i, j, bj, sum(c) AS c FROM pc GROUP BY i, j, bj)', 'i, j')}), "
+    f"hij AS ({H('pc', 'i, j')}), "
+    "sup AS (SELECT i, j, CASE WHEN hi.h + hj.h > 0 THEN 2 * (hi.h + hj.h - hij.h) / (hi.h + hj.h) "
+    "ELSE 0.0 END AS su FROM hi JOIN hj USING (i, j) JOIN hij USING (i, j))")
+
+SQL["symmetric_uncertainty"] = with_(E, EL, SUC) + "SELECT j, round(su, 6) AS su FROM suc"
+
+SQL["feature_pair_uncertainty"] = with_(E, EL, SUP8) + "SELECT i, j, round(su, 6) AS su FROM sup"
+
+SQL["cfs_merit_greedy"] = with_(E, EL, SUC, SUP8, (
+    "c8 AS (SELECT * FROM suc WHERE j < 8)"), (
+    "sym AS (SELECT i, j, su FROM sup UNION ALL SELECT j AS i, i AS j, su FROM sup)"), (
+    "s1 AS (SELECT j AS f1, su AS m1 FROM c8 QUALIFY row_number() OVER (ORDER BY su DESC, j) = 1)"), (
+    "c2 AS (SELECT c.j AS f2, (a.su + c.su) / sqrt(2 + 2.0 * p.su) AS m2 FROM s1 "
+    "JOIN c8 a ON a.j = s1.f1 JOIN c8 c ON c.j <> s1.f1 JOIN sym p ON p.i = s1.f1 AND p.j = c.j)"), (
+    "s2 AS (SELECT * FROM c2 QUALIFY row_number() OVER (ORDER BY m2 DESC, f2) = 1)"), (
+    "c3 AS (SELECT c.j AS f3, (a.su + b.su + c.su) / sqrt(3 + 2.0 * (p12.su + p13.su + p23.su)) AS m3 "
+    "FROM s1 CROSS JOIN s2 JOIN c8 a ON a.j = s1.f1 JOIN c8 b ON b.j = s2.f2 "
+    "JOIN c8 c ON c.j <> s1.f1 AND c.j <> s2.f2 JOIN sym p12 ON p12.i = s1.f1 AND p12.j = s2.f2 "
+    "JOIN sym p13 ON p13.i = s1.f1 AND p13.j = c.j JOIN sym p23 ON p23.i = s2.f2 AND p23.j = c.j)"), (
+    "s3 AS (SELECT * FROM c3 QUALIFY row_number() OVER (ORDER BY m3 DESC, f3) = 1)")) + (
+    "SELECT 1 AS step, f1 AS j, round(m1, 6) AS merit FROM s1 UNION ALL "
+    "SELECT 2 AS step, f2 AS j, round(m2, 6) AS merit FROM s2 UNION ALL "
+    "SELECT 3 AS step, f3 AS j, round(m3, 6) AS merit FROM s3")
+
+# --- soft assignments: softmax(−d²) to the first 4 rows -------------------------
+
+SOFT = (
+    "zz AS (SELECT id, label, cluster, exp(min(d2) OVER (PARTITION BY id) - d2) AS e FROM dd), "
+    "zp AS (SELECT id, label, cluster, e / sum(e) OVER (PARTITION BY id) AS z FROM zz), "
+    "cs AS (SELECT cluster, label, sum(z) AS s FROM zp GROUP BY cluster, label), "
+    "cmx AS (SELECT cluster, label, s / sum(s) OVER (PARTITION BY cluster) AS p FROM cs)")
+
+SQL["soft_class_matrix"] = with_(E, EL, ST, SL, near(4), SOFT) + (
+    "SELECT cluster, label, round(p, 6) AS p FROM cmx")
+
+SQL["soft_label_confusion"] = with_(E, EL, ST, SL, LV, near(4), SOFT, (
+    "pl AS (SELECT zp.id, cmx.label AS plabel, sum(zp.z * cmx.p) AS prob FROM zp "
+    "JOIN cmx USING (cluster) GROUP BY zp.id, cmx.label)"), (
+    "pred AS (SELECT pl.id, lv.label_ix AS p_ix FROM pl JOIN lv ON lv.label = pl.plabel "
+    "QUALIFY row_number() OVER (PARTITION BY pl.id ORDER BY prob DESC, lv.label_ix) = 1)"), (
+    "act AS (SELECT e.id, lv.label_ix AS a_ix FROM e JOIN lv USING (label))"), (
+    "sc AS (SELECT p_ix, a_ix, count(*) AS n FROM pred JOIN act USING (id) GROUP BY p_ix, a_ix)")) + (
+    "SELECT lp.label AS predicted, la.label AS actual, CAST(coalesce(sc.n, 0) AS BIGINT) AS n "
+    "FROM lv lp CROSS JOIN lv la LEFT JOIN sc ON sc.p_ix = lp.label_ix AND sc.a_ix = la.label_ix")
+
+# --- EM, spherical common variance (EII), G = 2, 3 iterations ------------------
+
+def em_eii(iters: int, G: int = 2, p: int = 64) -> list[str]:
+    ctes = [
+        f"g0 AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS g "
+        f"FROM (SELECT DISTINCT id FROM sl) QUALIFY row_number() OVER (ORDER BY id) <= {G})",
+        "mu0 AS (SELECT g0.g, s.j, s.v AS mu FROM sl s JOIN g0 USING (id))",
+        f"pi0 AS (SELECT g, 1.0 / {G} AS pi FROM g0)",
+        "var0 AS (SELECT 1.0 AS var)",
+        "nn AS (SELECT count(DISTINCT id) AS n FROM sl)",
+    ]
+    for t in range(iters):
+        u = t + 1
+        ctes += [
+            f"ed{t} AS (SELECT s.id, m.g, sum((s.v - m.mu) * (s.v - m.mu)) AS d2 FROM sl s "
+            f"JOIN mu{t} m USING (j) GROUP BY s.id, m.g)",
+            f"lr{t} AS (SELECT ed.id, ed.g, ln(q.pi) - 0.5 * ({p} * ln(2 * pi()) + {p} * ln(v.var)) "
+            f"- ed.d2 / (2 * v.var) AS l FROM ed{t} ed JOIN pi{t} q USING (g) CROSS JOIN var{t} v)",
+            f"lm{t} AS (SELECT id, g, exp(l - max(l) OVER (PARTITION BY id)) AS e FROM lr{t})",
+            f"r{t} AS (SELECT id, g, e / sum(e) OVER (PARTITION BY id) AS r FROM lm{t})",
+            f"ng{t} AS (SELECT g, sum(r) AS ng FROM r{t} GROUP BY g)",
+            f"mu{u} AS (SELECT r.g, s.j, sum(r.r * s.v) / max(n.ng) AS mu FROM r{t} r "
+            f"JOIN sl s USING (id) JOIN ng{t} n USING (g) GROUP BY r.g, s.j)",
+            f"pi{u} AS (SELECT g, ng / (SELECT n FROM nn) AS pi FROM ng{t})",
+            f"var{u} AS (SELECT sum(r.r * d.d2) / ((SELECT n FROM nn) * {p}) AS var FROM r{t} r "
+            f"JOIN (SELECT s.id, m.g, sum((s.v - m.mu) * (s.v - m.mu)) AS d2 FROM sl s "
+            f"JOIN mu{u} m USING (j) GROUP BY s.id, m.g) d USING (id, g))",
+        ]
+    return ctes
+
+
+SQL["em_spherical"] = with_(E, EL, ST, SL, *em_eii(3)) + (
+    "SELECT q.g AS component, round(q.pi, 6) AS weight, round(v.var, 6) AS var "
+    "FROM pi3 q CROSS JOIN var3 v")
+
+# --- class scatter, contributions, learning-curve statistics ---------------------
+
+SQL["class_scatter"] = with_(E, EL, ST, SL, (
+    "s8 AS (SELECT * FROM sl WHERE j < 8)"), (
+    "cm AS (SELECT label, j, avg(v) AS m FROM s8 GROUP BY label, j)"), (
+    "gm AS (SELECT j, avg(v) AS m FROM s8 GROUP BY j)"), (
+    "cn AS (SELECT label, count(DISTINCT id) AS n FROM s8 GROUP BY label)"), (
+    "wi AS (SELECT a.j AS i, b.j AS j, sum((a.v - ca.m) * (b.v - cb.m)) AS w FROM s8 a "
+    "JOIN s8 b ON a.id = b.id JOIN cm ca ON ca.label = a.label AND ca.j = a.j "
+    "JOIN cm cb ON cb.label = a.label AND cb.j = b.j GROUP BY a.j, b.j)"), (
+    "bw AS (SELECT ca.j AS i, cb.j AS j, sum(cn.n * (ca.m - ga.m) * (cb.m - gb.m)) AS b "
+    "FROM cm ca JOIN cm cb ON ca.label = cb.label JOIN cn ON cn.label = ca.label "
+    "JOIN gm ga ON ga.j = ca.j JOIN gm gb ON gb.j = cb.j GROUP BY ca.j, cb.j)")) + (
+    "SELECT i, j, round(w, 6) AS within, round(b, 6) AS \"between\" FROM wi JOIN bw USING (i, j)")
+
+SQL["cumulative_contribution"] = with_(E, EL, ST, SL, LV, (
+    "cm AS (SELECT lv.label_ix AS comp, s.j AS feature, avg(s.v) AS m FROM sl s JOIN lv USING (label) "
+    "GROUP BY lv.label_ix, s.j)"), (
+    "nm AS (SELECT comp, sqrt(sum(m * m)) AS nrm FROM cm GROUP BY comp)"), (
+    "mv AS (SELECT cm.feature, cm.comp, cm.m / nm.nrm AS v FROM cm JOIN nm USING (comp))")) + (
+    "SELECT feature, CAST(comp + 1 AS INTEGER) AS ind, round(sum(v * v) OVER (PARTITION BY feature "
+    "ORDER BY comp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS value FROM mv")
+
+SQL["loss_curve_stats"] = with_(E, EL, ST, SL, near(10), (
+    "sp AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) "
+    "<= floor(0.8 * count(*) OVER ()) AS is_train FROM e)"), (
+    "mk AS (SELECT dd.id, dd.label, kk.k AS idx, min(dd.d2) AS e FROM dd JOIN range(1, 11) kk(k) "
+    "ON dd.cluster < kk.k GROUP BY dd.id, dd.label, kk.k)"), (
+    "prun AS (SELECT mk.label, CASE WHEN sp.is_train THEN 'Train' ELSE 'Test' END AS stage, mk.idx, "
+    "avg(mk.e) AS error FROM mk JOIN sp USING (id) GROUP BY mk.label, sp.is_train, mk.idx)")) + (
+    "SELECT stage, CAST(idx AS INTEGER) AS idx, round(avg(error), 6) AS err_mean, "
+    "round(stddev_samp(error), 6) AS err_sd FROM prun GROUP BY stage, idx")

@@ -162,7 +162,7 @@ def cluster_label_error_curve(spark: SparkSession, sf: str) -> DataFrame:
 def distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import histogram as H
     s = std_e(spark, sf)
-    a0, centers = near(s, 4)
+    centers = KM.first_rows(s, 4)
     a = KM.assign(s, centers, passthrough=("id", "x"))
     d = H.distances_to_own_center(a, centers)
     h = H.cumulative_histogram(d, 500)
@@ -248,3 +248,165 @@ QUERIES.update({
     "gram_matrix": gram_matrix,
     "recon_error_axis": recon_error_axis,
 })
+
+
+# --- random projections -------------------------------------------------------
+
+def sign_projection(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    R = RD.sign_matrix(tables.dims(s), 4, SEED, 0)
+    return LA.project_long(s, R).select("id", "j", r6("v").alias("v"))
+
+
+def projection_error(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    S = LA.gram(s, tables.dims(s))
+    e = RD.projection_errors(spark, S, [2, 4], 10, SEED, family="sign")
+    return e.select("dims", "run", r6("err").alias("err"))
+
+
+def projection_running_best(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    S = LA.gram(s, tables.dims(s))
+    e = RD.running_best(RD.projection_errors(spark, S, [4], 20, SEED, family="sign"))
+    return e.select("run", r6("err").alias("err"), r6("best_err").alias("best_err"))
+
+
+def cluster_projected(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    R = RD.sign_matrix(tables.dims(s), 4, SEED, 0)
+    z = LA.project(s, R, passthrough=("id", "label"))
+    a, _ = near(z, 10)
+    lv, _ = e_levels(s)
+    t = scoring.cluster_predict_err(a, lv)
+    return t.select("cluster", "argmax", "size", r6("err").alias("err"))
+
+
+# --- feature selection statistics -------------------------------------------------
+
+def symmetric_uncertainty(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import select as SEL
+    e = tables.features_embeddings(spark, sf)
+    su = SEL.su_feature_class(SEL.discretize(e, 5))
+    return su.select("j", r6("su").alias("su"))
+
+
+def feature_pair_uncertainty(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import select as SEL
+    e = tables.features_embeddings(spark, sf)
+    su = SEL.su_feature_pairs(SEL.discretize(e, 5, label=None, d=8), 8, 5)
+    return SEL.su_pairs_frame(spark, su).select("i", "j", r6("su").alias("su"))
+
+
+def cfs_merit_greedy(spark: SparkSession, sf: str) -> DataFrame:
+    import numpy as np
+    from lodestar.operators import select as SEL
+    e = tables.features_embeddings(spark, sf)
+    binned = SEL.discretize(e, 5, d=8).persist()
+    su_c = np.zeros(8)
+    for r in SEL.su_feature_class(binned).collect():
+        su_c[r["j"]] = r["su"]
+    su_ff = SEL.su_feature_pairs(binned, 8, 5)
+    rows = SEL.greedy_forward(su_c, su_ff, 3)
+    df = spark.createDataFrame(rows, "step INT, j INT, merit DOUBLE")
+    return df.select("step", "j", r6("merit").alias("merit"))
+
+
+# --- soft assignments and EM ----------------------------------------------------------
+
+def _soft(spark: SparkSession, sf: str):
+    s = std_e(spark, sf)
+    soft = KM.soft_assign(s, KM.first_rows(s, 4))
+    return s, soft
+
+
+def soft_class_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    s, soft = _soft(spark, sf)
+    m = scoring.soft_class_matrix(soft, 4)
+    return m.select("cluster", "label", r6("p").alias("p"))
+
+
+def soft_label_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    s, soft = _soft(spark, sf)
+    lv, c = e_levels(s)
+    return scoring.soft_label_confusion(soft, lv, 4, c).select("predicted", "actual", "n")
+
+
+def em_spherical(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import mixture as MX
+    s = std_e(spark, sf).persist()
+    start = MX.init_from_centers(KM.first_rows(s, 2), "EII", var=1.0)
+    m = MX.em(s, [start], max_iter=3, tol=0.0, reg=0.0)[0]
+    rows = [(g, float(m.weights[g]), float(m.covs[g][0, 0])) for g in range(m.G)]
+    df = spark.createDataFrame(rows, "component INT, weight DOUBLE, var DOUBLE")
+    return df.select("component", r6("weight").alias("weight"), r6("var").alias("var"))
+
+
+# --- class scatter, contributions, learning-curve statistics -------------------------
+
+def class_scatter(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf).withColumn("x", F.slice("x", 1, 8))
+    lv, c = e_levels(s)
+    sc = RD.class_scatter(prep.with_label_ix(s, lv), 8, c)
+    w = LA.matrix_frame(spark, sc.within, "within")
+    b = LA.matrix_frame(spark, sc.between, "between")
+    return w.join(b, ["i", "j"]).select("i", "j", r6("within").alias("within"),
+                                        r6("between").alias("between"))
+
+
+def cumulative_contribution(spark: SparkSession, sf: str) -> DataFrame:
+    """M18 with M = unit class-centroid directions (p x classes, level order)."""
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    lv, c = e_levels(s)
+    p = tables.dims(s)
+    means = (prep.with_label_ix(s, lv).groupBy("label_ix")
+             .agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)]))
+    long = means.select(F.col("label_ix").alias("j"),
+                        F.posexplode(F.array(*[F.col(f"m{j}") for j in range(p)])).alias("i", "m"))
+    norm = F.sqrt(F.sum(F.col("m") * F.col("m")).over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("j")))
+    m_long = long.select(F.col("i").cast("int").alias("i"), "j", (F.col("m") / norm).alias("v"))
+    return RD.contributions_frame(m_long).select("feature", "ind", r6("value").alias("value"))
+
+
+def loss_curve_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 over a learning-curve-shaped table: run = label, stage = split side,
+    idx = k, error = mean over the run's rows of the min d² to the first k start rows."""
+    s = std_e(spark, sf)
+    mins = KM.center_distances(s, KM.first_rows(s, 10), out="m", running_min=True)
+    split = prep.train_test_split(s, 0.8, SEED)
+    rows = mins.join(split, "id")
+    long = rows.select("label", F.when(F.col("is_train"), "Train").otherwise("Test").alias("stage"),
+                       F.posexplode("m").alias("pos", "e"))
+    per_run = long.groupBy("label", "stage", "pos").agg(F.avg("e").alias("error"))
+    st = per_run.groupBy("stage", (F.col("pos") + 1).cast("int").alias("idx")).agg(
+        F.avg("error").alias("err_mean"), F.stddev_samp("error").alias("err_sd"))
+    return st.select("stage", "idx", r6("err_mean").alias("err_mean"), r6("err_sd").alias("err_sd"))
+
+
+QUERIES.update({
+    "sign_projection": sign_projection,
+    "projection_error": projection_error,
+    "projection_running_best": projection_running_best,
+    "cluster_projected": cluster_projected,
+    "symmetric_uncertainty": symmetric_uncertainty,
+    "feature_pair_uncertainty": feature_pair_uncertainty,
+    "cfs_merit_greedy": cfs_merit_greedy,
+    "soft_class_matrix": soft_class_matrix,
+    "soft_label_confusion": soft_label_confusion,
+    "em_spherical": em_spherical,
+    "class_scatter": class_scatter,
+    "cumulative_contribution": cumulative_contribution,
+    "loss_curve_stats": loss_curve_stats,
+})
