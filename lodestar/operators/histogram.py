@@ -37,7 +37,13 @@ def distances_to_own_center(assigned: DataFrame, centers, x: str = "x",
 
 def cumulative_histogram(dist: DataFrame, bins: int = 500, cls: str = "class",
                          d: str = "d") -> DataFrame:
-    """(class, bin, mid, cum_prob) for bins 1 .. bins−1."""
+    """(class, bin, mid, cum_prob) for bins 1 .. bins−1.
+
+    Two passes over the (class, d) rows: the mean (bin width), then the
+    counts; class sizes come from the counts, not from another scan.
+    """
+    from pyspark import StorageLevel
+    dist = dist.persist(StorageLevel.MEMORY_AND_DISK)
     mean = dist.agg(F.avg(d).alias("m")).collect()[0]["m"]
     if mean is None:
         return dist.sparkSession.createDataFrame([], f"{cls} {dist.schema[cls].dataType.simpleString()}, "
@@ -50,7 +56,7 @@ def cumulative_histogram(dist: DataFrame, bins: int = 500, cls: str = "class",
         inner = F.lit(1)
     b = F.when(F.col(d) <= F.lit(top), inner).otherwise(F.lit(bins)).cast("int")
     counts = dist.groupBy(cls, b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
-    sizes = dist.groupBy(cls).agg(F.count(F.lit(1)).alias("size"))
+    sizes = counts.groupBy(cls).agg(F.sum("c").alias("size"))
     grid = sizes.select(cls, "size", F.explode(F.sequence(F.lit(1), F.lit(bins - 1))).alias("bin"))
     full = grid.join(counts, [cls, "bin"], "left").fillna(0, ["c"])
     run = Window.partitionBy(cls).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)

@@ -1,0 +1,62 @@
+"""One-hidden-layer nets (M27-M29) on ``pyspark.ml``'s MultilayerPerceptronClassifier.
+
+The reference trains an SSE-loss net; Spark's is softmax + cross-entropy, so
+only argmax error rates compare (documented deviation).  Training is Spark's
+distributed L-BFGS / gradient descent over the rows; a learning curve is a
+chain of one-iteration fits warm-started from the previous weights, each
+scored on train and test by argmax (P12) and an equality count (P15).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HIDDEN = 30
+
+
+def _prep(df: DataFrame, x: str = "x", ix: str = "label_ix") -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+    return df.select(array_to_vector(x).alias("features"), F.col(ix).cast("double").alias("y"))
+
+
+def fit(train: DataFrame, p: int, n_classes: int, seed: int, max_iter: int = 15,
+        step: float = 0.6, x: str = "x", ix: str = "label_ix", init=None, solver: str = "gd"):
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    mlp = MultilayerPerceptronClassifier(layers=[p, HIDDEN, n_classes], maxIter=max_iter,
+                                         stepSize=step, seed=seed, solver=solver,
+                                         labelCol="y", featuresCol="features", blockSize=128)
+    if init is not None:
+        mlp.setInitialWeights(init)
+    return mlp.fit(_prep(train, x, ix))
+
+
+def error_rate(model, df: DataFrame, x: str = "x", ix: str = "label_ix") -> float:
+    """1 − correct / n with argmax predictions (M29 scoring)."""
+    pred = model.transform(_prep(df, x, ix))
+    r = pred.agg(F.count_if(F.col("prediction") == F.col("y")).alias("ok"),
+                 F.count(F.lit(1)).alias("n")).collect()[0]
+    return 1.0 - r["ok"] / r["n"] if r["n"] else float("nan")
+
+
+def learning_curve(train: DataFrame, test: DataFrame, p: int, n_classes: int, seed: int,
+                   iters: int = 10, step: float = 0.6, x: str = "x", ix: str = "label_ix"):
+    """[(idx, error, stage)] for idx = 1..iters (M27 + M28 stacking)."""
+    rows, w = [], None
+    for i in range(1, iters + 1):
+        m = fit(train, p, n_classes, seed, max_iter=1, step=step, x=x, ix=ix, init=w)
+        w = m.weights
+        rows.append((i, error_rate(m, train, x, ix), "Train"))
+        rows.append((i, error_rate(m, test, x, ix), "Test"))
+    return rows
+
+
+def repeated_error(train: DataFrame, test: DataFrame, p: int, n_classes: int, seeds,
+                   max_iter: int = 15, x: str = "x", ix: str = "label_ix"):
+    """[(run, stage, err)] over seeds (M29); aggregate per stage afterwards."""
+    out = []
+    for s in seeds:
+        m = fit(train, p, n_classes, int(s), max_iter=max_iter, x=x, ix=ix)
+        out.append((int(s), "Train", error_rate(m, train, x, ix)))
+        out.append((int(s), "Test", error_rate(m, test, x, ix)))
+    return out

@@ -410,3 +410,234 @@ QUERIES.update({
     "cumulative_contribution": cumulative_contribution,
     "loss_curve_stats": loss_curve_stats,
 })
+
+
+# --- rows-only numerical pipelines (invariants in pytest) ----------------------------
+# Small grids; the reference's sweep sizes are the same calls with larger lists.
+
+def _X():
+    from lodestar.plans import experiments
+    return experiments
+
+
+def pca_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _X().pca_scores(std_e(spark, sf).persist(), 2).select("id", "label", "j", r6("v").alias("v"))
+
+
+def pca_explained(spark: SparkSession, sf: str) -> DataFrame:
+    ev = _X().pca_explained(spark, std_e(spark, sf).persist())
+    return ev.select("component", r6("eigenvalue").alias("eigenvalue"), r6("share").alias("share"),
+                     r6("cum_share").alias("cum_share"))
+
+
+def min_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import reduce as RD
+    ev = _X().pca_explained(spark, std_e(spark, sf).persist())
+    return RD.min_dimension_frame(ev, 0.90).select(F.col("dims").cast("int").alias("dims"))
+
+
+def pca_recon_error(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().pca_recon_error(spark, std_e(spark, sf).persist(), "E")
+    return e.select("dims", r6("err").alias("err"), "test")
+
+
+def pca_contribution(spark: SparkSession, sf: str) -> DataFrame:
+    c = _X().pca_contributions(spark, std_e(spark, sf).persist())
+    return c.select("feature", "ind", r6("value").alias("value"))
+
+
+def mds_points(spark: SparkSession, sf: str) -> DataFrame:
+    """M31 re-aimed: classical MDS on Euclidean distances = the first PCA scores."""
+    return pca_scores(spark, sf)
+
+
+def ica_sources(spark: SparkSession, sf: str) -> DataFrame:
+    z = _X().ica_sources(std_e(spark, sf).persist(), 2, SEED)
+    return z.select("id", "label", "j", r6("v").alias("v"))
+
+
+def ica_recon_error(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().ica_recon_error(spark, std_e(spark, sf).persist(), [2, 4, 8], SEED, "E")
+    return e.select("dims", r6("err").alias("err"), "test")
+
+
+def rca_haar_best(spark: SparkSession, sf: str) -> DataFrame:
+    c = _X().rca_error_curve(spark, std_e(spark, sf).persist(), [4], 20, SEED, family="haar")
+    return c.select("iter", r6("err").alias("err"), "dims", "test")
+
+
+def rca_error_curve(spark: SparkSession, sf: str) -> DataFrame:
+    c = _X().rca_error_curve(spark, std_e(spark, sf).persist(), [2, 4, 8], 10, SEED, family="haar")
+    return c.select("iter", r6("err").alias("err"), "dims", "test")
+
+
+def rca_projected(spark: SparkSession, sf: str) -> DataFrame:
+    _, proj = _X().rca_best_projection(spark, std_e(spark, sf).persist(), 2, 20, SEED)
+    return proj.select("id", "label", F.posexplode("x").alias("j", "v")).select(
+        "id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("v"))
+
+
+def _pca10(spark: SparkSession, sf: str):
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf).persist()
+    model = RD.pca_fit(s, tables.dims(s))
+    return RD.pca_transform(s, model, 10).persist()
+
+
+def gmm_bic_curve(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import mixture as MX
+    models = _X().mixture_grid(_pca10(spark, sf), [2, 3, 4], MX.FAMILIES, SEED, iters=15)
+    t = MX.bic_table(spark, models)
+    return t.select("numClusters", "family", r6("bic").alias("bic"))
+
+
+def gmm_best_bic(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import mixture as MX
+    z = _pca10(spark, sf)
+    models = _X().mixture_grid(z, [2, 3, 4], MX.FAMILIES, SEED, iters=15)
+    n = models[0].n
+    b = scoring.best_bic(MX.bic_table(spark, models), n)
+    return b.select("numClusters", r6("bic").alias("bic"), "family")
+
+
+def gmm_components(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import mixture as MX
+    z = _pca10(spark, sf)
+    m = _X().mixture_grid(z, [3], ["VVV"], SEED, iters=15)[0]
+    return MX.components_frame(spark, m).select("component", r6("weight").alias("weight"),
+                                                 "mean", "cov")
+
+
+def em_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import mixture as MX
+    z = _pca10(spark, sf)
+    m = _X().mixture_grid(z, [4], ["VVI"], SEED, iters=15)[0]
+    soft = MX.posterior(z, m)
+    lv, c = e_levels(z)
+    return scoring.soft_label_confusion(soft, lv, m.G, c).select("predicted", "actual", "n")
+
+
+def lda_scores(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf).persist()
+    lv, c = e_levels(s)
+    p = tables.dims(s)
+    sc = RD.class_scatter(prep.with_label_ix(s, lv), p, c)
+    D = RD.lda_directions(sc, 2)
+    z = LA.project(s, D, passthrough=("id", "label"), out="z")
+    return z.select("id", "label", F.posexplode("z").alias("j", "v")).select(
+        "id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("v"))
+
+
+def rff_pca(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    z = RD.rff_map(s, tables.dims(s), 128, 0.1, SEED).persist()
+    return _X().pca_scores(z, 2).select("id", "label", "j", r6("v").alias("v"))
+
+
+def reduced_kmeans_error(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().reduced_kmeans_error(spark, std_e(spark, sf).persist(), 4, [10], SEED)
+    return e.select("k", r6("err").alias("err"), "dims", "algo")
+
+
+def reduced_sse_curve(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().reduced_sse_curve(spark, std_e(spark, sf).persist(), 4, [4, 8, 12], SEED)
+    return e.select("k", r6("within_ss_mean").alias("within_ss_mean"), "algo")
+
+
+def kmeans_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().kmeans_clusters(spark, std_e(spark, sf).persist(), [2, 4, 8], SEED, 2, 10, "E")
+    return e.select("k", r6("avg_s").alias("avg_s"), r6("within_ss").alias("within_ss"),
+                    r6("label_err").alias("label_err"), "test")
+
+
+def kmeans_confusion_fitted(spark: SparkSession, sf: str) -> DataFrame:
+    s = std_e(spark, sf).persist()
+    m = KM.kmeans(s, 10, SEED, runs=2, max_iter=20)
+    lv, c = e_levels(s)
+    return scoring.cluster_confusion(KM.assign(s, m.centers), lv, c).select("predicted", "actual", "n")
+
+
+def mlp_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import net as NN
+    s = std_e(spark, sf)
+    lv, c = e_levels(s)
+    data = prep.with_label_ix(s, lv).persist()
+    tr, te = _X().net_split(data, SEED)
+    rows = NN.learning_curve(tr, te, tables.dims(s), c, SEED, iters=8)
+    df = spark.createDataFrame(rows, "idx INT, error DOUBLE, stage STRING")
+    return df.select("idx", r6("error").alias("error"), "stage")
+
+
+def mlp_error_by_dims(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().net_error_by_dims(spark, std_e(spark, sf).persist(), [5, 10], [1, 2], SEED, 15)
+    return e.select("dims", "algo", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"))
+
+
+def mlp_on_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().net_on_clusters(spark, std_e(spark, sf).persist(), 10, [1, 2], SEED, 15)
+    return e.select("inputs", "type", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"))
+
+
+def cfs_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """M25 best-first subset and M26 / X5 error of dropping the rest (total and per row)."""
+    import numpy as np
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import select as SEL
+    s = std_e(spark, sf).persist()
+    p = tables.dims(s)
+    binned = SEL.discretize(s, 5).persist()
+    su_c = np.zeros(p)
+    for r in SEL.su_feature_class(binned).collect():
+        su_c[r["j"]] = r["su"]
+    su_ff = SEL.su_feature_pairs(binned.drop("label"), p, 5)
+    keep = SEL.best_first(su_c, su_ff)
+    mo = LA.moments(s, p)
+    tot, per = SEL.dropped_feature_error(np.diag(mo.gram()), keep, mo.n)
+    rows = [(len(keep), ",".join(str(j) for j in keep), tot, per)]
+    df = spark.createDataFrame(rows, "dims INT, features STRING, err_total DOUBLE, err_mean DOUBLE")
+    return df.select("dims", "features", r6("err_total").alias("err_total"), r6("err_mean").alias("err_mean"))
+
+
+def scala_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().scala_sweep(spark, std_e(spark, sf), [0, 4, 8], [5, 10], SEED)
+    return e.select("dims", "k", r6("cost").alias("cost"), "cluster", "n", r6("label_var").alias("label_var"))
+
+
+def silhouette_squared_e(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import silhouette as SH
+    s = std_e(spark, sf)
+    a = KM.assign(s, KM.first_rows(s, 4), passthrough=("id", "x"))
+    return SH.silhouette_squared(a).select("id", "cluster", "neighbour", r6("s").alias("s"))
+
+
+QUERIES.update({
+    "pca_scores": pca_scores,
+    "pca_explained": pca_explained,
+    "min_dimension": min_dimension,
+    "pca_recon_error": pca_recon_error,
+    "pca_contribution": pca_contribution,
+    "mds_points": mds_points,
+    "ica_sources": ica_sources,
+    "ica_recon_error": ica_recon_error,
+    "rca_haar_best": rca_haar_best,
+    "rca_error_curve": rca_error_curve,
+    "rca_projected": rca_projected,
+    "gmm_bic_curve": gmm_bic_curve,
+    "gmm_best_bic": gmm_best_bic,
+    "gmm_components": gmm_components,
+    "em_confusion": em_confusion,
+    "lda_scores": lda_scores,
+    "rff_pca": rff_pca,
+    "reduced_kmeans_error": reduced_kmeans_error,
+    "reduced_sse_curve": reduced_sse_curve,
+    "kmeans_clusters": kmeans_clusters,
+    "kmeans_confusion_fitted": kmeans_confusion_fitted,
+    "mlp_learning_curve": mlp_learning_curve,
+    "mlp_error_by_dims": mlp_error_by_dims,
+    "mlp_on_clusters": mlp_on_clusters,
+    "cfs_selection": cfs_selection,
+    "scala_sweep": scala_sweep,
+})
