@@ -195,46 +195,67 @@ def _sym_decorrelate(W: np.ndarray) -> np.ndarray:
 
 def ica_fit(df: DataFrame, p: int, d: int, seed: int, x: str = "x", max_iter: int = 200,
             tol: float = 1e-4, alpha: float = 1.0) -> ICAModel:
-    """FastICA with one data pass per iteration.
+    """FastICA with one data pass per iteration (M19); see :func:`ica_fit_many`."""
+    return ica_fit_many(df, p, [d], seed, x, max_iter, tol, alpha)[0]
+
+
+def ica_fit_many(df: DataFrame, p: int, dims, seed: int, x: str = "x", max_iter: int = 200,
+                 tol: float = 1e-4, alpha: float = 1.0) -> list[ICAModel]:
+    """Several FastICA fits (one per entry of ``dims``) sharing every data pass.
 
     Whitening comes from the covariance eigenpairs (rank guard: λ < 1e-9·λ₁ is
-    dropped).  Each pass accumulates E[g(Wz) zᵀ] and E[g'(Wz)] with W shipped
-    to the tasks; the symmetric decorrelation runs on the driver.
+    dropped).  Each pass accumulates, for every unconverged model,
+    E[g(Wz) zᵀ] and E[g'(Wz)] with the W's shipped to the tasks; the
+    symmetric decorrelation runs on the driver.  Stops on
+    max |abs(diag(W₁Wᵀ)) − 1| < tol, as the reference's package does.
     """
     from lodestar.operators.prep import column_stats
     st = column_stats(df, x, p)
     mean = np.nan_to_num(st.mean)
     mo = LA.moments(df, p, x, shift=mean)
-    cov = mo.covariance(ddof=0)
-    lam, vec = np.linalg.eigh(cov)
+    lam, vec = np.linalg.eigh(mo.covariance(ddof=0))
     order = np.argsort(lam)[::-1]
     lam, vec = lam[order], vec[:, order]
-    keep = lam > 1e-9 * lam[0]
-    d = min(d, int(keep.sum()))
-    K = vec[:, :d] / np.sqrt(lam[:d])
-    rng = np.random.default_rng(seed)
-    W = _sym_decorrelate(rng.standard_normal((d, d)))
+    rank = int((lam > 1e-9 * lam[0]).sum())
     n = mo.n
-    it = 0
+    models = []
+    for i, d in enumerate(dims):
+        d = min(int(d), rank)
+        K = vec[:, :d] / np.sqrt(lam[:d])
+        rng = np.random.default_rng([seed, d])
+        models.append(ICAModel(mean, K, _sym_decorrelate(rng.standard_normal((d, d))), 0))
+    active = list(range(len(models)))
     for it in range(1, max_iter + 1):
-        Wc, Kc = W.copy(), K
-
-        def fn(b, Wc=Wc, Kc=Kc):
-            Z = (b[x] - mean) @ Kc           # whitened rows
-            Y = Z @ Wc.T
-            G = np.tanh(alpha * Y)
-            gp = alpha * (1.0 - G * G)
-            return np.concatenate([(G.T @ Z).ravel(), gp.sum(0)])
-
-        v = partial_sums(df, [x], fn, d * d + d)
-        EgZ = v[:d * d].reshape(d, d) / n
-        Egp = v[d * d:] / n
-        W1 = _sym_decorrelate(EgZ - Egp[:, None] * W)
-        lim = np.max(np.abs(np.abs(np.einsum("ij,ij->i", W1, W)) - 1.0))
-        W = W1
-        if lim < tol:
+        if not active:
             break
-    return ICAModel(mean, K, W, it)
+        Ks = [models[i].K for i in active]
+        Ws = [models[i].W.copy() for i in active]
+        ds = [K.shape[1] for K in Ks]
+        offs = np.cumsum([0] + [d * d + d for d in ds])
+
+        def fn(b, Ks=Ks, Ws=Ws, ds=ds, offs=offs):
+            Xc = b[x] - mean
+            out = np.zeros(int(offs[-1]))
+            for m, (K, W, d) in enumerate(zip(Ks, Ws, ds)):
+                Z = Xc @ K
+                G = np.tanh(alpha * (Z @ W.T))
+                out[offs[m]:offs[m] + d * d] = (G.T @ Z).ravel()
+                out[offs[m] + d * d:offs[m + 1]] = (alpha * (1.0 - G * G)).sum(0)
+            return out
+
+        v = partial_sums(df, [x], fn, int(offs[-1]))
+        still = []
+        for m, i in enumerate(active):
+            d, W = ds[m], Ws[m]
+            EgZ = v[offs[m]:offs[m] + d * d].reshape(d, d) / n
+            Egp = v[offs[m] + d * d:offs[m + 1]] / n
+            W1 = _sym_decorrelate(EgZ - Egp[:, None] * W)
+            lim = np.max(np.abs(np.abs(np.einsum("ij,ij->i", W1, W)) - 1.0))
+            models[i].W, models[i].iterations = W1, it
+            if lim >= tol:
+                still.append(i)
+        active = still
+    return models
 
 
 def ica_sources(df: DataFrame, model: ICAModel, x: str = "x", out: str = "x",

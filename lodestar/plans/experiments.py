@@ -75,10 +75,8 @@ def ica_recon_error(spark: SparkSession, df: DataFrame, dims, seed: int, test: s
     p = tables.dims(df)
     st = prep.column_stats(df, "x", p)
     mo = LA.moments(df, p, shift=np.nan_to_num(st.mean))
-    rows = []
-    for d in dims:
-        model = RD.ica_fit(df, p, d, seed)
-        rows.append((int(d), RD.ica_recon_error(mo.g, model) / mo.n, test))
+    rows = [(int(d), RD.ica_recon_error(mo.g, model) / mo.n, test)
+            for d, model in zip(dims, RD.ica_fit_many(df, p, dims, seed))]
     return spark.createDataFrame(rows, "dims INT, err DOUBLE, test STRING")
 
 

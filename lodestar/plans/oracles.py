@@ -19,15 +19,17 @@ LV = ("lv AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEG
       "FROM (SELECT DISTINCT label FROM e))")
 
 
-def near(k: int, src: str = "sl", out: str = "asg") -> str:
-    """Assignment of every row of ``src`` to the first k ids' vectors."""
+def near(k: int, src: str = "sl", out: str = "asg", tag: str = "") -> str:
+    """Assignment of every row of ``src`` to the first k ids' vectors.
+    Internal CTEs are ck/cl/dd suffixed by ``tag``."""
+    ck, cl, dd = f"ck{tag}", f"cl{tag}", f"dd{tag}"
     return (
-        f"ck AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS cluster "
+        f"{ck} AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS cluster "
         f"FROM (SELECT DISTINCT id FROM {src}) QUALIFY row_number() OVER (ORDER BY id) <= {k}), "
-        f"cl AS (SELECT ck.cluster, s.j, s.v AS c FROM {src} s JOIN ck USING (id)), "
-        f"dd AS (SELECT s.id, s.label, cl.cluster, sum((s.v - cl.c) * (s.v - cl.c)) AS d2 "
-        f"FROM {src} s JOIN cl USING (j) GROUP BY s.id, s.label, cl.cluster), "
-        f"{out} AS (SELECT id, label, cluster, d2 FROM dd "
+        f"{cl} AS (SELECT {ck}.cluster, s.j, s.v AS c FROM {src} s JOIN {ck} USING (id)), "
+        f"{dd} AS (SELECT s.id, s.label, {cl}.cluster, sum((s.v - {cl}.c) * (s.v - {cl}.c)) AS d2 "
+        f"FROM {src} s JOIN {cl} USING (j) GROUP BY s.id, s.label, {cl}.cluster), "
+        f"{out} AS (SELECT id, label, cluster, d2 FROM {dd} "
         f"QUALIFY row_number() OVER (PARTITION BY id ORDER BY d2, cluster) = 1)")
 
 
@@ -132,28 +134,28 @@ SQL["cluster_label_variance"] = with_(E, EL, ST, SL, near(10), (
 
 # --- Lloyd iterations unrolled as chained CTEs -------------------------------
 
-def lloyd_ctes(ks: list[int], iters: int) -> list[str]:
+def lloyd_ctes(ks: list[int], iters: int, src: str = "sl") -> list[str]:
     """Models keyed by k; starts = first k ids; empty clusters keep their centre.
     Produces c0..c{iters} and a0..a{iters} (a_t = assignment to c_t)."""
     kv = ", ".join(f"({k})" for k in ks)
     ctes = [
         f"ks AS (SELECT * FROM (VALUES {kv}) t(k))",
         "rk AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS r "
-        "FROM (SELECT DISTINCT id FROM sl))",
+        f"FROM (SELECT DISTINCT id FROM {src}))",
         "c0 AS (SELECT ks.k, rk.r AS cluster, s.j, s.v AS c FROM ks JOIN rk ON rk.r < ks.k "
-        "JOIN sl s ON s.id = rk.id)",
+        f"JOIN {src} s ON s.id = rk.id)",
     ]
     for t in range(iters + 1):
         ctes.append(
             f"d{t} AS (SELECT c.k, s.id, s.label, c.cluster, sum((s.v - c.c) * (s.v - c.c)) AS d2 "
-            f"FROM sl s JOIN c{t} c USING (j) GROUP BY c.k, s.id, s.label, c.cluster)")
+            f"FROM {src} s JOIN c{t} c USING (j) GROUP BY c.k, s.id, s.label, c.cluster)")
         ctes.append(
             f"a{t} AS (SELECT k, id, label, cluster, d2 FROM d{t} "
             f"QUALIFY row_number() OVER (PARTITION BY k, id ORDER BY d2, cluster) = 1)")
         if t < iters:
             ctes.append(
                 f"c{t + 1} AS (SELECT o.k, o.cluster, o.j, coalesce(m.c, o.c) AS c FROM c{t} o "
-                f"LEFT JOIN (SELECT a.k, a.cluster, s.j, avg(s.v) AS c FROM a{t} a JOIN sl s USING (id) "
+                f"LEFT JOIN (SELECT a.k, a.cluster, s.j, avg(s.v) AS c FROM a{t} a JOIN {src} s USING (id) "
                 f"GROUP BY a.k, a.cluster, s.j) m USING (k, cluster, j))")
     return ctes
 
@@ -459,3 +461,125 @@ SQL["loss_curve_stats"] = with_(E, EL, ST, SL, near(10), (
     "avg(mk.e) AS error FROM mk JOIN sp USING (id) GROUP BY mk.label, sp.is_train, mk.idx)")) + (
     "SELECT stage, CAST(idx AS INTEGER) AS idx, round(avg(error), 6) AS err_mean, "
     "round(stddev_samp(error), 6) AS err_sd FROM prun GROUP BY stage, idx")
+
+
+# --- scalable bindings: orders ⋈ lineitem (O) and part (P) ---------------------
+
+ORD = (
+    "li AS (SELECT l_orderkey, sum(l_quantity) AS sum_qty, sum(l_extendedprice) AS sum_price, "
+    "avg(l_discount) AS avg_disc, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey), "
+    "o AS (SELECT o_orderkey AS id, o_orderpriority AS label, [CAST(o_totalprice AS DOUBLE), "
+    "CAST(sum_qty AS DOUBLE), CAST(sum_price AS DOUBLE), CAST(avg_disc AS DOUBLE), "
+    "CAST(n_lines AS DOUBLE)] AS x FROM orders JOIN li ON o_orderkey = l_orderkey), "
+    "ol AS (SELECT id, label, CAST(UNNEST(range(len(x))) AS INTEGER) AS j, UNNEST(x) AS v FROM o), "
+    "ost AS (SELECT j, avg(v) AS m, stddev_samp(v) AS s FROM ol GROUP BY j), "
+    "osl AS (SELECT ol.id, ol.label, ol.j, CASE WHEN ost.s IS NULL OR ost.s = 0 THEN 0.0 "
+    "ELSE (ol.v - ost.m) / ost.s END AS v FROM ol JOIN ost USING (j)), "
+    "lv AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS label_ix "
+    "FROM (SELECT DISTINCT label FROM o))")
+
+PRT = (
+    "pp AS (SELECT p_partkey AS id, p_type AS label, [CAST(p_size AS DOUBLE), "
+    "CAST(p_retailprice AS DOUBLE)] AS x FROM part), "
+    "pl AS (SELECT id, label, CAST(UNNEST(range(len(x))) AS INTEGER) AS j, UNNEST(x) AS v FROM pp), "
+    "pst AS (SELECT j, avg(v) AS m, stddev_samp(v) AS s FROM pl GROUP BY j), "
+    "psl AS (SELECT pl.id, pl.label, pl.j, CASE WHEN pst.s IS NULL OR pst.s = 0 THEN 0.0 "
+    "ELSE (pl.v - pst.m) / pst.s END AS v FROM pl JOIN pst USING (j)), "
+    "lv AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS label_ix "
+    "FROM (SELECT DISTINCT label FROM pp))")
+
+C1_TAIL = (
+    "w AS (SELECT cluster, label AS argmax, n AS win_n, sum(n) OVER (PARTITION BY cluster) AS size "
+    "FROM cnt QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label_ix) = 1)")
+
+SQL["kmeans_orders_lloyd"] = with_(ORD, *lloyd_ctes([5], 3, src="osl")) + (
+    "SELECT cluster, CAST(count(*) AS BIGINT) AS n, round(sum(d2), 6) AS within_ss "
+    "FROM a3 GROUP BY cluster")
+
+SQL["orders_cluster_label_error"] = with_(ORD, *lloyd_ctes([5], 3, src="osl"), (
+    "asg AS (SELECT id, label, cluster FROM a3)"), CNT, C1_TAIL) + (
+    "SELECT cluster, argmax, CAST(size AS BIGINT) AS size, "
+    "round((1 - CAST(win_n AS DOUBLE) / size) * size, 6) AS err, "
+    "round(1 - CAST(win_n AS DOUBLE) / size, 6) AS err_rate FROM w")
+
+SQL["orders_split"] = with_(ORD) + (
+    "SELECT id, row_number() OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) "
+    "<= floor(0.8 * count(*) OVER ()) AS is_train FROM o")
+
+SQL["silhouette_squared_orders"] = with_(ORD, near(5, src="osl"), (
+    "cs AS (SELECT a.cluster, s.j, sum(s.v) AS sx FROM asg a JOIN osl s USING (id) "
+    "GROUP BY a.cluster, s.j)"), (
+    "cq AS (SELECT a.cluster, count(DISTINCT a.id) AS n, sum(s.v * s.v) AS q FROM asg a "
+    "JOIN osl s USING (id) GROUP BY a.cluster)"), (
+    "xx AS (SELECT id, sum(v * v) AS xsq FROM osl GROUP BY id)"), (
+    "xd AS (SELECT s.id, c.cluster, sum(s.v * c.sx) AS dt FROM osl s JOIN cs c USING (j) "
+    "GROUP BY s.id, c.cluster)"), (
+    "tt AS (SELECT xd.id, xd.cluster AS oc, greatest(cq.n * xx.xsq - 2 * xd.dt + cq.q, 0) AS t, cq.n "
+    "FROM xd JOIN xx USING (id) JOIN cq ON cq.cluster = xd.cluster)"), (
+    "md AS (SELECT tt.id, a.cluster, tt.oc, tt.n, CASE WHEN tt.oc = a.cluster THEN "
+    "(CASE WHEN tt.n > 1 THEN tt.t / (tt.n - 1) ELSE 0.0 END) ELSE tt.t / tt.n END AS m "
+    "FROM tt JOIN asg a USING (id))"), (
+    "nb AS (SELECT id, oc AS neighbour, m AS b FROM md WHERE oc <> cluster "
+    "QUALIFY row_number() OVER (PARTITION BY id ORDER BY m, oc) = 1)"), (
+    "aa AS (SELECT id, cluster, m AS a, n AS n_own FROM md WHERE oc = cluster)")) + (
+    "SELECT aa.id, aa.cluster, nb.neighbour, round(CASE WHEN aa.n_own <= 1 OR nb.b IS NULL THEN 0.0 "
+    "WHEN greatest(aa.a, nb.b) = 0 THEN 0.0 ELSE (nb.b - aa.a) / greatest(aa.a, nb.b) END, 6) AS s "
+    "FROM aa LEFT JOIN nb USING (id)")
+
+SQL["part_cluster_confusion"] = with_(PRT, near(6, src="psl"), CNT, WIN, CELLS, CONF) + (
+    "SELECT predicted, actual, n FROM conf")
+
+SQL["spectrum_by_algo"] = with_(E, EL, ST, SL, sign_rows([4], 1), (
+    "zl AS (SELECT s.id, s.label, pr.j, sum(s.v * pr.r) AS v FROM sl s JOIN pr ON pr.i = s.j "
+    "GROUP BY s.id, s.label, pr.j)"), near(10), near(10, src="zl", out="asgz", tag="2"), (
+    "sz AS (SELECT 'N/A' AS algo, cluster, count(*) AS size FROM asg GROUP BY cluster "
+    "UNION ALL SELECT 'RCA' AS algo, cluster, count(*) AS size FROM asgz GROUP BY cluster)")) + (
+    "SELECT algo, CAST(row_number() OVER (PARTITION BY algo ORDER BY size DESC, cluster) AS INTEGER) "
+    "AS idx, cluster, CAST(size AS BIGINT) AS size, "
+    "round(size / sum(size) OVER (PARTITION BY algo), 6) AS share FROM sz")
+
+SQL["label_variance_sweep"] = with_(E, EL, ST, SL, *lloyd_ctes([5, 10], 2), (
+    "m AS (SELECT k, cluster, label, count(*) AS m FROM a2 GROUP BY k, cluster, label)"), (
+    "mm AS (SELECT *, sum(m) OVER (PARTITION BY k, cluster) AS nn FROM m)")) + (
+    "SELECT CAST(k AS INTEGER) AS k, cluster, CAST(max(nn) AS BIGINT) AS n, round(sum(CASE WHEN nn > 1 "
+    "THEN CAST(m AS DOUBLE) * (nn - m) / (nn * (nn - 1)) ELSE 0.0 END), 6) AS label_var "
+    "FROM mm GROUP BY k, cluster")
+
+
+def kmeans_err(asg: str, tag: str) -> str:
+    """Majority-label confusion error of an assignment (C2 → C4) as CTE ``ke{tag}``."""
+    return (
+        f"cnt{tag} AS (SELECT a.cluster, lv.label_ix, count(*) AS n FROM {asg} a JOIN lv USING (label) "
+        f"GROUP BY a.cluster, lv.label_ix), "
+        f"win{tag} AS (SELECT cluster, label_ix AS win_ix FROM cnt{tag} "
+        f"QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label_ix) = 1), "
+        f"ke{tag} AS (SELECT 1 - CAST(sum(CASE WHEN w.win_ix = c.label_ix THEN c.n ELSE 0 END) AS DOUBLE) "
+        f"/ sum(c.n) AS err FROM cnt{tag} c JOIN win{tag} w USING (cluster))")
+
+
+def soft_err(dd: str, tag: str) -> str:
+    """Soft-assignment label confusion error (C5-C7 → C4) as CTE ``se{tag}``."""
+    return (
+        f"zz{tag} AS (SELECT id, label, cluster, exp(min(d2) OVER (PARTITION BY id) - d2) AS e FROM {dd}), "
+        f"zp{tag} AS (SELECT id, label, cluster, e / sum(e) OVER (PARTITION BY id) AS z FROM zz{tag}), "
+        f"cs{tag} AS (SELECT cluster, label, sum(z) AS s FROM zp{tag} GROUP BY cluster, label), "
+        f"cm{tag} AS (SELECT cluster, label, s / sum(s) OVER (PARTITION BY cluster) AS p FROM cs{tag}), "
+        f"pl{tag} AS (SELECT zp.id, cm.label AS plabel, sum(zp.z * cm.p) AS prob FROM zp{tag} zp "
+        f"JOIN cm{tag} cm USING (cluster) GROUP BY zp.id, cm.label), "
+        f"pd{tag} AS (SELECT pl.id, pl.plabel FROM pl{tag} pl JOIN lv ON lv.label = pl.plabel "
+        f"QUALIFY row_number() OVER (PARTITION BY pl.id ORDER BY prob DESC, lv.label_ix) = 1), "
+        f"se{tag} AS (SELECT 1 - CAST(count_if(pd.plabel = e.label) AS DOUBLE) / count(*) AS err "
+        f"FROM pd{tag} pd JOIN e USING (id))")
+
+
+SQL["reduced_error_table"] = with_(E, EL, ST, SL, LV, sign_rows([4], 1), (
+    "zl AS (SELECT s.id, s.label, pr.j, sum(s.v * pr.r) AS v FROM sl s JOIN pr ON pr.i = s.j "
+    "GROUP BY s.id, s.label, pr.j)"),
+    near(10), near(10, src="zl", out="asgz", tag="z"),
+    near(4, src="sl", out="asg4", tag="4"), near(4, src="zl", out="asgz4", tag="z4"),
+    kmeans_err("asg", "a"), kmeans_err("asgz", "b"), soft_err("dd4", "c"), soft_err("ddz4", "d"), (
+    "cells AS (SELECT 'N/A' AS reduction, 'kmeans' AS method, err FROM kea UNION ALL "
+    "SELECT 'RCA', 'kmeans', err FROM keb UNION ALL SELECT 'N/A', 'em', err FROM sec UNION ALL "
+    "SELECT 'RCA', 'em', err FROM sed)")) + (
+    "SELECT reduction, round(max(CASE WHEN method = 'em' THEN err END), 6) AS em, "
+    "round(max(CASE WHEN method = 'kmeans' THEN err END), 6) AS kmeans FROM cells GROUP BY reduction")

@@ -641,3 +641,98 @@ QUERIES.update({
     "cfs_selection": cfs_selection,
     "scala_sweep": scala_sweep,
 })
+
+
+# --- scalable bindings: orders ⋈ lineitem (O), part (P) ---------------------------
+
+def _std_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return prep.standardize(tables.features_orders(spark, sf)).persist()
+
+
+def kmeans_orders_lloyd(spark: SparkSession, sf: str) -> DataFrame:
+    o = _std_orders(spark, sf)
+    m = KM.lloyd(o, [KM.first_rows(o, 5)], max_iter=3)[0]
+    return KM.cost_table(KM.assign(o, m.centers)).select(
+        "cluster", F.col("n").cast("bigint").alias("n"), r6("within_ss").alias("within_ss"))
+
+
+def orders_cluster_label_error(spark: SparkSession, sf: str) -> DataFrame:
+    o = _std_orders(spark, sf)
+    m = KM.lloyd(o, [KM.first_rows(o, 5)], max_iter=3)[0]
+    t = scoring.cluster_predict_err(KM.assign(o, m.centers), prep.levels(o))
+    return t.select("cluster", "argmax", "size", r6("err").alias("err"), r6("err_rate").alias("err_rate"))
+
+
+def orders_split(spark: SparkSession, sf: str) -> DataFrame:
+    return prep.train_test_split(tables.features_orders(spark, sf), 0.8, SEED)
+
+
+def silhouette_squared_orders(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import silhouette as SH
+    o = _std_orders(spark, sf)
+    a = KM.assign(o, KM.first_rows(o, 5), passthrough=("id", "x"))
+    return SH.silhouette_squared(a).select("id", "cluster", "neighbour", r6("s").alias("s"))
+
+
+def part_cluster_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    pt = prep.standardize(tables.features_part(spark, sf)).persist()
+    a, _ = near(pt, 6)
+    lv, c = e_levels(pt)
+    return scoring.cluster_confusion(a, lv, c).select("predicted", "actual", "n")
+
+
+def spectrum_by_algo(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf).persist()
+    z = LA.project(s, RD.sign_matrix(tables.dims(s), 4, SEED, 0), passthrough=("id", "label"))
+    a1, _ = near(s, 10)
+    a2, _ = near(z, 10)
+    both = (a1.select(F.lit("N/A").alias("algo"), "cluster")
+            .unionByName(a2.select(F.lit("RCA").alias("algo"), "cluster")))
+    return scoring.cluster_spectrum(both, algo="algo").select("algo", "idx", "cluster", "size",
+                                                             r6("share").alias("share"))
+
+
+def reduced_error_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Error rate per reduction (rows) and method (columns)."""
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf).persist()
+    lv, c = e_levels(s)
+    z = LA.project(s, RD.sign_matrix(tables.dims(s), 4, SEED, 0), passthrough=("id", "label")).persist()
+    cells = None
+    for red, data in (("N/A", s), ("RCA", z)):
+        a, _ = near(data, 10)
+        km = scoring.confusion_error(scoring.cluster_confusion(a, lv, c))
+        soft = KM.soft_assign(data, KM.first_rows(data, 4))
+        em = scoring.confusion_error(scoring.soft_label_confusion(soft, lv, 4, c))
+        part = (km.select(F.lit(red).alias("reduction"), F.lit("kmeans").alias("method"), "err")
+                .unionByName(em.select(F.lit(red).alias("reduction"), F.lit("em").alias("method"), "err")))
+        cells = part if cells is None else cells.unionByName(part)
+    t = prep.report_table(cells, "reduction", "method", "err", ["em", "kmeans"])
+    return t.select("reduction", r6("em").alias("em"), r6("kmeans").alias("kmeans"))
+
+
+def label_variance_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """X25 at dims = 0: per k and cluster, size and summed label variance."""
+    s = std_e(spark, sf).persist()
+    best = KM.kmeans_grid(s, [5, 10], SEED, runs=1, max_iter=2, init="first")
+    out = None
+    for k, m in sorted(best.items()):
+        v = scoring.cluster_label_variance(KM.assign(s, m.centers)).select(
+            F.lit(k).cast("int").alias("k"), "cluster", "n", r6("label_var").alias("label_var"))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+QUERIES.update({
+    "kmeans_orders_lloyd": kmeans_orders_lloyd,
+    "orders_cluster_label_error": orders_cluster_label_error,
+    "orders_split": orders_split,
+    "silhouette_squared_orders": silhouette_squared_orders,
+    "part_cluster_confusion": part_cluster_confusion,
+    "spectrum_by_algo": spectrum_by_algo,
+    "reduced_error_table": reduced_error_table,
+    "label_variance_sweep": label_variance_sweep,
+})
