@@ -203,8 +203,8 @@ def ica_fit_many(df: DataFrame, p: int, dims, seed: int, x: str = "x", max_iter:
                  tol: float = 1e-4, alpha: float = 1.0) -> list[ICAModel]:
     """Several FastICA fits (one per entry of ``dims``) sharing every data pass.
 
-    Whitening comes from the covariance eigenpairs (rank guard: λ < 1e-9·λ₁ is
-    dropped).  Each pass accumulates, for every unconverged model,
+    Whitening comes from the covariance eigenpairs up to the numerical rank
+    (λ ≤ 1e-13·λ₁ is dropped).  Each pass accumulates, for every unconverged model,
     E[g(Wz) zᵀ] and E[g'(Wz)] with the W's shipped to the tasks; the
     symmetric decorrelation runs on the driver.  Stops on
     max |abs(diag(W₁Wᵀ)) − 1| < tol, as the reference's package does.
@@ -216,7 +216,7 @@ def ica_fit_many(df: DataFrame, p: int, dims, seed: int, x: str = "x", max_iter:
     lam, vec = np.linalg.eigh(mo.covariance(ddof=0))
     order = np.argsort(lam)[::-1]
     lam, vec = lam[order], vec[:, order]
-    rank = int((lam > 1e-9 * lam[0]).sum())
+    rank = int((lam > 1e-13 * lam[0]).sum())
     n = mo.n
     models = []
     for i, d in enumerate(dims):
