@@ -10,10 +10,31 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
+_ROWS: dict = {}
+
+
+def _key(df: DataFrame):
+    try:
+        return df.semanticHash()
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def remember_rows(df: DataFrame, n: int) -> DataFrame:
+    """Record a frame's exact row count (e.g. a collected dimension table)."""
+    k = _key(df)
+    if k is not None:
+        _ROWS[k] = int(n)
+    return df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
-    The count is one cheap action on an already small (aggregated) frame.
+    The size is the recorded count when known, else one cheap bounded count
+    on an already small (aggregated) frame.
     """
-    n = df.limit(max_rows + 1).count()
+    n = _ROWS.get(_key(df))
+    if n is None:
+        n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import vectors as V
-from lodestar.functions.joins import bounded_broadcast
+from lodestar.functions.joins import bounded_broadcast, remember_rows
 from lodestar.functions.ranking import exact_rank
 
 # A label dimension beyond this many levels is not a class label.
@@ -23,29 +23,30 @@ class ColumnStats:
     sd: np.ndarray
 
 
+def _long_stats(df: DataFrame, x: str) -> DataFrame:
+    """(j, n, mean, sd) per dimension: ``posexplode`` feeds a map-side combined
+    ``groupBy(j)`` (p partial rows per task); far cheaper to plan and compile
+    than one aggregate expression per dimension."""
+    return (df.select(F.posexplode(x).alias("j", "v")).groupBy("j")
+            .agg(F.count("v").alias("n"), F.avg("v").alias("mean"),
+                 F.stddev_samp("v").alias("sd")))
+
+
 def column_stats(df: DataFrame, x: str = "x", p: int | None = None) -> ColumnStats:
     """Per-dimension mean and sample sd in one partially aggregated pass."""
-    if p is None:
-        from lodestar.sources.tables import dims
-        p = dims(df, x)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.avg(V.elem(x, j)).alias(f"m{j}") for j in range(p)]
-    aggs += [F.stddev_samp(V.elem(x, j)).alias(f"s{j}") for j in range(p)]
-    r = df.agg(*aggs).collect()[0]
-    mean = np.array([r[f"m{j}"] if r[f"m{j}"] is not None else np.nan for j in range(p)])
-    sd = np.array([r[f"s{j}"] if r[f"s{j}"] is not None else np.nan for j in range(p)])
-    return ColumnStats(int(r["n"]), mean, sd)
-
-
-def stats_frame(df: DataFrame, x: str = "x", p: int | None = None) -> DataFrame:
+    rows = _long_stats(df, x).collect()  # p rows
+    p = max((r["j"] for r in rows), default=-1) + 1 if p is None else p
+    mean, sd, n = np.full(p, np.nan), np.full(p, np.nan), 0
+    for r in rows:
+        mean[r["j"]] = r["mean"] if r["mean"] is not None else np.nan
+        sd[r["j"]] = r["sd"] if r["sd"] is not None else np.nan
+        n = max(n, int(r["n"]))
+    return ColumnStats(n, mean, sd)
+
+
+def stats_frame(df: DataFrame, x: str = "x") -> DataFrame:
     """(j, mean, sd) as a DataFrame, without a driver round trip."""
-    if p is None:
-        from lodestar.sources.tables import dims
-        p = dims(df, x)
-    one = df.agg(F.array(*[F.avg(V.elem(x, j)) for j in range(p)]).alias("m"),
-                 F.array(*[F.stddev_samp(V.elem(x, j)) for j in range(p)]).alias("s"))
-    return one.select(F.posexplode(F.arrays_zip("m", "s")).alias("j", "z")).select(
-        F.col("j").cast("int").alias("j"), F.col("z.m").alias("mean"), F.col("z.s").alias("sd"))
+    return _long_stats(df, x).select(F.col("j").cast("int").alias("j"), "mean", "sd")
 
 
 def standardize(df: DataFrame, x: str = "x", stats: ColumnStats | None = None,
@@ -57,7 +58,9 @@ def standardize(df: DataFrame, x: str = "x", stats: ColumnStats | None = None,
     """
     if stats is None:
         stats = column_stats(fit_on if fit_on is not None else df, x)
-    return df.withColumn(out or x, V.affine(x, stats.mean, stats.sd))
+    from lodestar.sources.tables import remember_dims
+    return remember_dims(df.withColumn(out or x, V.affine(x, stats.mean, stats.sd)),
+                         len(stats.mean), out or x)
 
 
 def standardized(df: DataFrame, x: str = "x") -> tuple[DataFrame, ColumnStats]:
@@ -79,11 +82,16 @@ def levels(df: DataFrame, label: str = "label") -> DataFrame:
     the distinct levels only.
     """
     d = df.select(label).distinct()
-    n = d.limit(MAX_LEVELS + 1).count()
-    if n > MAX_LEVELS:
+    vals = [r[label] for r in d.limit(MAX_LEVELS + 1).collect()]
+    if len(vals) > MAX_LEVELS:
         raise ValueError(f"{label} has more than {MAX_LEVELS} levels")
-    w = Window.orderBy(F.col(label))
-    return d.select((F.row_number().over(w) - 1).cast("int").alias("label_ix"), label)
+    # the dictionary is bounded by MAX_LEVELS, so it is kept as a local table
+    # whose size is known (broadcast without another count)
+    vals = sorted(v for v in vals if v is not None)
+    dtype = df.schema[label].dataType.simpleString()
+    lv = df.sparkSession.createDataFrame([(i, v) for i, v in enumerate(vals)],
+                                         f"label_ix INT, {label} {dtype}")
+    return remember_rows(lv, len(vals))
 
 
 def level_list(df: DataFrame, label: str = "label") -> list:
@@ -123,17 +131,54 @@ def split_order_key(seed: int, id_col: str = "id"):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
+# A boundary bucket at most this large is ranked directly (one small window).
+SPLIT_BUCKET_ROWS = 1_000_000
+
+
 def train_test_split(df: DataFrame, f: float, seed: int, id_col: str = "id") -> DataFrame:
     """Exact ``floor(f*n)`` training rows without replacement (M1).
 
-    Returns ``(id, is_train)``.  The order is md5(seed:id) then id; the rank is
-    computed by a distributed sort (no single-task window).
+    Returns ``(id, is_train)``: the first ``floor(f*n)`` rows in the order
+    md5(seed:id), then id.  No global sort: each pass counts rows per next
+    4 hex digits of the hash (map-side combined, at most 65,536 groups) inside
+    the current boundary prefix, until the boundary bucket is small; only
+    that bucket is ranked.  A hot id value cannot skew it (ids hash apart).
     """
     keyed = df.select(id_col, split_order_key(seed, id_col).alias("_h"))
-    ranked = exact_rank(keyed, [F.col("_h"), F.col(id_col)], name="_r")
-    n = ranked.count()
-    m = int(np.floor(f * n + 1e-9))
-    return ranked.select(id_col, (F.col("_r") < m).alias("is_train"))
+    prefix, need, n = "", None, None
+    while True:
+        plen = len(prefix) + 4
+        scope = keyed.filter(F.col("_h").startswith(prefix)) if prefix else keyed
+        counts = sorted((r["b"], r["c"]) for r in scope.groupBy(
+            F.substring("_h", 1, plen).alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
+        if n is None:
+            n = sum(c for _, c in counts)
+            need = int(np.floor(f * n + 1e-9))
+        below, boundary, size = 0, None, 0
+        for b, c in counts:
+            if below + c > need:
+                boundary, size = b, c
+                break
+            below += c
+        need -= below
+        if boundary is None:          # every row in scope trains
+            prefix = prefix + "g"     # sorts after any hex digit
+            break
+        prefix = boundary
+        if size <= SPLIT_BUCKET_ROWS or plen >= 32:
+            break
+    pre = F.substring("_h", 1, len(prefix))
+    if need > 0 and not prefix.endswith("g"):
+        w = Window.orderBy(F.col("_h"), F.col(id_col))  # one bucket of bounded size
+        picked = (keyed.filter(pre == F.lit(prefix))
+                  .select(id_col, F.row_number().over(w).alias("_r"))
+                  .filter(F.col("_r") <= need).select(id_col, F.lit(True).alias("_pick")))
+        out = keyed.join(bounded_broadcast(picked, SPLIT_BUCKET_ROWS), id_col, "left")
+        train = (pre < F.lit(prefix)) | F.col("_pick").isNotNull()
+    else:
+        out = keyed
+        train = pre < F.lit(prefix)
+    return out.select(id_col, train.alias("is_train"))
 
 
 def split_frames(df: DataFrame, split: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:

@@ -34,10 +34,10 @@ def features_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    return p.select(F.col("p_partkey").cast("bigint").alias("id"),
-                    F.array(F.col("p_size").cast("double"),
-                            F.col("p_retailprice").cast("double")).alias("x"),
-                    F.col("p_type").alias("label"))
+    return remember_dims(p.select(F.col("p_partkey").cast("bigint").alias("id"),
+                                  F.array(F.col("p_size").cast("double"),
+                                          F.col("p_retailprice").cast("double")).alias("x"),
+                                  F.col("p_type").alias("label")), 2)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,18 +55,19 @@ def features_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    "o_orderpriority")
     lines = order_lines(spark, sf_dir)
     j = o.join(lines, o.o_orderkey == lines.l_orderkey)
-    return j.select(F.col("o_orderkey").cast("bigint").alias("id"),
-                    F.array(F.col("o_totalprice").cast("double"), F.col("sum_qty").cast("double"),
-                            F.col("sum_price").cast("double"), F.col("avg_disc").cast("double"),
-                            F.col("n_lines").cast("double")).alias("x"),
-                    F.col("o_orderpriority").alias("label"))
+    return remember_dims(j.select(
+        F.col("o_orderkey").cast("bigint").alias("id"),
+        F.array(F.col("o_totalprice").cast("double"), F.col("sum_qty").cast("double"),
+                F.col("sum_price").cast("double"), F.col("avg_disc").cast("double"),
+                F.col("n_lines").cast("double")).alias("x"),
+        F.col("o_orderpriority").alias("label")), 5)
 
 
 def features_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = read_table(spark, sf_dir, "events")
-    return v.select(F.col("event_id").cast("bigint").alias("id"),
-                    F.array(F.col("value").cast("double")).alias("x"),
-                    F.col("event_type").alias("label"))
+    return remember_dims(v.select(F.col("event_id").cast("bigint").alias("id"),
+                                  F.array(F.col("value").cast("double")).alias("x"),
+                                  F.col("event_type").alias("label")), 1)
 
 
 BINDINGS = {
@@ -81,7 +82,32 @@ def features(spark: SparkSession, sf_dir: str, binding: str = "E") -> DataFrame:
     return BINDINGS[binding](spark, sf_dir)
 
 
+_DIMS: dict = {}
+
+
+def _plan_key(df: DataFrame, x: str):
+    try:
+        return (df.semanticHash(), x)
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def remember_dims(df: DataFrame, p: int, x: str = "x") -> DataFrame:
+    """Record the vector width of ``df`` (keyed by its canonical plan) so later
+    operators need no job to learn it."""
+    k = _plan_key(df, x)
+    if k is not None:
+        _DIMS[k] = int(p)
+    return df
+
+
 def dims(df: DataFrame, x: str = "x") -> int:
-    """Vector width, read from one row (all rows share it)."""
+    """Vector width: recorded by the binding / standardiser, else read from one row."""
+    k = _plan_key(df, x)
+    if k is not None and k in _DIMS:
+        return _DIMS[k]
     r = df.select(F.size(x).alias("p")).limit(1).collect()
-    return int(r[0]["p"]) if r else 0
+    p = int(r[0]["p"]) if r else 0
+    if k is not None:
+        _DIMS[k] = p
+    return p

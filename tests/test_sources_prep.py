@@ -116,3 +116,13 @@ def test_systematic_sample(spark):
 def test_orders_binding_unique_ids(spark):
     o = tables.features_orders(spark, SF001)
     assert o.count() == o.select("id").distinct().count()
+
+
+def test_split_multilevel_prefix_path(spark, monkeypatch):
+    import hashlib
+    monkeypatch.setattr(prep, "SPLIT_BUCKET_ROWS", 3)
+    df = spark.range(0, 5000).withColumnRenamed("id", "id")
+    got = {r["id"]: r["is_train"] for r in prep.train_test_split(df, 0.37, 9).collect()}
+    order = sorted(range(5000), key=lambda i: (hashlib.md5(f"9:{i}".encode()).hexdigest(), i))
+    want = {i: (k < int(0.37 * 5000)) for k, i in enumerate(order)}
+    assert got == want
