@@ -20,10 +20,25 @@ from lodestar.operators.prep import to_long
 
 
 def discretize(df: DataFrame, bins: int = 5, x: str = "x", id_col: str = "id",
-               label: str | None = "label", d: int | None = None) -> DataFrame:
-    """(id, [label,] j, bin) with ``bin = ntile(bins) OVER (PARTITION BY j ORDER BY v, id)``."""
+               label: str | None = "label", d: int | None = None,
+               method: str = "exact", accuracy: int = 100_000) -> DataFrame:
+    """(id, [label,] j, bin): equal-frequency bins per feature.
+
+    ``exact``: ``bin = ntile(bins) OVER (PARTITION BY j ORDER BY v, id)`` via a
+    distributed sort (no single-task window even for one huge feature).
+    ``approx``: cut points from ``percentile_approx`` per feature — one map-side
+    combined pass, no sort — then ``bin = 1 + #cuts below v``; for inputs too
+    large to sort n·p values.
+    """
     keep = [id_col] + ([label] if label else [])
     src = df.select(*keep, F.posexplode(F.slice(x, 1, d) if d else F.col(x)).alias("j", "v"))
+    if method == "approx":
+        qs = [k / bins for k in range(1, bins)]
+        cuts = src.groupBy("j").agg(F.percentile_approx("v", qs, accuracy).alias("cuts"))
+        from lodestar.functions.joins import bounded_broadcast
+        out = src.join(bounded_broadcast(cuts), "j")
+        return out.select(*keep, F.col("j").cast("int").alias("j"),
+                          (F.size(F.filter("cuts", lambda c: c < F.col("v"))) + 1).cast("int").alias("bin"))
     ranked = exact_group_rank(src, ["j"], [F.col("v"), F.col(id_col)], name="r", size_name="gn")
     return ranked.select(*keep, F.col("j").cast("int").alias("j"),
                          ntile_expr("r", "gn", bins).alias("bin"))

@@ -89,3 +89,22 @@ def test_oracle_parity_sf0001(spark, name):
     a = sorted(map(tuple, sp[cols].round(6).astype(str).values.tolist()))
     b = sorted(map(tuple, du[cols].round(6).astype(str).values.tolist()))
     assert a == b
+
+
+def test_streaming_scoring_matches_batch(spark, tmp_path):
+    from lodestar.operators import prep
+    from lodestar.sources import tables
+    from lodestar.streaming import scoring as ST
+    e = tables.features_embeddings(spark, SF0001)
+    stats = prep.column_stats(e)
+    s = prep.standardize(e, stats=stats)
+    C = KM.first_rows(s, 4)
+    batch = {r["cluster"]: r["n"] for r in KM.cost_table(KM.assign(s, C)).collect()}
+    stream = ST.standardize_stream(ST.embeddings_stream(spark, SF0001), stats.mean, stats.sd)
+    q = ST.run_to_memory(ST.running_cluster_sizes(ST.assign_stream(stream, C)), "lodestar_sizes",
+                         str(tmp_path / "ckpt"))
+    try:
+        got = {r["cluster"]: r["n"] for r in spark.sql("SELECT * FROM lodestar_sizes").collect()}
+    finally:
+        q.stop()
+    assert got == batch

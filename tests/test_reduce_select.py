@@ -145,3 +145,11 @@ def test_faults_goldens(spark):
     per_row = {d: e / model.n for d, e in RD.recon_errors(mo.g, model.rotation, [1, 2, 5, 10])}
     assert np.allclose([per_row[d] for d in (1, 2, 5, 10)],
                        [17.525130, 14.099870, 7.638656, 2.296861], atol=1e-5)
+
+
+def test_discretize_approx_close_to_exact(std_e):
+    ex = SEL.discretize(std_e, 5, d=4).toPandas()
+    ap = SEL.discretize(std_e, 5, d=4, method="approx").toPandas()
+    m = ex.merge(ap, on=["id", "j"], suffixes=("_e", "_a"))
+    assert len(m) == len(ex)
+    assert (m.bin_e - m.bin_a).abs().max() <= 1 and (m.bin_e == m.bin_a).mean() > 0.95
