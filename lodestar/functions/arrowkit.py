@@ -3,9 +3,10 @@
 Two shapes cover every GEMM-like step of the library:
 
 * :func:`partial_sums` — a sufficient-statistics pass.  Each task folds all of
-  its Arrow batches into one dense vector, emits it as sparse ``(k, v)`` rows,
-  and Spark sums them with a partially aggregated ``groupBy``.  Only the
-  summed vector (bounded by the model size, never by n) reaches the driver.
+  its Arrow batches into one dense vector and emits it as sparse ``(k, v)``
+  rows; Spark sums them with a partially aggregated ``groupBy`` (or, when
+  tasks x size is provably small, the driver adds the task vectors in one
+  stage).  Only vectors bounded by the model size, never by n, reach the driver.
 * :func:`map_rows` — a per-row transform (projection, nearest centre,
   posterior) that keeps the row id and any pass-through columns.
 """
@@ -22,6 +23,10 @@ from pyspark.sql import functions as F
 # Statistic vectors above this many entries are refused: they would not be a
 # "small matrix on the driver" any more.
 MAX_STAT_ENTRIES = 50_000_000
+# When (input partitions x statistic size) is at most this, the per-task
+# vectors are summed on the driver in one stage; above it a partially
+# aggregated shuffle sums them, so the driver never receives more than this.
+DIRECT_SUM_ENTRIES = 2_000_000
 
 
 def to_numpy(col) -> np.ndarray:
@@ -74,10 +79,14 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
             [pa.array(nz.astype(np.int64)), pa.array(acc[nz].astype(np.float64))],
             names=["k", "v"])
 
-    summed = (df.select(*cols).mapInArrow(run, "k BIGINT, v DOUBLE")
-              .groupBy("k").agg(F.sum("v").alias("v")))
-    pdf = summed.toPandas()
+    mapped = df.select(*cols).mapInArrow(run, "k BIGINT, v DOUBLE")
     out = np.zeros(size)
+    if df.rdd.getNumPartitions() * size <= DIRECT_SUM_ENTRIES:
+        pdf = mapped.toPandas()  # at most DIRECT_SUM_ENTRIES rows, by the check above
+        if len(pdf):
+            np.add.at(out, pdf["k"].to_numpy(), pdf["v"].to_numpy())
+        return out
+    pdf = mapped.groupBy("k").agg(F.sum("v").alias("v")).toPandas()
     if len(pdf):
         out[pdf["k"].to_numpy()] = pdf["v"].to_numpy()
     return out

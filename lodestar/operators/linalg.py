@@ -62,6 +62,12 @@ def matrix_frame(spark: SparkSession, m: np.ndarray, value: str = "v") -> DataFr
     return spark.createDataFrame(rows, f"i INT, j INT, {value} DOUBLE")
 
 
+def transpose_long(m_long: DataFrame) -> DataFrame:
+    """Tᵀ in the long form: swap (i, j)."""
+    return m_long.select(F.col("j").alias("i"), F.col("i").alias("j"), *[c for c in m_long.columns
+                                                                       if c not in ("i", "j")])
+
+
 def project(df: DataFrame, m: np.ndarray, x: str = "x", out: str = "x",
             passthrough: tuple = ("id",), center: np.ndarray | None = None) -> DataFrame:
     """Tall × small: x ← (x − center) @ M, batched GEMM in Arrow."""

@@ -198,6 +198,16 @@ def drop_position(df: DataFrame, pos: int, id_col: str = "id") -> DataFrame:
     return df.filter(F.col(id_col) != pos)
 
 
+def drop_vector_index(df: DataFrame, idx: int, x: str = "x", p: int | None = None) -> DataFrame:
+    """Drop one coordinate by 0-based position (P4 on a vector column)."""
+    if p is None:
+        from lodestar.sources.tables import dims
+        p = dims(df, x)
+    keep = [i for i in range(p) if i != idx]
+    from lodestar.sources.tables import remember_dims
+    return remember_dims(df.withColumn(x, V.select_idx(x, keep)), len(keep), x)
+
+
 def report_table(long_df: DataFrame, row: str, col: str, value: str, col_values=None) -> DataFrame:
     """Named 2-D report table (P20): pivot long rows into one column per ``col``."""
     return long_df.groupBy(row).pivot(col, col_values).agg(F.first(value))

@@ -60,7 +60,10 @@ def silhouette_exact(assigned: DataFrame, x: str = "x", cluster: str = "cluster"
     sizes = _cluster_sizes(assigned, cluster)
     k = len(sizes)
     n = int(sizes.sum())
-    nb = max(1, math.ceil(n / block_rows))
+    # enough blocks that the nb² block pairs keep every core busy, never more
+    # than block_rows rows per block
+    par = assigned.sparkSession.sparkContext.defaultParallelism
+    nb = max(1, math.ceil(n / block_rows), min(math.ceil(math.sqrt(par)), max(1, n // 256)))
     base = assigned.select(F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("cl"),
                            F.col(x).alias("x"),
                            F.pmod(F.xxhash64(id_col), F.lit(nb)).cast("int").alias("blk"))

@@ -139,8 +139,12 @@ def reduced_kmeans_error(spark: SparkSession, df: DataFrame, d: int, ks, seed: i
         best = KM.kmeans_grid(red, ks, seed, runs=runs, max_iter=iters)
         for k, m in sorted(best.items()):
             e = scoring.label_error(KM.assign(red, m.centers), lv).collect()[0]["err"]
-            parts.append((int(k), float(e), d if algo != "N/A" else tables.dims(df), algo))
-    return spark.createDataFrame(parts, "k INT, err DOUBLE, dims INT, algo STRING")
+            parts.append((int(k), float(e), d, algo))
+    out = spark.createDataFrame(parts, "k INT, err DOUBLE, dims INT, algo STRING")
+    # The unreduced result is a reference line spanning dims 1 .. p
+    ref = out.filter(F.col("algo") == "N/A").select(
+        "k", "err", F.explode(F.array(F.lit(1), F.lit(tables.dims(df)))).alias("dims"), "algo")
+    return out.filter(F.col("algo") != "N/A").unionByName(ref)
 
 
 def reduced_sse_curve(spark: SparkSession, df: DataFrame, d: int, ks, seed: int,
@@ -170,6 +174,13 @@ def kmeans_clusters(spark: SparkSession, df: DataFrame, ks, seed: int, runs: int
     return spark.createDataFrame(rows, "k INT, avg_s DOUBLE, within_ss DOUBLE, label_err DOUBLE, test STRING")
 
 
+def kmeans_silhouettes(df: DataFrame, k: int, seed: int, runs: int, iters: int) -> DataFrame:
+    """Per-row silhouette of a fitted k-means (X3, M2 + M7)."""
+    m = KM.kmeans(df, k, seed, runs=runs, max_iter=iters)
+    a = persist(KM.assign(df, m.centers, passthrough=("id", "x", "label")))
+    return SH.silhouette_exact(a)
+
+
 # --- mixtures (X7, X11, M10) --------------------------------------------------------------
 
 def mixture_grid(df: DataFrame, Gs, families, seed: int, iters: int = 20) -> list[MX.Mixture]:

@@ -553,6 +553,11 @@ def kmeans_clusters(spark: SparkSession, sf: str) -> DataFrame:
                     r6("label_err").alias("label_err"), "test")
 
 
+def kmeans_silhouettes(spark: SparkSession, sf: str) -> DataFrame:
+    per = _X().kmeans_silhouettes(std_e(spark, sf).persist(), 4, SEED, runs=2, iters=10)
+    return per.select("id", "cluster", "neighbour", r6("s").alias("s"))
+
+
 def kmeans_confusion_fitted(spark: SparkSession, sf: str) -> DataFrame:
     s = std_e(spark, sf).persist()
     m = KM.kmeans(s, 10, SEED, runs=2, max_iter=20)
@@ -635,6 +640,7 @@ QUERIES.update({
     "reduced_sse_curve": reduced_sse_curve,
     "kmeans_clusters": kmeans_clusters,
     "kmeans_confusion_fitted": kmeans_confusion_fitted,
+    "kmeans_silhouettes": kmeans_silhouettes,
     "mlp_learning_curve": mlp_learning_curve,
     "mlp_error_by_dims": mlp_error_by_dims,
     "mlp_on_clusters": mlp_on_clusters,
