@@ -140,14 +140,18 @@ def train_test_split(df: DataFrame, f: float, seed: int, id_col: str = "id") ->
 
     Returns ``(id, is_train)``: the first ``floor(f*n)`` rows in the order
     md5(seed:id), then id.  No global sort: each pass counts rows per next
-    4 hex digits of the hash (map-side combined, at most 65,536 groups) inside
-    the current boundary prefix, until the boundary bucket is small; only
+    3 hex digits of the hash (map-side combined, at most 4,096 groups) inside
+    the current boundary prefix, until the boundary bucket holds at most
+    SPLIT_BUCKET_ROWS rows (one pass up to ~4e9 rows, two up to ~1.6e13); only
     that bucket is ranked.  A hot id value cannot skew it (ids hash apart).
     """
-    keyed = df.select(id_col, split_order_key(seed, id_col).alias("_h"))
+    from pyspark import StorageLevel
+    # two narrow columns, read by every counting pass; recomputable from lineage
+    keyed = df.select(id_col, split_order_key(seed, id_col).alias("_h")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     prefix, need, n = "", None, None
     while True:
-        plen = len(prefix) + 4
+        plen = len(prefix) + 3
         scope = keyed.filter(F.col("_h").startswith(prefix)) if prefix else keyed
         counts = sorted((r["b"], r["c"]) for r in scope.groupBy(
             F.substring("_h", 1, plen).alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
@@ -165,7 +169,7 @@ def train_test_split(df: DataFrame, f: float, seed: int, id_col: str = "id") ->
             prefix = prefix + "g"     # sorts after any hex digit
             break
         prefix = boundary
-        if size <= SPLIT_BUCKET_ROWS or plen >= 32:
+        if size <= SPLIT_BUCKET_ROWS or plen >= 30:
             break
     pre = F.substring("_h", 1, len(prefix))
     if need > 0 and not prefix.endswith("g"):
