@@ -373,6 +373,24 @@ SQL["cfs_merit_greedy"] = with_(E, EL, SUC, SUP8, (
     "SELECT 2 AS step, f2 AS j, round(m2, 6) AS merit FROM s2 UNION ALL "
     "SELECT 3 AS step, f3 AS j, round(m3, 6) AS merit FROM s3")
 
+SQL["cfs_recon_error"] = with_(E, EL, ST, SL, SUC, SUP8, (
+    "c8 AS (SELECT * FROM suc WHERE j < 8)"), (
+    "sym AS (SELECT i, j, su FROM sup UNION ALL SELECT j AS i, i AS j, su FROM sup)"), (
+    "s1 AS (SELECT j AS f1, su AS m1 FROM c8 QUALIFY row_number() OVER (ORDER BY su DESC, j) = 1)"), (
+    "c2 AS (SELECT c.j AS f2, (a.su + c.su) / sqrt(2 + 2.0 * p.su) AS m2 FROM s1 "
+    "JOIN c8 a ON a.j = s1.f1 JOIN c8 c ON c.j <> s1.f1 JOIN sym p ON p.i = s1.f1 AND p.j = c.j)"), (
+    "s2 AS (SELECT * FROM c2 QUALIFY row_number() OVER (ORDER BY m2 DESC, f2) = 1)"), (
+    "c3 AS (SELECT c.j AS f3, (a.su + b.su + c.su) / sqrt(3 + 2.0 * (p12.su + p13.su + p23.su)) AS m3 "
+    "FROM s1 CROSS JOIN s2 JOIN c8 a ON a.j = s1.f1 JOIN c8 b ON b.j = s2.f2 "
+    "JOIN c8 c ON c.j <> s1.f1 AND c.j <> s2.f2 JOIN sym p12 ON p12.i = s1.f1 AND p12.j = s2.f2 "
+    "JOIN sym p13 ON p13.i = s1.f1 AND p13.j = c.j JOIN sym p23 ON p23.i = s2.f2 AND p23.j = c.j)"), (
+    "s3 AS (SELECT * FROM c3 QUALIFY row_number() OVER (ORDER BY m3 DESC, f3) = 1)"), (
+    "sel AS (SELECT f1 AS j FROM s1 UNION ALL SELECT f2 FROM s2 UNION ALL SELECT f3 FROM s3)"), (
+    "sq AS (SELECT j, sum(v * v) AS s FROM sl GROUP BY j)")) + (
+    "SELECT CAST((SELECT count(*) FROM sel) AS INTEGER) AS dims, round(sum(s), 6) AS err_total, "
+    "round(sum(s) / (SELECT count(DISTINCT id) FROM sl), 6) AS err_mean "
+    "FROM sq WHERE j NOT IN (SELECT j FROM sel)")
+
 # --- soft assignments: softmax(−d²) to the first 4 rows -------------------------
 
 SOFT = (

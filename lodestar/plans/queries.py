@@ -743,3 +743,25 @@ QUERIES.update({
     "reduced_error_table": reduced_error_table,
     "label_variance_sweep": label_variance_sweep,
 })
+
+
+def cfs_recon_error(spark: SparkSession, sf: str) -> DataFrame:
+    """Error of keeping only the 3 CFS-chosen features (greedy merit over
+    the first 8) — Σ x² over every dropped feature of standardised E, total and per row."""
+    import numpy as np
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import select as SEL
+    e = tables.features_embeddings(spark, sf)
+    binned = SEL.discretize(e, 5, d=8).persist()
+    su_c = np.zeros(8)
+    for r in SEL.su_feature_class(binned).collect():
+        su_c[r["j"]] = r["su"]
+    keep = [j for _, j, _ in SEL.greedy_forward(su_c, SEL.su_feature_pairs(binned, 8, 5), 3)]
+    s = std_e(spark, sf)
+    mo = LA.moments(s, tables.dims(s))
+    tot, per = SEL.dropped_feature_error(np.diag(mo.gram()), keep, mo.n)
+    df = spark.createDataFrame([(len(keep), tot, per)], "dims INT, err_total DOUBLE, err_mean DOUBLE")
+    return df.select("dims", r6("err_total").alias("err_total"), r6("err_mean").alias("err_mean"))
+
+
+QUERIES["cfs_recon_error"] = cfs_recon_error
