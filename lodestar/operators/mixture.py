@@ -88,11 +88,22 @@ def responsibilities(X: np.ndarray, m: Mixture) -> tuple[np.ndarray, np.ndarray]
     return e / s, (mx + np.log(s)).ravel()
 
 
+DIAGONAL = ("EII", "VII", "EEI", "VVI")
+# Statistic entries per scan; larger grids take several scans per iteration.
+MAX_STATS_PER_SCAN = 4_000_000
+
+
+def _second_moment_size(m: Mixture) -> int:
+    return m.p if m.family in DIAGONAL else m.p * m.p
+
+
 def _stats_size(models: list[Mixture]) -> list[int]:
-    return [m.G * (1 + m.p + m.p * m.p) + 1 for m in models]
+    return [m.G * (1 + m.p + _second_moment_size(m)) + 1 for m in models]
 
 
 def _pass(df: DataFrame, x: str, models: list[Mixture]):
+    """One scan for a chunk of models: per component Σr, Σr·x and Σr·x² (diagonal
+    families) or Σr·xxᵀ (full families), plus the log-likelihood."""
     sizes = _stats_size(models)
     offs = np.cumsum([0] + sizes)
 
@@ -101,52 +112,70 @@ def _pass(df: DataFrame, x: str, models: list[Mixture]):
         out = np.zeros(int(offs[-1]))
         for i, m in enumerate(models):
             z, ll = responsibilities(X, m)
-            G, p = m.G, m.p
+            G, p, q = m.G, m.p, _second_moment_size(m)
             o = offs[i]
             out[o:o + G] = z.sum(0)
             out[o + G:o + G + G * p] = (z.T @ X).ravel()
-            sq = np.stack([(X * z[:, g:g + 1]).T @ X for g in range(G)])
-            out[o + G + G * p:o + G + G * p + G * p * p] = sq.ravel()
+            if m.family in DIAGONAL:
+                sq = z.T @ (X * X)
+            else:
+                sq = np.stack([(X * z[:, g:g + 1]).T @ X for g in range(G)])
+            out[o + G + G * p:o + G + G * p + G * q] = sq.ravel()
             out[o + sizes[i] - 1] = ll.sum()
         return out
 
     v = partial_sums(df, [x], fn, int(offs[-1]))
     res = []
     for i, m in enumerate(models):
-        G, p, o = m.G, m.p, offs[i]
+        G, p, q, o = m.G, m.p, _second_moment_size(m), offs[i]
         nk = v[o:o + G]
         sx = v[o + G:o + G + G * p].reshape(G, p)
-        sxx = v[o + G + G * p:o + G + G * p + G * p * p].reshape(G, p, p)
+        sq = v[o + G + G * p:o + G + G * p + G * q]
+        sxx = sq.reshape(G, p) if m.family in DIAGONAL else sq.reshape(G, p, p)
         res.append((nk, sx, sxx, v[o + sizes[i] - 1]))
     return res
 
 
+def _pass_chunked(df: DataFrame, x: str, models: list[Mixture]):
+    out, cur, acc = [], [], 0
+    for m, size in zip(models, _stats_size(models)):
+        if cur and acc + size > MAX_STATS_PER_SCAN:
+            out += _pass(df, x, cur)
+            cur, acc = [], 0
+        cur.append(m)
+        acc += size
+    if cur:
+        out += _pass(df, x, cur)
+    return out
+
+
 def _m_step(m: Mixture, nk, sx, sxx, n: int, reg: float) -> Mixture:
     G, p = m.G, m.p
     nk_safe = np.maximum(nk, 1e-300)
     mu = sx / nk_safe[:, None]
-    # scatter of each component about its new mean: Σ r (x−μ)(x−μ)ᵀ
-    W = sxx - nk[:, None, None] * np.einsum("gi,gj->gij", mu, mu)
     fam = m.family
     covs = np.empty((G, p, p))
-    if fam == "EII":
-        v = np.trace(W, axis1=1, axis2=2).sum() / (n * p)
-        covs[:] = np.eye(p) * (v + reg)
-    elif fam == "VII":
-        for g in range(G):
-            covs[g] = np.eye(p) * (np.trace(W[g]) / (nk_safe[g] * p) + reg)
-    elif fam == "EEI":
-        dvar = np.diagonal(W, axis1=1, axis2=2).sum(0) / n
-        covs[:] = np.diag(dvar + reg)
-    elif fam == "VVI":
-        for g in range(G):
-            covs[g] = np.diag(np.diag(W[g]) / nk_safe[g] + reg)
-    elif fam == "EEE":
-        C = W.sum(0) / n
-        covs[:] = C + reg * np.eye(p)
-    else:  # VVV
-        for g in range(G):
-            covs[g] = W[g] / nk_safe[g] + reg * np.eye(p)
+    if fam in DIAGONAL:
+        # per-component diagonal scatter about the new mean: Σ r x² − N μ²
+        Wd = sxx - nk[:, None] * mu * mu
+        if fam == "EII":
+            covs[:] = np.eye(p) * (Wd.sum() / (n * p) + reg)
+        elif fam == "VII":
+            for g in range(G):
+                covs[g] = np.eye(p) * (Wd[g].sum() / (nk_safe[g] * p) + reg)
+        elif fam == "EEI":
+            covs[:] = np.diag(Wd.sum(0) / n + reg)
+        else:  # VVI
+            for g in range(G):
+                covs[g] = np.diag(Wd[g] / nk_safe[g] + reg)
+    else:
+        # scatter of each component about its new mean: Σ r (x−μ)(x−μ)ᵀ
+        W = sxx - nk[:, None, None] * np.einsum("gi,gj->gij", mu, mu)
+        if fam == "EEE":
+            covs[:] = W.sum(0) / n + reg * np.eye(p)
+        else:  # VVV
+            for g in range(G):
+                covs[g] = W[g] / nk_safe[g] + reg * np.eye(p)
     return Mixture(fam, nk / n, mu, covs, m.loglik, m.history, n)
 
 
@@ -173,7 +202,7 @@ def em(df: DataFrame, starts: list[Mixture], max_iter: int = 100, tol: float = 1
     for it in range(max_iter):
         if not active:
             break
-        stats = _pass(df, x, [models[i] for i in active])
+        stats = _pass_chunked(df, x, [models[i] for i in active])
         still = []
         for i, st in zip(active, stats):
             m = models[i]
@@ -193,7 +222,7 @@ def em(df: DataFrame, starts: list[Mixture], max_iter: int = 100, tol: float = 1
     # log-likelihood of the final parameters
     fin = [i for i, m in enumerate(models) if not m.failed]
     if n is not None and fin:
-        for i, st in zip(fin, _pass(df, x, [models[i] for i in fin])):
+        for i, st in zip(fin, _pass_chunked(df, x, [models[i] for i in fin])):
             models[i].loglik = float(st[3])
     return models
 
