@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.arrowkit import partial_sums
 from lodestar.functions.ranking import exact_group_rank, ntile_expr
-from lodestar.operators.prep import to_long
 
 
 def discretize(df: DataFrame, bins: int = 5, x: str = "x", id_col: str = "id",
