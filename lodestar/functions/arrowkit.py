@@ -52,6 +52,19 @@ def list_array(m: np.ndarray, dtype=pa.float64()) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(m.ravel(), type=dtype))
 
 
+def group_sums(X: np.ndarray, g: np.ndarray, k: int) -> np.ndarray:
+    """Row sums of X per group index g (0..k-1) as a k x p matrix: one stable
+    sort plus ``np.add.reduceat`` (``np.add.at`` is an unbuffered slow path)."""
+    out = np.zeros((k, X.shape[1]))
+    if X.shape[0] == 0:
+        return out
+    order = np.argsort(g, kind="stable")
+    gs = g[order]
+    uniq, starts = np.unique(gs, return_index=True)
+    out[uniq] = np.add.reduceat(X[order], starts, axis=0)
+    return out
+
+
 def partial_sums(df: DataFrame, cols: Sequence[str],
                  fn: Callable[[dict], np.ndarray], size: int) -> np.ndarray:
     """Σ over all rows of ``fn(batch)``; returns a dense float64 vector.
@@ -88,7 +101,7 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
     if parts is not None and parts * size <= DIRECT_SUM_ENTRIES:
         pdf = mapped.toPandas()  # at most DIRECT_SUM_ENTRIES rows, by the check above
         if len(pdf):
-            np.add.at(out, pdf["k"].to_numpy(), pdf["v"].to_numpy())
+            out += np.bincount(pdf["k"].to_numpy(), weights=pdf["v"].to_numpy(), minlength=size)
         return out
     pdf = mapped.groupBy("k").agg(F.sum("v").alias("v")).toPandas()
     if len(pdf):

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.arrowkit import map_rows, partial_sums
+from lodestar.functions.arrowkit import group_sums, map_rows, partial_sums
 from lodestar.operators.prep import split_order_key
 
 # Models per scan are chunked so the shipped centres stay small.
@@ -147,9 +147,7 @@ def _pass_stats(df: DataFrame, x: str, centers: list[np.ndarray], p: int):
             o = offs[m]
             out[o:o + k] = np.bincount(a, minlength=k)
             out[o + k:o + 2 * k] = np.bincount(a, weights=d2, minlength=k)
-            sums = np.zeros((k, p))
-            np.add.at(sums, a, X)
-            out[o + 2 * k:o + 2 * k + k * p] = sums.ravel()
+            out[o + 2 * k:o + 2 * k + k * p] = group_sums(X, a, k).ravel()
         return out
 
     v = partial_sums(df, [x], fn, size)

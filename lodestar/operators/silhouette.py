@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.arrowkit import map_rows, partial_sums, to_numpy
+from lodestar.functions.arrowkit import group_sums, map_rows, partial_sums, to_numpy
 
 
 def _cluster_sizes(assigned: DataFrame, cluster: str) -> np.ndarray:
@@ -121,9 +121,7 @@ def silhouette_squared(assigned: DataFrame, x: str = "x", cluster: str = "cluste
     def stats(b):
         X, c = b[x], b[cluster].astype(int)
         out = np.zeros(k * (p + 1))
-        S = np.zeros((k, p))
-        np.add.at(S, c, X)
-        out[:k * p] = S.ravel()
+        out[:k * p] = group_sums(X, c, k).ravel()
         out[k * p:] = np.bincount(c, weights=(X * X).sum(1), minlength=k)
         return out
 
