@@ -158,6 +158,19 @@ def reduced_sse_curve(spark: SparkSession, df: DataFrame, d: int, ks, seed: int,
     return spark.createDataFrame(out, "k INT, within_ss_mean DOUBLE, algo STRING")
 
 
+def reduced_em_bic(spark: SparkSession, df: DataFrame, d: int, Gs, families, seed: int,
+                   iters: int = 15) -> DataFrame:
+    """(algo, numClusters, family, bic): mixtures fitted on every reduction (X8, EM half)."""
+    rows = []
+    for algo, red in reductions(spark, df, d, seed).items():
+        if algo == "N/A":
+            continue
+        red = persist(red)
+        for m in mixture_grid(red, Gs, families, seed, iters):
+            rows.append((algo, m.G, m.family, m.bic()))
+    return spark.createDataFrame(rows, "algo STRING, numClusters INT, family STRING, bic DOUBLE")
+
+
 # --- k-means sweeps (X2-X4) ------------------------------------------------------------
 
 def kmeans_clusters(spark: SparkSession, df: DataFrame, ks, seed: int, runs: int, iters: int,

@@ -765,3 +765,11 @@ def cfs_recon_error(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["cfs_recon_error"] = cfs_recon_error
+
+
+def reduced_em_bic(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().reduced_em_bic(spark, std_e(spark, sf).persist(), 4, [2, 4], ["VVI", "VVV"], SEED)
+    return e.select("algo", "numClusters", "family", r6("bic").alias("bic"))
+
+
+QUERIES["reduced_em_bic"] = reduced_em_bic

@@ -133,3 +133,18 @@ def test_histogram_brute_force(spark):
         want = np.cumsum([np.sum(b == k) for k in range(1, 50)]) / len(dc)
         g = got[got["class"] == c].sort_values("bin")["cum_prob"].to_numpy()
         assert np.allclose(g, want)
+
+
+def test_toy_file_golden(spark):
+    import os
+    from conftest import REF
+    from lodestar.sources import text
+    path = os.path.join(REF, "scala_defunct", "kmeans_data.txt")
+    if not os.path.exists(path):
+        pytest.skip("toy file absent")
+    df = text.read_space_vectors(spark, path)
+    _, X = collect_matrix(df)
+    m = KM.lloyd(df, [X[[0, 3]]], max_iter=10)[0]
+    assert sorted(m.sizes.tolist()) == [3.0, 3.0]
+    assert np.allclose(sorted(m.centers[:, 0]), [0.1, 9.1]) and np.isclose(m.cost, 0.12)
+    assert np.allclose(sorted(m.sse), [0.06, 0.06])

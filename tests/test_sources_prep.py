@@ -21,7 +21,11 @@ def test_faults_reader(spark):
     assert len(df.columns) == 35  # id + 34 named
     assert df.count() == 1940
     assert df.filter("id = 392").count() == 0
-    assert df.agg(F.sum("K_Scatch")).collect()[0][0] == 390
+    sums = df.agg(*[F.sum(c).alias(c) for c in text.FAULT_LABELS]).collect()[0].asDict()
+    assert sums == {"Pastry": 158, "Z_Scratch": 190, "K_Scatch": 390, "Stains": 72,
+                    "Dirtiness": 55, "Bumps": 402, "Other_Faults": 673}
+    one = sum(F.col(c) for c in text.FAULT_LABELS)
+    assert df.filter(one != 1).count() == 0      # labels are exclusive
     f = text.faults_features(df)
     assert f.filter(F.size("x") != 27).count() == 0
     assert f.filter(F.col("label").isNull()).count() == 0
