@@ -116,7 +116,8 @@ def silhouette_squared(assigned: DataFrame, x: str = "x", cluster: str = "cluste
     """Per-row silhouette on squared Euclidean distances, from cluster moments."""
     sizes = _cluster_sizes(assigned, cluster)
     k = len(sizes)
-    p = len(assigned.select(x).first()[0])
+    from lodestar.sources.tables import dims
+    p = dims(assigned, x)
 
     def stats(b):
         X, c = b[x], b[cluster].astype(int)
