@@ -298,6 +298,24 @@ def net_on_clusters(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int
                                                       F.stddev_samp("err").alias("error_sd"))
 
 
+def net_cluster_learning_curve(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int,
+                               iters: int = 5) -> DataFrame:
+    """(idx, stage, algo, inputs, err_mean, err_sd): learning curves of nets fed
+    cluster memberships (one-hot k-means or soft EM-style z), mean / sd over runs (X23, A4)."""
+    lv = prep.levels(df)
+    c = lv.count()
+    rows = []
+    for kind in ("kmeans", "em"):
+        data = persist(prep.with_label_ix(cluster_features(df, k, seed, kind), lv))
+        tr, te = net_split(data, seed)
+        for s in seeds:
+            for idx, err, stage in NN.learning_curve(tr, te, k, c, int(s), iters=iters):
+                rows.append((idx, stage, kind, "Clusters", int(s), float(err)))
+    raw = spark.createDataFrame(rows, "idx INT, stage STRING, algo STRING, inputs STRING, run INT, err DOUBLE")
+    return raw.groupBy("idx", "stage", "algo", "inputs").agg(F.avg("err").alias("err_mean"),
+                                                             F.stddev_samp("err").alias("err_sd"))
+
+
 # --- Scala main (X25): PCA dims x MLlib k-means, cost and label spread ----------------
 
 def scala_sweep(spark: SparkSession, df: DataFrame, dims, ks, seed: int) -> DataFrame:

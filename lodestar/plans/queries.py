@@ -773,3 +773,12 @@ def reduced_em_bic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["reduced_em_bic"] = reduced_em_bic
+
+
+def mlp_cluster_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().net_cluster_learning_curve(spark, std_e(spark, sf).persist(), 10, [1, 2], SEED, iters=4)
+    return e.select("idx", "stage", "algo", "inputs", r6("err_mean").alias("err_mean"),
+                    r6("err_sd").alias("err_sd"))
+
+
+QUERIES["mlp_cluster_learning_curve"] = mlp_cluster_learning_curve
