@@ -59,8 +59,32 @@ def standardize(df: DataFrame, x: str = "x", stats: ColumnStats | None = None,
     if stats is None:
         stats = column_stats(fit_on if fit_on is not None else df, x)
     from lodestar.sources.tables import remember_dims
-    return remember_dims(df.withColumn(out or x, V.affine(x, stats.mean, stats.sd)),
-                         len(stats.mean), out or x)
+    p = len(stats.mean)
+    if p <= WIDE_VECTOR:
+        res = df.withColumn(out or x, V.affine(x, stats.mean, stats.sd))
+    else:
+        res = _affine_kernel(df, x, out or x, stats)
+    return remember_dims(res, p, out or x)
+
+
+# Above this width one literal expression per element would bloat generated
+# code; the affine map then runs as an Arrow-batched numpy kernel instead.
+WIDE_VECTOR = 256
+
+
+def _affine_kernel(df: DataFrame, x: str, out: str, stats: ColumnStats) -> DataFrame:
+    from lodestar.functions.arrowkit import map_rows
+    mean = np.nan_to_num(stats.mean)
+    ok = np.isfinite(stats.sd) & (stats.sd > 0)
+    scale = np.where(ok, 1.0 / np.where(ok, stats.sd, 1.0), 0.0)
+
+    def fn(b):
+        return {out: (b[x] - mean) * scale}
+
+    keep = [c for c in df.columns if c != out]
+    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] +
+                       [f"{out} ARRAY<DOUBLE>"])
+    return map_rows(df, [x], fn, schema, passthrough=keep)
 
 
 def standardized(df: DataFrame, x: str = "x") -> tuple[DataFrame, ColumnStats]:

@@ -261,6 +261,24 @@ def net_error_by_dims(spark: SparkSession, df: DataFrame, dims, seeds, seed: int
                                                     F.stddev_samp("err").alias("error_sd"))
 
 
+def net_learning_by_dims(spark: SparkSession, df: DataFrame, dims, seed: int,
+                         iters: int = 5) -> DataFrame:
+    """(idx, error, stage, dims): learning curves on the first d principal
+    components and on the raw inputs ('N/A') (X21, M13 + M27 + M28)."""
+    lv = prep.levels(df)
+    c = lv.count()
+    p = tables.dims(df)
+    model = RD.pca_fit(df, p)
+    cells = [(str(d), d, RD.pca_transform(df, model, d)) for d in dims] + [("N/A", p, df)]
+    rows = []
+    for tag, d, data in cells:
+        data = persist(prep.with_label_ix(data, lv))
+        tr, te = net_split(data, seed)
+        rows += [(idx, float(err), stage, tag)
+                 for idx, err, stage in NN.learning_curve(tr, te, d, c, seed, iters=iters)]
+    return spark.createDataFrame(rows, "idx INT, error DOUBLE, stage STRING, dims STRING")
+
+
 def cluster_features(df: DataFrame, k: int, seed: int, kind: str = "kmeans") -> DataFrame:
     """Cluster membership as net inputs: one-hot of the k-means cluster (P10) or
     the soft assignment z (X23)."""

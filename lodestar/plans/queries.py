@@ -782,3 +782,11 @@ def mlp_cluster_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["mlp_cluster_learning_curve"] = mlp_cluster_learning_curve
+
+
+def mlp_learning_by_dims(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().net_learning_by_dims(spark, std_e(spark, sf).persist(), [5, 10], SEED, iters=4)
+    return e.select("idx", r6("error").alias("error"), "stage", "dims")
+
+
+QUERIES["mlp_learning_by_dims"] = mlp_learning_by_dims
