@@ -62,7 +62,11 @@ def assign(df: DataFrame, centers: np.ndarray, x: str = "x",
 
     schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] +
                        ["cluster INT", "d2 DOUBLE"])
-    return map_rows(df, [x], fn, schema, passthrough=keep)
+    out = map_rows(df, [x], fn, schema, passthrough=keep)
+    if x in keep:
+        from lodestar.sources.tables import remember_dims
+        remember_dims(out, C.shape[1], x)
+    return out
 
 
 def center_distances(df: DataFrame, centers: np.ndarray, x: str = "x", metric: str = "sq",
