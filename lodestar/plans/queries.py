@@ -46,8 +46,8 @@ def one_hot_decode(spark: SparkSession, sf: str) -> DataFrame:
     lv, c = e_levels(e)
     wide = prep.one_hot(prep.with_label_ix(e, lv), c).select("id", "y")
     dec = prep.one_hot_decode(wide, "y", "label_ix")
-    names = lv.select("label_ix", "label")
-    return dec.join(F.broadcast(names), "label_ix").select("id", "label")
+    from lodestar.functions.joins import bounded_broadcast
+    return dec.join(bounded_broadcast(lv), "label_ix").select("id", "label")
 
 
 def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
