@@ -134,11 +134,12 @@ SQL["cluster_label_variance"] = with_(E, EL, ST, SL, near(10), (
 
 # --- Lloyd iterations unrolled as chained CTEs -------------------------------
 
-def lloyd_ctes(ks: list[int], iters: int, src: str = "sl") -> list[str]:
-    """Models keyed by k; starts = first k ids; empty clusters keep their centre.
+def lloyd_ctes(ks: list[int], iters: int, src: str = "sl", starts: list[str] | None = None) -> list[str]:
+    """Models keyed by k; starts = first k ids (or the given CTEs defining
+    c0(k, cluster, j, c)); empty clusters keep their centre.
     Produces c0..c{iters} and a0..a{iters} (a_t = assignment to c_t)."""
     kv = ", ".join(f"({k})" for k in ks)
-    ctes = [
+    ctes = list(starts) if starts else [
         f"ks AS (SELECT * FROM (VALUES {kv}) t(k))",
         "rk AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS r "
         f"FROM (SELECT DISTINCT id FROM {src}))",
@@ -601,3 +602,69 @@ SQL["reduced_error_table"] = with_(E, EL, ST, SL, LV, sign_rows([4], 1), (
     "SELECT 'RCA', 'em', err FROM sed)")) + (
     "SELECT reduction, round(max(CASE WHEN method = 'em' THEN err END), 6) AS em, "
     "round(max(CASE WHEN method = 'kmeans' THEN err END), 6) AS kmeans FROM cells GROUP BY reduction")
+
+
+def hashed_start_ctes(k: int, runs: int, seed: int = 42, src: str = "sl") -> list[str]:
+    """c0 keyed by run: the k rows with the smallest md5('seed-run:' || id), then id."""
+    rv = ", ".join(f"({r})" for r in range(runs))
+    return [
+        f"rr AS (SELECT * FROM (VALUES {rv}) t(run))",
+        f"rk AS (SELECT rr.run, d.id, CAST(row_number() OVER (PARTITION BY rr.run ORDER BY "
+        f"md5('{seed}-' || rr.run || ':' || CAST(d.id AS VARCHAR)), d.id) - 1 AS INTEGER) AS r "
+        f"FROM rr CROSS JOIN (SELECT DISTINCT id FROM {src}) d)",
+        f"c0 AS (SELECT rk.run AS k, rk.r AS cluster, s.j, s.v AS c FROM rk JOIN {src} s "
+        f"ON s.id = rk.id WHERE rk.r < {k})",
+    ]
+
+
+SQL["kmeans_confusion_fitted"] = with_(
+    E, EL, ST, SL, LV, *lloyd_ctes([], 20, starts=hashed_start_ctes(10, 2)), (
+        "cost AS (SELECT k, sum(d2) AS tot FROM a20 GROUP BY k)"), (
+        "best AS (SELECT k FROM cost ORDER BY tot, k LIMIT 1)"), (
+        "asg AS (SELECT id, label, cluster FROM a20 WHERE k = (SELECT k FROM best))"),
+    CNT, WIN, CELLS, CONF) + "SELECT predicted, actual, n FROM conf"
+
+
+def hashed_grid_ctes(ks: list[int], runs: int, seed: int = 42, src: str = "sl") -> list[str]:
+    """c0 for every (k, run) model, keyed m = 10·k + run: the first k rows of run's md5 order."""
+    rv = ", ".join(f"({r})" for r in range(runs))
+    kv = ", ".join(f"({k})" for k in ks)
+    return [
+        f"rr AS (SELECT * FROM (VALUES {rv}) t(run))",
+        f"kk AS (SELECT * FROM (VALUES {kv}) t(k))",
+        f"rk AS (SELECT rr.run, d.id, CAST(row_number() OVER (PARTITION BY rr.run ORDER BY "
+        f"md5('{seed}-' || rr.run || ':' || CAST(d.id AS VARCHAR)), d.id) - 1 AS INTEGER) AS r "
+        f"FROM rr CROSS JOIN (SELECT DISTINCT id FROM {src}) d)",
+        f"c0 AS (SELECT kk.k * 10 + rk.run AS k, rk.r AS cluster, s.j, s.v AS c FROM rk "
+        f"JOIN kk ON rk.r < kk.k JOIN {src} s ON s.id = rk.id)",
+    ]
+
+
+def best_run_ctes(iters: int) -> list[str]:
+    """Best run per k (lowest total within-SS, then lowest run) → ka(k, id, label, cluster, d2)."""
+    return [
+        f"mc AS (SELECT k AS m, sum(d2) AS tot FROM a{iters} GROUP BY k)",
+        "bm AS (SELECT m // 10 AS kk, m FROM mc "
+        "QUALIFY row_number() OVER (PARTITION BY m // 10 ORDER BY tot, m % 10) = 1)",
+        f"ka AS (SELECT b.kk AS k, a.id, a.label, a.cluster, a.d2 FROM a{iters} a JOIN bm b ON a.k = b.m)",
+    ]
+
+
+SQL["kmeans_silhouettes"] = with_(
+    E, EL, ST, SL, *lloyd_ctes([], 10, starts=hashed_grid_ctes([4], 2)), *best_run_ctes(10),
+    SV, PAIRS, silhouette_sql("ka", "k")) + (
+    "SELECT id, cluster, neighbour, round(s, 6) AS s FROM sil")
+
+SQL["kmeans_clusters"] = with_(
+    E, EL, ST, SL, LV, *lloyd_ctes([], 10, starts=hashed_grid_ctes([2, 4, 8], 2)), *best_run_ctes(10),
+    SV, PAIRS, silhouette_sql("ka", "k"), (
+        "kc AS (SELECT a.k, a.cluster, lv.label_ix, count(*) AS n FROM ka a JOIN lv USING (label) "
+        "GROUP BY a.k, a.cluster, lv.label_ix)"), (
+        "kw AS (SELECT k, cluster, n AS win_n, sum(n) OVER (PARTITION BY k, cluster) AS size FROM kc "
+        "QUALIFY row_number() OVER (PARTITION BY k, cluster ORDER BY n DESC, label_ix) = 1)"), (
+        "le AS (SELECT k, sum((1 - CAST(win_n AS DOUBLE) / size) * size) / sum(size) AS label_err "
+        "FROM kw GROUP BY k)"), (
+        "ws AS (SELECT k, sum(d2) / count(*) AS within_ss FROM ka GROUP BY k)"), (
+        "sa AS (SELECT k, avg(s) AS avg_s FROM sil GROUP BY k)")) + (
+    "SELECT CAST(ws.k AS INTEGER) AS k, round(sa.avg_s, 6) AS avg_s, round(ws.within_ss, 6) AS within_ss, "
+    "round(le.label_err, 6) AS label_err, 'E' AS test FROM ws JOIN sa USING (k) JOIN le USING (k)")
