@@ -5,8 +5,9 @@ a(i) = mean distance to the other members of i's cluster, b(i) = smallest
 mean distance to another cluster, s = (b − a) / max(a, b), 0 for singletons.
 It needs every pair distance, so its work is quadratic by definition; the
 state is not: rows are hashed into blocks of ``block_rows`` and each task
-multiplies one (query block, reference block) pair with a GEMM, emitting only
-per-(row, cluster) distance sums.  Hashing ids (unique) keeps every task the
+multiplies one unordered block pair with a GEMM (used in both directions),
+emitting only per-(row, cluster) distance sums; every row is shipped to nb
+pairs.  Hashing ids (unique) keeps every task the
 same size no matter how lopsided the clusters are.
 
 ``silhouette_squared`` uses squared Euclidean distances, whose cluster means
@@ -67,30 +68,43 @@ def silhouette_exact(assigned: DataFrame, x: str = "x", cluster: str = "cluster"
     base = assigned.select(F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("cl"),
                            F.col(x).alias("x"),
                            F.pmod(F.xxhash64(id_col), F.lit(nb)).cast("int").alias("blk"))
-    blocks = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    q = base.select("id", "cl", "x", F.col("blk").alias("qb"), blocks.alias("rb"), F.lit(0).alias("role"))
-    r = base.select("id", "cl", "x", blocks.alias("qb"), F.col("blk").alias("rb"), F.lit(1).alias("role"))
+    # each row joins the nb unordered block pairs {blk, b}; a pair's distance
+    # block is computed once and used in both directions
+    other = F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("b")
+    rows = base.select("id", "cl", "x", "blk", other).select(
+        "id", "cl", "x", "blk", F.least("blk", "b").alias("lo"), F.greatest("blk", "b").alias("hi"))
 
     def pair(tbl: pa.Table) -> pa.Table:
-        role = tbl.column("role").to_numpy()
         ids = tbl.column("id").to_numpy()
         cl = tbl.column("cl").to_numpy()
+        blk = tbl.column("blk").to_numpy()
+        lo = tbl.column("lo").to_numpy()[0]
         X = to_numpy(tbl.column("x"))
-        qi, ri = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        Q, R = X[qi], X[ri]
-        out = np.zeros((len(qi), k))
-        if len(qi) and len(ri):
-            d2 = (Q * Q).sum(1)[:, None] + (R * R).sum(1)[None, :] - 2.0 * (Q @ R.T)
+        ai = np.flatnonzero(blk == lo)
+        bi = ai if tbl.column("hi").to_numpy()[0] == lo else np.flatnonzero(blk != lo)
+
+        def dist(P, Q, pid, qid):
+            d2 = (P * P).sum(1)[:, None] + (Q * Q).sum(1)[None, :] - 2.0 * (P @ Q.T)
             D = np.sqrt(np.maximum(d2, 0.0))
-            D[ids[qi][:, None] == ids[ri][None, :]] = 0.0
-            onehot = np.zeros((len(ri), k))
-            onehot[np.arange(len(ri)), cl[ri]] = 1.0
-            out = D @ onehot
-        cols = [pa.array(ids[qi])] + [pa.array(out[:, c]) for c in range(k)]
+            D[pid[:, None] == qid[None, :]] = 0.0
+            return D
+
+        def onehot(idx):
+            m = np.zeros((len(idx), k))
+            m[np.arange(len(idx)), cl[idx]] = 1.0
+            return m
+
+        D = dist(X[ai], X[bi], ids[ai], ids[bi])
+        if bi is ai:
+            out_ids, out = ids[ai], D @ onehot(ai)
+        else:
+            out_ids = np.concatenate([ids[ai], ids[bi]])
+            out = np.vstack([D @ onehot(bi), D.T @ onehot(ai)])
+        cols = [pa.array(out_ids)] + [pa.array(out[:, c]) for c in range(k)]
         return pa.Table.from_arrays(cols, names=["id"] + [f"s{c}" for c in range(k)])
 
     schema = "id BIGINT, " + ", ".join(f"s{c} DOUBLE" for c in range(k))
-    partial = q.unionByName(r).groupBy("qb", "rb").applyInArrow(pair, schema)
+    partial = rows.groupBy("lo", "hi").applyInArrow(pair, schema)
     sums = partial.groupBy("id").agg(*[F.sum(f"s{c}").alias(f"s{c}") for c in range(k)])
     own = assigned.select(F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("cluster"))
     joined = sums.join(own, "id")
