@@ -8,7 +8,7 @@ operator is iterative/numerical (then pytest holds its invariants).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.operators import kmeans as KM
@@ -374,8 +374,7 @@ def cumulative_contribution(spark: SparkSession, sf: str) -> DataFrame:
              .agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)]))
     long = means.select(F.col("label_ix").alias("j"),
                         F.posexplode(F.array(*[F.col(f"m{j}") for j in range(p)])).alias("i", "m"))
-    norm = F.sqrt(F.sum(F.col("m") * F.col("m")).over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("j")))
+    norm = F.sqrt(F.sum(F.col("m") * F.col("m")).over(Window.partitionBy("j")))
     m_long = long.select(F.col("i").cast("int").alias("i"), "j", (F.col("m") / norm).alias("v"))
     return RD.contributions_frame(m_long).select("feature", "ind", r6("value").alias("value"))
 
