@@ -130,3 +130,35 @@ def test_split_multilevel_prefix_path(spark, monkeypatch):
     order = sorted(range(5000), key=lambda i: (hashlib.md5(f"9:{i}".encode()).hexdigest(), i))
     want = {i: (k < int(0.37 * 5000)) for k, i in enumerate(order)}
     assert got == want
+
+
+def test_sinks_round_trip_and_materialize(spark, tmp_path):
+    from lodestar.operators import kmeans as KM
+    from lodestar.sources import sinks
+    df = features_from(spark, np.arange(12.0).reshape(6, 2), labels=[0, 1, 0, 1, 0, 1])
+    cached, n = text.materialize(df)
+    assert n == 6
+    run = str(tmp_path / "run")
+    paths = sinks.write_results({"features": cached, "sizes": cached.groupBy("label").count()}, run)
+    assert set(paths) == {"features", "sizes"}
+    back = sinks.read_result(spark, run, "features")
+    assert sorted(map(tuple, collect_matrix(back)[1])) == sorted(map(tuple, collect_matrix(df)[1]))
+    sinks.write_result(cached, run, "features")          # overwrite is idempotent
+    assert sinks.read_result(spark, run, "features").count() == 6
+    model, _ = KM.mllib_kmeans(cached, 2, seed=1, max_iter=5)
+    from pyspark.ml.clustering import KMeansModel
+    loaded = KMeansModel.load(sinks.write_model(model, run, "km"))
+    assert np.allclose(sorted(map(tuple, loaded.clusterCenters())), sorted(map(tuple, model.clusterCenters())))
+
+
+def test_drop_vector_index_transpose_and_pinv(spark):
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    df = features_from(spark, np.arange(12.0).reshape(4, 3))
+    _, X = collect_matrix(prep.drop_vector_index(df, 1))
+    assert np.allclose(X, np.arange(12.0).reshape(4, 3)[:, [0, 2]])
+    m = np.array([[1.0, 2.0, 3.0], [4.0, 5.0, 6.0]])
+    t = LA.transpose_long(LA.matrix_frame(spark, m)).collect()
+    assert {(r["i"], r["j"]): r["v"] for r in t} == {(j, i): m[i, j] for i in range(2) for j in range(3)}
+    q = RD.haar_matrix(5, 2, 1, 0)
+    assert np.allclose(RD.pinv(q) @ q, np.eye(2))
