@@ -3,10 +3,10 @@
 Two shapes cover every GEMM-like step of the library:
 
 * :func:`partial_sums` — a sufficient-statistics pass.  Each task folds all of
-  its Arrow batches into one dense vector and emits it as sparse ``(k, v)``
-  rows; Spark sums them with a partially aggregated ``groupBy`` (or, when
-  tasks x size is provably small, the driver adds the task vectors in one
-  stage).  Only vectors bounded by the model size, never by n, reach the driver.
+  its Arrow batches into one dense vector; vectors are summed by a tree of
+  ``repartition`` + ``mapInArrow`` levels until few enough remain for the
+  driver (one stage when tasks x size is already small).  Only vectors bounded
+  by the model size, never by n, reach the driver.
 * :func:`map_rows` — a per-row transform (projection, nearest centre,
   posterior) that keeps the row id and any pass-through columns.
 """
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 # "small matrix on the driver" any more.
 MAX_STAT_ENTRIES = 50_000_000
 # When (input partitions x statistic size) is at most this, the per-task
-# vectors are summed on the driver in one stage; above it a partially
-# aggregated shuffle sums them, so the driver never receives more than this.
+# vectors are summed on the driver in one stage; above it tree levels sum
+# them first, so the driver receives at most max(this, size) numbers.
 DIRECT_SUM_ENTRIES = 2_000_000
 
 
@@ -65,18 +65,35 @@ def group_sums(X: np.ndarray, g: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+# Vectors travel as dense chunks of this many doubles (one Arrow list row each).
+CHUNK = 1 << 18
+# Tree reduction: each level sums this many task vectors per task.
+FANIN = 64
+
+
 def partial_sums(df: DataFrame, cols: Sequence[str],
                  fn: Callable[[dict], np.ndarray], size: int) -> np.ndarray:
     """Σ over all rows of ``fn(batch)``; returns a dense float64 vector.
 
     ``fn`` receives ``{col: numpy}`` for one Arrow batch and returns a vector
-    of length ``size``.  Work is map-side combined per task, then summed by a
-    Spark aggregate, so a hot key or a skewed partition never funnels rows
-    into one task.
+    of length ``size``.  Each task folds all of its batches into one vector
+    and emits it as a few dense chunk rows.  While (tasks x size) exceeds
+    ``DIRECT_SUM_ENTRIES``, a tree level round-robins the vectors into
+    ``tasks / FANIN`` partitions and sums them there; the driver finally adds
+    at most max(DIRECT_SUM_ENTRIES, size) numbers.  Only per-task vectors move,
+    so a hot key or a skewed partition never funnels rows into one task.
     """
     if size > MAX_STAT_ENTRIES:
         raise ValueError(f"statistic of {size} entries is too large for the driver")
     cols = list(cols)
+    n_chunks = max(1, -(-size // CHUNK))
+    schema = "c INT, v ARRAY<DOUBLE>"
+
+    def emit(acc):
+        for c in range(n_chunks):
+            part = acc[c * CHUNK:(c + 1) * CHUNK]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c], type=pa.int32()), list_array(part[None, :])], names=["c", "v"])
 
     def run(batches):
         acc = None
@@ -85,27 +102,35 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
                 continue
             part = fn({c: to_numpy(b.column(c)) for c in cols})
             acc = part if acc is None else acc + part
-        if acc is None:
-            return
-        nz = np.flatnonzero(acc)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nz.astype(np.int64)), pa.array(acc[nz].astype(np.float64))],
-            names=["k", "v"])
-
-    mapped = df.select(*cols).mapInArrow(run, "k BIGINT, v DOUBLE")
-    out = np.zeros(size)
+        if acc is not None:
+            yield from emit(np.asarray(acc, dtype=np.float64))
+
+    def combine(batches):
+        acc = np.zeros(size)
+        seen = False
+        for b in batches:
+            cs = b.column("c").to_numpy()
+            vs = b.column("v")
+            for i, c in enumerate(cs):
+                acc[c * CHUNK:c * CHUNK + len(vs[i])] += vs[i].values.to_numpy()
+                seen = True
+        if seen:
+            yield from emit(acc)
+
+    vecs = df.select(*cols).mapInArrow(run, schema)
     try:
         parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): take the shuffle path
-        parts = None
-    if parts is not None and parts * size <= DIRECT_SUM_ENTRIES:
-        pdf = mapped.toPandas()  # at most DIRECT_SUM_ENTRIES rows, by the check above
-        if len(pdf):
-            out += np.bincount(pdf["k"].to_numpy(), weights=pdf["v"].to_numpy(), minlength=size)
-        return out
-    pdf = mapped.groupBy("k").agg(F.sum("v").alias("v")).toPandas()
-    if len(pdf):
-        out[pdf["k"].to_numpy()] = pdf["v"].to_numpy()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): assume large
+        parts = 10 ** 6
+    while parts > 1 and parts * size > DIRECT_SUM_ENTRIES:
+        parts = max(1, -(-parts // FANIN))
+        vecs = vecs.repartition(parts).mapInArrow(combine, schema)
+    out = np.zeros(size)
+    tbl = vecs.toArrow()
+    cs = tbl.column("c").to_numpy()
+    vs = tbl.column("v").combine_chunks() if tbl.num_rows else None
+    for i, c in enumerate(cs):
+        out[c * CHUNK:c * CHUNK + len(vs[i])] += vs[i].values.to_numpy()
     return out
 
 

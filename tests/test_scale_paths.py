@@ -9,11 +9,13 @@ from lodestar.operators import linalg as LA
 from lodestar.operators import mixture as MX
 
 
-def test_shuffle_summed_statistics_equal_direct(std_e, monkeypatch):
+def test_tree_summed_statistics_equal_direct(std_e, monkeypatch):
     direct = LA.gram(std_e.repartition(5), 64)
-    monkeypatch.setattr(arrowkit, "DIRECT_SUM_ENTRIES", 0)   # force the groupBy(k).sum path
-    shuffled = LA.gram(std_e.repartition(5), 64)
-    assert np.allclose(direct, shuffled, rtol=1e-12, atol=1e-12)
+    monkeypatch.setattr(arrowkit, "DIRECT_SUM_ENTRIES", 0)   # force tree levels
+    monkeypatch.setattr(arrowkit, "FANIN", 2)                # 5 → 3 → 2 → 1 partitions
+    monkeypatch.setattr(arrowkit, "CHUNK", 100)              # 4,161 entries in 42 chunks
+    tree = LA.gram(std_e.repartition(5), 64)
+    assert np.allclose(direct, tree, rtol=1e-12, atol=1e-12)
 
 
 def test_lloyd_chunked_scans_equal_one_scan(std_e, monkeypatch):
