@@ -56,3 +56,17 @@ def run_to_memory(sdf: DataFrame, name: str, checkpoint: str, mode: str = "compl
          .option("checkpointLocation", checkpoint).start())
     q.processAllAvailable()
     return q
+
+
+def write_batches(sdf: DataFrame, path: str, checkpoint: str, trigger_once: bool = True):
+    """Durable sink for scored rows (S7 on a stream): every micro-batch is written
+    to ``path/batch=<id>`` with overwrite, so a batch replayed after a failure
+    replaces its own files instead of duplicating rows.  ``checkpoint`` must be
+    a shared folder on a cluster."""
+
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    w = sdf.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if trigger_once else w
+    return w.start()

@@ -108,3 +108,19 @@ def test_streaming_scoring_matches_batch(spark, tmp_path):
     finally:
         q.stop()
     assert got == batch
+
+
+def test_streaming_batches_sink_is_idempotent(spark, tmp_path):
+    from lodestar.operators import prep
+    from lodestar.sources import tables
+    from lodestar.streaming import scoring as ST
+    e = tables.features_embeddings(spark, SF0001)
+    stats = prep.column_stats(e)
+    C = KM.first_rows(prep.standardize(e, stats=stats), 3)
+    scored = ST.assign_stream(ST.standardize_stream(ST.embeddings_stream(spark, SF0001),
+                                                    stats.mean, stats.sd), C)
+    out, ck = str(tmp_path / "scored"), str(tmp_path / "ck")
+    ST.write_batches(scored, out, ck).awaitTermination(120)
+    first = spark.read.parquet(out).count()
+    ST.write_batches(scored, out, ck).awaitTermination(120)   # restart from the checkpoint
+    assert first == e.count() == spark.read.parquet(out).count()
