@@ -124,3 +124,20 @@ def test_streaming_batches_sink_is_idempotent(spark, tmp_path):
     first = spark.read.parquet(out).count()
     ST.write_batches(scored, out, ck).awaitTermination(120)   # restart from the checkpoint
     assert first == e.count() == spark.read.parquet(out).count()
+
+
+def test_project_stream_and_hard_assign(spark, tmp_path, small):
+    from lodestar.operators import prep
+    from lodestar.sources import tables
+    from lodestar.streaming import scoring as ST
+    e = tables.features_embeddings(spark, SF0001)
+    M = RD.haar_matrix(64, 3, 1, 0)
+    stream = ST.project_stream(ST.embeddings_stream(spark, SF0001), M)
+    q = ST.run_to_memory(stream.groupBy().count(), "lodestar_proj", str(tmp_path / "ck"))
+    try:
+        assert spark.sql("SELECT * FROM lodestar_proj").collect()[0][0] == e.count()
+    finally:
+        q.stop()
+    m = MX.em(small, [MX.init_from_centers(KM.first_rows(small, 3), "VVI", 1.0)], max_iter=3)[0]
+    hard = MX.hard_assign(MX.posterior(small, m)).toPandas()
+    assert (hard["cluster"] == [int(np.argmax(z)) for z in hard["z"]]).all()
