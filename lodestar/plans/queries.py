@@ -600,9 +600,11 @@ def cfs_selection(spark: SparkSession, sf: str) -> DataFrame:
     keep = SEL.best_first(su_c, su_ff)
     mo = LA.moments(s, p)
     tot, per = SEL.dropped_feature_error(np.diag(mo.gram()), keep, mo.n)
-    rows = [(len(keep), ",".join(str(j) for j in keep), tot, per)]
-    df = spark.createDataFrame(rows, "dims INT, features STRING, err_total DOUBLE, err_mean DOUBLE")
-    return df.select("dims", "features", r6("err_total").alias("err_total"), r6("err_mean").alias("err_mean"))
+    rows = [(len(keep), [int(j) for j in keep], tot, per)]
+    df = spark.createDataFrame(rows, "dims INT, keep ARRAY<INT>, err_total DOUBLE, err_mean DOUBLE")
+    features = F.concat_ws(",", F.transform("keep", lambda v: v.cast("string")))  # F4 paste(collapse=)
+    return df.select("dims", features.alias("features"), r6("err_total").alias("err_total"),
+                     r6("err_mean").alias("err_mean"))
 
 
 def scala_sweep(spark: SparkSession, sf: str) -> DataFrame:
