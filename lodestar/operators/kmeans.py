@@ -22,12 +22,45 @@ from lodestar.operators.prep import split_order_key
 MAX_CENTER_ENTRIES_PER_SCAN = 2_000_000
 
 
+# Up to this many centres the argmin uses direct differences; beyond it the
+# GEMM expansion picks candidates and near-ties are re-checked directly.
+DIRECT_ARGMIN_K = 32
+
+
+def _direct_d2(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    D = np.empty((X.shape[0], C.shape[0]))
+    for c in range(C.shape[0]):
+        diff = X - C[c]
+        D[:, c] = np.einsum("ij,ij->i", diff, diff)
+    return D
+
+
 def _nearest(X: np.ndarray, C: np.ndarray):
-    """argmin_c ‖x−c‖² (first wins) and the exact squared distance to it."""
-    if X.shape[0] == 0:
+    """argmin_c ‖x−c‖² (first wins) and the exact squared distance to it.
+
+    Distances are Σ(x−c)² from differences, so near-ties resolve as an exact
+    computation (and a SQL engine) resolves them; the expansion
+    ‖x‖² − 2x·c + ‖c‖² only preselects candidates when k is large.
+    """
+    n = X.shape[0]
+    if n == 0:
         return np.zeros(0, dtype=np.int32), np.zeros(0)
-    D = (X * X).sum(1)[:, None] - 2.0 * (X @ C.T) + (C * C).sum(1)[None, :]
-    a = np.argmin(D, axis=1)
+    if C.shape[0] <= DIRECT_ARGMIN_K:
+        D = _direct_d2(X, C)
+        a = np.argmin(D, axis=1)
+        return a.astype(np.int32), D[np.arange(n), a]
+    xx = (X * X).sum(1)
+    cc = (C * C).sum(1)
+    G = xx[:, None] - 2.0 * (X @ C.T) + cc[None, :]
+    m = G.min(axis=1)
+    tol = 1e-9 * (xx + cc.max()) + 1e-12
+    cand = G <= (m + tol)[:, None]
+    a = np.argmax(cand, axis=1)
+    multi = np.flatnonzero(cand.sum(1) > 1)
+    for i in multi:
+        cols = np.flatnonzero(cand[i])
+        d = _direct_d2(X[i:i + 1], C[cols])[0]
+        a[i] = cols[np.argmin(d)]
     diff = X - C[a]
     return a.astype(np.int32), np.einsum("ij,ij->i", diff, diff)
 

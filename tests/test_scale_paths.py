@@ -46,3 +46,12 @@ def test_group_sums_matches_add_at():
     want = np.zeros((15, 7))
     np.add.at(want, g, X)
     assert np.allclose(arrowkit.group_sums(X, g, 15), want)
+
+
+def test_nearest_gemm_path_matches_direct():
+    rng = np.random.default_rng(5)
+    X = np.round(rng.normal(size=(3000, 2)), 1)          # coarse values: many near-ties
+    C = np.round(rng.normal(size=(40, 2)), 1)
+    a_gemm, d_gemm = KM._nearest(X, C)                  # k = 40 > DIRECT_ARGMIN_K
+    D = KM._direct_d2(X, C)
+    assert (a_gemm == np.argmin(D, axis=1)).all() and np.allclose(d_gemm, D.min(1))
