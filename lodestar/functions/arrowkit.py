@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.session import ship_package
+
 # Statistic vectors above this many entries are refused: they would not be a
 # "small matrix on the driver" any more.
 MAX_STAT_ENTRIES = 50_000_000
@@ -85,6 +87,7 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
     """
     if size > MAX_STAT_ENTRIES:
         raise ValueError(f"statistic of {size} entries is too large for the driver")
+    ship_package(df.sparkSession)
     cols = list(cols)
     n_chunks = max(1, -(-size // CHUNK))
     schema = "c INT, v ARRAY<DOUBLE>"
@@ -141,6 +144,7 @@ def map_rows(df: DataFrame, in_cols: Sequence[str], fn: Callable[[dict], dict],
     ``passthrough`` columns are copied from the input batch unchanged (ids,
     labels) and must be listed first in ``out_schema``.
     """
+    ship_package(df.sparkSession)
     in_cols = list(in_cols)
     passthrough = list(passthrough)
     sel = list(dict.fromkeys(passthrough + in_cols))

@@ -58,6 +58,8 @@ def _finish(sums: np.ndarray, own: np.ndarray, sizes: np.ndarray, self_excl: boo
 def silhouette_exact(assigned: DataFrame, x: str = "x", cluster: str = "cluster",
                      id_col: str = "id", block_rows: int = 4096) -> DataFrame:
     """Per-row (id, cluster, neighbour, a, b, s) on Euclidean distances (M7)."""
+    from lodestar.session import ship_package
+    ship_package(assigned.sparkSession)
     sizes = _cluster_sizes(assigned, cluster)
     k = len(sizes)
     n = int(sizes.sum())

@@ -36,6 +36,7 @@ def get_spark(master: str | None = None, app: str = "lodestar",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -60,3 +61,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lodestar`` importable in Python workers, once per application.
+
+    Arrow kernels run as closures that reference this package; workers unpickle
+    them, so the package travels with the job (``addPyFile``, the runtime form
+    of ``--py-files``) instead of relying on the driver's working directory.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    import lodestar
+    root = os.path.dirname(os.path.dirname(os.path.abspath(lodestar.__file__)))
+    fd, path = tempfile.mkstemp(prefix="lodestar-pkg-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "lodestar")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
