@@ -4,14 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import simhash_vp
+from lodestar.llm import pattern_packing, secret_scan, simhash_vp, string_tiling, toxicity
 from lodestar.llm.common import table
 
 
+def word_tokenizer() -> str:
+    """The public word-level BPE vocabulary that the packing contract names."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit(docs))
+
+
+def op5_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_vp.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 QUERIES = {f.__name__: f for f in (
+    op2_secret_scans,
+    op5_toxicity_ordinal,
+    op7_string_tiling,
     op9_simhash_vp_trees,
+    op10_pattern_packing,
 )}
