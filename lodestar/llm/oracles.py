@@ -1,5 +1,24 @@
-"""DuckDB SQL of the llm queries that SQL can express."""
+"""DuckDB SQL of the llm queries that SQL can express.
+
+Not among them: tokenizers, XXH64 fingerprints, trained models and greedy tiling; their
+queries are tested against brute force.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+OP6 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON r.other = l.x
+), component AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT c.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM component c LEFT JOIN degree d ON d.x = c.vec_id
+"""
+
+SQL: dict[str, str] = {"op6_product_quantisation": OP6}
