@@ -21,4 +21,32 @@ SELECT c.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, c.vec_id = c.compo
 FROM component c LEFT JOIN degree d ON d.x = c.vec_id
 """
 
-SQL: dict[str, str] = {"op6_product_quantisation": OP6}
+OP3 = """
+WITH bare AS (
+  SELECT page_id, url, html, md5(html) AS m, length(url) AS n, length(html) AS size,
+         regexp_replace(regexp_replace(url, '^[^:/?#]*://', ''), '(?s)#.*$', '') AS b FROM pages
+), parts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(b, '^[^/?]*')), '^(www|m)[.]', ''), ':(80|443)$', '') AS host,
+         regexp_replace(regexp_extract(b, '(?s)^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort([x for x in string_split(regexp_extract(b, '(?s)^[^?]*[?](.*)$', 1), '&') if x <> '' AND NOT starts_with(x, 'utm_')]) AS params FROM bare
+), pages2 AS (
+  SELECT page_id, m, n, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS url,
+         '"' || substr(m, 1, 16) || '"' AS tag, 'day ' || size AS modified,
+         10 * page_id + CASE WHEN n % 11 = 0 THEN -5 ELSE 10 * (n * 97 % 500) + 5 END AS later FROM parts
+), responses AS (SELECT 2 * page_id AS rid, url, 10 * page_id AS ts, m, tag, modified FROM pages2
+), revisits AS (
+  SELECT 2 * page_id + 1 AS rid, url, later AS ts, CASE WHEN n % 5 > 1 THEN 'W/' || tag END AS tag, CASE WHEN n % 5 = 0 THEN modified END AS modified FROM pages2
+), found AS (
+  SELECT v.rid AS record_id, v.url, v.ts, v.tag AS vtag, v.modified AS vmod, r.rid, r.ts AS rts, r.m, r.tag AS rtag, r.modified AS rmod,
+         CASE WHEN r.rid IS NULL THEN 'orphan' WHEN v.tag IS NOT NULL THEN CASE WHEN v.tag = 'W/' || r.tag THEN 'resolved' ELSE 'mismatch' END
+              WHEN v.modified IS NOT NULL THEN CASE WHEN v.modified = r.modified THEN 'resolved' ELSE 'mismatch' END ELSE 'unverified' END AS status
+  FROM revisits v ASOF LEFT JOIN responses r ON v.url = r.url AND v.ts > r.ts
+)
+SELECT record_id, url, ts, status, rid AS response_id, rts AS response_ts, CASE WHEN status IN ('resolved', 'unverified') THEN m END AS digest,
+  CASE WHEN status IN ('resolved', 'unverified') THEN concat_ws(chr(10), 'cache-control: max-age=60', 'content-type: text/html', 'date: ' || ts,
+    'etag: ' || coalesce(vtag, rtag), 'expires: t' || ts, 'last-modified: ' || coalesce(vmod, rmod))
+  ELSE concat_ws(chr(10), 'content-length: 0', 'date: ' || ts, 'etag: ' || vtag, 'expires: t' || ts, 'last-modified: ' || vmod) END AS headers
+FROM found
+"""
+
+SQL: dict[str, str] = {"op3_warc_revisits": OP3, "op6_product_quantisation": OP6}

@@ -71,7 +71,10 @@ def latest_before(keys: DataFrame, buckets: int) -> DataFrame:
     ``full`` struct of the latest earlier ts of that url that has one."""
     edges = keys.agg(F.percentile_approx("ts", [k / buckets for k in range(1, buckets)], 20 * buckets)).first()[0] or []
     splits = [-float("inf"), *sorted({float(x) for x in edges}), float("inf")]
-    cut_up = Bucketizer(splits=splits, inputCol="at", outputCol="bucket").transform(keys.withColumn("at", F.col("ts").cast("double")))
+    if len(splits) > 2:
+        cut_up = Bucketizer(splits=splits, inputCol="at", outputCol="bucket").transform(keys.withColumn("at", F.col("ts").cast("double")))
+    else:
+        cut_up = keys.withColumn("bucket", F.lit(0.0))
     state = F.when(F.col("full").isNotNull(), F.struct("ts", "full"))
     near = Window.partitionBy("url", "bucket").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
     inside = cut_up.select("url", "ts", "bucket", F.max(state).over(near).alias("near"))
