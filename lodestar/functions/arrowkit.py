@@ -5,7 +5,7 @@ Two shapes cover every GEMM-like step of the library:
 * :func:`partial_sums` — a sufficient-statistics pass.  Each task folds all of
   its Arrow batches into one dense vector; vectors are summed by a tree of
   ``repartition`` + ``mapInArrow`` levels until few enough remain for the
-  driver (one stage when tasks x size is already small).  Only vectors bounded
+  driver.  Only vectors bounded
   by the model size, never by n, reach the driver.
 * :func:`map_rows` — a per-row transform (projection, nearest centre,
   posterior) that keeps the row id and any pass-through columns.
@@ -18,32 +18,47 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lodestar.session import ship_package
 
-# Statistic vectors above this many entries are refused: they would not be a
-# "small matrix on the driver" any more.
-MAX_STAT_ENTRIES = 50_000_000
-# When (input partitions x statistic size) is at most this, the per-task
-# vectors are summed on the driver in one stage; above it tree levels sum
-# them first, so the driver receives at most max(this, size) numbers.
-DIRECT_SUM_ENTRIES = 2_000_000
+# Numbers the driver adds up at most, beside one vector.
+DRIVER_SUM_ENTRIES = 2_000_000
 
 
 def to_numpy(col) -> np.ndarray:
-    """Arrow column → numpy. ARRAY<DOUBLE> becomes an (n, p) float64 matrix."""
+    """Arrow column → numpy. ARRAY<DOUBLE> becomes an (n, p) float64 matrix.
+
+    A null, or vectors of unequal length, would shift the values of one row into
+    another, so both are refused here.
+    """
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
+    if col.null_count:
+        raise ValueError("a numeric kernel was given a null; filter or fill such rows first")
     if pa.types.is_list(col.type) or pa.types.is_large_list(col.type):
         n = len(col)
-        flat = col.flatten().to_numpy(zero_copy_only=False)
         if n == 0:
             return np.zeros((0, 0))
-        return np.asarray(flat, dtype=np.float64).reshape(n, -1)
+        width = np.diff(col.offsets.to_numpy())
+        if (width != width[0]).any():
+            raise ValueError("a numeric kernel was given vectors of unequal length")
+        flat = col.flatten()
+        if flat.null_count:
+            raise ValueError("a numeric kernel was given a vector with a null entry")
+        return np.asarray(flat.to_numpy(zero_copy_only=False), dtype=np.float64).reshape(n, int(width[0]))
     return col.to_numpy(zero_copy_only=False)
 
 
+def local_frame(spark, columns: dict, schema: str) -> DataFrame:
+    """A small driver-side table as a local relation: the planner knows its exact size
+    and picks broadcast or shuffle joins from it."""
+    fields = StructType.fromDDL(schema)
+    kind = to_arrow_schema(fields)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(columns[f.name], type=f.type) for f in kind], schema=kind), fields)
+
+
 def list_array(m: np.ndarray, dtype=pa.float64()) -> pa.Array:
     """(n, d) numpy matrix → Arrow ARRAY column."""
     m = np.ascontiguousarray(m)
@@ -79,14 +94,12 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
 
     ``fn`` receives ``{col: numpy}`` for one Arrow batch and returns a vector
     of length ``size``.  Each task folds all of its batches into one vector
-    and emits it as a few dense chunk rows.  While (tasks x size) exceeds
-    ``DIRECT_SUM_ENTRIES``, a tree level round-robins the vectors into
-    ``tasks / FANIN`` partitions and sums them there; the driver finally adds
-    at most max(DIRECT_SUM_ENTRIES, size) numbers.  Only per-task vectors move,
-    so a hot key or a skewed partition never funnels rows into one task.
+    and emits it as a few dense chunk rows.  A tree of ``repartition`` levels
+    sums them, from ``spark.sql.shuffle.partitions`` reducers by ``FANIN`` until
+    the driver can add what is left; its depth follows the session and the
+    statistic's size, never the data.  Only per-task vectors move, so a hot
+    key or a skewed partition never funnels rows into one task.
     """
-    if size > MAX_STAT_ENTRIES:
-        raise ValueError(f"statistic of {size} entries is too large for the driver")
     ship_package(df.sparkSession)
     cols = list(cols)
     n_chunks = max(1, -(-size // CHUNK))
@@ -103,10 +116,11 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
         for b in batches:
             if b.num_rows == 0:
                 continue
-            part = fn({c: to_numpy(b.column(c)) for c in cols})
-            acc = part if acc is None else acc + part
+            if acc is None:
+                acc = np.zeros(size)
+            acc += fn({c: to_numpy(b.column(c)) for c in cols})
         if acc is not None:
-            yield from emit(np.asarray(acc, dtype=np.float64))
+            yield from emit(acc)
 
     def combine(batches):
         acc = np.zeros(size)
@@ -121,11 +135,9 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
             yield from emit(acc)
 
     vecs = df.select(*cols).mapInArrow(run, schema)
-    try:
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): assume large
-        parts = 10 ** 6
-    while parts > 1 and parts * size > DIRECT_SUM_ENTRIES:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vecs = vecs.repartition(parts).mapInArrow(combine, schema)
+    while parts > 1 and parts * size > DRIVER_SUM_ENTRIES:
         parts = max(1, -(-parts // FANIN))
         vecs = vecs.repartition(parts).mapInArrow(combine, schema)
     out = np.zeros(size)
@@ -148,7 +160,7 @@ def map_rows(df: DataFrame, in_cols: Sequence[str], fn: Callable[[dict], dict],
     in_cols = list(in_cols)
     passthrough = list(passthrough)
     sel = list(dict.fromkeys(passthrough + in_cols))
-    names = [f.split()[0] for f in _split_schema(out_schema)]
+    names = StructType.fromDDL(out_schema).names
 
     def run(batches):
         for b in batches:
@@ -170,21 +182,3 @@ def map_rows(df: DataFrame, in_cols: Sequence[str], fn: Callable[[dict], dict],
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return df.select(*sel).mapInArrow(run, out_schema)
-
-
-def _split_schema(schema: str) -> list[str]:
-    """Split a DDL schema string on top-level commas."""
-    parts, depth, cur = [], 0, []
-    for ch in schema:
-        if ch in "<(":
-            depth += 1
-        elif ch in ">)":
-            depth -= 1
-        if ch == "," and depth == 0:
-            parts.append("".join(cur).strip())
-            cur = []
-        else:
-            cur.append(ch)
-    if cur:
-        parts.append("".join(cur).strip())
-    return parts

@@ -1,4 +1,4 @@
-"""Column expressions over vector columns ``x ARRAY<DOUBLE>``.
+"""Column expressions over vector columns ``x ARRAY<DOUBLE>``.
 
 Element-wise forms are written as explicit ``x[i]`` expressions with double
 literals, so they stay inside whole-stage codegen (higher-order array
@@ -48,60 +48,11 @@ def affine(c, shift: Sequence[float], scale: Sequence[float]) -> Column:
     return F.array(*out)
 
 
-def dot(c, w: Sequence[float]) -> Column:
-    """x · w for a literal vector w."""
-    terms = [elem(c, i) * F.lit(float(v)) for i, v in enumerate(w) if v != 0.0]
-    if not terms:
-        return F.lit(0.0)
-    acc = terms[0]
-    for t in terms[1:]:
-        acc = acc + t
-    return acc
-
-
-def sq_dist(c, center: Sequence[float]) -> Column:
-    """Σ (x_i - c_i)^2 for a literal centre."""
-    acc = None
-    for i, v in enumerate(center):
-        diff = elem(c, i) - F.lit(float(v))
-        t = diff * diff
-        acc = t if acc is None else acc + t
-    return acc
-
-
-def sq_norm(c, p: int) -> Column:
-    acc = None
-    for i in range(p):
-        t = elem(c, i) * elem(c, i)
-        acc = t if acc is None else acc + t
-    return acc
-
-
-def l1_dist(c, center: Sequence[float]) -> Column:
-    """Σ sqrt((x_i - c_i)^2) = Σ |x_i - c_i| (M12 computes this despite its name)."""
-    acc = None
-    for i, v in enumerate(center):
-        t = F.abs(elem(c, i) - F.lit(float(v)))
-        acc = t if acc is None else acc + t
-    return acc
-
-
-def matvec(c, m) -> Column:
-    """Row vector times a literal p x d matrix → ARRAY<DOUBLE> of length d."""
-    import numpy as np
-    m = np.asarray(m, dtype=float)
-    return F.array(*[dot(c, m[:, j]) for j in range(m.shape[1])])
-
-
 def argmax_first(c) -> Column:
     """0-based index of the maximum; the first maximum wins (R ``which.max``)."""
     return (F.array_position(col_(c), F.array_max(col_(c))) - 1).cast("int")
 
 
-def argmin_first(c) -> Column:
-    return (F.array_position(col_(c), F.array_min(col_(c))) - 1).cast("int")
-
-
 def row_sum(c) -> Column:
     """A7 ``rowSums`` over an array column."""
     return F.aggregate(col_(c), F.lit(0.0), lambda acc, v: acc + v)

@@ -42,8 +42,6 @@ def cumulative_histogram(dist: DataFrame, bins: int = 500, cls: str = "class",
     Two passes over the (class, d) rows: the mean (bin width), then the
     counts; class sizes come from the counts, not from another scan.
     """
-    from pyspark import StorageLevel
-    dist = dist.persist(StorageLevel.MEMORY_AND_DISK)
     mean = dist.agg(F.avg(d).alias("m")).collect()[0]["m"]
     if mean is None:
         return dist.sparkSession.createDataFrame([], f"{cls} {dist.schema[cls].dataType.simpleString()}, "

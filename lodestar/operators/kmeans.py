@@ -16,17 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.arrowkit import group_sums, map_rows, partial_sums
+from lodestar.functions.caching import cached
 from lodestar.operators.prep import split_order_key
 
 # Models per scan are chunked so the shipped centres stay small.
 MAX_CENTER_ENTRIES_PER_SCAN = 2_000_000
 
 
-# Up to this many centres the argmin uses direct differences; beyond it the
-# GEMM expansion picks candidates and near-ties are re-checked directly.
-DIRECT_ARGMIN_K = 32
-
-
 def _direct_d2(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     D = np.empty((X.shape[0], C.shape[0]))
     for c in range(C.shape[0]):
@@ -38,49 +34,71 @@ def _direct_d2(X: np.ndarray, C: np.ndarray) -> np.ndarray:
 def _nearest(X: np.ndarray, C: np.ndarray):
     """argmin_c ‖x−c‖² (first wins) and the exact squared distance to it.
 
-    Distances are Σ(x−c)² from differences, so near-ties resolve as an exact
-    computation (and a SQL engine) resolves them; the expansion
-    ‖x‖² − 2x·c + ‖c‖² only preselects candidates when k is large.
+    The expansion ‖x‖² − 2x·c + ‖c‖² about the mean centre picks, per row, every
+    centre that could be nearest within its rounding error; those distances are then
+    computed as Σ(x−c)², so near-ties resolve as an exact computation (and a SQL
+    engine) resolves them.
     """
     n = X.shape[0]
     if n == 0:
         return np.zeros(0, dtype=np.int32), np.zeros(0)
-    if C.shape[0] <= DIRECT_ARGMIN_K:
-        D = _direct_d2(X, C)
-        a = np.argmin(D, axis=1)
-        return a.astype(np.int32), D[np.arange(n), a]
-    xx = (X * X).sum(1)
-    cc = (C * C).sum(1)
-    G = xx[:, None] - 2.0 * (X @ C.T) + cc[None, :]
-    m = G.min(axis=1)
-    tol = 1e-9 * (xx + cc.max()) + 1e-12
-    cand = G <= (m + tol)[:, None]
-    a = np.argmax(cand, axis=1)
-    multi = np.flatnonzero(cand.sum(1) > 1)
-    for i in multi:
-        cols = np.flatnonzero(cand[i])
-        d = _direct_d2(X[i:i + 1], C[cols])[0]
-        a[i] = cols[np.argmin(d)]
-    diff = X - C[a]
-    return a.astype(np.int32), np.einsum("ij,ij->i", diff, diff)
+    mid = C.mean(axis=0)
+    Xc, Cc = X - mid, C - mid
+    xx, cc = np.einsum("ij,ij->i", Xc, Xc), np.einsum("ij,ij->i", Cc, Cc)
+    G = xx[:, None] - 2.0 * (Xc @ Cc.T) + cc[None, :]
+    near = G <= (G.min(axis=1) + 1e-9 * (xx + cc.max()) + 1e-300)[:, None]
+    row, col = np.nonzero(near)
+    diff = X[row] - C[col]
+    d = np.einsum("ij,ij->i", diff, diff)
+    first = np.searchsorted(row, np.arange(n))
+    best = np.minimum.reduceat(d, first)
+    hit = np.flatnonzero(d == best[row])
+    hit = hit[np.searchsorted(row[hit], np.arange(n))]
+    return col[hit].astype(np.int32), best
 
 
 def first_rows(df: DataFrame, k: int, x: str = "x", id_col: str = "id",
                order=None) -> np.ndarray:
     """Centres = x of the k first rows under ``order`` (default: smallest ids).
 
-    A distributed top-k (``TakeOrderedAndProject``); only k rows move.
+    A distributed top-k (``TakeOrderedAndProject``); only k rows move.  Fewer than k
+    rows are refused: a model with fewer clusters must not pass as one with k.
     """
     order = order if order is not None else [F.col(id_col)]
     rows = df.orderBy(*order).select(x).limit(k).collect()
+    if len(rows) < k:
+        raise ValueError(f"{k} centres wanted, but there are only {len(rows)} rows")
     return np.array([r[x] for r in rows], dtype=float)
 
 
-def hashed_starts(df: DataFrame, k: int, seed: int, run: int, x: str = "x",
-                  id_col: str = "id") -> np.ndarray:
-    """Random start rows chosen by md5(seed-run:id): independent of row layout."""
-    key = split_order_key(f"{seed}-{run}", id_col)
-    return first_rows(df, k, x, id_col, order=[key, F.col(id_col)])
+def hashed_starts(df: DataFrame, k: int, seed: int, runs, x: str = "x", id_col: str = "id") -> list[np.ndarray]:
+    """For every run, the first k distinct points in the order md5(seed-run:id), then id.
+
+    Independent of row layout.  One scan serves all runs: rows whose hash lies under
+    a bound that should leave a few times k rows per run are collected; a run that finds too few
+    distinct points there falls back to a grouped scan of the distinct points.
+    """
+    runs = list(runs)
+    n = df.count()
+    share = min(1.0, (4 * k + 64) / max(n, 1))
+    bound = f"{int(share * 16 ** 12):013x}"[1:] if share < 1 else "g"
+    hashes = F.array(*[F.struct(F.lit(r).alias("r"), split_order_key(f"{seed}-{r}", id_col).alias("h")) for r in runs])
+    low = (df.select(F.col(id_col).alias("i"), F.col(x).alias("v"), F.explode(F.filter(hashes, lambda s: s["h"] < bound)).alias("s"))
+           .select("s.r", "s.h", "i", "v").collect())
+    by_run: dict = {r: [] for r in runs}
+    for row in sorted(low, key=lambda q: (q["r"], q["h"], q["i"])):
+        by_run[row["r"]].append(tuple(row["v"]))
+    out = []
+    for r in runs:
+        points = list(dict.fromkeys(by_run[r]))[:k]
+        if len(points) < k:
+            key = F.struct(split_order_key(f"{seed}-{r}", id_col), F.col(id_col))
+            rows = df.groupBy(x).agg(F.min(key).alias("o")).orderBy("o").limit(k).collect()
+            points = [tuple(q[x]) for q in rows]
+        if len(points) < k:
+            raise ValueError(f"{k} centres wanted, but there are only {len(points)} distinct points")
+        out.append(np.array(points, dtype=float))
+    return out
 
 
 def assign(df: DataFrame, centers: np.ndarray, x: str = "x",
@@ -95,11 +113,24 @@ def assign(df: DataFrame, centers: np.ndarray, x: str = "x",
 
     schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] +
                        ["cluster INT", "d2 DOUBLE"])
-    out = map_rows(df, [x], fn, schema, passthrough=keep)
-    if x in keep:
-        from lodestar.sources.tables import remember_dims
-        remember_dims(out, C.shape[1], x)
-    return out
+    return map_rows(df, [x], fn, schema, passthrough=keep)
+
+
+def assign_many(df: DataFrame, models: dict, x: str = "x", passthrough: tuple = ("id", "label")) -> DataFrame:
+    """(passthrough..., model INT, cluster INT, d2) of every row under every model of
+    ``{key: centres}`` in one scan, so a sweep is scored by one grouped pass."""
+    keep = [c for c in passthrough if c in df.columns]
+    keys, Cs = list(models), [np.asarray(c, dtype=float) for c in models.values()]
+
+    def fn(b):
+        got = [_nearest(b[x], C) for C in Cs]
+        return {"clusters": np.stack([a for a, _ in got], axis=1).astype(float), "d2s": np.stack([d for _, d in got], axis=1)}
+
+    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] + ["clusters ARRAY<DOUBLE>", "d2s ARRAY<DOUBLE>"])
+    wide = map_rows(df, [x], fn, schema, passthrough=keep)
+    long = wide.select(*keep, F.posexplode(F.arrays_zip("clusters", "d2s")).alias("at", "m"))
+    name = F.element_at(F.array(*[F.lit(int(k)) for k in keys]), F.col("at") + 1)
+    return long.select(*keep, name.alias("model"), F.col("m.clusters").cast("int").alias("cluster"), F.col("m.d2s").alias("d2"))
 
 
 def center_distances(df: DataFrame, centers: np.ndarray, x: str = "x", metric: str = "sq",
@@ -162,6 +193,7 @@ class LloydModel:
     iterations: int = 0
     history: list = field(default_factory=list)
     tag: tuple = ()
+    converged: bool = False
 
     @property
     def cost(self) -> float:
@@ -203,6 +235,11 @@ def lloyd(df: DataFrame, starts: list[np.ndarray], max_iter: int = 100, x: str =
     then replaced by cluster means (an empty cluster keeps its centre).  A
     model whose centres stop moving is frozen and leaves the scan.
     """
+    with cached(df) as df:
+        return _lloyd(df, starts, max_iter, x, tol, tags)
+
+
+def _lloyd(df, starts, max_iter, x, tol, tags) -> list[LloydModel]:
     p = starts[0].shape[1]
     models = [LloydModel(np.asarray(s, dtype=float).copy(), tag=(tags[i] if tags else (i,)))
               for i, s in enumerate(starts)]
@@ -228,7 +265,8 @@ def lloyd(df: DataFrame, starts: list[np.ndarray], max_iter: int = 100, x: str =
             moved = np.max(np.abs(new - m.centers)) if new.size else 0.0
             m.centers = new
             m.iterations = it + 1
-            if moved > tol:
+            m.converged = bool(moved <= tol)
+            if not m.converged:
                 still.append(i)
             # else: the means equal the centres just measured, so the
             # sizes and within-SS of this pass are already final
@@ -261,12 +299,14 @@ def kmeans_grid(df: DataFrame, ks, seed: int, runs: int = 1, max_iter: int = 100
     """All (k, run) fitted together; returns the best model per k (M5 grid)."""
     ks = list(ks)
     kmax = max(ks)
+    with cached(df) as df:
+        return _kmeans_grid(df, ks, kmax, seed, runs, max_iter, x, init)
+
+
+def _kmeans_grid(df, ks, kmax, seed, runs, max_iter, x, init) -> dict:
     starts, tags = [], []
-    for r in range(runs):
-        if init == "first":
-            base = first_rows(df, kmax, x)
-        else:
-            base = hashed_starts(df, kmax, seed, r, x)
+    bases = [first_rows(df, kmax, x)] * runs if init == "first" else hashed_starts(df, kmax, seed, range(runs), x)
+    for r, base in enumerate(bases):
         for k in ks:
             starts.append(base[:k])
             tags.append((k, r))

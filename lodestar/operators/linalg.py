@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.functions.arrowkit import map_rows, partial_sums
+from lodestar.functions.arrowkit import local_frame, map_rows, partial_sums
 
 
 @dataclass
@@ -58,8 +58,8 @@ def gram(df: DataFrame, p: int, x: str = "x") -> np.ndarray:
 def matrix_frame(spark: SparkSession, m: np.ndarray, value: str = "v") -> DataFrame:
     """Small matrix → long ``Matrix(i, j, v)`` (0-based)."""
     m = np.asarray(m, dtype=float)
-    rows = [(int(i), int(j), float(m[i, j])) for i in range(m.shape[0]) for j in range(m.shape[1])]
-    return spark.createDataFrame(rows, f"i INT, j INT, {value} DOUBLE")
+    i, j = np.indices(m.shape)
+    return local_frame(spark, {"i": i.ravel(), "j": j.ravel(), value: m.ravel()}, f"i INT, j INT, {value} DOUBLE")
 
 
 def transpose_long(m_long: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Gaussian mixtures by EM (M8), BIC (M9), parameter listing.
 
-Families (volume / shape / orientation): EII, VII (spherical), EEI, VVI
-(diagonal), EEE, VVV (full).  Each iteration is one pass: every task runs the
-E-step for its rows with the current parameters shipped in the closure and
-returns the responsibility-weighted sums Σr, Σr·x, Σr·x² (diagonal and
-spherical) or Σr·xxᵀ (full) plus the log-likelihood; the M-step runs on the
-driver over those G x p (x p) sums.  A component holding a third of the rows
-costs the same as any other: the sums are combined inside each task.
+Fourteen families, named by volume / shape / orientation of the component
+covariances (E equal, V varying, I identity): Σ_g = λ_g D_g A_g D_gᵀ with |A_g| = 1.
+Each iteration is one pass: every task runs the E-step for its rows with the current
+parameters shipped in the closure and returns the responsibility-weighted sums
+Σr, Σr·d and Σr·d² (diagonal and spherical) or Σr·ddᵀ (the others) of
+d = x − current mean, plus the log-likelihood; the M-step runs on the driver over those
+G x p (x p) sums.  Sums about the current mean keep their digits however far the data lie from
+the origin.  A component holding a third of the rows costs the same as any other: the
+sums are combined inside each task.
 """
 
 from __future__ import annotations
@@ -19,21 +21,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.arrowkit import map_rows, partial_sums
+from lodestar.functions.caching import cached
 
-FAMILIES = ("EII", "VII", "EEI", "VVI", "EEE", "VVV")
+FAMILIES = ("EII", "VII", "EEI", "VEI", "EVI", "VVI", "EEE", "EVE", "VEE", "VVE", "EEV", "VEV", "EVV", "VVV")
 LOG2PI = math.log(2.0 * math.pi)
+# Statistic entries per scan; larger grids take several scans per iteration.
+MAX_STATS_PER_SCAN = 4_000_000
+_INNER = 30  # sweeps of the M-steps that alternate between volume, shape and orientation
 
 
 @dataclass
 class Mixture:
+    """Covariances as their parameters: ``covs`` is (G, p) variances for families whose
+    orientation is the identity, else (G, p, p)."""
     family: str
     weights: np.ndarray          # G
     means: np.ndarray            # G x p
-    covs: np.ndarray             # G x p x p (full) — diagonal/spherical stored full too
+    covs: np.ndarray             # G x p or G x p x p
     loglik: float = float("nan")
     history: list = field(default_factory=list)
     n: int = 0
     failed: bool = False
+    converged: bool = False
 
     @property
     def G(self) -> int:
@@ -43,6 +52,13 @@ class Mixture:
     def p(self) -> int:
         return self.means.shape[1]
 
+    @property
+    def diagonal(self) -> bool:
+        return self.family[2] == "I"
+
+    def full(self, g: int) -> np.ndarray:
+        return np.diag(self.covs[g]) if self.diagonal else self.covs[g]
+
     def df(self) -> int:
         return n_params(self.family, self.G, self.p)
 
@@ -54,9 +70,9 @@ class Mixture:
 
 
 def n_params(family: str, G: int, p: int) -> int:
-    cov = {"EII": 1, "VII": G, "EEI": p, "VVI": G * p, "EEE": p * (p + 1) // 2,
-           "VVV": G * p * (p + 1) // 2}[family]
-    return (G - 1) + G * p + cov
+    """Free parameters: weights, means, volumes, shapes, orientations."""
+    each = {"E": 1, "V": G, "I": 0}
+    return (G - 1) + G * p + each[family[0]] + each[family[1]] * (p - 1) + each[family[2]] * (p * (p - 1) // 2)
 
 
 def _log_dens(X: np.ndarray, m: Mixture) -> np.ndarray:
@@ -64,14 +80,12 @@ def _log_dens(X: np.ndarray, m: Mixture) -> np.ndarray:
     n, p = X.shape
     out = np.empty((n, m.G))
     for g in range(m.G):
-        C = m.covs[g]
         diff = X - m.means[g]
-        if m.family in ("EII", "VII", "EEI", "VVI"):
-            dvar = np.diag(C)
-            q = (diff * diff / dvar).sum(1)
-            logdet = np.log(dvar).sum()
+        if m.diagonal:
+            q = (diff * diff / m.covs[g]).sum(1)
+            logdet = np.log(m.covs[g]).sum()
         else:
-            L = np.linalg.cholesky(C)
+            L = np.linalg.cholesky(m.covs[g])
             sol = np.linalg.solve(L, diff.T)
             q = (sol * sol).sum(0)
             logdet = 2.0 * np.log(np.diag(L)).sum()
@@ -88,100 +102,150 @@ def responsibilities(X: np.ndarray, m: Mixture) -> tuple[np.ndarray, np.ndarray]
     return e / s, (mx + np.log(s)).ravel()
 
 
-DIAGONAL = ("EII", "VII", "EEI", "VVI")
-# Statistic entries per scan; larger grids take several scans per iteration.
-MAX_STATS_PER_SCAN = 4_000_000
-
-
-def _second_moment_size(m: Mixture) -> int:
-    return m.p if m.family in DIAGONAL else m.p * m.p
-
-
-def _stats_size(models: list[Mixture]) -> list[int]:
-    return [m.G * (1 + m.p + _second_moment_size(m)) + 1 for m in models]
+def _stats_size(m: Mixture) -> int:
+    return m.G * (1 + m.p + (m.p if m.diagonal else m.p * m.p)) + 1
 
 
 def _pass(df: DataFrame, x: str, models: list[Mixture]):
-    """One scan for a chunk of models: per component Σr, Σr·x and Σr·x² (diagonal
-    families) or Σr·xxᵀ (full families), plus the log-likelihood."""
-    sizes = _stats_size(models)
-    offs = np.cumsum([0] + sizes)
+    """One scan for a chunk of models: per component Σr, Σr·d and Σr·d² or Σr·ddᵀ with
+    d = x − mean, plus the log-likelihood."""
+    offs = np.cumsum([0] + [_stats_size(m) for m in models])
 
     def fn(b):
         X = b[x]
         out = np.zeros(int(offs[-1]))
-        for i, m in enumerate(models):
+        for o, m in zip(offs, models):
             z, ll = responsibilities(X, m)
-            G, p, q = m.G, m.p, _second_moment_size(m)
-            o = offs[i]
-            out[o:o + G] = z.sum(0)
-            out[o + G:o + G + G * p] = (z.T @ X).ravel()
-            if m.family in DIAGONAL:
-                sq = z.T @ (X * X)
-            else:
-                sq = np.stack([(X * z[:, g:g + 1]).T @ X for g in range(G)])
-            out[o + G + G * p:o + G + G * p + G * q] = sq.ravel()
-            out[o + sizes[i] - 1] = ll.sum()
+            parts = [z.sum(0)]
+            first, second = [], []
+            for g in range(m.G):
+                d = X - m.means[g]
+                rd = d * z[:, g:g + 1]
+                first.append(rd.sum(0))
+                second.append((rd * d).sum(0) if m.diagonal else (rd.T @ d).ravel())
+            part = np.concatenate(parts + first + second + [[ll.sum()]])
+            out[o:o + len(part)] = part
         return out
 
     v = partial_sums(df, [x], fn, int(offs[-1]))
     res = []
-    for i, m in enumerate(models):
-        G, p, q, o = m.G, m.p, _second_moment_size(m), offs[i]
-        nk = v[o:o + G]
-        sx = v[o + G:o + G + G * p].reshape(G, p)
-        sq = v[o + G + G * p:o + G + G * p + G * q]
-        sxx = sq.reshape(G, p) if m.family in DIAGONAL else sq.reshape(G, p, p)
-        res.append((nk, sx, sxx, v[o + sizes[i] - 1]))
+    for o, m in zip(offs, models):
+        G, p = m.G, m.p
+        s = v[o + G + G * p:o + _stats_size(m) - 1]
+        res.append((v[o:o + G], v[o + G:o + G + G * p].reshape(G, p),
+                    s.reshape(G, p) if m.diagonal else s.reshape(G, p, p), v[o + _stats_size(m) - 1]))
     return res
 
 
 def _pass_chunked(df: DataFrame, x: str, models: list[Mixture]):
     out, cur, acc = [], [], 0
-    for m, size in zip(models, _stats_size(models)):
-        if cur and acc + size > MAX_STATS_PER_SCAN:
+    for m in models:
+        if cur and acc + _stats_size(m) > MAX_STATS_PER_SCAN:
             out += _pass(df, x, cur)
             cur, acc = [], 0
         cur.append(m)
-        acc += size
-    if cur:
-        out += _pass(df, x, cur)
-    return out
+        acc += _stats_size(m)
+    return out + (_pass(df, x, cur) if cur else [])
+
+
+def _scaled(v: np.ndarray) -> tuple[float, np.ndarray]:
+    """(geometric mean, v over it) of positive numbers."""
+    v = np.maximum(v, 1e-300)
+    g = float(np.exp(np.log(v).mean()))
+    return g, v / g
+
+
+def _root_det(W: np.ndarray) -> float:
+    """|W|^(1/p) of a positive definite matrix; 0 when it is not."""
+    sign, logdet = np.linalg.slogdet(W)
+    return float(np.exp(logdet / len(W))) if sign > 0 else 0.0
+
+
+def _diagonal_step(fam: str, W: np.ndarray, nk: np.ndarray, n: int) -> np.ndarray:
+    """(G, p) variances from diagonal scatters W (G, p)."""
+    G, p = W.shape
+    if fam == "EII":
+        return np.full((G, p), W.sum() / (n * p))
+    if fam == "VII":
+        return np.repeat((W.sum(1) / (nk * p))[:, None], p, axis=1)
+    if fam == "EEI":
+        return np.repeat((W.sum(0) / n)[None, :], G, axis=0)
+    if fam == "VVI":
+        return W / nk[:, None]
+    if fam == "EVI":
+        parts = [_scaled(w) for w in W]
+        return sum(g for g, _ in parts) / n * np.stack([a for _, a in parts])
+    vol = W.sum(1) / (nk * p)  # VEI
+    for _ in range(_INNER):
+        shape = _scaled((W / vol[:, None]).sum(0))[1]
+        vol = (W / shape[None, :]).sum(1) / (nk * p)
+    return vol[:, None] * shape[None, :]
+
+
+def _full_step(fam: str, W: np.ndarray, nk: np.ndarray, n: int) -> np.ndarray:
+    """(G, p, p) covariances from scatters W (G, p, p), Celeux and Govaert's updates."""
+    G, p = W.shape[0], W.shape[1]
+    if fam == "EEE":
+        return np.repeat((W.sum(0) / n)[None], G, axis=0)
+    if fam == "VVV":
+        return W / nk[:, None, None]
+    if fam == "EVV":
+        r = np.array([_root_det(w) for w in W])
+        return r.sum() / n * W / np.maximum(r, 1e-300)[:, None, None]
+    if fam == "VEE":
+        vol = np.trace(W, axis1=1, axis2=2) / (nk * p)
+        for _ in range(_INNER):
+            C = (W / vol[:, None, None]).sum(0)
+            C = C / max(_root_det(C), 1e-300)
+            vol = np.einsum("gij,ji->g", W, np.linalg.inv(C)) / (nk * p)
+        return vol[:, None, None] * C[None]
+    if fam in ("EEV", "VEV"):
+        lam, vec = np.linalg.eigh(W)
+        lam, vec = np.maximum(lam[:, ::-1], 0), vec[:, :, ::-1]
+        if fam == "EEV":
+            g, shape = _scaled(lam.sum(0))
+            vol = np.full(G, g / n)
+        else:
+            vol = lam.sum(1) / (nk * p)
+            for _ in range(_INNER):
+                shape = _scaled((lam / vol[:, None]).sum(0))[1]
+                vol = (lam / shape[None, :]).sum(1) / (nk * p)
+        return np.einsum("gij,gj,gkj->gik", vec, vol[:, None] * shape[None, :], vec)
+    # EVE, VVE: one orientation for all, improved by majorise-minimise steps
+    D = np.linalg.eigh(W.sum(0))[1]
+    top = np.linalg.eigvalsh(W)[:, -1]
+    for _ in range(_INNER):
+        diag = np.maximum(np.einsum("ji,gjk,ki->gi", D, W, D), 1e-300)
+        shape = np.stack([_scaled(d)[1] for d in diag]) if fam == "EVE" else diag / nk[:, None]
+        F_ = sum((D.T @ W[g] - top[g] * D.T) / shape[g][:, None] for g in range(G))
+        u, _, vt = np.linalg.svd(F_)
+        D = (vt.T @ u.T)
+        D = -D if np.einsum("ij,ji->", F_, D) > 0 else D
+    diag = np.maximum(np.einsum("ji,gjk,ki->gi", D, W, D), 1e-300)
+    if fam == "VVE":
+        var = diag / nk[:, None]
+    else:
+        parts = [_scaled(d) for d in diag]
+        var = sum(g for g, _ in parts) / n * np.stack([a for _, a in parts])
+    return np.einsum("ij,gj,kj->gik", D, var, D)
 
 
-def _m_step(m: Mixture, nk, sx, sxx, n: int, reg: float) -> Mixture:
-    G, p = m.G, m.p
-    nk_safe = np.maximum(nk, 1e-300)
-    mu = sx / nk_safe[:, None]
-    fam = m.family
-    covs = np.empty((G, p, p))
-    if fam in DIAGONAL:
-        # per-component diagonal scatter about the new mean: Σ r x² − N μ²
-        Wd = sxx - nk[:, None] * mu * mu
-        if fam == "EII":
-            covs[:] = np.eye(p) * (Wd.sum() / (n * p) + reg)
-        elif fam == "VII":
-            for g in range(G):
-                covs[g] = np.eye(p) * (Wd[g].sum() / (nk_safe[g] * p) + reg)
-        elif fam == "EEI":
-            covs[:] = np.diag(Wd.sum(0) / n + reg)
-        else:  # VVI
-            for g in range(G):
-                covs[g] = np.diag(Wd[g] / nk_safe[g] + reg)
+def _m_step(m: Mixture, nk, first, second, n: int, reg: float) -> Mixture:
+    safe = np.maximum(nk, 1e-300)
+    step = first / safe[:, None]  # new mean − current mean
+    if m.diagonal:
+        W = np.maximum(second - nk[:, None] * step * step, 0.0)
+        covs = _diagonal_step(m.family, W, safe, n) + reg
     else:
-        # scatter of each component about its new mean: Σ r (x−μ)(x−μ)ᵀ
-        W = sxx - nk[:, None, None] * np.einsum("gi,gj->gij", mu, mu)
-        if fam == "EEE":
-            covs[:] = W.sum(0) / n + reg * np.eye(p)
-        else:  # VVV
-            for g in range(G):
-                covs[g] = W[g] / nk_safe[g] + reg * np.eye(p)
-    return Mixture(fam, nk / n, mu, covs, m.loglik, m.history, n)
+        W = second - nk[:, None, None] * np.einsum("gi,gj->gij", step, step)
+        W = (W + W.transpose(0, 2, 1)) / 2 + reg * safe[:, None, None] * np.eye(m.p)
+        covs = _full_step(m.family, W, safe, n)
+    return Mixture(m.family, nk / n, m.means + step, covs, m.loglik, m.history, n)
 
 
 def init_from_centers(centers: np.ndarray, family: str, var: float = 1.0) -> Mixture:
     G, p = centers.shape
-    covs = np.stack([np.eye(p) * var for _ in range(G)])
+    covs = np.full((G, p), float(var)) if family[2] == "I" else np.repeat((np.eye(p) * var)[None], G, axis=0)
     return Mixture(family, np.full(G, 1.0 / G), np.asarray(centers, dtype=float).copy(), covs)
 
 
@@ -190,33 +254,42 @@ def em(df: DataFrame, starts: list[Mixture], max_iter: int = 100, tol: float = 1
     """Fit several mixtures together; each iteration is one scan shared by all.
 
     ``reg`` is a variance floor added to every covariance (the data may be
-    rank deficient).  A model whose covariance stops being positive definite
+    rank deficient).  ``converged`` tells whether the log-likelihood settled within
+    ``tol`` before ``max_iter``.  A model whose covariance stops being positive definite
     is marked failed (its BIC is null) and leaves the scan.
     """
-    models = list(starts)
+    with cached(df) as df:
+        return _em(df, list(starts), max_iter, tol, x, reg)
+
+
+def _em(df: DataFrame, models: list[Mixture], max_iter: int, tol: float, x: str, reg: float) -> list[Mixture]:
     active = [i for i in range(len(models)) if _valid(models[i])]
     for i in range(len(models)):
         if i not in active:
             models[i].failed = True
     n = None
-    for it in range(max_iter):
+    for _ in range(max_iter):
         if not active:
             break
         stats = _pass_chunked(df, x, [models[i] for i in active])
         still = []
-        for i, st in zip(active, stats):
+        for i, (nk, first, second, ll) in zip(active, stats):
             m = models[i]
-            nk, sx, sxx, ll = st
             n = int(round(nk.sum()))
             prev = m.loglik
             m.history.append(float(ll))
-            new = _m_step(m, nk, sx, sxx, n, reg)
-            new.history, new.loglik, new.n = m.history, float(ll), n
+            try:
+                new = _m_step(m, nk, first, second, n, reg)
+            except np.linalg.LinAlgError:
+                m.failed = True
+                continue
+            new.loglik = float(ll)
             models[i] = new
             if not _valid(new):
                 new.failed = True
                 continue
-            if not (np.isfinite(prev) and abs(ll - prev) <= tol * abs(ll)):
+            new.converged = bool(np.isfinite(prev) and abs(ll - prev) <= tol * abs(ll))
+            if not new.converged:
                 still.append(i)
         active = still
     # log-likelihood of the final parameters
@@ -233,9 +306,10 @@ def _valid(m: Mixture) -> bool:
     if not (np.all(np.isfinite(m.weights)) and np.all(m.weights > 0)
             and np.all(np.isfinite(m.means)) and np.all(np.isfinite(m.covs))):
         return False
+    if m.diagonal:
+        return bool((m.covs > 0).all())
     try:
-        for g in range(m.G):
-            np.linalg.cholesky(m.covs[g])
+        np.linalg.cholesky(m.covs)
     except np.linalg.LinAlgError:
         return False
     return True
@@ -256,7 +330,7 @@ def posterior(df: DataFrame, m: Mixture, x: str = "x", passthrough=("id", "label
 def components_frame(spark, m: Mixture) -> DataFrame:
     """(component, weight, mean, cov) as a small table."""
     rows = [(g, float(m.weights[g]), [float(v) for v in m.means[g]],
-             [float(v) for v in m.covs[g].ravel()]) for g in range(m.G)]
+             [float(v) for v in m.full(g).ravel()]) for g in range(m.G)]
     return spark.createDataFrame(rows, "component INT, weight DOUBLE, mean ARRAY<DOUBLE>, "
                                        "cov ARRAY<DOUBLE>")
 

@@ -9,11 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import vectors as V
-from lodestar.functions.joins import bounded_broadcast, remember_rows
-from lodestar.functions.ranking import exact_rank
-
-# A label dimension beyond this many levels is not a class label.
-MAX_LEVELS = 100_000
+from lodestar.functions.arrowkit import local_frame, map_rows
+from lodestar.functions.ranking import exact_rank, with_positional_index
+from lodestar.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -58,40 +56,19 @@ def standardize(df: DataFrame, x: str = "x", stats: ColumnStats | None = None,
     """
     if stats is None:
         stats = column_stats(fit_on if fit_on is not None else df, x)
-    from lodestar.sources.tables import remember_dims
-    p = len(stats.mean)
-    if p <= WIDE_VECTOR:
-        res = df.withColumn(out or x, V.affine(x, stats.mean, stats.sd))
-    else:
-        res = _affine_kernel(df, x, out or x, stats)
-    return remember_dims(res, p, out or x)
-
-
-# Above this width one literal expression per element would bloat generated
-# code; the affine map then runs as an Arrow-batched numpy kernel instead.
-WIDE_VECTOR = 256
-
-
-def _affine_kernel(df: DataFrame, x: str, out: str, stats: ColumnStats) -> DataFrame:
-    from lodestar.functions.arrowkit import map_rows
     mean = np.nan_to_num(stats.mean)
     ok = np.isfinite(stats.sd) & (stats.sd > 0)
-    scale = np.where(ok, 1.0 / np.where(ok, stats.sd, 1.0), 0.0)
+    sd = np.where(ok, stats.sd, 1.0)
+    out = out or x
 
     def fn(b):
-        return {out: (b[x] - mean) * scale}
+        return {out: np.where(ok, (b[x] - mean) / sd, 0.0)}
 
     keep = [c for c in df.columns if c != out]
-    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] +
-                       [f"{out} ARRAY<DOUBLE>"])
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{out}` ARRAY<DOUBLE>"])
     return map_rows(df, [x], fn, schema, passthrough=keep)
 
 
-def standardized(df: DataFrame, x: str = "x") -> tuple[DataFrame, ColumnStats]:
-    stats = column_stats(df, x)
-    return standardize(df, x, stats), stats
-
-
 def to_long(df: DataFrame, id_col: str = "id", x: str = "x", d: int | None = None) -> DataFrame:
     """Vector → long (id, j, v)."""
     src = V.head(x, d) if d else F.col(x)
@@ -102,28 +79,19 @@ def to_long(df: DataFrame, id_col: str = "id", x: str = "x", d: int | None = Non
 def levels(df: DataFrame, label: str = "label") -> DataFrame:
     """Level dictionary ``(label_ix, label)`` in sorted order (A19, R ``levels``).
 
-    ``distinct`` is partially aggregated; the numbering window then runs over
-    the distinct levels only.
+    ``distinct`` is partially aggregated and one value per level reaches the driver.
+    A null label is a level of its own, after the others, so that no row is lost.
     """
-    d = df.select(label).distinct()
-    vals = [r[label] for r in d.limit(MAX_LEVELS + 1).collect()]
-    if len(vals) > MAX_LEVELS:
-        raise ValueError(f"{label} has more than {MAX_LEVELS} levels")
-    # the dictionary is bounded by MAX_LEVELS, so it is kept as a local table
-    # whose size is known (broadcast without another count)
-    vals = sorted(v for v in vals if v is not None)
-    dtype = df.schema[label].dataType.simpleString()
-    lv = df.sparkSession.createDataFrame([(i, v) for i, v in enumerate(vals)],
-                                         f"label_ix INT, {label} {dtype}")
-    return remember_rows(lv, len(vals))
-
-
-def level_list(df: DataFrame, label: str = "label") -> list:
-    return [r[label] for r in levels(df, label).orderBy("label_ix").collect()]
+    vals = [r[label] for r in df.select(label).distinct().collect()]
+    vals = sorted(v for v in vals if v is not None) + [None] * (None in vals)
+    return local_frame(df.sparkSession, {"label_ix": list(range(len(vals))), label: vals},
+                       f"label_ix INT, `{label}` {df.schema[label].dataType.simpleString()}")
 
 
 def with_label_ix(df: DataFrame, lv: DataFrame, label: str = "label") -> DataFrame:
-    return df.join(bounded_broadcast(lv), label)
+    """Adds the level index of every row's label, null included."""
+    key = lv.select(F.col(label).alias("_level"), *[c for c in lv.columns if c != label])
+    return df.join(key, F.col(label).eqNullSafe(F.col("_level"))).drop("_level")
 
 
 def one_hot(df: DataFrame, n_levels: int, ix: str = "label_ix", out: str = "y") -> DataFrame:
@@ -152,61 +120,44 @@ def argmax_decode(df: DataFrame, v: str, out: str = "label_ix") -> DataFrame:
 
 def split_order_key(seed: int, id_col: str = "id"):
     """Seeded, layout-independent order: md5 of ``seed:id`` (identical in DuckDB)."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
-
-
-# A boundary bucket at most this large is ranked directly (one small window).
-SPLIT_BUCKET_ROWS = 1_000_000
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
 
 
 def train_test_split(df: DataFrame, f: float, seed: int, id_col: str = "id") -> DataFrame:
     """Exact ``floor(f*n)`` training rows without replacement (M1).
 
     Returns ``(id, is_train)``: the first ``floor(f*n)`` rows in the order
-    md5(seed:id), then id.  No global sort: each pass counts rows per next
-    3 hex digits of the hash (map-side combined, at most 4,096 groups) inside
-    the current boundary prefix, until the boundary bucket holds at most
-    SPLIT_BUCKET_ROWS rows (one pass up to ~4e9 rows, two up to ~1.6e13); only
-    that bucket is ranked.  A hot id value cannot skew it (ids hash apart).
+    md5(seed:id), then id.  No global sort: each pass counts rows per next 3 hex
+    digits of the hash (map-side combined, at most 4,096 groups) inside the
+    boundary bucket, until that bucket holds one hash value.  Rows that share it
+    (a repeated id) are numbered where they lie, so the count stays exact.
     """
-    from pyspark import StorageLevel
-    # two narrow columns, read by every counting pass; recomputable from lineage
-    keyed = df.select(id_col, split_order_key(seed, id_col).alias("_h")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    prefix, need, n = "", None, None
+    ensure_checkpoint_dir(df.sparkSession)
+    keyed = df.select(id_col, split_order_key(seed, id_col).alias("_h")).checkpoint()
+    prefix, need = "", None
     while True:
-        plen = len(prefix) + 3
-        scope = keyed.filter(F.col("_h").startswith(prefix)) if prefix else keyed
-        counts = sorted((r["b"], r["c"]) for r in scope.groupBy(
-            F.substring("_h", 1, plen).alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
-        if n is None:
-            n = sum(c for _, c in counts)
-            need = int(np.floor(f * n + 1e-9))
-        below, boundary, size = 0, None, 0
-        for b, c in counts:
-            if below + c > need:
-                boundary, size = b, c
+        head = F.substring("_h", 1, len(prefix) + 3)
+        rows = keyed.where(F.col("_h").startswith(prefix)).groupBy(head.alias("b")).agg(
+            F.count("*").alias("n"), F.min("_h").alias("lo"), F.max("_h").alias("hi")).orderBy("b").collect()
+        if need is None:
+            need = int(np.floor(f * sum(r["n"] for r in rows) + 1e-9))
+        edge = None
+        for r in rows:
+            if r["n"] > need:
+                edge = r
                 break
-            below += c
-        need -= below
-        if boundary is None:          # every row in scope trains
-            prefix = prefix + "g"     # sorts after any hex digit
+            need -= r["n"]
+        if edge is None or not need or edge["lo"] == edge["hi"]:
             break
-        prefix = boundary
-        if size <= SPLIT_BUCKET_ROWS or plen >= 30:
-            break
-    pre = F.substring("_h", 1, len(prefix))
-    if need > 0 and not prefix.endswith("g"):
-        w = Window.orderBy(F.col("_h"), F.col(id_col))  # one bucket of bounded size
-        picked = (keyed.filter(pre == F.lit(prefix))
-                  .select(id_col, F.row_number().over(w).alias("_r"))
-                  .filter(F.col("_r") <= need).select(id_col, F.lit(True).alias("_pick")))
-        out = keyed.join(bounded_broadcast(picked, SPLIT_BUCKET_ROWS), id_col, "left")
-        train = (pre < F.lit(prefix)) | F.col("_pick").isNotNull()
-    else:
-        out = keyed
-        train = pre < F.lit(prefix)
-    return out.select(id_col, train.alias("is_train"))
+        prefix = edge["b"]
+    if edge is None:
+        return keyed.select(id_col, F.lit(True).alias("is_train"))
+    plain = keyed.where(F.col("_h") != edge["lo"]) if need else keyed
+    out = plain.select(id_col, (F.col("_h") < edge["lo"]).alias("is_train"))
+    if need:
+        same = with_positional_index(keyed.where(F.col("_h") == edge["lo"]), "_r")
+        out = out.union(same.select(id_col, (F.col("_r") < need).alias("is_train")))
+    return out
 
 
 def split_frames(df: DataFrame, split: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -221,19 +172,13 @@ def systematic_sample(df: DataFrame, every: int, id_col: str = "id") -> DataFram
     return ranked.filter(F.col("_r") % every == 0).drop("_r")
 
 
-def drop_position(df: DataFrame, pos: int, id_col: str = "id") -> DataFrame:
-    """Delete the row with 1-based position ``pos`` (P1; ids are positions)."""
-    return df.filter(F.col(id_col) != pos)
-
-
 def drop_vector_index(df: DataFrame, idx: int, x: str = "x", p: int | None = None) -> DataFrame:
     """Drop one coordinate by 0-based position (P4 on a vector column)."""
     if p is None:
         from lodestar.sources.tables import dims
         p = dims(df, x)
     keep = [i for i in range(p) if i != idx]
-    from lodestar.sources.tables import remember_dims
-    return remember_dims(df.withColumn(x, V.select_idx(x, keep)), len(keep), x)
+    return df.withColumn(x, V.select_idx(x, keep))
 
 
 def report_table(long_df: DataFrame, row: str, col: str, value: str, col_values=None) -> DataFrame:

@@ -17,7 +17,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.arrowkit import map_rows, partial_sums
+from lodestar.functions.arrowkit import group_sums, map_rows, partial_sums
+from lodestar.functions.caching import cached
 from lodestar.operators import linalg as LA
 
 
@@ -175,6 +176,7 @@ class ICAModel:
     K: np.ndarray      # p x d whitening
     W: np.ndarray      # d x d unmixing rotation
     iterations: int
+    converged: bool = False
 
     @property
     def unmixing(self) -> np.ndarray:
@@ -209,6 +211,11 @@ def ica_fit_many(df: DataFrame, p: int, dims, seed: int, x: str = "x", max_iter:
     symmetric decorrelation runs on the driver.  Stops on
     max |abs(diag(W₁Wᵀ)) − 1| < tol, as the reference's package does.
     """
+    with cached(df) as df:
+        return _ica_fit_many(df, p, dims, seed, x, max_iter, tol, alpha)
+
+
+def _ica_fit_many(df, p, dims, seed, x, max_iter, tol, alpha) -> list[ICAModel]:
     from lodestar.operators.prep import column_stats
     st = column_stats(df, x, p)
     mean = np.nan_to_num(st.mean)
@@ -251,7 +258,7 @@ def ica_fit_many(df: DataFrame, p: int, dims, seed: int, x: str = "x", max_iter:
             Egp = v[offs[m] + d * d:offs[m + 1]] / n
             W1 = _sym_decorrelate(EgZ - Egp[:, None] * W)
             lim = np.max(np.abs(np.abs(np.einsum("ij,ij->i", W1, W)) - 1.0))
-            models[i].W, models[i].iterations = W1, it
+            models[i].W, models[i].iterations, models[i].converged = W1, it, bool(lim < tol)
             if lim >= tol:
                 still.append(i)
         active = still
@@ -282,28 +289,25 @@ class Scatter:
 
 
 def class_scatter(df: DataFrame, p: int, n_classes: int, x: str = "x", ix: str = "label_ix") -> Scatter:
-    """Within / between class scatter from one pass of per-class (n, Σx, Σxxᵀ)."""
-    size = n_classes * (1 + p + p * p)
+    """Within / between class scatter: one pass for the class means, one for the
+    scatter about them (no difference of large second moments)."""
 
-    def fn(b):
-        X, c = b[x], b[ix].astype(int)
-        out = np.zeros(size).reshape(n_classes, 1 + p + p * p)
-        for k in np.unique(c):
-            Xk = X[c == k]
-            out[k, 0] = Xk.shape[0]
-            out[k, 1:1 + p] = Xk.sum(0)
-            out[k, 1 + p:] = (Xk.T @ Xk).ravel()
-        return out.ravel()
-
-    v = partial_sums(df, [x, ix], fn, size).reshape(n_classes, 1 + p + p * p)
-    n = v[:, 0]
-    sums = v[:, 1:1 + p]
-    sq = v[:, 1 + p:].reshape(n_classes, p, p)
+    def first(b):
+        c = b[ix].astype(int)
+        return np.concatenate([np.bincount(c, minlength=n_classes), group_sums(b[x], c, n_classes).ravel()])
+
+    v = partial_sums(df, [x, ix], first, n_classes * (1 + p))
+    n, sums = v[:n_classes], v[n_classes:].reshape(n_classes, p)
     means = np.where(n[:, None] > 0, sums / np.maximum(n[:, None], 1), 0.0)
-    grand = sums.sum(0) / n.sum()
-    within = sum(sq[k] - n[k] * np.outer(means[k], means[k]) for k in range(n_classes))
-    between = sum(n[k] * np.outer(means[k] - grand, means[k] - grand) for k in range(n_classes))
-    return Scatter(within, between, means, n, grand)
+
+    def about(b):
+        X = b[x] - means[b[ix].astype(int)]
+        return (X.T @ X).ravel()
+
+    within = partial_sums(df, [x, ix], about, p * p).reshape(p, p)
+    grand = (n[:, None] * means).sum(0) / max(n.sum(), 1)
+    D = means - grand
+    return Scatter(within, (n[:, None] * D).T @ D, means, n, grand)
 
 
 def lda_directions(sc: Scatter, d: int = 2, ridge: float = 1e-9) -> np.ndarray:
@@ -318,6 +322,30 @@ def lda_directions(sc: Scatter, d: int = 2, ridge: float = 1e-9) -> np.ndarray:
     return fix_signs(Wh @ vb[:, order])
 
 
+# --- classical MDS re-aimed (M31) -----------------------------------------------
+
+def landmark_mds(df: DataFrame, landmarks: np.ndarray, d: int = 2, x: str = "x",
+                 passthrough=("id", "label")) -> DataFrame:
+    """Classical MDS through landmarks: (passthrough..., z ARRAY<DOUBLE> of d coordinates).
+
+    The squared distances among the m landmarks are double-centred and decomposed on the
+    driver (m x m); every row is placed from its squared distances to the landmarks.  With Euclidean
+    distances and landmarks that span the data this is the exact MDS configuration; the
+    n x n distance matrix is never built.
+    """
+    from lodestar.operators.kmeans import center_distances
+    L = np.asarray(landmarks, dtype=float)
+    D = np.stack([((L - r) ** 2).sum(axis=1) for r in L])
+    J = np.eye(len(L)) - 1.0 / len(L)
+    lam, vec = np.linalg.eigh(-0.5 * J @ D @ J)
+    order = np.argsort(lam)[::-1][:d]
+    vec = fix_signs(vec[:, order])
+    back = -0.5 * vec / np.sqrt(np.maximum(lam[order], 1e-300))
+    far = center_distances(df, L, x, passthrough=passthrough, out="_d2")
+    keep = tuple(c for c in passthrough if c in df.columns)
+    return LA.project(far, back, "_d2", "z", keep, center=D.mean(axis=0))
+
+
 # --- kernel PCA re-aimed: random Fourier features (M32) ------------------------
 
 def rff_map(df: DataFrame, p: int, n_features: int, sigma: float, seed: int, x: str = "x",

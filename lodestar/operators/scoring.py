@@ -13,16 +13,15 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions import vectors as V
 from lodestar.functions.arrowkit import map_rows
-from lodestar.functions.joins import bounded_broadcast
+from lodestar.operators.prep import with_label_ix
 
 
 def label_counts(assigned: DataFrame, lv: DataFrame, cluster: str = "cluster",
                  label: str = "label") -> DataFrame:
     """(cluster, label_ix, label, n) for every non-empty cell (A2)."""
     c = assigned.groupBy(cluster, label).agg(F.count(F.lit(1)).alias("n"))
-    return c.join(bounded_broadcast(lv), label).withColumnRenamed(cluster, "cluster")
+    return with_label_ix(c, lv, label).withColumnRenamed(cluster, "cluster")
 
 
 def _winners(counts: DataFrame) -> DataFrame:
@@ -38,8 +37,7 @@ def cluster_predict_err(assigned: DataFrame, lv: DataFrame, cluster: str = "clus
     """(cluster, argmax, size, err, err_rate) — each cluster predicts its mean label."""
     w = _winners(label_counts(assigned, lv, cluster, label))
     rate = F.lit(1.0) - F.col("win_n") / F.col("size")
-    out = w.join(bounded_broadcast(lv.withColumnRenamed("label_ix", "win_ix")
-                                   .withColumnRenamed(label, "argmax")), "win_ix")
+    out = w.join(lv.select(F.col("label_ix").alias("win_ix"), F.col(label).alias("argmax")), "win_ix")
     return out.select("cluster", "argmax", F.col("size").cast("bigint").alias("size"),
                       (rate * F.col("size")).alias("err"), rate.alias("err_rate"))
 
@@ -74,14 +72,14 @@ def cluster_confusion(assigned: DataFrame, lv: DataFrame, n_levels: int,
         preds = win.select(F.col("win_ix").alias("p_ix")).distinct()
     grid = preds.select("p_ix", F.explode(F.sequence(F.lit(0), F.lit(n_levels - 1))).alias("a_ix"))
     full = grid.join(cells, ["p_ix", "a_ix"], "left").fillna(0, ["n"])
-    full = (full.join(bounded_broadcast(_name(lv, "p_ix", "predicted", label)), "p_ix")
-            .join(bounded_broadcast(_name(lv, "a_ix", "actual", label)), "a_ix"))
+    full = (full.join(_name(lv, "p_ix", "predicted", label), "p_ix")
+            .join(_name(lv, "a_ix", "actual", label), "a_ix"))
     return full.select("p_ix", "a_ix", "predicted", "actual", F.col("n").cast("bigint").alias("n"))
 
 
 def confusion_error(conf: DataFrame, p: str = "predicted", a: str = "actual") -> DataFrame:
     """1 − trace / total, matching rows to columns by label (D3)."""
-    return conf.agg((F.lit(1.0) - F.sum(F.when(F.col(p) == F.col(a), F.col("n")).otherwise(0))
+    return conf.agg((F.lit(1.0) - F.sum(F.when(F.col(p).eqNullSafe(F.col(a)), F.col("n")).otherwise(0))
                      / F.sum("n")).alias("err"))
 
 
@@ -132,9 +130,8 @@ def cluster_label_variance(assigned: DataFrame, cluster: str = "cluster",
 
 def soft_class_sums(soft: DataFrame, k: int, label: str = "label", z: str = "z") -> DataFrame:
     """Σ_i z_ic per (label, cluster) = zᵀL in long form (J9 on soft assignments)."""
-    g = soft.groupBy(label).agg(*[F.sum(V.elem(z, c)).alias(f"s{c}") for c in range(k)])
-    return g.select(label, F.posexplode(F.array(*[F.col(f"s{c}") for c in range(k)]))
-                    .alias("cluster", "s")).withColumn("cluster", F.col("cluster").cast("int"))
+    long = soft.select(label, F.posexplode(z).alias("cluster", "s"))
+    return long.groupBy(label, "cluster").agg(F.sum("s").alias("s")).withColumn("cluster", F.col("cluster").cast("int"))
 
 
 def soft_class_matrix(soft: DataFrame, k: int, label: str = "label", z: str = "z") -> DataFrame:
@@ -148,7 +145,7 @@ def soft_label_confusion(soft: DataFrame, lv: DataFrame, k: int, n_levels: int,
                          label: str = "label", z: str = "z") -> DataFrame:
     """C6 + C7: predicted = argmax of z · classMatrix, against the actual label;
     full c x c table, zero-filled (R ``confusionMatrix`` keeps every level)."""
-    cm = soft_class_matrix(soft, k, label, z).join(bounded_broadcast(lv), label)
+    cm = with_label_ix(soft_class_matrix(soft, k, label, z), lv, label)
     M = np.zeros((k, n_levels))
     for r in cm.collect():  # k x c cells
         M[r["cluster"], r["label_ix"]] = r["p"]
@@ -157,14 +154,14 @@ def soft_label_confusion(soft: DataFrame, lv: DataFrame, k: int, n_levels: int,
         P = b[z] @ M  # n x c label probabilities (C6)
         return {"p_ix": np.argmax(P, axis=1).astype(np.int32)}
 
-    labelled = soft.join(bounded_broadcast(lv), label).withColumnRenamed("label_ix", "a_ix")
+    labelled = with_label_ix(soft, lv, label).withColumnRenamed("label_ix", "a_ix")
     rows = map_rows(labelled, [z], fn, "a_ix INT, p_ix INT", passthrough=["a_ix"])
     cells = rows.groupBy("p_ix", "a_ix").agg(F.count(F.lit(1)).alias("n"))
     grid = lv.select(F.col("label_ix").alias("p_ix"),
                      F.explode(F.sequence(F.lit(0), F.lit(n_levels - 1))).alias("a_ix"))
     full = grid.join(cells, ["p_ix", "a_ix"], "left").fillna(0, ["n"])
-    full = (full.join(bounded_broadcast(_name(lv, "p_ix", "predicted", label)), "p_ix")
-            .join(bounded_broadcast(_name(lv, "a_ix", "actual", label)), "a_ix"))
+    full = (full.join(_name(lv, "p_ix", "predicted", label), "p_ix")
+            .join(_name(lv, "a_ix", "actual", label), "a_ix"))
     return full.select("p_ix", "a_ix", "predicted", "actual", F.col("n").cast("bigint").alias("n"))
 
 

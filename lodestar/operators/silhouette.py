@@ -4,11 +4,11 @@
 a(i) = mean distance to the other members of i's cluster, b(i) = smallest
 mean distance to another cluster, s = (b − a) / max(a, b), 0 for singletons.
 It needs every pair distance, so its work is quadratic by definition; the
-state is not: rows are hashed into blocks of ``block_rows`` and each task
-multiplies one unordered block pair with a GEMM (used in both directions),
-emitting only per-(row, cluster) distance sums; every row is shipped to nb
-pairs.  Hashing ids (unique) keeps every task the
-same size no matter how lopsided the clusters are.
+state is not: rows are hashed by id into a grid of blocks sized from the
+session's tasks, each task takes one unordered block pair in GEMM tiles (used in both
+directions) and emits only per-(row, cluster) distance sums.  Hashing ids (unique)
+keeps every task the same size no matter how lopsided the clusters are, and several
+clusterings of the same rows share one distance pass.
 
 ``silhouette_squared`` uses squared Euclidean distances, whose cluster means
 follow from per-cluster sufficient statistics (n, Σx, Σ‖x‖²): linear work, the
@@ -25,7 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.arrowkit import group_sums, map_rows, partial_sums, to_numpy
+from lodestar.functions.arrowkit import group_sums, list_array, map_rows, partial_sums, to_numpy
+from lodestar.operators import prep
+from lodestar.session import ship_package
+
+TILE = 2048  # rows of a distance tile
 
 
 def _cluster_sizes(assigned: DataFrame, cluster: str) -> np.ndarray:
@@ -56,75 +60,91 @@ def _finish(sums: np.ndarray, own: np.ndarray, sizes: np.ndarray, self_excl: boo
 
 
 def silhouette_exact(assigned: DataFrame, x: str = "x", cluster: str = "cluster",
-                     id_col: str = "id", block_rows: int = 4096) -> DataFrame:
+                     id_col: str = "id", grid: int | None = None) -> DataFrame:
     """Per-row (id, cluster, neighbour, a, b, s) on Euclidean distances (M7)."""
-    from lodestar.session import ship_package
-    ship_package(assigned.sparkSession)
-    sizes = _cluster_sizes(assigned, cluster)
-    k = len(sizes)
-    n = int(sizes.sum())
-    # enough blocks that the nb² block pairs keep every core busy, never more
-    # than block_rows rows per block
-    par = assigned.sparkSession.sparkContext.defaultParallelism
-    nb = max(1, math.ceil(n / block_rows), min(math.ceil(math.sqrt(par)), max(1, n // 256)))
-    base = assigned.select(F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("cl"),
-                           F.col(x).alias("x"),
-                           F.pmod(F.xxhash64(id_col), F.lit(nb)).cast("int").alias("blk"))
-    # each row joins the nb unordered block pairs {blk, b}; a pair's distance
-    # block is computed once and used in both directions
-    other = F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("b")
-    rows = base.select("id", "cl", "x", "blk", other).select(
-        "id", "cl", "x", "blk", F.least("blk", "b").alias("lo"), F.greatest("blk", "b").alias("hi"))
+    one = assigned.withColumn("model", F.lit(0))
+    return silhouette_many(one, x, cluster, id_col, grid=grid).drop("model")
+
+
+def silhouette_many(assigned: DataFrame, x: str = "x", cluster: str = "cluster", id_col: str = "id",
+                    model: str = "model", grid: int | None = None) -> DataFrame:
+    """Silhouettes of several clusterings of the same rows: (model, id, cluster, neighbour, a, b, s).
+
+    ``assigned`` has one row per (id, model).  Distances do not depend on the model, so
+    each is computed once for all of them.  Rows are hashed by id into ``grid`` blocks; each
+    unordered block pair is one task, which works through tiles of TILE rows, so a row is
+    shuffled to ``grid`` tasks.  ``grid`` follows the session's shuffle partitions, not the data: about
+    as many pairs as partitions.
+    """
+    spark = assigned.sparkSession
+    ship_package(spark)
+    counts = assigned.groupBy(model, cluster).count().collect()  # one row per (model, cluster)
+    names = sorted({int(r[model]) for r in counts})
+    ks = [max(int(r[cluster]) for r in counts if r[model] == m) + 1 for m in names]
+    offs = np.concatenate(([0], np.cumsum(ks))).astype(int)
+    sizes = np.zeros(int(offs[-1]))
+    for r in counts:
+        sizes[offs[names.index(int(r[model]))] + int(r[cluster])] = r["count"]
+    total = int(offs[-1])
+    if grid is None:
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        grid = max(1, math.ceil(math.sqrt(2 * tasks)))
+    first = np.array(prep.column_stats(assigned.where(F.col(model) == names[0]), x).mean) if names else np.zeros(0)
+    rows = assigned.groupBy(F.col(id_col).alias("id")).agg(
+        F.first(x).alias("x"), F.array_sort(F.collect_list(F.struct(F.col(model).cast("int").alias("m"), F.col(cluster).cast("int").alias("c")))).alias("mc"))
+    rows = rows.select("id", "x", F.transform("mc", lambda s: s["c"]).cast("array<double>").alias("cl"),
+                       F.pmod(F.xxhash64("id"), F.lit(grid)).cast("int").alias("blk"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("b")
+    spread = rows.select("id", "x", "cl", "blk", other).select(
+        "id", "x", "cl", "blk", F.least("blk", "b").alias("lo"), F.greatest("blk", "b").alias("hi"))
 
     def pair(tbl: pa.Table) -> pa.Table:
-        ids = tbl.column("id").to_numpy()
-        cl = tbl.column("cl").to_numpy()
-        blk = tbl.column("blk").to_numpy()
-        lo = tbl.column("lo").to_numpy()[0]
-        X = to_numpy(tbl.column("x"))
-        ai = np.flatnonzero(blk == lo)
-        bi = ai if tbl.column("hi").to_numpy()[0] == lo else np.flatnonzero(blk != lo)
-
-        def dist(P, Q, pid, qid):
-            d2 = (P * P).sum(1)[:, None] + (Q * Q).sum(1)[None, :] - 2.0 * (P @ Q.T)
-            D = np.sqrt(np.maximum(d2, 0.0))
-            D[pid[:, None] == qid[None, :]] = 0.0
-            return D
-
-        def onehot(idx):
-            m = np.zeros((len(idx), k))
-            m[np.arange(len(idx)), cl[idx]] = 1.0
+        ids, blk = tbl.column("id").to_numpy(), tbl.column("blk").to_numpy()
+        X = to_numpy(tbl.column("x")) - first
+        cl = to_numpy(tbl.column("cl")).astype(int) + offs[:-1]
+        lo, hi = tbl.column("lo")[0].as_py(), tbl.column("hi")[0].as_py()
+        sums = np.zeros((len(ids), total))
+        sq = np.einsum("ij,ij->i", X, X)
+
+        def member(idx):
+            m = np.zeros((len(idx), total))
+            np.put_along_axis(m, cl[idx], 1.0, axis=1)
             return m
 
-        D = dist(X[ai], X[bi], ids[ai], ids[bi])
-        if bi is ai:
-            out_ids, out = ids[ai], D @ onehot(ai)
-        else:
-            out_ids = np.concatenate([ids[ai], ids[bi]])
-            out = np.vstack([D @ onehot(bi), D.T @ onehot(ai)])
-        cols = [pa.array(out_ids)] + [pa.array(out[:, c]) for c in range(k)]
-        return pa.Table.from_arrays(cols, names=["id"] + [f"s{c}" for c in range(k)])
-
-    schema = "id BIGINT, " + ", ".join(f"s{c} DOUBLE" for c in range(k))
-    partial = rows.groupBy("lo", "hi").applyInArrow(pair, schema)
-    sums = partial.groupBy("id").agg(*[F.sum(f"s{c}").alias(f"s{c}") for c in range(k)])
-    own = assigned.select(F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("cluster"))
-    joined = sums.join(own, "id")
-    return _finish_frame(joined, sizes, self_excl=True)
-
-
-def _finish_frame(joined: DataFrame, sizes: np.ndarray, self_excl: bool) -> DataFrame:
-    k = len(sizes)
-    cols = [f"s{c}" for c in range(k)]
-
-    def fn(b):
-        S = np.column_stack([b[c] for c in cols]) if k else np.zeros((len(b["cluster"]), 0))
-        a, bb, nb, s = _finish(S, b["cluster"].astype(int), sizes, self_excl)
-        return {"neighbour": nb.astype(np.int32), "a": a, "b": bb, "s": s}
+        left, right = np.flatnonzero(blk == lo), np.flatnonzero(blk == hi)
+        for a in range(0, len(left), TILE):
+            ai = left[a:a + TILE]
+            for b in range(a if lo == hi else 0, len(right), TILE):
+                bi = right[b:b + TILE]
+                D = np.sqrt(np.maximum(sq[ai][:, None] + sq[bi][None, :] - 2.0 * (X[ai] @ X[bi].T), 0.0))
+                if lo == hi and a == b:
+                    np.fill_diagonal(D, 0.0)
+                    sums[ai] += D @ member(bi)
+                else:
+                    sums[ai] += D @ member(bi)
+                    sums[bi] += D.T @ member(ai)
+        return pa.Table.from_arrays([pa.array(ids), list_array(sums)], names=["id", "s"])
+
+    partial = spread.groupBy("lo", "hi").applyInArrow(pair, "id BIGINT, s ARRAY<DOUBLE>")
+    summed = partial.select("id", F.posexplode("s").alias("j", "v")).groupBy("id", "j").agg(F.sum("v").alias("v"))
+    summed = summed.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("jv")).select(
+        "id", F.transform("jv", lambda s: s["v"]).alias("s"))
+    joined = summed.join(rows.select("id", "cl"), "id")
+
+    def finish(b):
+        own, S = b["cl"].astype(int), b["s"]
+        out = {"cluster": own.astype(float)}
+        got = [_finish(S[:, offs[m]:offs[m + 1]], own[:, m], sizes[offs[m]:offs[m + 1]], True) for m in range(len(names))]
+        for k, name in enumerate(("a", "b", "neighbour", "s")):
+            out[name] = np.stack([g[k] for g in got], axis=1).astype(float)
+        return out
 
-    return map_rows(joined, ["cluster"] + cols, fn,
-                    "id BIGINT, cluster INT, neighbour INT, a DOUBLE, b DOUBLE, s DOUBLE",
-                    passthrough=["id", "cluster"])
+    wide = map_rows(joined, ["cl", "s"], finish, "id BIGINT, cluster ARRAY<DOUBLE>, neighbour ARRAY<DOUBLE>, a ARRAY<DOUBLE>, b ARRAY<DOUBLE>, s ARRAY<DOUBLE>",
+                    passthrough=["id"])
+    long = wide.select("id", F.posexplode(F.arrays_zip("cluster", "neighbour", "a", "b", "s")).alias("at", "z"))
+    tag = F.element_at(F.array(*[F.lit(m) for m in names]), F.col("at") + 1) if names else F.lit(0)
+    return long.select(tag.alias("model"), "id", F.col("z.cluster").cast("int").alias("cluster"), F.col("z.neighbour").cast("int").alias("neighbour"),
+                       F.col("z.a").alias("a"), F.col("z.b").alias("b"), F.col("z.s").alias("s"))
 
 
 def silhouette_squared(assigned: DataFrame, x: str = "x", cluster: str = "cluster",
@@ -132,11 +152,11 @@ def silhouette_squared(assigned: DataFrame, x: str = "x", cluster: str = "cluste
     """Per-row silhouette on squared Euclidean distances, from cluster moments."""
     sizes = _cluster_sizes(assigned, cluster)
     k = len(sizes)
-    from lodestar.sources.tables import dims
-    p = dims(assigned, x)
+    mid = prep.column_stats(assigned, x).mean  # moments about the mean: no cancellation far from the origin
+    p = len(mid)
 
     def stats(b):
-        X, c = b[x], b[cluster].astype(int)
+        X, c = b[x] - mid, b[cluster].astype(int)
         out = np.zeros(k * (p + 1))
         out[:k * p] = group_sums(X, c, k).ravel()
         out[k * p:] = np.bincount(c, weights=(X * X).sum(1), minlength=k)
@@ -147,7 +167,7 @@ def silhouette_squared(assigned: DataFrame, x: str = "x", cluster: str = "cluste
     S, Qn = v[:k * p].reshape(k, p), v[k * p:]
 
     def fn(b):
-        X, c = b[x], b[cluster].astype(int)
+        X, c = b[x] - mid, b[cluster].astype(int)
         sq = (X * X).sum(1)[:, None]
         tot = sizes[None, :] * sq - 2.0 * (X @ S.T) + Qn[None, :]
         a, bb, nb, s = _finish(np.maximum(tot, 0.0), c, sizes, self_excl=True)

@@ -21,8 +21,7 @@ def r6(c) -> "F.Column":
 
 def std_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standardised embeddings: Features(id, x, label)."""
-    e = tables.features_embeddings(spark, sf_dir).persist()  # stats pass + later passes share it
-    return prep.standardize(e)
+    return prep.standardize(tables.features_embeddings(spark, sf_dir))
 
 
 def near(df: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
@@ -33,5 +32,4 @@ def near(df: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
 
 def e_levels(df: DataFrame) -> tuple[DataFrame, int]:
     lv = prep.levels(df)
-    from lodestar.functions.joins import _ROWS, _key
-    return lv, _ROWS.get(_key(lv)) or lv.count()
+    return lv, lv.count()

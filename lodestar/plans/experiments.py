@@ -1,19 +1,21 @@
 """Experiment pipelines (X2-X26): reductions, re-clustering, mixtures, nets.
 
 Each function composes operators into one of the reference's result tables.
-Grids are parameters; the driver catalogue calls them with small grids, the
-reference's full sweeps are the same calls with its sizes.  Every sweep cell
-shares scans with its siblings where the operator allows it (multi-model
-Lloyd, multi-mixture EM, Gram-identity error curves).
+Grids are parameters.  Every sweep cell shares scans with its siblings where the
+operator allows it (multi-model Lloyd, multi-mixture EM, Gram-identity error
+curves, one scoring pass for all models).  Frames that several scans read are cached
+for the span of the call and released after it.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestar.functions.caching import cached
 from lodestar.operators import kmeans as KM
 from lodestar.operators import linalg as LA
 from lodestar.operators import mixture as MX
@@ -25,10 +27,6 @@ from lodestar.operators import silhouette as SH
 from lodestar.sources import tables
 
 
-def persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 # --- PCA (X12-X14, M13-M18) -----------------------------------------------------
 
 def pca_scores(df: DataFrame, d: int = 2) -> DataFrame:
@@ -108,161 +106,171 @@ def rca_best_projection(spark: SparkSession, df: DataFrame, d: int, runs: int, s
 
 # --- reductions feeding re-clustering (X6, X8-X10) --------------------------------
 
-# Fitted reduction models (small matrices) per (input plan, d, seed): the
-# reference saves fitted objects once and reloads them in later experiments.
-_REDUCTION_MODELS: dict = {}
+def cfs_subset(df: DataFrame, p: int, bins: int = 5) -> list[int]:
+    """The features that correlation-based selection keeps."""
+    with cached(SEL.discretize(df, bins)) as binned:
+        su_c = np.zeros(p)
+        for r in SEL.su_feature_class(binned).collect():
+            su_c[r["j"]] = r["su"]
+        return SEL.best_first(su_c, SEL.su_feature_pairs(binned, p, bins))
 
 
-def reduction_models(spark: SparkSession, df: DataFrame, d: int, seed: int):
-    """(PCA model, ICA model, RCA matrix, CFS feature list), fitted once per input."""
-    try:
-        key = (df.semanticHash(), d, seed)
-    except Exception:  # noqa: BLE001
-        key = None
-    if key is not None and key in _REDUCTION_MODELS:
-        return _REDUCTION_MODELS[key]
-    p = tables.dims(df)
-    pca = RD.pca_fit(df, p)
-    ica = RD.ica_fit(df, p, d, seed)
-    R, _ = rca_best_projection(spark, df, d, 20, seed)
-    binned = persist(SEL.discretize(df, 5))
-    su_c = np.zeros(p)
-    for r in SEL.su_feature_class(binned).collect():
-        su_c[r["j"]] = r["su"]
-    su_ff = SEL.su_feature_pairs(binned.drop("label"), p, 5)
-    keep = [j for _, j, _ in SEL.greedy_forward(su_c, su_ff, d)]
-    binned.unpersist()
-    models = (pca, ica, R, keep)
-    if key is not None:
-        _REDUCTION_MODELS[key] = models
-    return models
-
-
-def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int) -> dict[str, DataFrame]:
-    """{algo: Features(id, x, label)} for N/A, PCA, ICA, RCA, CFS at d dims."""
+def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int, runs: int = 20) -> dict[str, tuple[DataFrame, int]]:
+    """{algo: (Features(id, x, label), width)}: the input itself, its first d principal and
+    independent components, its best of ``runs`` random projections to d, its CFS features."""
     from lodestar.functions.vectors import select_idx
-    pca, ica, R, keep = reduction_models(spark, df, d, seed)
+    p = tables.dims(df)
+    R, rca = rca_best_projection(spark, df, d, runs, seed)
+    keep = cfs_subset(df, p) or [0]
     return {
-        "N/A": df,
-        "PCA": RD.pca_transform(df, pca, d),
-        "ICA": RD.ica_sources(df, ica),
-        "RCA": LA.project(df, R, passthrough=("id", "label")),
-        "CFS": df.select("id", select_idx("x", keep).alias("x"), "label"),
+        "N/A": (df, p),
+        "PCA": (RD.pca_transform(df, RD.pca_fit(df, p), d), d),
+        "ICA": (RD.ica_sources(df, RD.ica_fit(df, p, d, seed)), d),
+        "RCA": (rca, d),
+        "CFS": (df.select("id", select_idx("x", keep).alias("x"), "label"), len(keep)),
     }
 
 
+def label_errors(df: DataFrame, models: dict, lv: DataFrame) -> dict[int, float]:
+    """{key: label error} of every model of {key: centres}, from one scan."""
+    long = KM.assign_many(df, models, passthrough=("label",))
+    counts = long.groupBy("model", "cluster", "label").agg(F.count("*").alias("n"))
+    best = counts.groupBy("model", "cluster").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
+    rows = best.groupBy("model").agg((1 - F.sum("top") / F.sum("n")).alias("err")).collect()  # one row per model
+    return {int(r["model"]): float(r["err"]) for r in rows}
+
+
 def reduced_kmeans_error(spark: SparkSession, df: DataFrame, d: int, ks, seed: int,
-                         runs: int = 2, iters: int = 10) -> DataFrame:
+                         runs: int = 50, iters: int = 100) -> DataFrame:
     """(k, err, dims, algo): label error of k-means on each reduction."""
     lv = prep.levels(df)
-    parts = []
-    for algo, red in reductions(spark, df, d, seed).items():
-        red = persist(red)
-        best = KM.kmeans_grid(red, ks, seed, runs=runs, max_iter=iters)
-        for k, m in sorted(best.items()):
-            e = scoring.label_error(KM.assign(red, m.centers), lv).collect()[0]["err"]
-            parts.append((int(k), float(e), d, algo))
-    out = spark.createDataFrame(parts, "k INT, err DOUBLE, dims INT, algo STRING")
-    # The unreduced result is a reference line spanning dims 1 .. p
-    ref = out.filter(F.col("algo") == "N/A").select(
-        "k", "err", F.explode(F.array(F.lit(1), F.lit(tables.dims(df)))).alias("dims"), "algo")
-    return out.filter(F.col("algo") != "N/A").unionByName(ref)
+    parts, p = [], tables.dims(df)
+    for algo, (red, width) in reductions(spark, df, d, seed).items():
+        with cached(red) as red:
+            best = KM.kmeans_grid(red, ks, seed, runs=runs, max_iter=iters)
+            for k, e in sorted(label_errors(red, {k: m.centers for k, m in best.items()}, lv).items()):
+                # The unreduced result is a reference line spanning dims 1 .. p
+                parts += [(k, e, at, algo) for at in ((1, p) if algo == "N/A" else (width,))]
+    return spark.createDataFrame(parts, "k INT, err DOUBLE, dims INT, algo STRING")
 
 
 def reduced_sse_curve(spark: SparkSession, df: DataFrame, d: int, ks, seed: int,
-                      runs: int = 2, iters: int = 10) -> DataFrame:
+                      runs: int = 50, iters: int = 100) -> DataFrame:
     """(k, within_ss_mean, algo) per reduction (X8 SSE curves)."""
     out = []
-    for algo, red in reductions(spark, df, d, seed).items():
-        red = persist(red)
-        best = KM.kmeans_grid(red, ks, seed, runs=runs, max_iter=iters)
-        out += [(int(k), float(m.cost / m.sizes.sum()), algo) for k, m in sorted(best.items())]
+    for algo, (red, _) in reductions(spark, df, d, seed).items():
+        with cached(red) as red:
+            best = KM.kmeans_grid(red, ks, seed, runs=runs, max_iter=iters)
+            out += [(int(k), float(m.cost / m.sizes.sum()), algo) for k, m in sorted(best.items())]
     return spark.createDataFrame(out, "k INT, within_ss_mean DOUBLE, algo STRING")
 
 
 def reduced_em_bic(spark: SparkSession, df: DataFrame, d: int, Gs, families, seed: int,
-                   iters: int = 15) -> DataFrame:
-    """(algo, numClusters, family, bic): mixtures fitted on every reduction (X8, EM half)."""
+                   iters: int = 100) -> DataFrame:
+    """(algo, numClusters, family, bic, converged): mixtures on the input and on every
+    reduction (X8 EM half, X11)."""
     rows = []
-    for algo, red in reductions(spark, df, d, seed).items():
-        if algo == "N/A":
-            continue
-        red = persist(red)
-        for m in mixture_grid(red, Gs, families, seed, iters):
-            rows.append((algo, m.G, m.family, m.bic()))
-    return spark.createDataFrame(rows, "algo STRING, numClusters INT, family STRING, bic DOUBLE")
+    for algo, (red, _) in reductions(spark, df, d, seed).items():
+        with cached(red) as red:
+            rows += [(algo, m.G, m.family, m.bic(), m.converged) for m in mixture_grid(red, Gs, families, seed, iters)]
+    return spark.createDataFrame(rows, "algo STRING, numClusters INT, family STRING, bic DOUBLE, converged BOOLEAN")
+
+
+def reduced_error_table(spark: SparkSession, df: DataFrame, d: int, k: int, G: int, family: str, seed: int,
+                        runs: int = 10, iters: int = 100) -> DataFrame:
+    """(reduction, em, kmeans): label error of a fitted mixture and of k-means on the input
+    and every reduction (X9)."""
+    lv = prep.levels(df)
+    c, rows = lv.count(), []
+    for algo, (red, _) in reductions(spark, df, d, seed).items():
+        with cached(red) as red:
+            m = KM.kmeans(red, k, seed, runs=runs, max_iter=iters)
+            km = scoring.confusion_error(scoring.cluster_confusion(KM.assign(red, m.centers), lv, c)).first()["err"]
+            mix = mixture_grid(red, [G], [family], seed, iters)[0]
+            em = None if mix.failed else scoring.confusion_error(scoring.soft_label_confusion(MX.posterior(red, mix), lv, G, c)).first()["err"]
+            rows.append((algo, em, km))
+    return spark.createDataFrame(rows, "reduction STRING, em DOUBLE, kmeans DOUBLE")
+
+
+def reduced_spectrum(spark: SparkSession, df: DataFrame, d: int, k: int, seed: int, runs: int = 10, iters: int = 100) -> DataFrame:
+    """(algo, idx, cluster, size, share): cluster sizes of k-means on the input and every reduction."""
+    out = None
+    for algo, (red, _) in reductions(spark, df, d, seed).items():
+        with cached(red) as red:
+            m = KM.kmeans(red, k, seed, runs=runs, max_iter=iters)
+        part = KM.assign(red, m.centers).select(F.lit(algo).alias("algo"), "cluster")
+        out = part if out is None else out.unionByName(part)
+    return scoring.cluster_spectrum(out, algo="algo")
 
 
 # --- k-means sweeps (X2-X4) ------------------------------------------------------------
 
 def kmeans_clusters(spark: SparkSession, df: DataFrame, ks, seed: int, runs: int, iters: int,
                     test: str) -> DataFrame:
-    """(k, avg_s, within_ss, label_err, test)."""
-    lv = prep.levels(df)
+    """(k, avg_s, within_ss, label_err, test) (X2); all k share one distance pass and one scoring pass."""
     best = KM.kmeans_grid(df, ks, seed, runs=runs, max_iter=iters)
-    rows = []
-    for k, m in sorted(best.items()):
-        a = persist(KM.assign(df, m.centers, passthrough=("id", "x", "label")))
-        s = SH.average_width(SH.silhouette_exact(a)).collect()[0]["avg_width"]
-        e = scoring.label_error(a, lv).collect()[0]["err"]
-        rows.append((int(k), float(s), float(m.cost / m.sizes.sum()), float(e), test))
+    centres = {k: m.centers for k, m in best.items()}
+    err = label_errors(df, centres, prep.levels(df))
+    with cached(KM.assign_many(df, centres, passthrough=("id", "x"))) as a:
+        width = {r["model"]: r["w"] for r in SH.silhouette_many(a).groupBy("model").agg(F.avg("s").alias("w")).collect()}
+    rows = [(int(k), float(width[k]), float(m.cost / m.sizes.sum()), err[k], test) for k, m in sorted(best.items())]
     return spark.createDataFrame(rows, "k INT, avg_s DOUBLE, within_ss DOUBLE, label_err DOUBLE, test STRING")
 
 
 def kmeans_silhouettes(df: DataFrame, k: int, seed: int, runs: int, iters: int) -> DataFrame:
     """Per-row silhouette of a fitted k-means (X3, M2 + M7)."""
     m = KM.kmeans(df, k, seed, runs=runs, max_iter=iters)
-    a = persist(KM.assign(df, m.centers, passthrough=("id", "x", "label")))
-    return SH.silhouette_exact(a)
+    return SH.silhouette_exact(KM.assign(df, m.centers, passthrough=("id", "x", "label")))
 
 
 # --- mixtures (X7, X11, M10) --------------------------------------------------------------
 
-def mixture_grid(df: DataFrame, Gs, families, seed: int, iters: int = 20) -> list[MX.Mixture]:
+def mixture_grid(df: DataFrame, Gs, families, seed: int, iters: int = 100) -> list[MX.Mixture]:
     """All (G, family) mixtures fitted together from k-means starts (EM start D-note)."""
     p = tables.dims(df)
     st = prep.column_stats(df, "x", p)
     var = float(np.nanmean(st.sd ** 2))
-    km = KM.kmeans_grid(df, list(Gs), seed, runs=1, max_iter=5)
+    km = KM.kmeans_grid(df, list(Gs), seed, runs=1, max_iter=100)
     starts = [MX.init_from_centers(km[G].centers, fam, var) for G in Gs for fam in families]
     return MX.em(df, starts, max_iter=iters, tol=1e-6)
 
 
-def bic_curve(spark: SparkSession, models: list[MX.Mixture]) -> DataFrame:
-    return MX.bic_table(spark, models)
+# --- nets (X20-X24) ---------------------------------------------------------------------
 
+@contextmanager
+def net_split(df: DataFrame, lv: DataFrame, seed: int, f: float = 0.8):
+    """(train, test) of the labelled rows, cached while the block runs: every training
+    step reads them."""
+    labelled = prep.with_label_ix(df, lv)
+    train, test = prep.split_frames(labelled, prep.train_test_split(labelled, f, seed))
+    with cached(train) as train, cached(test) as test:
+        yield train, test
 
-# --- nets (X20-X24) ---------------------------------------------------------------------
 
-def net_split(df: DataFrame, seed: int, f: float = 0.8):
-    split = prep.train_test_split(df, f, seed)
-    return prep.split_frames(df, split)
+def _mean_sd(raw: DataFrame, *keys: str) -> DataFrame:
+    return raw.groupBy(*keys).agg(F.avg("err").alias("error"), F.stddev_samp("err").alias("error_sd"))
 
 
 def net_error_by_dims(spark: SparkSession, df: DataFrame, dims, seeds, seed: int,
                       max_iter: int = 15) -> DataFrame:
-    """(dims, algo, error, error_sd, stage) over repeated fits."""
+    """(dims, algo, error, error_sd, stage) over repeated fits, on the input and on every
+    reduction (X22, M29, A17)."""
     lv = prep.levels(df)
-    c = lv.count()
-    p = tables.dims(df)
-    labelled = prep.with_label_ix(df, lv)
-    model = RD.pca_fit(df, p)
-    cells = [("N/A", p, labelled)]
+    c, rows, whole = lv.count(), [], True
     for d in dims:
-        cells.append(("PCA", d, prep.with_label_ix(RD.pca_transform(df, model, d), lv)))
-    rows = []
-    for algo, d, data in cells:
-        data = persist(data)
-        tr, te = net_split(data, seed)
-        for run, stage, err in NN.repeated_error(tr, te, d, c, seeds, max_iter):
-            rows.append((int(d), algo, int(run), stage, float(err)))
+        for algo, (data, width) in reductions(spark, df, d, seed).items():
+            if algo == "N/A" and not whole:
+                continue  # the same input for every d
+            whole = whole and algo != "N/A"
+            with net_split(data, lv, seed) as (tr, te):
+                rows += [(int(width), algo, int(run), stage, float(err))
+                         for run, stage, err in NN.repeated_error(tr, te, width, c, seeds, max_iter)]
     raw = spark.createDataFrame(rows, "dims INT, algo STRING, run INT, stage STRING, err DOUBLE")
-    return raw.groupBy("dims", "algo", "stage").agg(F.avg("err").alias("error"),
-                                                    F.stddev_samp("err").alias("error_sd"))
+    return _mean_sd(raw, "dims", "algo", "stage")
 
 
 def net_learning_by_dims(spark: SparkSession, df: DataFrame, dims, seed: int,
-                         iters: int = 5) -> DataFrame:
+                         iters: int = 100) -> DataFrame:
     """(idx, error, stage, dims): learning curves on the first d principal
     components and on the raw inputs ('N/A') (X21, M13 + M27 + M28)."""
     lv = prep.levels(df)
@@ -272,63 +280,52 @@ def net_learning_by_dims(spark: SparkSession, df: DataFrame, dims, seed: int,
     cells = [(str(d), d, RD.pca_transform(df, model, d)) for d in dims] + [("N/A", p, df)]
     rows = []
     for tag, d, data in cells:
-        data = persist(prep.with_label_ix(data, lv))
-        tr, te = net_split(data, seed)
-        rows += [(idx, float(err), stage, tag)
-                 for idx, err, stage in NN.learning_curve(tr, te, d, c, seed, iters=iters)]
+        with net_split(data, lv, seed) as (tr, te):
+            rows += [(idx, float(err), stage, tag)
+                     for idx, err, stage in NN.learning_curve(tr, te, d, c, seed, iters=iters)]
     return spark.createDataFrame(rows, "idx INT, error DOUBLE, stage STRING, dims STRING")
 
 
-def cluster_features(df: DataFrame, k: int, seed: int, kind: str = "kmeans") -> DataFrame:
-    """Cluster membership as net inputs: one-hot of the k-means cluster (P10) or
-    the soft assignment z (X23)."""
-    m = KM.kmeans(df, k, seed, runs=1, max_iter=10)
-    if kind == "kmeans":
-        a = KM.assign(df, m.centers, passthrough=("id", "label"))
-        return prep.one_hot(a, k, ix="cluster", out="x").select("id", F.col("x").cast("array<double>")
-                                                                 .alias("x"), "label")
-    return KM.soft_assign(df, m.centers).withColumnRenamed("z", "x")
+def cluster_inputs(spark: SparkSession, df: DataFrame, k: int, seed: int, family: str = "VVI"):
+    """Yields (inputs, algo, Features, width): cluster memberships as net inputs (one-hot
+    k-means clusters; posteriors of a fitted mixture), the raw inputs with them ('Both'),
+    and the raw inputs alone ('N/A') (X23, X24)."""
+    p = tables.dims(df)
+    m = KM.kmeans(df, k, seed, runs=10, max_iter=100)
+    hot = F.array(*[(F.col("cluster") == i).cast("double") for i in range(k)])
+    mix = mixture_grid(df, [k], [family], seed)[0]
+    members = {"kmeans": KM.assign(df, m.centers).select("id", hot.alias("x"), "label"),
+               "em": MX.posterior(df, mix).withColumnRenamed("z", "x")}
+    for algo, own in members.items():
+        both = own.join(df.select("id", F.col("x").alias("raw")), "id").select("id", F.concat("x", "raw").alias("x"), "label")
+        yield "Clusters", algo, own, k
+        yield "Both", algo, both, k + p
+    yield "N/A", "raw", df, p
 
 
 def net_on_clusters(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int,
                     max_iter: int = 15) -> DataFrame:
-    """(inputs, type, stage, error, error_sd): nets on cluster memberships,
-    on memberships plus the raw inputs ('Both'), and on raw inputs (X24)."""
+    """(inputs, type, stage, error, error_sd): repeated nets on each of :func:`cluster_inputs`."""
     lv = prep.levels(df)
-    c = lv.count()
-    p = tables.dims(df)
-    rows = []
-    for kind in ("kmeans", "em"):
-        cf = cluster_features(df, k, seed, kind)
-        both = cf.alias("a").join(df.alias("b"), "id").select(
-            "id", F.concat("a.x", "b.x").alias("x"), F.col("a.label").alias("label"))
-        for inputs, data, width in (("Clusters", cf, k), ("Both", both, k + p)):
-            data = persist(prep.with_label_ix(data, lv))
-            tr, te = net_split(data, seed)
-            for run, stage, err in NN.repeated_error(tr, te, width, c, seeds, max_iter):
-                rows.append((inputs, kind, stage, int(run), float(err)))
-    data = persist(prep.with_label_ix(df, lv))
-    tr, te = net_split(data, seed)
-    for run, stage, err in NN.repeated_error(tr, te, p, c, seeds, max_iter):
-        rows.append(("N/A", "raw", stage, int(run), float(err)))
+    c, rows = lv.count(), []
+    for inputs, kind, data, width in cluster_inputs(spark, df, k, seed):
+        with net_split(data, lv, seed) as (tr, te):
+            rows += [(inputs, kind, stage, int(run), float(err)) for run, stage, err in NN.repeated_error(tr, te, width, c, seeds, max_iter)]
     raw = spark.createDataFrame(rows, "inputs STRING, type STRING, stage STRING, run INT, err DOUBLE")
-    return raw.groupBy("inputs", "type", "stage").agg(F.avg("err").alias("error"),
-                                                      F.stddev_samp("err").alias("error_sd"))
+    return _mean_sd(raw, "inputs", "type", "stage")
 
 
 def net_cluster_learning_curve(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int,
-                               iters: int = 5) -> DataFrame:
-    """(idx, stage, algo, inputs, err_mean, err_sd): learning curves of nets fed
-    cluster memberships (one-hot k-means or soft EM-style z), mean / sd over runs (X23, A4)."""
+                               iters: int = 200) -> DataFrame:
+    """(idx, stage, algo, inputs, err_mean, err_sd): learning curves on each of
+    :func:`cluster_inputs`, mean / sd over runs (X23, A4)."""
     lv = prep.levels(df)
-    c = lv.count()
-    rows = []
-    for kind in ("kmeans", "em"):
-        data = persist(prep.with_label_ix(cluster_features(df, k, seed, kind), lv))
-        tr, te = net_split(data, seed)
-        for s in seeds:
-            for idx, err, stage in NN.learning_curve(tr, te, k, c, int(s), iters=iters):
-                rows.append((idx, stage, kind, "Clusters", int(s), float(err)))
+    c, rows = lv.count(), []
+    for inputs, kind, data, width in cluster_inputs(spark, df, k, seed):
+        with net_split(data, lv, seed) as (tr, te):
+            for s in seeds:
+                rows += [(idx, stage, kind, inputs, int(s), float(err))
+                         for idx, err, stage in NN.learning_curve(tr, te, width, c, int(s), iters=iters)]
     raw = spark.createDataFrame(rows, "idx INT, stage STRING, algo STRING, inputs STRING, run INT, err DOUBLE")
     return raw.groupBy("idx", "stage", "algo", "inputs").agg(F.avg("err").alias("err_mean"),
                                                              F.stddev_samp("err").alias("err_sd"))
@@ -341,18 +338,19 @@ def scala_sweep(spark: SparkSession, df: DataFrame, dims, ks, seed: int) -> Data
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
     p = tables.dims(df)
-    vec = persist(df.withColumn("v", array_to_vector("x")))
-    full = PCA(k=p, inputCol="v", outputCol="pc").fit(vec)  # fit once, slice per dims
     rows = []
-    for d in dims:
-        data = vec if d == 0 else full.transform(vec).withColumn(
-            "x", F.slice(vector_to_array("pc"), 1, d))
-        data = persist(data.select("id", "x", "label"))
-        for k in ks:
-            model, cost = KM.mllib_kmeans(data, k, seed)
-            pred = model.transform(data.withColumn("features", array_to_vector("x")))
-            var = scoring.cluster_label_variance(pred.withColumnRenamed("prediction", "cluster"))
-            for r in var.collect():  # k rows
-                rows.append((int(d), int(k), float(cost), int(r["cluster"]), int(r["n"]),
-                             float(r["label_var"])))
+    with cached(df.withColumn("v", array_to_vector("x"))) as vec:
+        full = PCA(k=p, inputCol="v", outputCol="pc").fit(vec)  # fit once, slice per dims
+        for d in dims:
+            data = vec if d == 0 else full.transform(vec).withColumn("x", F.slice(vector_to_array("pc"), 1, d))
+            with cached(data.select("id", "x", "label")) as data:
+                fits = {k: KM.mllib_kmeans(data, k, seed) for k in ks}
+                centres = {k: np.array(model.clusterCenters()) for k, (model, _) in fits.items()}
+                long = KM.assign_many(data, centres, passthrough=("label",))
+                m = long.groupBy("model", "cluster", "label").agg(F.count("*").alias("m"))
+                n = F.sum("m").over(Window.partitionBy("model", "cluster"))  # counts only
+                term = F.when(F.col("n") > 1, F.col("m") * (F.col("n") - F.col("m")) / (F.col("n") * (F.col("n") - 1))).otherwise(0.0)
+                var = m.withColumn("n", n).groupBy("model", "cluster").agg(F.first("n").alias("n"), F.sum(term).alias("v"))
+                rows += [(int(d), int(r["model"]), float(fits[r["model"]][1]), int(r["cluster"]), int(r["n"]), float(r["v"]))
+                         for r in var.collect()]  # one row per cluster
     return spark.createDataFrame(rows, "dims INT, k INT, cost DOUBLE, cluster INT, n BIGINT, label_var DOUBLE")

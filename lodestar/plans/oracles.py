@@ -59,9 +59,9 @@ CONF_SQ = ("confsq AS (SELECT lp.label AS predicted, la.label AS actual, lp.labe
 ORDERS = (
     "li AS (SELECT l_orderkey, sum(l_quantity) AS sum_qty, sum(l_extendedprice) AS sum_price, "
     "avg(l_discount) AS avg_disc, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey), "
-    "o AS (SELECT o_orderkey AS id, [CAST(o_totalprice AS DOUBLE), CAST(sum_qty AS DOUBLE), "
-    "CAST(sum_price AS DOUBLE), CAST(avg_disc AS DOUBLE), CAST(n_lines AS DOUBLE)] AS x "
-    "FROM orders JOIN li ON o_orderkey = l_orderkey), "
+    "o AS (SELECT o_orderkey AS id, [CAST(o_totalprice AS DOUBLE), CAST(coalesce(sum_qty, 0) AS DOUBLE), "
+    "CAST(coalesce(sum_price, 0) AS DOUBLE), CAST(coalesce(avg_disc, 0) AS DOUBLE), CAST(coalesce(n_lines, 0) AS DOUBLE)] AS x "
+    "FROM orders LEFT JOIN li ON o_orderkey = l_orderkey), "
     "ol AS (SELECT id, CAST(UNNEST(range(len(x))) AS INTEGER) AS j, UNNEST(x) AS v FROM o), "
     "ost AS (SELECT j, avg(v) AS m, stddev_samp(v) AS s FROM ol GROUP BY j)")
 
@@ -70,7 +70,7 @@ SQL: dict[str, str] = {}
 SQL["standardize_stats"] = with_(E, EL, ST) + (
     "SELECT j, round(m, 6) AS mean, round(s, 6) AS sd FROM st")
 
-SQL["standardized_features"] = BASE + "SELECT id, j, round(v, 6) AS v FROM sl WHERE j < 8"
+SQL["standardized_features"] = BASE + "SELECT id, j, round(v, 6) AS v FROM sl"
 
 SQL["standardize_orders"] = "WITH " + ORDERS + (
     " SELECT ol.id, ol.j, round(CASE WHEN ost.s IS NULL OR ost.s = 0 THEN 0.0 "
@@ -344,10 +344,10 @@ SUC = (
     "suc AS (SELECT j, CASE WHEN hx.h + hy.h > 0 THEN 2 * (hx.h + hy.h - hxy.h) / (hx.h + hy.h) "
     "ELSE 0.0 END AS su FROM hx JOIN hy USING (j) JOIN hxy USING (j))")
 
-SUP8 = (
-    "b8 AS (SELECT id, j, ntile(5) OVER (PARTITION BY j ORDER BY v, id) AS bin FROM el WHERE j < 8), "
-    "pc AS (SELECT a.j AS i, b.j AS j, a.bin AS bi, b.bin AS bj, count(*) AS c FROM b8 a "
-    "JOIN b8 b ON a.id = b.id AND a.j < b.j GROUP BY a.j, b.j, a.bin, b.bin), "
+SUP = (
+    "bp AS (SELECT id, j, ntile(5) OVER (PARTITION BY j ORDER BY v, id) AS bin FROM el), "
+    "pc AS (SELECT a.j AS i, b.j AS j, a.bin AS bi, b.bin AS bj, count(*) AS c FROM bp a "
+    "JOIN bp b ON a.id = b.id AND a.j < b.j GROUP BY a.j, b.j, a.bin, b.bin), "
     f"hi AS ({H('(SELECT i, j, bi, sum(c) AS c FROM pc GROUP BY i, j, bi)', 'i, j')}), "
     f"hj AS ({H('(SELECT i, j, bj, sum(c) AS c FROM pc GROUP BY i, j, bj)', 'i, j')}), "
     f"hij AS ({H('pc', 'i, j')}), "
@@ -356,34 +356,34 @@ SUP8 = (
 
 SQL["symmetric_uncertainty"] = with_(E, EL, SUC) + "SELECT j, round(su, 6) AS su FROM suc"
 
-SQL["feature_pair_uncertainty"] = with_(E, EL, SUP8) + "SELECT i, j, round(su, 6) AS su FROM sup"
+SQL["feature_pair_uncertainty"] = with_(E, EL, SUP) + "SELECT i, j, round(su, 6) AS su FROM sup"
 
-SQL["cfs_merit_greedy"] = with_(E, EL, SUC, SUP8, (
-    "c8 AS (SELECT * FROM suc WHERE j < 8)"), (
+SQL["cfs_merit_greedy"] = with_(E, EL, SUC, SUP, (
+    "sc1 AS (SELECT * FROM suc)"), (
     "sym AS (SELECT i, j, su FROM sup UNION ALL SELECT j AS i, i AS j, su FROM sup)"), (
-    "s1 AS (SELECT j AS f1, su AS m1 FROM c8 QUALIFY row_number() OVER (ORDER BY su DESC, j) = 1)"), (
+    "s1 AS (SELECT j AS f1, su AS m1 FROM sc1 QUALIFY row_number() OVER (ORDER BY su DESC, j) = 1)"), (
     "c2 AS (SELECT c.j AS f2, (a.su + c.su) / sqrt(2 + 2.0 * p.su) AS m2 FROM s1 "
-    "JOIN c8 a ON a.j = s1.f1 JOIN c8 c ON c.j <> s1.f1 JOIN sym p ON p.i = s1.f1 AND p.j = c.j)"), (
+    "JOIN sc1 a ON a.j = s1.f1 JOIN sc1 c ON c.j <> s1.f1 JOIN sym p ON p.i = s1.f1 AND p.j = c.j)"), (
     "s2 AS (SELECT * FROM c2 QUALIFY row_number() OVER (ORDER BY m2 DESC, f2) = 1)"), (
     "c3 AS (SELECT c.j AS f3, (a.su + b.su + c.su) / sqrt(3 + 2.0 * (p12.su + p13.su + p23.su)) AS m3 "
-    "FROM s1 CROSS JOIN s2 JOIN c8 a ON a.j = s1.f1 JOIN c8 b ON b.j = s2.f2 "
-    "JOIN c8 c ON c.j <> s1.f1 AND c.j <> s2.f2 JOIN sym p12 ON p12.i = s1.f1 AND p12.j = s2.f2 "
+    "FROM s1 CROSS JOIN s2 JOIN sc1 a ON a.j = s1.f1 JOIN sc1 b ON b.j = s2.f2 "
+    "JOIN sc1 c ON c.j <> s1.f1 AND c.j <> s2.f2 JOIN sym p12 ON p12.i = s1.f1 AND p12.j = s2.f2 "
     "JOIN sym p13 ON p13.i = s1.f1 AND p13.j = c.j JOIN sym p23 ON p23.i = s2.f2 AND p23.j = c.j)"), (
     "s3 AS (SELECT * FROM c3 QUALIFY row_number() OVER (ORDER BY m3 DESC, f3) = 1)")) + (
     "SELECT 1 AS step, f1 AS j, round(m1, 6) AS merit FROM s1 UNION ALL "
     "SELECT 2 AS step, f2 AS j, round(m2, 6) AS merit FROM s2 UNION ALL "
     "SELECT 3 AS step, f3 AS j, round(m3, 6) AS merit FROM s3")
 
-SQL["cfs_recon_error"] = with_(E, EL, ST, SL, SUC, SUP8, (
-    "c8 AS (SELECT * FROM suc WHERE j < 8)"), (
+SQL["cfs_recon_error"] = with_(E, EL, ST, SL, SUC, SUP, (
+    "sc1 AS (SELECT * FROM suc)"), (
     "sym AS (SELECT i, j, su FROM sup UNION ALL SELECT j AS i, i AS j, su FROM sup)"), (
-    "s1 AS (SELECT j AS f1, su AS m1 FROM c8 QUALIFY row_number() OVER (ORDER BY su DESC, j) = 1)"), (
+    "s1 AS (SELECT j AS f1, su AS m1 FROM sc1 QUALIFY row_number() OVER (ORDER BY su DESC, j) = 1)"), (
     "c2 AS (SELECT c.j AS f2, (a.su + c.su) / sqrt(2 + 2.0 * p.su) AS m2 FROM s1 "
-    "JOIN c8 a ON a.j = s1.f1 JOIN c8 c ON c.j <> s1.f1 JOIN sym p ON p.i = s1.f1 AND p.j = c.j)"), (
+    "JOIN sc1 a ON a.j = s1.f1 JOIN sc1 c ON c.j <> s1.f1 JOIN sym p ON p.i = s1.f1 AND p.j = c.j)"), (
     "s2 AS (SELECT * FROM c2 QUALIFY row_number() OVER (ORDER BY m2 DESC, f2) = 1)"), (
     "c3 AS (SELECT c.j AS f3, (a.su + b.su + c.su) / sqrt(3 + 2.0 * (p12.su + p13.su + p23.su)) AS m3 "
-    "FROM s1 CROSS JOIN s2 JOIN c8 a ON a.j = s1.f1 JOIN c8 b ON b.j = s2.f2 "
-    "JOIN c8 c ON c.j <> s1.f1 AND c.j <> s2.f2 JOIN sym p12 ON p12.i = s1.f1 AND p12.j = s2.f2 "
+    "FROM s1 CROSS JOIN s2 JOIN sc1 a ON a.j = s1.f1 JOIN sc1 b ON b.j = s2.f2 "
+    "JOIN sc1 c ON c.j <> s1.f1 AND c.j <> s2.f2 JOIN sym p12 ON p12.i = s1.f1 AND p12.j = s2.f2 "
     "JOIN sym p13 ON p13.i = s1.f1 AND p13.j = c.j JOIN sym p23 ON p23.i = s2.f2 AND p23.j = c.j)"), (
     "s3 AS (SELECT * FROM c3 QUALIFY row_number() OVER (ORDER BY m3 DESC, f3) = 1)"), (
     "sel AS (SELECT f1 AS j FROM s1 UNION ALL SELECT f2 FROM s2 UNION ALL SELECT f3 FROM s3)"), (
@@ -415,30 +415,35 @@ SQL["soft_label_confusion"] = with_(E, EL, ST, SL, LV, near(4), SOFT, (
 
 # --- EM, spherical common variance (EII), G = 2, 3 iterations ------------------
 
-def em_eii(iters: int, G: int = 2, p: int = 64) -> list[str]:
+def em_eii(iters: int, G: int = 2, p: int = 64, src: str = "sl") -> list[str]:
+    """EM iterations; r{iters} holds the posteriors under the final parameters."""
     ctes = [
         f"g0 AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS g "
-        f"FROM (SELECT DISTINCT id FROM sl) QUALIFY row_number() OVER (ORDER BY id) <= {G})",
-        "mu0 AS (SELECT g0.g, s.j, s.v AS mu FROM sl s JOIN g0 USING (id))",
+        f"FROM (SELECT DISTINCT id FROM {src}) QUALIFY row_number() OVER (ORDER BY id) <= {G})",
+        f"mu0 AS (SELECT g0.g, s.j, s.v AS mu FROM {src} s JOIN g0 USING (id))",
         f"pi0 AS (SELECT g, 1.0 / {G} AS pi FROM g0)",
         "var0 AS (SELECT 1.0 AS var)",
-        "nn AS (SELECT count(DISTINCT id) AS n FROM sl)",
+        f"nn AS (SELECT count(DISTINCT id) AS n FROM {src})",
     ]
-    for t in range(iters):
+    for t in range(iters + 1):
         u = t + 1
         ctes += [
-            f"ed{t} AS (SELECT s.id, m.g, sum((s.v - m.mu) * (s.v - m.mu)) AS d2 FROM sl s "
+            f"ed{t} AS (SELECT s.id, m.g, sum((s.v - m.mu) * (s.v - m.mu)) AS d2 FROM {src} s "
             f"JOIN mu{t} m USING (j) GROUP BY s.id, m.g)",
             f"lr{t} AS (SELECT ed.id, ed.g, ln(q.pi) - 0.5 * ({p} * ln(2 * pi()) + {p} * ln(v.var)) "
             f"- ed.d2 / (2 * v.var) AS l FROM ed{t} ed JOIN pi{t} q USING (g) CROSS JOIN var{t} v)",
             f"lm{t} AS (SELECT id, g, exp(l - max(l) OVER (PARTITION BY id)) AS e FROM lr{t})",
             f"r{t} AS (SELECT id, g, e / sum(e) OVER (PARTITION BY id) AS r FROM lm{t})",
+        ]
+        if t == iters:
+            break
+        ctes += [
             f"ng{t} AS (SELECT g, sum(r) AS ng FROM r{t} GROUP BY g)",
             f"mu{u} AS (SELECT r.g, s.j, sum(r.r * s.v) / max(n.ng) AS mu FROM r{t} r "
-            f"JOIN sl s USING (id) JOIN ng{t} n USING (g) GROUP BY r.g, s.j)",
+            f"JOIN {src} s USING (id) JOIN ng{t} n USING (g) GROUP BY r.g, s.j)",
             f"pi{u} AS (SELECT g, ng / (SELECT n FROM nn) AS pi FROM ng{t})",
             f"var{u} AS (SELECT sum(r.r * d.d2) / ((SELECT n FROM nn) * {p}) AS var FROM r{t} r "
-            f"JOIN (SELECT s.id, m.g, sum((s.v - m.mu) * (s.v - m.mu)) AS d2 FROM sl s "
+            f"JOIN (SELECT s.id, m.g, sum((s.v - m.mu) * (s.v - m.mu)) AS d2 FROM {src} s "
             f"JOIN mu{u} m USING (j) GROUP BY s.id, m.g) d USING (id, g))",
         ]
     return ctes
@@ -451,12 +456,12 @@ SQL["em_spherical"] = with_(E, EL, ST, SL, *em_eii(3)) + (
 # --- class scatter, contributions, learning-curve statistics ---------------------
 
 SQL["class_scatter"] = with_(E, EL, ST, SL, (
-    "s8 AS (SELECT * FROM sl WHERE j < 8)"), (
-    "cm AS (SELECT label, j, avg(v) AS m FROM s8 GROUP BY label, j)"), (
-    "gm AS (SELECT j, avg(v) AS m FROM s8 GROUP BY j)"), (
-    "cn AS (SELECT label, count(DISTINCT id) AS n FROM s8 GROUP BY label)"), (
-    "wi AS (SELECT a.j AS i, b.j AS j, sum((a.v - ca.m) * (b.v - cb.m)) AS w FROM s8 a "
-    "JOIN s8 b ON a.id = b.id JOIN cm ca ON ca.label = a.label AND ca.j = a.j "
+    "sa AS (SELECT * FROM sl)"), (
+    "cm AS (SELECT label, j, avg(v) AS m FROM sa GROUP BY label, j)"), (
+    "gm AS (SELECT j, avg(v) AS m FROM sa GROUP BY j)"), (
+    "cn AS (SELECT label, count(DISTINCT id) AS n FROM sa GROUP BY label)"), (
+    "wi AS (SELECT a.j AS i, b.j AS j, sum((a.v - ca.m) * (b.v - cb.m)) AS w FROM sa a "
+    "JOIN sa b ON a.id = b.id JOIN cm ca ON ca.label = a.label AND ca.j = a.j "
     "JOIN cm cb ON cb.label = a.label AND cb.j = b.j GROUP BY a.j, b.j)"), (
     "bw AS (SELECT ca.j AS i, cb.j AS j, sum(cn.n * (ca.m - ga.m) * (cb.m - gb.m)) AS b "
     "FROM cm ca JOIN cm cb ON ca.label = cb.label JOIN cn ON cn.label = ca.label "
@@ -488,8 +493,8 @@ ORD = (
     "li AS (SELECT l_orderkey, sum(l_quantity) AS sum_qty, sum(l_extendedprice) AS sum_price, "
     "avg(l_discount) AS avg_disc, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey), "
     "o AS (SELECT o_orderkey AS id, o_orderpriority AS label, [CAST(o_totalprice AS DOUBLE), "
-    "CAST(sum_qty AS DOUBLE), CAST(sum_price AS DOUBLE), CAST(avg_disc AS DOUBLE), "
-    "CAST(n_lines AS DOUBLE)] AS x FROM orders JOIN li ON o_orderkey = l_orderkey), "
+    "CAST(coalesce(sum_qty, 0) AS DOUBLE), CAST(coalesce(sum_price, 0) AS DOUBLE), CAST(coalesce(avg_disc, 0) AS DOUBLE), "
+    "CAST(coalesce(n_lines, 0) AS DOUBLE)] AS x FROM orders LEFT JOIN li ON o_orderkey = l_orderkey), "
     "ol AS (SELECT id, label, CAST(UNNEST(range(len(x))) AS INTEGER) AS j, UNNEST(x) AS v FROM o), "
     "ost AS (SELECT j, avg(v) AS m, stddev_samp(v) AS s FROM ol GROUP BY j), "
     "osl AS (SELECT ol.id, ol.label, ol.j, CASE WHEN ost.s IS NULL OR ost.s = 0 THEN 0.0 "
@@ -525,25 +530,28 @@ SQL["orders_split"] = with_(ORD) + (
     "SELECT id, row_number() OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) "
     "<= floor(0.8 * count(*) OVER ()) AS is_train FROM o")
 
-SQL["silhouette_squared_orders"] = with_(ORD, near(5, src="osl"), (
-    "cs AS (SELECT a.cluster, s.j, sum(s.v) AS sx FROM asg a JOIN osl s USING (id) "
-    "GROUP BY a.cluster, s.j)"), (
-    "cq AS (SELECT a.cluster, count(DISTINCT a.id) AS n, sum(s.v * s.v) AS q FROM asg a "
-    "JOIN osl s USING (id) GROUP BY a.cluster)"), (
-    "xx AS (SELECT id, sum(v * v) AS xsq FROM osl GROUP BY id)"), (
-    "xd AS (SELECT s.id, c.cluster, sum(s.v * c.sx) AS dt FROM osl s JOIN cs c USING (j) "
-    "GROUP BY s.id, c.cluster)"), (
-    "tt AS (SELECT xd.id, xd.cluster AS oc, greatest(cq.n * xx.xsq - 2 * xd.dt + cq.q, 0) AS t, cq.n "
-    "FROM xd JOIN xx USING (id) JOIN cq ON cq.cluster = xd.cluster)"), (
-    "md AS (SELECT tt.id, a.cluster, tt.oc, tt.n, CASE WHEN tt.oc = a.cluster THEN "
-    "(CASE WHEN tt.n > 1 THEN tt.t / (tt.n - 1) ELSE 0.0 END) ELSE tt.t / tt.n END AS m "
-    "FROM tt JOIN asg a USING (id))"), (
-    "nb AS (SELECT id, oc AS neighbour, m AS b FROM md WHERE oc <> cluster "
-    "QUALIFY row_number() OVER (PARTITION BY id ORDER BY m, oc) = 1)"), (
-    "aa AS (SELECT id, cluster, m AS a, n AS n_own FROM md WHERE oc = cluster)")) + (
-    "SELECT aa.id, aa.cluster, nb.neighbour, round(CASE WHEN aa.n_own <= 1 OR nb.b IS NULL THEN 0.0 "
-    "WHEN greatest(aa.a, nb.b) = 0 THEN 0.0 ELSE (nb.b - aa.a) / greatest(aa.a, nb.b) END, 6) AS s "
-    "FROM aa LEFT JOIN nb USING (id)")
+def silhouette_squared_sql(src: str, k: int) -> str:
+    """Per-row widths on squared distances from cluster moments about the mean; ``src`` is
+    standardised, so the moments need no shift.  Every row form is a list, so each part is read once."""
+    return ", ".join([
+        near(k, src=src),
+        f"rv AS (SELECT id, list(v ORDER BY j) AS x, sum(v * v) AS xsq FROM {src} GROUP BY id)",
+        f"cs AS (SELECT a.cluster, s.j, sum(s.v) AS sx FROM asg a JOIN {src} s USING (id) GROUP BY a.cluster, s.j)",
+        "cv AS (SELECT cluster, list(sx ORDER BY j) AS sx FROM cs GROUP BY cluster)",
+        "cq AS (SELECT a.cluster, count(*) AS n, sum(r.xsq) AS q FROM asg a JOIN rv r USING (id) GROUP BY a.cluster)",
+        "tt AS (SELECT r.id, cv.cluster AS oc, greatest(cq.n * r.xsq - 2 * list_inner_product(r.x, cv.sx) + cq.q, 0) AS t, cq.n "
+        "FROM rv r CROSS JOIN cv JOIN cq USING (cluster))",
+        "md AS (SELECT tt.id, a.cluster, tt.oc, tt.n, CASE WHEN tt.oc = a.cluster THEN "
+        "(CASE WHEN tt.n > 1 THEN tt.t / (tt.n - 1) ELSE 0.0 END) ELSE tt.t / tt.n END AS m FROM tt JOIN asg a USING (id))",
+        "sb AS (SELECT id, any_value(cluster) AS cluster, arg_min(oc, struct_pack(m := m, oc := oc)) FILTER (oc <> cluster) AS neighbour, "
+        "min(m) FILTER (oc <> cluster) AS b, max(m) FILTER (oc = cluster) AS a, max(n) FILTER (oc = cluster) AS n_own FROM md GROUP BY id)",
+    ]) + (
+        " SELECT id, cluster, neighbour, round(CASE WHEN n_own <= 1 OR b IS NULL THEN 0.0 "
+        "WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END, 6) AS s FROM sb")
+
+
+SQL["silhouette_squared_orders"] = "WITH " + ORD + ", " + silhouette_squared_sql("osl", 5)
+SQL["silhouette_squared_e"] = with_(E, EL, ST, SL).rstrip() + ", " + silhouette_squared_sql("sl", 4)
 
 SQL["part_cluster_confusion"] = with_(PRT, near(6, src="psl"), CNT, WIN, CELLS, CONF) + (
     "SELECT predicted, actual, n FROM conf")
@@ -576,32 +584,25 @@ def kmeans_err(asg: str, tag: str) -> str:
         f"/ sum(c.n) AS err FROM cnt{tag} c JOIN win{tag} w USING (cluster))")
 
 
-def soft_err(dd: str, tag: str) -> str:
-    """Soft-assignment label confusion error (C5-C7 → C4) as CTE ``se{tag}``."""
+def em_err_sql(src: str, p: int) -> str:
+    """Label error of the argmax of (EII posterior x class matrix), as a scalar subquery."""
     return (
-        f"zz{tag} AS (SELECT id, label, cluster, exp(min(d2) OVER (PARTITION BY id) - d2) AS e FROM {dd}), "
-        f"zp{tag} AS (SELECT id, label, cluster, e / sum(e) OVER (PARTITION BY id) AS z FROM zz{tag}), "
-        f"cs{tag} AS (SELECT cluster, label, sum(z) AS s FROM zp{tag} GROUP BY cluster, label), "
-        f"cm{tag} AS (SELECT cluster, label, s / sum(s) OVER (PARTITION BY cluster) AS p FROM cs{tag}), "
-        f"pl{tag} AS (SELECT zp.id, cm.label AS plabel, sum(zp.z * cm.p) AS prob FROM zp{tag} zp "
-        f"JOIN cm{tag} cm USING (cluster) GROUP BY zp.id, cm.label), "
-        f"pd{tag} AS (SELECT pl.id, pl.plabel FROM pl{tag} pl JOIN lv ON lv.label = pl.plabel "
-        f"QUALIFY row_number() OVER (PARTITION BY pl.id ORDER BY prob DESC, lv.label_ix) = 1), "
-        f"se{tag} AS (SELECT 1 - CAST(count_if(pd.plabel = e.label) AS DOUBLE) / count(*) AS err "
-        f"FROM pd{tag} pd JOIN e USING (id))")
-
-
-SQL["reduced_error_table"] = with_(E, EL, ST, SL, LV, sign_rows([4], 1), (
+        "(WITH " + ", ".join(em_eii(3, 4, p, src)) + ", "
+        "zp AS (SELECT r.id, e.label, r.g AS cluster, r.r AS z FROM r3 r JOIN e USING (id)), "
+        "cs AS (SELECT cluster, label, sum(z) AS s FROM zp GROUP BY cluster, label), "
+        "cm AS (SELECT cluster, label, s / sum(s) OVER (PARTITION BY cluster) AS p FROM cs), "
+        "pl AS (SELECT zp.id, cm.label AS plabel, sum(zp.z * cm.p) AS prob FROM zp JOIN cm USING (cluster) GROUP BY zp.id, cm.label), "
+        "pd AS (SELECT pl.id, pl.plabel FROM pl JOIN lv ON lv.label = pl.plabel "
+        "QUALIFY row_number() OVER (PARTITION BY pl.id ORDER BY prob DESC, lv.label_ix) = 1) "
+        "SELECT 1 - CAST(count_if(pd.plabel = e.label) AS DOUBLE) / count(*) FROM pd JOIN e USING (id))")
+
+
+SQL["error_table_cells"] = with_(E, EL, ST, SL, LV, sign_rows([4], 1), (
     "zl AS (SELECT s.id, s.label, pr.j, sum(s.v * pr.r) AS v FROM sl s JOIN pr ON pr.i = s.j "
     "GROUP BY s.id, s.label, pr.j)"),
-    near(10), near(10, src="zl", out="asgz", tag="z"),
-    near(4, src="sl", out="asg4", tag="4"), near(4, src="zl", out="asgz4", tag="z4"),
-    kmeans_err("asg", "a"), kmeans_err("asgz", "b"), soft_err("dd4", "c"), soft_err("ddz4", "d"), (
-    "cells AS (SELECT 'N/A' AS reduction, 'kmeans' AS method, err FROM kea UNION ALL "
-    "SELECT 'RCA', 'kmeans', err FROM keb UNION ALL SELECT 'N/A', 'em', err FROM sec UNION ALL "
-    "SELECT 'RCA', 'em', err FROM sed)")) + (
-    "SELECT reduction, round(max(CASE WHEN method = 'em' THEN err END), 6) AS em, "
-    "round(max(CASE WHEN method = 'kmeans' THEN err END), 6) AS kmeans FROM cells GROUP BY reduction")
+    near(10), near(10, src="zl", out="asgz", tag="z"), kmeans_err("asg", "a"), kmeans_err("asgz", "b")) + (
+    f"SELECT 'N/A' AS reduction, round({em_err_sql('sl', 64)}, 6) AS em, (SELECT round(err, 6) FROM kea) AS kmeans UNION ALL "
+    f"SELECT 'RCA' AS reduction, round({em_err_sql('zl', 4)}, 6) AS em, (SELECT round(err, 6) FROM keb) AS kmeans")
 
 
 def hashed_start_ctes(k: int, runs: int, seed: int = 42, src: str = "sl") -> list[str]:
@@ -668,3 +669,64 @@ SQL["kmeans_clusters"] = with_(
         "sa AS (SELECT k, avg(s) AS avg_s FROM sil GROUP BY k)")) + (
     "SELECT CAST(ws.k AS INTEGER) AS k, round(sa.avg_s, 6) AS avg_s, round(ws.within_ss, 6) AS within_ss, "
     "round(le.label_err, 6) AS label_err, 'E' AS test FROM ws JOIN sa USING (k) JOIN le USING (k)")
+
+
+# --- small operators on their own ------------------------------------------------------
+
+SQL["row_reductions"] = with_(E) + (
+    "SELECT id, round(list_sum(x), 6) AS total, round(list_min(x), 6) AS least, round(list_max(x), 6) AS most FROM e")
+
+SQL["selected_columns"] = (
+    "SELECT CAST(p_partkey AS BIGINT) AS id, CAST(p_size AS INTEGER) AS size, "
+    "round(CAST(p_retailprice AS DOUBLE) / p_size, 6) AS unit FROM part")
+
+SQL["priority_codes"] = (
+    "SELECT TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS code, "
+    "concat_ws('-', 'P', CAST(TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS VARCHAR)) AS name, count(*) AS n "
+    "FROM orders GROUP BY 1, 2")
+
+SQL["delimited_round_trip"] = (
+    "SELECT * FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS id, CAST(p_partkey AS BIGINT) AS key, "
+    "CAST(p_size AS INTEGER) AS size, round(CAST(p_retailprice AS DOUBLE), 6) AS price FROM part) WHERE id <> 392")
+
+SQL["split_label_counts"] = with_(E) + (
+    "SELECT CASE WHEN t THEN 'Train' ELSE 'Test' END AS side, label, count(*) AS n FROM (SELECT label, "
+    "row_number() OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) <= floor(0.8 * count(*) OVER ()) AS t FROM e) GROUP BY t, label")
+
+SQL["systematic_sample"] = (
+    "SELECT id FROM (SELECT CAST(o_orderkey AS BIGINT) AS id, row_number() OVER (ORDER BY o_orderkey) - 1 AS r FROM orders) WHERE r % 7 = 0")
+
+SQL["axis_min_dimension"] = with_(E, EL, ST, (
+    "cu AS (SELECT j, sum(s * s) OVER (ORDER BY j) AS cum, sum(s * s) OVER () AS tot FROM st)")) + (
+    "SELECT CAST(min(j) + 1 AS INTEGER) AS dims FROM cu WHERE cum > 0.9 * tot")
+
+SQL["pca_power_sums"] = with_(E, EL, (
+    "c AS (SELECT a.j AS i, b.j AS j, covar_samp(a.v, b.v) AS c FROM el a JOIN el b ON a.id = b.id GROUP BY a.j, b.j)"), (
+    "c2 AS (SELECT a.i, b.j, sum(a.c * b.c) AS c FROM c a JOIN c b ON a.j = b.i GROUP BY a.i, b.j)")) + (
+    "SELECT 1 AS power, round(sum(c), 6) AS total FROM c WHERE i = j UNION ALL "
+    "SELECT 2 AS power, round(sum(c), 6) AS total FROM c2 WHERE i = j UNION ALL "
+    "SELECT 3 AS power, round(sum(a.c * b.c), 6) AS total FROM c2 a JOIN c b ON a.j = b.i AND a.i = b.j")
+
+SQL["projection_best"] = with_(E, EL, ST, SL, sign_rows([2, 4], 10), PROJ_ERR) + (
+    "SELECT dims, run, round(err, 6) AS err FROM perr QUALIFY row_number() OVER (PARTITION BY dims ORDER BY err, run) = 1")
+
+SQL["projection_error_stats"] = with_(E, EL, ST, SL, sign_rows([2, 4], 10), PROJ_ERR) + (
+    "SELECT dims, round(avg(err), 6) AS err_mean, round(stddev_samp(err), 6) AS err_sd FROM perr GROUP BY dims")
+
+SQL["rca_sign_curve"] = with_(E, EL, ST, SL, sign_rows([2, 4], 10), PROJ_ERR) + (
+    "SELECT CAST(run + 1 AS INTEGER) AS iter, round(min(err) OVER (PARTITION BY dims ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND CURRENT ROW) / (SELECT count(*) FROM e), 6) AS err, dims, 'E' AS test FROM perr")
+
+SQL["em_spherical_components"] = with_(E, EL, ST, SL, *em_eii(3)) + (
+    "SELECT CAST(g AS INTEGER) AS component, CAST(j AS INTEGER) AS j, round(mu, 6) AS mean FROM mu3")
+
+
+def eii_bic_sql(G: int, p: int = 64) -> str:
+    """One row (numClusters, bic over n, family) from 3 iterations of the common-variance mixture."""
+    return (
+        "SELECT * FROM (WITH " + ", ".join(em_eii(3, G, p)) + ", "
+        "ll AS (SELECT id, max(l) + ln(sum(exp(l - mx))) AS ll FROM (SELECT id, l, max(l) OVER (PARTITION BY id) AS mx FROM lr3) GROUP BY id) "
+        f"SELECT {G} AS \"numClusters\", round((2 * sum(ll) - {G - 1 + G * p + 1} * ln(count(*))) / count(*), 6) AS bic, 'EII' AS family FROM ll)")
+
+
+SQL["em_spherical_bic"] = with_(E, EL, ST, SL) + eii_bic_sql(2) + " UNION ALL " + eii_bic_sql(3)

@@ -26,12 +26,12 @@ def standardize_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def standardized_features(spark: SparkSession, sf: str) -> DataFrame:
-    long = prep.to_long(std_e(spark, sf), d=8)
+    long = prep.to_long(std_e(spark, sf))
     return long.select("id", "j", r6("v").alias("v"))
 
 
 def standardize_orders(spark: SparkSession, sf: str) -> DataFrame:
-    o = prep.standardize(tables.features_orders(spark, sf).persist())
+    o = prep.standardize(tables.features_orders(spark, sf))
     return prep.to_long(o).select("id", "j", r6("v").alias("v"))
 
 
@@ -46,8 +46,7 @@ def one_hot_decode(spark: SparkSession, sf: str) -> DataFrame:
     lv, c = e_levels(e)
     wide = prep.one_hot(prep.with_label_ix(e, lv), c).select("id", "y")
     dec = prep.one_hot_decode(wide, "y", "label_ix")
-    from lodestar.functions.joins import bounded_broadcast
-    return dec.join(bounded_broadcast(lv), "label_ix").select("id", "label")
+    return dec.join(lv, "label_ix").select("id", "label")
 
 
 def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,7 +131,7 @@ QUERIES = {
 # --- iterative k-means (U oracles: first ids as starts, fixed iterations) ----
 
 def kmeans_lloyd(spark: SparkSession, sf: str) -> DataFrame:
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     m = KM.lloyd(s, [KM.first_rows(s, 4)], max_iter=3)[0]
     a = KM.assign(s, m.centers)
     return KM.cost_table(a).select("cluster", F.col("n").cast("bigint").alias("n"),
@@ -140,21 +139,18 @@ def kmeans_lloyd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmeans_sse_curve(spark: SparkSession, sf: str) -> DataFrame:
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     c = KM.sse_curve(s, [2, 4, 8], SEED, runs=1, max_iter=2, init="first")
     return c.select("k", r6("within_ss_mean").alias("within_ss_mean"))
 
 
 def cluster_label_error_curve(spark: SparkSession, sf: str) -> DataFrame:
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     lv, _ = e_levels(s)
     best = KM.kmeans_grid(s, [2, 4, 8], SEED, runs=1, max_iter=2, init="first")
-    parts = [scoring.label_error(KM.assign(s, m.centers), lv).select(F.lit(k).alias("k"), "err")
-             for k, m in sorted(best.items())]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out.select(F.col("k").cast("int").alias("k"), r6("err").alias("err"))
+    errs = _X().label_errors(s, {k: m.centers for k, m in best.items()}, lv)
+    df = spark.createDataFrame(sorted(errs.items()), "k INT, err DOUBLE")
+    return df.select("k", r6("err").alias("err"))
 
 
 # --- distance histograms ------------------------------------------------------
@@ -170,12 +166,11 @@ def distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_value_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    from lodestar.functions.joins import bounded_broadcast
     from lodestar.operators import histogram as H
     v = tables.features_events(spark, sf)
     v1 = v.select("label", F.col("x")[0].alias("value"))
-    means = v1.groupBy("label").agg(F.avg("value").alias("center"))
-    d = v1.join(bounded_broadcast(means), "label").select(
+    means = v1.groupBy(F.col("label").alias("of")).agg(F.avg("value").alias("center"))
+    d = v1.join(means, F.col("label").eqNullSafe(F.col("of"))).select(
         F.col("label").alias("class"), F.abs(F.col("value") - F.col("center")).alias("d"))
     h = H.cumulative_histogram(d, 500)
     return h.select("class", "bin", r6("mid").alias("mid"), r6("cum_prob").alias("cum_prob"))
@@ -194,20 +189,17 @@ def pairwise_silhouette(spark: SparkSession, sf: str) -> DataFrame:
 
 def silhouette_by_k(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import silhouette as SH
-    s = std_e(spark, sf).persist()
-    parts = []
-    for k in (2, 4):
-        a = KM.assign(s, KM.first_rows(s, k), passthrough=("id", "x"))
-        parts.append(SH.average_width(SH.silhouette_exact(a)).select(F.lit(k).alias("k"), "avg_width"))
-    return parts[0].unionByName(parts[1]).select(F.col("k").cast("int").alias("k"),
-                                                 r6("avg_width").alias("avg_width"))
+    s = std_e(spark, sf)
+    a = KM.assign_many(s, {k: KM.first_rows(s, k) for k in (2, 4)}, passthrough=("id", "x"))
+    w = SH.silhouette_many(a).groupBy("model").agg(F.avg("s").alias("avg_width"))
+    return w.select(F.col("model").cast("int").alias("k"), r6("avg_width").alias("avg_width"))
 
 
 # --- Gram / covariance / reconstruction error ---------------------------------
 
 def covariance_matrix(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import linalg as LA
-    e = tables.features_embeddings(spark, sf).persist()
+    e = tables.features_embeddings(spark, sf)
     st = prep.column_stats(e)
     mo = LA.moments(e, len(st.mean), shift=st.mean)
     return LA.matrix_frame(spark, mo.covariance(), "cov").select("i", "j", r6("cov").alias("cov"))
@@ -302,21 +294,24 @@ def symmetric_uncertainty(spark: SparkSession, sf: str) -> DataFrame:
 def feature_pair_uncertainty(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import select as SEL
     e = tables.features_embeddings(spark, sf)
-    su = SEL.su_feature_pairs(SEL.discretize(e, 5, label=None, d=8), 8, 5)
+    su = SEL.su_feature_pairs(SEL.discretize(e, 5, label=None), tables.dims(e), 5)
     return SEL.su_pairs_frame(spark, su).select("i", "j", r6("su").alias("su"))
 
 
-def cfs_merit_greedy(spark: SparkSession, sf: str) -> DataFrame:
+def _cfs_greedy(spark: SparkSession, sf: str, steps: int):
+    """Greedy merit over every feature of E."""
     import numpy as np
+    from lodestar.functions.caching import cached
     from lodestar.operators import select as SEL
     e = tables.features_embeddings(spark, sf)
-    binned = SEL.discretize(e, 5, d=8).persist()
-    su_c = np.zeros(8)
-    for r in SEL.su_feature_class(binned).collect():
-        su_c[r["j"]] = r["su"]
-    su_ff = SEL.su_feature_pairs(binned, 8, 5)
-    rows = SEL.greedy_forward(su_c, su_ff, 3)
-    df = spark.createDataFrame(rows, "step INT, j INT, merit DOUBLE")
+    with cached(SEL.discretize(e, 5)) as binned:
+        su = {r["j"]: r["su"] for r in SEL.su_feature_class(binned).collect()}
+        p = len(su)
+        return SEL.greedy_forward(np.array([su[j] for j in range(p)]), SEL.su_feature_pairs(binned, p, 5), steps)
+
+
+def cfs_merit_greedy(spark: SparkSession, sf: str) -> DataFrame:
+    df = spark.createDataFrame(_cfs_greedy(spark, sf, 3), "step INT, j INT, merit DOUBLE")
     return df.select("step", "j", r6("merit").alias("merit"))
 
 
@@ -342,10 +337,10 @@ def soft_label_confusion(spark: SparkSession, sf: str) -> DataFrame:
 
 def em_spherical(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     start = MX.init_from_centers(KM.first_rows(s, 2), "EII", var=1.0)
     m = MX.em(s, [start], max_iter=3, tol=0.0, reg=0.0)[0]
-    rows = [(g, float(m.weights[g]), float(m.covs[g][0, 0])) for g in range(m.G)]
+    rows = [(g, float(m.weights[g]), float(m.covs[g, 0])) for g in range(m.G)]
     df = spark.createDataFrame(rows, "component INT, weight DOUBLE, var DOUBLE")
     return df.select("component", r6("weight").alias("weight"), r6("var").alias("var"))
 
@@ -355,9 +350,9 @@ def em_spherical(spark: SparkSession, sf: str) -> DataFrame:
 def class_scatter(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import linalg as LA
     from lodestar.operators import reduce as RD
-    s = std_e(spark, sf).withColumn("x", F.slice("x", 1, 8))
+    s = std_e(spark, sf)
     lv, c = e_levels(s)
-    sc = RD.class_scatter(prep.with_label_ix(s, lv), 8, c)
+    sc = RD.class_scatter(prep.with_label_ix(s, lv), tables.dims(s), c)
     w = LA.matrix_frame(spark, sc.within, "within")
     b = LA.matrix_frame(spark, sc.between, "between")
     return w.join(b, ["i", "j"]).select("i", "j", r6("within").alias("within"),
@@ -368,12 +363,9 @@ def cumulative_contribution(spark: SparkSession, sf: str) -> DataFrame:
     """M18 with M = unit class-centroid directions (p x classes, level order)."""
     from lodestar.operators import reduce as RD
     s = std_e(spark, sf)
-    lv, c = e_levels(s)
-    p = tables.dims(s)
-    means = (prep.with_label_ix(s, lv).groupBy("label_ix")
-             .agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)]))
-    long = means.select(F.col("label_ix").alias("j"),
-                        F.posexplode(F.array(*[F.col(f"m{j}") for j in range(p)])).alias("i", "m"))
+    lv, _ = e_levels(s)
+    long = (prep.with_label_ix(s, lv).select(F.col("label_ix").alias("j"), F.posexplode("x").alias("i", "v"))
+            .groupBy("j", "i").agg(F.avg("v").alias("m")))
     norm = F.sqrt(F.sum(F.col("m") * F.col("m")).over(Window.partitionBy("j")))
     m_long = long.select(F.col("i").cast("int").alias("i"), "j", (F.col("m") / norm).alias("v"))
     return RD.contributions_frame(m_long).select("feature", "ind", r6("value").alias("value"))
@@ -420,106 +412,99 @@ def _X():
 
 
 def pca_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return _X().pca_scores(std_e(spark, sf).persist(), 2).select("id", "label", "j", r6("v").alias("v"))
+    return _X().pca_scores(std_e(spark, sf), 2).select("id", "label", "j", r6("v").alias("v"))
 
 
 def pca_explained(spark: SparkSession, sf: str) -> DataFrame:
-    ev = _X().pca_explained(spark, std_e(spark, sf).persist())
+    ev = _X().pca_explained(spark, std_e(spark, sf))
     return ev.select("component", r6("eigenvalue").alias("eigenvalue"), r6("share").alias("share"),
                      r6("cum_share").alias("cum_share"))
 
 
 def min_dimension(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import reduce as RD
-    ev = _X().pca_explained(spark, std_e(spark, sf).persist())
+    ev = _X().pca_explained(spark, std_e(spark, sf))
     return RD.min_dimension_frame(ev, 0.90).select(F.col("dims").cast("int").alias("dims"))
 
 
 def pca_recon_error(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().pca_recon_error(spark, std_e(spark, sf).persist(), "E")
+    e = _X().pca_recon_error(spark, std_e(spark, sf), "E")
     return e.select("dims", r6("err").alias("err"), "test")
 
 
 def pca_contribution(spark: SparkSession, sf: str) -> DataFrame:
-    c = _X().pca_contributions(spark, std_e(spark, sf).persist())
+    c = _X().pca_contributions(spark, std_e(spark, sf))
     return c.select("feature", "ind", r6("value").alias("value"))
 
 
 def mds_points(spark: SparkSession, sf: str) -> DataFrame:
-    """M31 re-aimed: classical MDS on Euclidean distances = the first PCA scores."""
-    return pca_scores(spark, sf)
+    """M31 re-aimed: classical MDS in two dimensions, placed from distances to the first 200 rows."""
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    z = RD.landmark_mds(s, KM.first_rows(s, 200), 2)
+    return z.select("id", "label", F.posexplode("z").alias("j", "v")).select(
+        "id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("v"))
 
 
 def ica_sources(spark: SparkSession, sf: str) -> DataFrame:
-    z = _X().ica_sources(std_e(spark, sf).persist(), 2, SEED)
+    z = _X().ica_sources(std_e(spark, sf), 2, SEED)
     return z.select("id", "label", "j", r6("v").alias("v"))
 
 
 def ica_recon_error(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().ica_recon_error(spark, std_e(spark, sf).persist(), [2, 4, 8], SEED, "E")
+    e = _X().ica_recon_error(spark, std_e(spark, sf), [2, 4, 8], SEED, "E")
     return e.select("dims", r6("err").alias("err"), "test")
 
 
 def rca_haar_best(spark: SparkSession, sf: str) -> DataFrame:
-    c = _X().rca_error_curve(spark, std_e(spark, sf).persist(), [4], 20, SEED, family="haar")
+    c = _X().rca_error_curve(spark, std_e(spark, sf), [4], 20, SEED, family="haar")
     return c.select("iter", r6("err").alias("err"), "dims", "test")
 
 
 def rca_error_curve(spark: SparkSession, sf: str) -> DataFrame:
-    c = _X().rca_error_curve(spark, std_e(spark, sf).persist(), [2, 4, 8], 10, SEED, family="haar")
+    c = _X().rca_error_curve(spark, std_e(spark, sf), [2, 4, 8], 10, SEED, family="haar")
     return c.select("iter", r6("err").alias("err"), "dims", "test")
 
 
 def rca_projected(spark: SparkSession, sf: str) -> DataFrame:
-    _, proj = _X().rca_best_projection(spark, std_e(spark, sf).persist(), 2, 20, SEED)
+    _, proj = _X().rca_best_projection(spark, std_e(spark, sf), 2, 20, SEED)
     return proj.select("id", "label", F.posexplode("x").alias("j", "v")).select(
         "id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("v"))
 
 
-def _pca10(spark: SparkSession, sf: str):
-    from lodestar.operators import reduce as RD
-    s = std_e(spark, sf).persist()
-    model = RD.pca_fit(s, tables.dims(s))
-    return RD.pca_transform(s, model, 10).persist()
-
-
 def gmm_bic_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """All fourteen families on the whole standardised table, fitted until the likelihood settles."""
     from lodestar.operators import mixture as MX
-    models = _X().mixture_grid(_pca10(spark, sf), [2, 3, 4], MX.FAMILIES, SEED, iters=15)
-    t = MX.bic_table(spark, models)
+    t = MX.bic_table(spark, _X().mixture_grid(std_e(spark, sf), [2, 3, 4], MX.FAMILIES, SEED))
     return t.select("numClusters", "family", r6("bic").alias("bic"))
 
 
 def gmm_best_bic(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
-    z = _pca10(spark, sf)
-    models = _X().mixture_grid(z, [2, 3, 4], MX.FAMILIES, SEED, iters=15)
-    n = models[0].n
-    b = scoring.best_bic(MX.bic_table(spark, models), n)
+    models = _X().mixture_grid(std_e(spark, sf), [2, 3, 4], MX.FAMILIES, SEED)
+    b = scoring.best_bic(MX.bic_table(spark, models), max(m.n for m in models))
     return b.select("numClusters", r6("bic").alias("bic"), "family")
 
 
 def gmm_components(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
-    z = _pca10(spark, sf)
-    m = _X().mixture_grid(z, [3], ["VVV"], SEED, iters=15)[0]
+    m = _X().mixture_grid(std_e(spark, sf), [3], ["VVI"], SEED)[0]
     return MX.components_frame(spark, m).select("component", r6("weight").alias("weight"),
                                                  "mean", "cov")
 
 
 def em_confusion(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
-    z = _pca10(spark, sf)
-    m = _X().mixture_grid(z, [4], ["VVI"], SEED, iters=15)[0]
-    soft = MX.posterior(z, m)
-    lv, c = e_levels(z)
-    return scoring.soft_label_confusion(soft, lv, m.G, c).select("predicted", "actual", "n")
+    s = std_e(spark, sf)
+    m = _X().mixture_grid(s, [4], ["VVI"], SEED)[0]
+    lv, c = e_levels(s)
+    return scoring.soft_label_confusion(MX.posterior(s, m), lv, m.G, c).select("predicted", "actual", "n")
 
 
 def lda_scores(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import linalg as LA
     from lodestar.operators import reduce as RD
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     lv, c = e_levels(s)
     p = tables.dims(s)
     sc = RD.class_scatter(prep.with_label_ix(s, lv), p, c)
@@ -532,33 +517,33 @@ def lda_scores(spark: SparkSession, sf: str) -> DataFrame:
 def rff_pca(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import reduce as RD
     s = std_e(spark, sf)
-    z = RD.rff_map(s, tables.dims(s), 128, 0.1, SEED).persist()
+    z = RD.rff_map(s, tables.dims(s), 128, 0.1, SEED)
     return _X().pca_scores(z, 2).select("id", "label", "j", r6("v").alias("v"))
 
 
 def reduced_kmeans_error(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().reduced_kmeans_error(spark, std_e(spark, sf).persist(), 4, [10], SEED)
+    e = _X().reduced_kmeans_error(spark, std_e(spark, sf), 4, [10], SEED)
     return e.select("k", r6("err").alias("err"), "dims", "algo")
 
 
 def reduced_sse_curve(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().reduced_sse_curve(spark, std_e(spark, sf).persist(), 4, [4, 8, 12], SEED)
+    e = _X().reduced_sse_curve(spark, std_e(spark, sf), 4, [4, 8, 12], SEED)
     return e.select("k", r6("within_ss_mean").alias("within_ss_mean"), "algo")
 
 
 def kmeans_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().kmeans_clusters(spark, std_e(spark, sf).persist(), [2, 4, 8], SEED, 2, 10, "E")
+    e = _X().kmeans_clusters(spark, std_e(spark, sf), [2, 4, 8], SEED, 2, 10, "E")
     return e.select("k", r6("avg_s").alias("avg_s"), r6("within_ss").alias("within_ss"),
                     r6("label_err").alias("label_err"), "test")
 
 
 def kmeans_silhouettes(spark: SparkSession, sf: str) -> DataFrame:
-    per = _X().kmeans_silhouettes(std_e(spark, sf).persist(), 4, SEED, runs=2, iters=10)
+    per = _X().kmeans_silhouettes(std_e(spark, sf), 4, SEED, runs=2, iters=10)
     return per.select("id", "cluster", "neighbour", r6("s").alias("s"))
 
 
 def kmeans_confusion_fitted(spark: SparkSession, sf: str) -> DataFrame:
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     m = KM.kmeans(s, 10, SEED, runs=2, max_iter=20)
     lv, c = e_levels(s)
     return scoring.cluster_confusion(KM.assign(s, m.centers), lv, c).select("predicted", "actual", "n")
@@ -568,20 +553,19 @@ def mlp_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import net as NN
     s = std_e(spark, sf)
     lv, c = e_levels(s)
-    data = prep.with_label_ix(s, lv).persist()
-    tr, te = _X().net_split(data, SEED)
-    rows = NN.learning_curve(tr, te, tables.dims(s), c, SEED, iters=8)
+    with _X().net_split(s, lv, SEED) as (tr, te):
+        rows = NN.learning_curve(tr, te, tables.dims(s), c, SEED, iters=8)
     df = spark.createDataFrame(rows, "idx INT, error DOUBLE, stage STRING")
     return df.select("idx", r6("error").alias("error"), "stage")
 
 
 def mlp_error_by_dims(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_error_by_dims(spark, std_e(spark, sf).persist(), [5, 10], [1, 2], SEED, 15)
+    e = _X().net_error_by_dims(spark, std_e(spark, sf), [5], [1, 2], SEED, 15)
     return e.select("dims", "algo", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"))
 
 
 def mlp_on_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_on_clusters(spark, std_e(spark, sf).persist(), 10, [1, 2], SEED, 15)
+    e = _X().net_on_clusters(spark, std_e(spark, sf), 10, [1, 2], SEED, 15)
     return e.select("inputs", "type", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"))
 
 
@@ -590,14 +574,9 @@ def cfs_selection(spark: SparkSession, sf: str) -> DataFrame:
     import numpy as np
     from lodestar.operators import linalg as LA
     from lodestar.operators import select as SEL
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     p = tables.dims(s)
-    binned = SEL.discretize(s, 5).persist()
-    su_c = np.zeros(p)
-    for r in SEL.su_feature_class(binned).collect():
-        su_c[r["j"]] = r["su"]
-    su_ff = SEL.su_feature_pairs(binned.drop("label"), p, 5)
-    keep = SEL.best_first(su_c, su_ff)
+    keep = _X().cfs_subset(s, p)
     mo = LA.moments(s, p)
     tot, per = SEL.dropped_feature_error(np.diag(mo.gram()), keep, mo.n)
     rows = [(len(keep), [int(j) for j in keep], tot, per)]
@@ -647,6 +626,7 @@ QUERIES.update({
     "mlp_on_clusters": mlp_on_clusters,
     "cfs_selection": cfs_selection,
     "scala_sweep": scala_sweep,
+    "silhouette_squared_e": silhouette_squared_e,
 })
 
 
@@ -654,7 +634,7 @@ QUERIES.update({
 
 def _std_orders(spark: SparkSession, sf: str) -> DataFrame:
     # the lineitem aggregate ⋈ orders runs once: the stats pass fills the cache
-    return prep.standardize(tables.features_orders(spark, sf).persist())
+    return prep.standardize(tables.features_orders(spark, sf))
 
 
 def kmeans_orders_lloyd(spark: SparkSession, sf: str) -> DataFrame:
@@ -683,7 +663,7 @@ def silhouette_squared_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def part_cluster_confusion(spark: SparkSession, sf: str) -> DataFrame:
-    pt = prep.standardize(tables.features_part(spark, sf)).persist()
+    pt = prep.standardize(tables.features_part(spark, sf))
     a, _ = near(pt, 6)
     lv, c = e_levels(pt)
     return scoring.cluster_confusion(a, lv, c).select("predicted", "actual", "n")
@@ -692,7 +672,7 @@ def part_cluster_confusion(spark: SparkSession, sf: str) -> DataFrame:
 def spectrum_by_algo(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import linalg as LA
     from lodestar.operators import reduce as RD
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     z = LA.project(s, RD.sign_matrix(tables.dims(s), 4, SEED, 0), passthrough=("id", "label"))
     a1, _ = near(s, 10)
     a2, _ = near(z, 10)
@@ -702,19 +682,27 @@ def spectrum_by_algo(spark: SparkSession, sf: str) -> DataFrame:
                                                              r6("share").alias("share"))
 
 
-def reduced_error_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Error rate per reduction (rows) and method (columns)."""
+def reduced_spectrum(spark: SparkSession, sf: str) -> DataFrame:
+    """Cluster sizes of fitted k-means on the input and all four reductions."""
+    return _X().reduced_spectrum(spark, std_e(spark, sf), 4, 10, SEED).select(
+        "algo", "idx", "cluster", "size", r6("share").alias("share"))
+
+
+def error_table_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """X9 / P20 cells with given models: k-means on the first 10 rows as centres, EM as 3
+    iterations of a common-variance mixture from the first 4 rows, on E and its sign projection."""
     from lodestar.operators import linalg as LA
+    from lodestar.operators import mixture as MX
     from lodestar.operators import reduce as RD
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     lv, c = e_levels(s)
-    z = LA.project(s, RD.sign_matrix(tables.dims(s), 4, SEED, 0), passthrough=("id", "label")).persist()
+    z = LA.project(s, RD.sign_matrix(tables.dims(s), 4, SEED, 0), passthrough=("id", "label"))
     cells = None
     for red, data in (("N/A", s), ("RCA", z)):
         a, _ = near(data, 10)
         km = scoring.confusion_error(scoring.cluster_confusion(a, lv, c))
-        soft = KM.soft_assign(data, KM.first_rows(data, 4))
-        em = scoring.confusion_error(scoring.soft_label_confusion(soft, lv, 4, c))
+        m = MX.em(data, [MX.init_from_centers(KM.first_rows(data, 4), "EII", 1.0)], max_iter=3, tol=0.0, reg=0.0)[0]
+        em = scoring.confusion_error(scoring.soft_label_confusion(MX.posterior(data, m), lv, 4, c))
         part = (km.select(F.lit(red).alias("reduction"), F.lit("kmeans").alias("method"), "err")
                 .unionByName(em.select(F.lit(red).alias("reduction"), F.lit("em").alias("method"), "err")))
         cells = part if cells is None else cells.unionByName(part)
@@ -722,9 +710,15 @@ def reduced_error_table(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("reduction", r6("em").alias("em"), r6("kmeans").alias("kmeans"))
 
 
+def reduced_error_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Error of a fitted mixture and of fitted k-means on the input and all four reductions."""
+    t = _X().reduced_error_table(spark, std_e(spark, sf), 4, 10, 4, "VVI", SEED)
+    return t.select("reduction", r6("em").alias("em"), r6("kmeans").alias("kmeans"))
+
+
 def label_variance_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """X25 at dims = 0: per k and cluster, size and summed label variance."""
-    s = std_e(spark, sf).persist()
+    s = std_e(spark, sf)
     best = KM.kmeans_grid(s, [5, 10], SEED, runs=1, max_iter=2, init="first")
     out = None
     for k, m in sorted(best.items()):
@@ -741,23 +735,20 @@ QUERIES.update({
     "silhouette_squared_orders": silhouette_squared_orders,
     "part_cluster_confusion": part_cluster_confusion,
     "spectrum_by_algo": spectrum_by_algo,
+    "reduced_spectrum": reduced_spectrum,
+    "error_table_cells": error_table_cells,
     "reduced_error_table": reduced_error_table,
     "label_variance_sweep": label_variance_sweep,
 })
 
 
 def cfs_recon_error(spark: SparkSession, sf: str) -> DataFrame:
-    """Error of keeping only the 3 CFS-chosen features (greedy merit over
-    the first 8) — Σ x² over every dropped feature of standardised E, total and per row."""
+    """Error of keeping only the 3 features that greedy merit chooses among all —
+    Σ x² over every dropped feature of standardised E, total and per row."""
     import numpy as np
     from lodestar.operators import linalg as LA
     from lodestar.operators import select as SEL
-    e = tables.features_embeddings(spark, sf)
-    binned = SEL.discretize(e, 5, d=8).persist()
-    su_c = np.zeros(8)
-    for r in SEL.su_feature_class(binned).collect():
-        su_c[r["j"]] = r["su"]
-    keep = [j for _, j, _ in SEL.greedy_forward(su_c, SEL.su_feature_pairs(binned, 8, 5), 3)]
+    keep = [j for _, j, _ in _cfs_greedy(spark, sf, 3)]
     s = std_e(spark, sf)
     mo = LA.moments(s, tables.dims(s))
     tot, per = SEL.dropped_feature_error(np.diag(mo.gram()), keep, mo.n)
@@ -769,15 +760,15 @@ QUERIES["cfs_recon_error"] = cfs_recon_error
 
 
 def reduced_em_bic(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().reduced_em_bic(spark, std_e(spark, sf).persist(), 4, [2, 4], ["VVI", "VVV"], SEED)
-    return e.select("algo", "numClusters", "family", r6("bic").alias("bic"))
+    e = _X().reduced_em_bic(spark, std_e(spark, sf), 4, [2, 4], ["VVI", "VVV"], SEED)
+    return e.select("algo", "numClusters", "family", r6("bic").alias("bic"), "converged")
 
 
 QUERIES["reduced_em_bic"] = reduced_em_bic
 
 
 def mlp_cluster_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_cluster_learning_curve(spark, std_e(spark, sf).persist(), 10, [1, 2], SEED, iters=4)
+    e = _X().net_cluster_learning_curve(spark, std_e(spark, sf), 10, [1, 2], SEED, iters=4)
     return e.select("idx", "stage", "algo", "inputs", r6("err_mean").alias("err_mean"),
                     r6("err_sd").alias("err_sd"))
 
@@ -786,8 +777,136 @@ QUERIES["mlp_cluster_learning_curve"] = mlp_cluster_learning_curve
 
 
 def mlp_learning_by_dims(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_learning_by_dims(spark, std_e(spark, sf).persist(), [5, 10], SEED, iters=4)
+    e = _X().net_learning_by_dims(spark, std_e(spark, sf), [5, 10], SEED, iters=4)
     return e.select("idx", r6("error").alias("error"), "stage", "dims")
 
 
 QUERIES["mlp_learning_by_dims"] = mlp_learning_by_dims
+
+
+# --- small operators on their own ------------------------------------------------------
+
+def row_reductions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sum, least and greatest entry of every vector."""
+    from lodestar.functions import vectors as V
+    e = tables.features_embeddings(spark, sf)
+    return e.select("id", r6(V.row_sum("x")).alias("total"), r6(F.array_min("x")).alias("least"), r6(F.array_max("x")).alias("most"))
+
+
+def selected_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 columns by list, P3 columns dropped by membership, P5 all renamed, P7 one removed."""
+    t = tables.read_table(spark, sf, "part")
+    wanted = [c for c in ("p_partkey", "p_type", "p_size", "p_retailprice") if c in t.columns]
+    unwanted = {"p_type"}
+    t = t.select(*wanted)
+    t = t.select(*[c for c in t.columns if c not in unwanted])
+    t = t.toDF("id", "size", "price").withColumn("unit", F.col("price") / F.col("size")).drop("price")
+    return t.select(F.col("id").cast("bigint").alias("id"), F.col("size").cast("int").alias("size"), r6("unit").alias("unit"))
+
+
+def priority_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 substring, F3 string to int, F4 paste: orders per leading digit of the priority."""
+    from lodestar.sources import text
+    o = tables.read_table(spark, sf, "orders")
+    return (o.groupBy(text.number_at("o_orderpriority", 1, 1).alias("code")).agg(F.count("*").alias("n"))
+            .select("code", F.concat_ws("-", F.lit("P"), F.col("code").cast("string")).alias("name"), "n"))
+
+
+def delimited_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Part written as header-less tab-separated files in key order, read
+    back with a declared schema and line numbers, one line dropped by its number."""
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from lodestar.session import ensure_checkpoint_dir
+    from lodestar.sources import text
+    folder = f"{ensure_checkpoint_dir(spark)}/tsv-{uuid.uuid4()}"
+    p = tables.read_table(spark, sf, "part").select("p_partkey", "p_size", F.col("p_retailprice").cast("double").alias("p_retailprice"))
+    p.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey").write.option("sep", "\t").csv(folder)
+    schema = text.schema_of(["key", "size", "price"], [T.LongType(), T.IntegerType(), T.DoubleType()])
+    back = text.read_headerless(spark, folder, "\t", schema)
+    return back.filter(F.col("id") != text.FAULTS_OUTLIER_ROW).select("id", "key", "size", r6("price").alias("price"))
+
+
+def split_label_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per label of the training (semi join) and test (anti join) side."""
+    e = tables.features_embeddings(spark, sf)
+    tr, te = prep.split_frames(e, prep.train_test_split(e, 0.8, SEED))
+    side = lambda df, name: df.groupBy("label").agg(F.count("*").alias("n")).select(F.lit(name).alias("side"), "label", "n")
+    return side(tr, "Train").unionByName(side(te, "Test"))
+
+
+def systematic_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Every 7th order by key."""
+    o = tables.read_table(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint").alias("id"))
+    return prep.systematic_sample(o, 7)
+
+
+def axis_min_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """M16, O2 on the coordinate axes: how many coordinates of E hold over 90 % of the variance, in order."""
+    from lodestar.operators import reduce as RD
+    st = prep.stats_frame(tables.features_embeddings(spark, sf))
+    ev = st.select((F.col("j") + 1).alias("component"), (F.col("sd") * F.col("sd")).alias("eigenvalue"))
+    return RD.min_dimension_frame(ev, 0.90).select(F.col("dims").cast("int").alias("dims"))
+
+
+def pca_power_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Σ λ, Σ λ², Σ λ³ of the principal components of E, which must equal tr C, tr C², tr C³."""
+    from lodestar.operators import reduce as RD
+    e = tables.features_embeddings(spark, sf)
+    lam = RD.pca_fit(e, tables.dims(e)).eigenvalues
+    df = spark.createDataFrame([(k, float((lam ** k).sum())) for k in (1, 2, 3)], "power INT, total DOUBLE")
+    return df.select("power", r6("total").alias("total"))
+
+
+def projection_best(spark: SparkSession, sf: str) -> DataFrame:
+    """The best of 10 sign projections per dims."""
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    best = RD.best_run(RD.projection_errors(spark, LA.gram(s, tables.dims(s)), [2, 4], 10, SEED, family="sign"))
+    return best.select("dims", "run", r6("err").alias("err"))
+
+
+def projection_error_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean and sd of the projection error over runs."""
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    e = RD.projection_errors(spark, LA.gram(s, tables.dims(s)), [2, 4], 10, SEED, family="sign")
+    return e.groupBy("dims").agg(F.avg("err").alias("m"), F.stddev_samp("err").alias("s")).select(
+        "dims", r6("m").alias("err_mean"), r6("s").alias("err_sd"))
+
+
+def rca_sign_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """X18 with sign projections: running best error per row."""
+    c = _X().rca_error_curve(spark, std_e(spark, sf), [2, 4], 10, SEED, family="sign")
+    return c.select("iter", r6("err").alias("err"), "dims", "test")
+
+
+def em_spherical_components(spark: SparkSession, sf: str) -> DataFrame:
+    """Component means after 3 iterations of the common-variance mixture."""
+    import numpy as np
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import mixture as MX
+    s = std_e(spark, sf)
+    m = MX.em(s, [MX.init_from_centers(KM.first_rows(s, 2), "EII", var=1.0)], max_iter=3, tol=0.0, reg=0.0)[0]
+    df = LA.matrix_frame(spark, np.asarray(m.means), "mean")
+    return df.select(F.col("i").alias("component"), "j", r6("mean").alias("mean"))
+
+
+def em_spherical_bic(spark: SparkSession, sf: str) -> DataFrame:
+    """Best BIC per number of components over n, a failed family skipped."""
+    from lodestar.operators import mixture as MX
+    s = std_e(spark, sf)
+    starts = [MX.init_from_centers(KM.first_rows(s, g), "EII", var=1.0) for g in (2, 3)]
+    failed = [MX.init_from_centers(KM.first_rows(s, g), "EEE", var=-1.0) for g in (2, 3)]  # no covariance: null BIC
+    models = MX.em(s, starts + failed, max_iter=3, tol=0.0, reg=0.0)
+    b = scoring.best_bic(MX.bic_table(spark, models), models[0].n)
+    return b.select("numClusters", r6("bic").alias("bic"), "family")
+
+
+QUERIES.update({f.__name__: f for f in (
+    row_reductions, selected_columns, priority_codes, delimited_round_trip, split_label_counts, systematic_sample, axis_min_dimension,
+    pca_power_sums, projection_best, projection_error_stats, rca_sign_curve, em_spherical_components, em_spherical_bic)})

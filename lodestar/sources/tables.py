@@ -7,7 +7,7 @@ Bindings (see SURVEY §1.3):
 * ``O`` orders ⋈ lineitem aggregated per order: x = (o_totalprice, sum qty,
   sum extended price, avg discount, line count), label = o_orderpriority.
   lineitem is pre-aggregated per order key before the join, so the join is
-  order-to-order and never multiplies rows.
+  order-to-order and never multiplies rows; an order without lines has zeros.
 * ``V`` events: id = event_id, x = (value), label = event_type.
 """
 
@@ -34,10 +34,9 @@ def features_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    return remember_dims(p.select(F.col("p_partkey").cast("bigint").alias("id"),
-                                  F.array(F.col("p_size").cast("double"),
-                                          F.col("p_retailprice").cast("double")).alias("x"),
-                                  F.col("p_type").alias("label")), 2)
+    return p.select(F.col("p_partkey").cast("bigint").alias("id"),
+                    F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double")).alias("x"),
+                    F.col("p_type").alias("label"))
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,20 +53,19 @@ def features_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice",
                                                    "o_orderpriority")
     lines = order_lines(spark, sf_dir)
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey)
-    return remember_dims(j.select(
+    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")  # an order without lines counts as zeros
+    zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    return j.select(
         F.col("o_orderkey").cast("bigint").alias("id"),
-        F.array(F.col("o_totalprice").cast("double"), F.col("sum_qty").cast("double"),
-                F.col("sum_price").cast("double"), F.col("avg_disc").cast("double"),
-                F.col("n_lines").cast("double")).alias("x"),
-        F.col("o_orderpriority").alias("label")), 5)
+        F.array(F.col("o_totalprice").cast("double"), zero("sum_qty"), zero("sum_price"), zero("avg_disc"),
+                zero("n_lines")).alias("x"),
+        F.col("o_orderpriority").alias("label"))
 
 
 def features_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = read_table(spark, sf_dir, "events")
-    return remember_dims(v.select(F.col("event_id").cast("bigint").alias("id"),
-                                  F.array(F.col("value").cast("double")).alias("x"),
-                                  F.col("event_type").alias("label")), 1)
+    return v.select(F.col("event_id").cast("bigint").alias("id"), F.array(F.col("value").cast("double")).alias("x"),
+                    F.col("event_type").alias("label"))
 
 
 BINDINGS = {
@@ -82,32 +80,7 @@ def features(spark: SparkSession, sf_dir: str, binding: str = "E") -> DataFrame:
     return BINDINGS[binding](spark, sf_dir)
 
 
-_DIMS: dict = {}
-
-
-def _plan_key(df: DataFrame, x: str):
-    try:
-        return (df.semanticHash(), x)
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def remember_dims(df: DataFrame, p: int, x: str = "x") -> DataFrame:
-    """Record the vector width of ``df`` (keyed by its canonical plan) so later
-    operators need no job to learn it."""
-    k = _plan_key(df, x)
-    if k is not None:
-        _DIMS[k] = int(p)
-    return df
-
-
 def dims(df: DataFrame, x: str = "x") -> int:
-    """Vector width: recorded by the binding / standardiser, else read from one row."""
-    k = _plan_key(df, x)
-    if k is not None and k in _DIMS:
-        return _DIMS[k]
+    """Vector width, read from one row (0 for an empty frame)."""
     r = df.select(F.size(x).alias("p")).limit(1).collect()
-    p = int(r[0]["p"]) if r else 0
-    if k is not None:
-        _DIMS[k] = p
-    return p
+    return int(r[0]["p"]) if r else 0

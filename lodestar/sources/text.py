@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions.ranking import with_positional_index
+from lodestar.functions.ranking import with_line_numbers
 
 # Column layout of the steel-plates faults file (27 inputs then
 # 7 one-hot fault labels) and of the letter-recognition file.
@@ -31,7 +31,7 @@ def read_names(spark: SparkSession, path: str) -> list[str]:
 
     A names file has one line per column, so it is small by construction.
     """
-    rows = with_positional_index(spark.read.text(path), stable=True).orderBy("pos").collect()
+    rows = with_line_numbers(spark.read.text(path), name="pos").orderBy("pos").collect()
     return [r["value"].strip() for r in rows if r["value"].strip()]
 
 
@@ -43,13 +43,13 @@ def read_headerless(spark: SparkSession, path: str, sep: str, schema: T.StructTy
                     with_ids: bool = True) -> DataFrame:
     """Headerless scan with a declared schema (S1, S3); ``id`` = 1-based line number.
 
-    Line numbers come from the file order: per-partition counts give each
-    split's offset, so no row ever leaves its task.
+    Line numbers follow the file order (paths ascending, then lines): counts per
+    split give its offset, so no row ever leaves its task.
     """
     df = spark.read.csv(path, sep=sep, header=False, schema=schema, mode="FAILFAST")
     if not with_ids:
         return df
-    return with_positional_index(df, name="id", start=1, stable=True)
+    return with_line_numbers(df)
 
 
 def faults_schema(names: Sequence[str]) -> T.StructType:
@@ -99,11 +99,17 @@ def letters_features(df: DataFrame) -> DataFrame:
 
 def read_space_vectors(spark: SparkSession, path: str) -> DataFrame:
     """Space-separated numeric rows → (id, x) (F5: split + numeric parse)."""
-    lines = with_positional_index(spark.read.text(path), name="id", start=1, stable=True)
+    lines = with_line_numbers(spark.read.text(path))
     return (lines.filter(F.length(F.trim("value")) > 0)
             .select("id", F.split(F.trim("value"), r"\s+").cast("array<double>").alias("x")))
 
 
+def number_at(c, start: int, length: int):
+    """The integer written at 1-based position ``start`` of a text column (F2 substring,
+    F3 string to int); null when those characters are no integer."""
+    return F.substring(c, start, length).try_cast("int")
+
+
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """Persist and count in one pass."""
     from pyspark import StorageLevel

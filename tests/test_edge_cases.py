@@ -3,7 +3,7 @@ exactly collinear columns."""
 
 import numpy as np
 
-from conftest import collect_matrix, features_from
+from conftest import features_from
 from lodestar.operators import kmeans as KM
 from lodestar.operators import linalg as LA
 from lodestar.operators import mixture as MX
@@ -105,15 +105,3 @@ def test_letters_shaped_pipeline(spark, tmp_path):
     assert err < 0.5                      # well separated prototypes: clusters recover letters
     conf = scoring.cluster_confusion(KM.assign(s, m.centers), lv, 26)
     assert conf.agg({"n": "sum"}).collect()[0][0] == 780
-
-
-def test_wide_standardize_kernel_matches_expressions(spark, monkeypatch):
-    from lodestar.operators import prep
-    rng = np.random.default_rng(4)
-    X = rng.normal(3.0, 2.0, size=(50, 6))
-    X[:, 2] = 1.0                                   # constant column → 0.0 in both paths
-    df = features_from(spark, X)
-    narrow = collect_matrix(prep.standardize(df))[1]
-    monkeypatch.setattr(prep, "WIDE_VECTOR", 2)
-    wide = collect_matrix(prep.standardize(df))[1]
-    assert np.allclose(narrow, wide, atol=1e-12) and np.allclose(wide[:, 2], 0.0)

@@ -135,16 +135,52 @@ def test_histogram_brute_force(spark):
         assert np.allclose(g, want)
 
 
-def test_toy_file_golden(spark):
-    import os
-    from conftest import REF
+def test_toy_file_golden(spark, tmp_path):
     from lodestar.sources import text
-    path = os.path.join(REF, "scala_defunct", "kmeans_data.txt")
-    if not os.path.exists(path):
-        pytest.skip("toy file absent")
-    df = text.read_space_vectors(spark, path)
+    path = tmp_path / "blobs.txt"
+    path.write_text("".join(" ".join(map(str, r)) + "\n" for r in BLOBS))
+    df = text.read_space_vectors(spark, str(path))
     _, X = collect_matrix(df)
     m = KM.lloyd(df, [X[[0, 3]]], max_iter=10)[0]
-    assert sorted(m.sizes.tolist()) == [3.0, 3.0]
+    assert sorted(m.sizes.tolist()) == [3.0, 3.0] and m.converged
     assert np.allclose(sorted(m.centers[:, 0]), [0.1, 9.1]) and np.isclose(m.cost, 0.12)
     assert np.allclose(sorted(m.sse), [0.06, 0.06])
+
+
+def test_starts_are_distinct_points(spark):
+    X = np.repeat(np.array([[0.0, 0.0], [5.0, 5.0], [9.0, 0.0]]), [8, 7, 5], axis=0)
+    df = features_from(spark, X)
+    m = KM.kmeans(df, 3, seed=4, runs=2, max_iter=20)
+    assert m.cost == 0.0 and sorted(m.sizes.tolist()) == [5.0, 7.0, 8.0] and m.converged
+    with pytest.raises(ValueError, match="distinct"):
+        KM.kmeans(df, 4, seed=4)
+    with pytest.raises(ValueError, match="rows"):
+        KM.first_rows(features_from(spark, X[:2]), 5)
+
+
+def test_starts_follow_the_hash_order(spark, std_e):
+    import hashlib
+    ids, X = collect_matrix(std_e)
+    for r, got in enumerate(KM.hashed_starts(std_e, 6, 42, range(3))):
+        order = sorted(range(len(ids)), key=lambda i: (hashlib.md5(f"42-{r}:{ids[i]}".encode()).hexdigest(), ids[i]))
+        assert np.allclose(got, X[order[:6]])
+
+
+def test_sweep_jobs_do_not_grow_with_k(spark, std_e):
+    from lodestar.plans import experiments
+    lv = prep.levels(std_e)
+    centres = {k: KM.first_rows(std_e, k) for k in range(2, 10)}
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def jobs(models):
+        sc.setJobGroup("count", "jobs of one scoring call")
+        before = len(tracker.getJobIdsForGroup("count"))
+        experiments.label_errors(std_e, models, lv)
+        return len(tracker.getJobIdsForGroup("count")) - before
+    one, many = jobs({2: centres[2]}), jobs(centres)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert many == one
+    err = experiments.label_errors(std_e, centres, lv)
+    for k in (2, 9):
+        want = scoring.label_error(KM.assign(std_e, centres[k]), lv).first()["err"]
+        assert np.isclose(err[k], want)

@@ -1,16 +1,13 @@
-import os
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import REF, collect_matrix, features_from
+from conftest import collect_matrix, features_from
 from lodestar.operators import kmeans as KM
 from lodestar.operators import linalg as LA
 from lodestar.operators import reduce as RD
 from lodestar.operators import select as SEL
 from lodestar.operators import silhouette as SH
-from lodestar.sources import text
 
 
 def test_pca_invariants(std_e):
@@ -74,7 +71,7 @@ def test_silhouette_exact_vs_numpy_and_blocks(spark, std_e):
     C = KM.first_rows(std_e, 3)
     a = KM.assign(std_e, C, passthrough=("id", "x")).persist()
     one = SH.silhouette_exact(a).toPandas().sort_values("id")
-    many = SH.silhouette_exact(a, block_rows=64).toPandas().sort_values("id")
+    many = SH.silhouette_exact(a, grid=3).toPandas().sort_values("id")
     assert np.allclose(one["s"].to_numpy(), many["s"].to_numpy(), atol=1e-12)
     rows = a.orderBy("id").collect()
     X = np.array([r["x"] for r in rows])
@@ -119,37 +116,77 @@ def test_su_properties_and_label_copy_chosen(spark):
     lab = rng.integers(0, 5, n)
     X = np.column_stack([lab + 0.001 * rng.random(n), rng.random(n), rng.random(n)])
     df = features_from(spark, X, labels=[int(v) for v in lab])
-    binned = SEL.discretize(df, 5).persist()
+    binned = SEL.discretize(df, 5)
     su_c = np.zeros(3)
     for r in SEL.su_feature_class(binned).collect():
         su_c[r["j"]] = r["su"]
     assert np.all((su_c >= 0) & (su_c <= 1 + 1e-12))
     assert su_c[0] > 0.95                                   # a numeric copy of the label
-    su_ff = SEL.su_feature_pairs(binned.drop("label"), 3, 5)
+    su_ff = SEL.su_feature_pairs(binned, 3, 5)
     assert np.allclose(su_ff, su_ff.T) and np.all(su_ff <= 1 + 1e-12)
     assert SEL.best_first(su_c, su_ff)[0] == 0
 
 
-@pytest.mark.skipif(not os.path.exists(os.path.join(REF, "Faults.NNA")), reason="faults file absent")
-def test_faults_goldens(spark):
-    df = text.faults_features(text.read_faults(spark, os.path.join(REF, "Faults.NNA"),
-                                               os.path.join(REF, "Faults27x7_var")))
+@pytest.mark.parametrize("shape", ["smooth", "ties", "constant", "few", "far"])
+def test_discretize_is_exact_ntile(spark, monkeypatch, shape):
+    monkeypatch.setattr(SEL, "PARTS", 4)          # many narrowing passes
+    monkeypatch.setattr(SEL, "COLLECT_ROWS", 3)
+    rng = np.random.default_rng(9)
+    n = 3 if shape == "few" else 257
+    X = {"smooth": rng.normal(size=(n, 2)), "ties": rng.integers(0, 3, (n, 2)).astype(float), "constant": np.full((n, 2), 7.0),
+         "few": rng.normal(size=(n, 2)), "far": 1e8 + rng.integers(0, 9, (n, 2)) * 1e-7}[shape]
+    df = features_from(spark, X, ids=rng.permutation(n) * 3 - 50).repartition(3)
+    got = {r["id"]: r["bins"] for r in SEL.discretize(df, 5).collect()}
+    rows = df.select("id", "x").collect()
+    for j in range(2):
+        order = sorted(rows, key=lambda r: (r["x"][j], r["id"]))
+        q, rem = divmod(n, 5)
+        want = [b + 1 for b in range(5) for _ in range(q + (b < rem))]
+        assert [got[r["id"]][j] for r in order] == want
+
+
+def test_cfs_shuffles_no_exploded_rows(std_e):
+    binned = SEL.discretize(std_e, 5)
+    plan = SEL.su_feature_class(binned)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    assert "Exchange" not in binned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_moments_far_from_the_origin(spark):
+    """sd 1 around 1e8: class scatter and both silhouettes agree with numpy on centred data."""
     from lodestar.operators import prep
-    s = prep.standardize(df).persist()
-    model = RD.pca_fit(s, 27)
-    lam = model.eigenvalues
-    assert np.allclose(lam[:5], [9.4658, 3.4270, 2.7112, 1.9789, 1.7745], atol=1e-4)
-    assert RD.min_dimension(lam, 0.90) == 10
-    assert int((lam > 1e-13 * lam[0]).sum()) == 26                # rank 26 (27th is ~1e-16)
-    mo = LA.moments(s, 27, shift=model.mean)
-    per_row = {d: e / model.n for d, e in RD.recon_errors(mo.g, model.rotation, [1, 2, 5, 10])}
-    assert np.allclose([per_row[d] for d in (1, 2, 5, 10)],
-                       [17.525130, 14.099870, 7.638656, 2.296861], atol=1e-5)
-
-
-def test_discretize_approx_close_to_exact(std_e):
-    ex = SEL.discretize(std_e, 5, d=4).toPandas()
-    ap = SEL.discretize(std_e, 5, d=4, method="approx").toPandas()
-    m = ex.merge(ap, on=["id", "j"], suffixes=("_e", "_a"))
-    assert len(m) == len(ex)
-    assert (m.bin_e - m.bin_a).abs().max() <= 1 and (m.bin_e == m.bin_a).mean() > 0.95
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(300, 3))
+    lab = rng.integers(0, 3, 300)
+    far = features_from(spark, X + 1e8, labels=[int(v) for v in lab])
+    X = (X + 1e8) - 1e8                            # what a double keeps
+    sc = RD.class_scatter(prep.with_label_ix(far, prep.levels(far)), 3, 3)
+    W = sum((X[lab == k] - X[lab == k].mean(0)).T @ (X[lab == k] - X[lab == k].mean(0)) for k in range(3))
+    assert np.allclose(sc.within, W, rtol=1e-6, atol=1e-4)
+    a = far.withColumn("cluster", F.col("label"))
+    for fn, power in ((SH.silhouette_exact, 1), (SH.silhouette_squared, 2)):
+        got = fn(a).toPandas().sort_values("id")["s"].to_numpy()
+        D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(2)) ** power
+        s = []
+        for i in range(len(X)):
+            own = lab == lab[i]
+            ai = D[i, own].sum() / (own.sum() - 1)
+            bi = min(D[i, lab == c].mean() for c in range(3) if c != lab[i])
+            s.append((bi - ai) / max(ai, bi))
+        assert np.allclose(got, s, atol=1e-6)
+
+
+def test_one_distance_pass_serves_all_clusterings(std_e):
+    many = SH.silhouette_many(KM.assign_many(std_e, {k: KM.first_rows(std_e, k) for k in (2, 5)}, passthrough=("id", "x"))).toPandas()
+    for k in (2, 5):
+        one = SH.silhouette_exact(KM.assign(std_e, KM.first_rows(std_e, k), passthrough=("id", "x"))).toPandas().sort_values("id")
+        got = many[many["model"] == k].sort_values("id")
+        assert np.allclose(one["s"], got["s"], atol=1e-12) and (one["cluster"].to_numpy() == got["cluster"].to_numpy()).all()
+
+
+def test_landmark_mds_equals_pca_scores(spark, std_e):
+    z = RD.landmark_mds(std_e, KM.first_rows(std_e, std_e.count()), 2)
+    ids, Z = collect_matrix(z, "z")
+    _, P = collect_matrix(RD.pca_transform(std_e, RD.pca_fit(std_e, 64), 2))
+    for j in range(2):
+        assert np.allclose(np.abs(Z[:, j]), np.abs(P[:, j]), atol=1e-6)

@@ -11,7 +11,7 @@ from lodestar.operators import mixture as MX
 
 def test_tree_summed_statistics_equal_direct(std_e, monkeypatch):
     direct = LA.gram(std_e.repartition(5), 64)
-    monkeypatch.setattr(arrowkit, "DIRECT_SUM_ENTRIES", 0)   # force tree levels
+    monkeypatch.setattr(arrowkit, "DRIVER_SUM_ENTRIES", 0)   # every tree level
     monkeypatch.setattr(arrowkit, "FANIN", 2)                # 5 → 3 → 2 → 1 partitions
     monkeypatch.setattr(arrowkit, "CHUNK", 100)              # 4,161 entries in 42 chunks
     tree = LA.gram(std_e.repartition(5), 64)
@@ -48,10 +48,41 @@ def test_group_sums_matches_add_at():
     assert np.allclose(arrowkit.group_sums(X, g, 15), want)
 
 
-def test_nearest_gemm_path_matches_direct():
+def test_nearest_matches_direct():
     rng = np.random.default_rng(5)
-    X = np.round(rng.normal(size=(3000, 2)), 1)          # coarse values: many near-ties
-    C = np.round(rng.normal(size=(40, 2)), 1)
-    a_gemm, d_gemm = KM._nearest(X, C)                  # k = 40 > DIRECT_ARGMIN_K
-    D = KM._direct_d2(X, C)
-    assert (a_gemm == np.argmin(D, axis=1)).all() and np.allclose(d_gemm, D.min(1))
+    for k in (1, 10, 200):
+        for off in (0.0, 1e8):
+            X = np.round(rng.normal(size=(2000, 2)), 1) + off      # coarse values: many near-ties
+            C = np.round(rng.normal(size=(k, 2)), 1) + off
+            C[k // 2] = C[0]                                       # two equal centres
+            a, d = KM._nearest(X, C)
+            D = KM._direct_d2(X, C)
+            assert (a == np.argmin(D, axis=1)).all() and np.array_equal(d, D.min(1))
+
+
+def test_partition_count_and_width_do_not_change_values(spark):
+    from conftest import collect_matrix, features_from
+    from lodestar.operators import prep
+    rng = np.random.default_rng(8)
+    for p in (10, 2000):
+        X = rng.normal(3.0, 2.0, size=(60, p))
+        X[:, 2] = 1.0
+        want = (X - X.mean(0)) / np.where(X.std(0, ddof=1) > 0, X.std(0, ddof=1), 1.0)
+        for parts in (1, 50):
+            _, Z = collect_matrix(prep.standardize(features_from(spark, X).repartition(parts)))
+            assert np.allclose(Z, want, atol=1e-9)
+
+
+def test_statistics_read_their_input_once(spark, tmp_path):
+    """Rows read by one statistics pass over a shuffled frame, counted at the source."""
+    src = spark.range(1000).repartition(4)
+    seen = spark.sparkContext.accumulator(0)
+
+    def tap(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    from pyspark.sql import functions as F
+    df = src.mapInArrow(tap, "id BIGINT").groupBy("id").agg(F.first("id").alias("v")).select("id", F.array(F.col("v").cast("double")).alias("x"))
+    assert LA.moments(df, 1).n == 1000
+    assert seen.value == 1000
