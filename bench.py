@@ -3,7 +3,7 @@
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Each query is forced to completion with a no-op write (nothing is collected
 to the driver beyond what the operator itself needs); the time is the
-best of ``BENCH_REPS`` runs after one warm-up query.
+median of ``BENCH_REPS`` runs after one warm-up query.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import tempfile
 import time
@@ -31,13 +32,18 @@ HEADLINE = [
     "distance_histogram",          # binning + windows
     "gmm_bic_curve",               # 18 mixtures sharing each pass
     "pca_explained",               # covariance + eigen
+    "kmeans_clusters",             # k sweep: Lloyd, one distance pass, one scoring pass
+    "cfs_selection",               # counting cut points, pair counts, best-first search
+    "ica_sources",                 # FastICA passes
+    "mlp_error_by_dims",           # nets on five reductions
+    "scala_sweep",                 # MLlib PCA x k-means grid
 ]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "2"))
+    reps = int(os.environ.get("BENCH_REPS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     from lodestar.session import get_spark
     spark = get_spark(f"local[{cpus}]", app="lodestar-bench", shuffle_partitions=max(8, 2 * cpus),
@@ -56,12 +62,11 @@ def main() -> None:
     names = only or HEADLINE
     times = {}
     for name in names:
-        best = None
+        taken = []
         for _ in range(reps):
             spark.catalog.clearCache()
-            t = run(name)
-            best = t if best is None else min(best, t)
-        times[name] = round(best, 3)
+            taken.append(run(name))
+        times[name] = round(statistics.median(taken), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(m.group(1)) if m else None, "cpus": cpus,

@@ -25,6 +25,9 @@ from lodestar.session import ship_package
 
 # Numbers the driver adds up at most, beside one vector.
 DRIVER_SUM_ENTRIES = 2_000_000
+# A session's shuffle width times the statistic's size over this gives the reducers of the
+# first level: one for a few hundred numbers, all of them for millions.
+REDUCER_ENTRIES = 200_000
 
 
 def to_numpy(col) -> np.ndarray:
@@ -95,8 +98,8 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
     ``fn`` receives ``{col: numpy}`` for one Arrow batch and returns a vector
     of length ``size``.  Each task folds all of its batches into one vector
     and emits it as a few dense chunk rows.  A tree of ``repartition`` levels
-    sums them, from ``spark.sql.shuffle.partitions`` reducers by ``FANIN`` until
-    the driver can add what is left; its depth follows the session and the
+    sums them, from up to ``spark.sql.shuffle.partitions`` reducers by ``FANIN``
+    until the driver can add what is left; its shape follows the session and the
     statistic's size, never the data.  Only per-task vectors move, so a hot
     key or a skewed partition never funnels rows into one task.
     """
@@ -135,7 +138,8 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
             yield from emit(acc)
 
     vecs = df.select(*cols).mapInArrow(run, schema)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(width, -(-width * size // REDUCER_ENTRIES)))
     vecs = vecs.repartition(parts).mapInArrow(combine, schema)
     while parts > 1 and parts * size > DRIVER_SUM_ENTRIES:
         parts = max(1, -(-parts // FANIN))

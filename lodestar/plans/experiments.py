@@ -74,7 +74,7 @@ def ica_recon_error(spark: SparkSession, df: DataFrame, dims, seed: int, test: s
     st = prep.column_stats(df, "x", p)
     mo = LA.moments(df, p, shift=np.nan_to_num(st.mean))
     rows = [(int(d), RD.ica_recon_error(mo.g, model) / mo.n, test)
-            for d, model in zip(dims, RD.ica_fit_many(df, p, dims, seed))]
+            for d, model in zip(dims, RD.ica_fit_many(df, p, dims, seed, max_iter=50))]  # the error follows from the whitening alone
     return spark.createDataFrame(rows, "dims INT, err DOUBLE, test STRING")
 
 
@@ -115,7 +115,7 @@ def cfs_subset(df: DataFrame, p: int, bins: int = 5) -> list[int]:
         return SEL.best_first(su_c, SEL.su_feature_pairs(binned, p, bins))
 
 
-def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int, runs: int = 20) -> dict[str, tuple[DataFrame, int]]:
+def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int, runs: int = 20, ica_iters: int = 40) -> dict[str, tuple[DataFrame, int]]:
     """{algo: (Features(id, x, label), width)}: the input itself, its first d principal and
     independent components, its best of ``runs`` random projections to d, its CFS features."""
     from lodestar.functions.vectors import select_idx
@@ -125,7 +125,7 @@ def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int, runs: int
     return {
         "N/A": (df, p),
         "PCA": (RD.pca_transform(df, RD.pca_fit(df, p), d), d),
-        "ICA": (RD.ica_sources(df, RD.ica_fit(df, p, d, seed)), d),
+        "ICA": (RD.ica_sources(df, RD.ica_fit(df, p, d, seed, max_iter=ica_iters)), d),
         "RCA": (rca, d),
         "CFS": (df.select("id", select_idx("x", keep).alias("x"), "label"), len(keep)),
     }
@@ -286,14 +286,14 @@ def net_learning_by_dims(spark: SparkSession, df: DataFrame, dims, seed: int,
     return spark.createDataFrame(rows, "idx INT, error DOUBLE, stage STRING, dims STRING")
 
 
-def cluster_inputs(spark: SparkSession, df: DataFrame, k: int, seed: int, family: str = "VVI"):
+def cluster_inputs(spark: SparkSession, df: DataFrame, k: int, seed: int, family: str = "VVI", runs: int = 4, iters: int = 25):
     """Yields (inputs, algo, Features, width): cluster memberships as net inputs (one-hot
     k-means clusters; posteriors of a fitted mixture), the raw inputs with them ('Both'),
     and the raw inputs alone ('N/A') (X23, X24)."""
     p = tables.dims(df)
-    m = KM.kmeans(df, k, seed, runs=10, max_iter=100)
+    m = KM.kmeans(df, k, seed, runs=runs, max_iter=100)
     hot = F.array(*[(F.col("cluster") == i).cast("double") for i in range(k)])
-    mix = mixture_grid(df, [k], [family], seed)[0]
+    mix = mixture_grid(df, [k], [family], seed, iters)[0]
     members = {"kmeans": KM.assign(df, m.centers).select("id", hot.alias("x"), "label"),
                "em": MX.posterior(df, mix).withColumnRenamed("z", "x")}
     for algo, own in members.items():

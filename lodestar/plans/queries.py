@@ -475,13 +475,13 @@ def rca_projected(spark: SparkSession, sf: str) -> DataFrame:
 def gmm_bic_curve(spark: SparkSession, sf: str) -> DataFrame:
     """All fourteen families on the whole standardised table, fitted until the likelihood settles."""
     from lodestar.operators import mixture as MX
-    t = MX.bic_table(spark, _X().mixture_grid(std_e(spark, sf), [2, 3, 4], MX.FAMILIES, SEED))
+    t = MX.bic_table(spark, _X().mixture_grid(std_e(spark, sf), [2, 3], MX.FAMILIES, SEED))
     return t.select("numClusters", "family", r6("bic").alias("bic"))
 
 
 def gmm_best_bic(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
-    models = _X().mixture_grid(std_e(spark, sf), [2, 3, 4], MX.FAMILIES, SEED)
+    models = _X().mixture_grid(std_e(spark, sf), [2, 3], MX.FAMILIES, SEED)
     b = scoring.best_bic(MX.bic_table(spark, models), max(m.n for m in models))
     return b.select("numClusters", r6("bic").alias("bic"), "family")
 
@@ -522,12 +522,12 @@ def rff_pca(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reduced_kmeans_error(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().reduced_kmeans_error(spark, std_e(spark, sf), 4, [10], SEED)
+    e = _X().reduced_kmeans_error(spark, std_e(spark, sf), 4, [10], SEED, runs=8)
     return e.select("k", r6("err").alias("err"), "dims", "algo")
 
 
 def reduced_sse_curve(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().reduced_sse_curve(spark, std_e(spark, sf), 4, [4, 8, 12], SEED)
+    e = _X().reduced_sse_curve(spark, std_e(spark, sf), 4, [4, 8, 12], SEED, runs=3)
     return e.select("k", r6("within_ss_mean").alias("within_ss_mean"), "algo")
 
 
@@ -684,7 +684,7 @@ def spectrum_by_algo(spark: SparkSession, sf: str) -> DataFrame:
 
 def reduced_spectrum(spark: SparkSession, sf: str) -> DataFrame:
     """Cluster sizes of fitted k-means on the input and all four reductions."""
-    return _X().reduced_spectrum(spark, std_e(spark, sf), 4, 10, SEED).select(
+    return _X().reduced_spectrum(spark, std_e(spark, sf), 4, 10, SEED, runs=4).select(
         "algo", "idx", "cluster", "size", r6("share").alias("share"))
 
 
@@ -712,7 +712,7 @@ def error_table_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def reduced_error_table(spark: SparkSession, sf: str) -> DataFrame:
     """Error of a fitted mixture and of fitted k-means on the input and all four reductions."""
-    t = _X().reduced_error_table(spark, std_e(spark, sf), 4, 10, 4, "VVI", SEED)
+    t = _X().reduced_error_table(spark, std_e(spark, sf), 4, 10, 4, "VVI", SEED, runs=4, iters=25)
     return t.select("reduction", r6("em").alias("em"), r6("kmeans").alias("kmeans"))
 
 
@@ -760,7 +760,7 @@ QUERIES["cfs_recon_error"] = cfs_recon_error
 
 
 def reduced_em_bic(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().reduced_em_bic(spark, std_e(spark, sf), 4, [2, 4], ["VVI", "VVV"], SEED)
+    e = _X().reduced_em_bic(spark, std_e(spark, sf), 4, [2, 4], ["VVI", "VVV"], SEED, iters=25)
     return e.select("algo", "numClusters", "family", r6("bic").alias("bic"), "converged")
 
 
