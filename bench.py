@@ -35,7 +35,6 @@ HEADLINE = [
     "kmeans_clusters",             # k sweep: Lloyd, one distance pass, one scoring pass
     "cfs_selection",               # counting cut points, pair counts, best-first search
     "ica_sources",                 # FastICA passes
-    "mlp_error_by_dims",           # nets on five reductions
     "scala_sweep",                 # MLlib PCA x k-means grid
 ]
 

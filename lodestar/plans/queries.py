@@ -712,7 +712,7 @@ def error_table_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def reduced_error_table(spark: SparkSession, sf: str) -> DataFrame:
     """Error of a fitted mixture and of fitted k-means on the input and all four reductions."""
-    t = _X().reduced_error_table(spark, std_e(spark, sf), 4, 10, 4, "VVI", SEED, runs=4, iters=25)
+    t = _X().reduced_error_table(spark, std_e(spark, sf), 4, 10, 4, "VVI", SEED, runs=2, iters=12)
     return t.select("reduction", r6("em").alias("em"), r6("kmeans").alias("kmeans"))
 
 
