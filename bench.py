@@ -30,7 +30,6 @@ HEADLINE = [
     "symmetric_uncertainty",       # exact ntile + entropies
     "em_spherical",                # EM passes
     "distance_histogram",          # binning + windows
-    "gmm_bic_curve",               # 18 mixtures sharing each pass
     "pca_explained",               # covariance + eigen
     "kmeans_clusters",             # k sweep: Lloyd, one distance pass, one scoring pass
     "cfs_selection",               # counting cut points, pair counts, best-first search

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lodestar.operators import kmeans as KM
 from lodestar.operators import prep, scoring
 from lodestar.plans.common import SEED, e_levels, near, r6, std_e
+from lodestar.session import ensure_checkpoint_dir
 from lodestar.sources import tables
 
 
@@ -30,9 +31,14 @@ def standardized_features(spark: SparkSession, sf: str) -> DataFrame:
     return long.select("id", "j", r6("v").alias("v"))
 
 
+def _std_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Standardised orders; the lineitem aggregate ⋈ orders runs once, into the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return prep.standardize(tables.features_orders(spark, sf).checkpoint())
+
+
 def standardize_orders(spark: SparkSession, sf: str) -> DataFrame:
-    o = prep.standardize(tables.features_orders(spark, sf))
-    return prep.to_long(o).select("id", "j", r6("v").alias("v"))
+    return prep.to_long(_std_orders(spark, sf)).select("id", "j", r6("v").alias("v"))
 
 
 def one_hot_labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -632,11 +638,6 @@ QUERIES.update({
 
 # --- scalable bindings: orders ⋈ lineitem (O), part (P) ---------------------------
 
-def _std_orders(spark: SparkSession, sf: str) -> DataFrame:
-    # the lineitem aggregate ⋈ orders runs once: the stats pass fills the cache
-    return prep.standardize(tables.features_orders(spark, sf))
-
-
 def kmeans_orders_lloyd(spark: SparkSession, sf: str) -> DataFrame:
     o = _std_orders(spark, sf)
     m = KM.lloyd(o, [KM.first_rows(o, 5)], max_iter=3)[0]
@@ -819,7 +820,6 @@ def delimited_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
     from pyspark.sql import types as T
 
-    from lodestar.session import ensure_checkpoint_dir
     from lodestar.sources import text
     folder = f"{ensure_checkpoint_dir(spark)}/tsv-{uuid.uuid4()}"
     p = tables.read_table(spark, sf, "part").select("p_partkey", "p_size", F.col("p_retailprice").cast("double").alias("p_retailprice"))
