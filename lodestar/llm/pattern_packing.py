@@ -29,7 +29,7 @@ CACHE_PARTS = 600_000    # word parts a task remembers between texts
 
 # Fixed value: how the tokenizer cuts text, for lower-cased ASCII and Latin letters (each
 # match is a part of its own: nothing is carried across a cut).
-_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+")
 _OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]|<\|")
 
 

@@ -18,7 +18,7 @@ def odd_texts():
     rnd = random.Random(3)
     chars = [chr(c) for c in [*range(1, 0x250), 0x300, 0x301, 0x3A3, 0x2028, 0x3000, 0xAC00, 0x1100, 0x1161, 0x1F600, 0xFB01]]
     out = ["don't x's 'tis y.'s <|endoftext|> a<|startoftext|>b <| x", "É Œ İstanbul ﬁ ſ K ª º µ × ÷ 中文 😀", "A1b2 12.50 ½ ² ٣ q\x85r\x1cs",
-           "", " ", "\n\t", "'", "a'b'c'd 's't", "ß STRASSE ÀÉÎ ÿ Ÿ naïve", "a" * 3000, "I'LL it'S _a_b_ --"]
+           "", " ", "\n\t", "'", "a'b'c'd 's't", "ß STRASSE ÀÉÎ ÿ Ÿ naïve", "a" * 3000, "I'LL it'S _a_b_ --", "\x1f", "e\x1f'LL \x1c 0\x1c\x00\x7f?"]
     out += ["".join(rnd.choice(chars) for _ in range(rnd.randint(1, 60))) for _ in range(400)]
     return out + ["".join(rnd.choice(" abé'sT.,<|>1%") for _ in range(rnd.randint(1, 60))) for _ in range(400)]
 
