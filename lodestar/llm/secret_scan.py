@@ -92,12 +92,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def untouched(matches, base: list):
+    """Matches, in text order, that overlap no span of the sorted ``base``."""
+    k, reach = 0, 0
+    for m in matches:
+        s, e = m.span()
+        while k < len(base) and base[k][0] < e:
+            reach = max(reach, base[k][2])
+            k += 1
+        if reach <= s:
+            yield m
+
+
 def markov_spans(text: str, model: Markov, base: list) -> list[tuple[int, int, int]]:
     """Candidates that look random and touch no span of the fixed patterns."""
     out = []
-    for m in CANDIDATE.finditer(text):
+    for m in untouched(CANDIDATE.finditer(text), base):
         s, e = m.span()
-        if e - s >= LEAST_MARKOV and not any(a < e and s < z for a, _, z in base) and model.llr(m[0]) >= MARGIN:
+        if e - s >= LEAST_MARKOV and model.llr(m[0]) >= MARGIN:
             out.append((s, 3, e))
     return out
 
@@ -145,10 +157,9 @@ def labelled_strings(docs: DataFrame, text_col: str = "text", total: int | None
                         if len(v) >= LEAST_SAMPLE:
                             strings.append(v)
                             labels.append(1)
-                    for m in ident.finditer(text):
-                        if not any(a < m.end() and m.start() < z for a, _, z in base):
-                            strings.append(m[0])
-                            labels.append(0)
+                    for m in untouched(ident.finditer(text), base):
+                        strings.append(m[0])
+                        labels.append(0)
                 yield record_batch(text=pa.array(strings, pa.string()), label=pa.array(labels, pa.int32()))
 
     return map_arrow(rows, run, "text string, label int")

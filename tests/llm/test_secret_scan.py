@@ -70,3 +70,12 @@ def test_redact_and_empty(spark, docs_of):
     assert all(r.text is None or r.n_chars == len(r.text) for r in rows)
     empty = docs_of([])
     assert S.scan(empty, S.fit(empty)).count() == 0 and S.redact(empty, m).count() == 0
+
+
+def test_overlaps_are_found_in_one_sweep():
+    words = [f"token={k:024x}" + "zq" * (k % 3) + " x9fKq2LmZ7pRt4VwYb8NcD" for k in range(500)]
+    text = " ".join(words)
+    base = S.base_spans(text)
+    got = [m.span() for m in S.untouched(S.CANDIDATE.finditer(text), base)]
+    want = [m.span() for m in S.CANDIDATE.finditer(text) if not any(a < m.end() and m.start() < z for a, _, z in base)]
+    assert got == want and len(want) >= 500
