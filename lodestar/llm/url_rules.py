@@ -46,7 +46,7 @@ def fixed_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]
     """(rule, verdict) of the longest rule whose host is the url's or above it and whose
     path begins the url's; null when none fits (ties: the rule listed first)."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for h, p, v in sorted(rules, key=lambda r: len(r[0] + r[1])):
+    for h, p, v in sorted(reversed(rules), key=lambda r: len(r[0] + r[1])):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         name, verdict = F.when(fits, F.lit(h + p)).otherwise(name), F.when(fits, F.lit(v)).otherwise(verdict)
     return name, verdict

@@ -66,3 +66,9 @@ def test_mined_rules_match_brute_force(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string")
     assert U.judge(df, spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_tied_rules_go_to_the_first(spark):
+    df = spark.createDataFrame([("a.com", "/x/y")], "host string, path string")
+    name, verdict = U.fixed_rule(df.host, df.path, (("a.com", "/x", "block"), ("com", "/x/y", "allow")))
+    assert tuple(df.select(name, verdict).first()) == ("a.com/x", "block")
