@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import pattern_packing, secret_scan, simhash_vp, string_tiling, toxicity
-from lodestar.llm.common import cut, table
+from lodestar.llm.common import cut, table, unused
 from lodestar.llm.queries import word_tokenizer
 from lodestar.session import ensure_checkpoint_dir
 
@@ -26,18 +26,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash neighbours: the one that names the component.
 
-    Rows without an id take part under a stand-in id made from their text, larger than real
-    ids; among rows that share an id one stays.
+    A row takes part under its id.  Rows without an id, and all rows of an id that stands
+    on several, take part under a stand-in made from id and text, larger than real ids:
+    rows with equal id and text are copies of each other, different texts of one id are
+    documents of their own.
     """
-    stand_in = F.coalesce("doc_id", F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62))
-    keyed = docs.withColumn("_key", stand_in)
-    found = simhash_vp.near_duplicates(keyed, id_col="_key", shingle=3, max_bits=2)
+    key = unused(docs, "_key")
+    repeated = cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias(key)))
+    own, keyed = F.col("doc_id"), docs
+    if not repeated.isEmpty():
+        keyed = docs.join(repeated, docs.doc_id == repeated[key], "left")
+        own = F.when(F.col(key).isNull(), F.col("doc_id"))
+    stand_in = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2) + F.lit(1 << 62)
+    keyed = keyed.withColumn(key, F.coalesce(own, stand_in))
+    found = simhash_vp.near_duplicates(keyed, id_col=key, shingle=3, max_bits=2)
     kept = cut(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-               .select(F.col("doc_id").alias("_key"), "n"))
-    out = keyed.join(kept.where("n = 1"), "_key", "left_semi")
-    repeated = kept.where("n > 1")
-    if not repeated.isEmpty():  # equal ids: these rows alone need a second pass
-        out = out.union(keyed.join(repeated, "_key", "left_semi").dropDuplicates(["_key"]))
+               .select(F.col("doc_id").alias(key), "n"))
+    out = keyed.join(kept.where("n = 1"), key, "left_semi")
+    copies = kept.where("n > 1")
+    if not copies.isEmpty():  # rows with equal id and text: these alone need a second pass
+        out = out.union(keyed.join(copies, key, "left_semi").dropDuplicates([key, "doc_id", "text"]))
     return out.select(*docs.columns)
 
 

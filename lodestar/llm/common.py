@@ -23,6 +23,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as it takes to clash with no column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partitions for CPU-heavy groups, which are too small in bytes for AQE to size."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)

@@ -18,7 +18,7 @@ def test_stages_keep_and_drop(spark, docs_of, tables):
     docs = [(i, text()) for i in range(80)]
     docs += [(100 + i, text() + " moron scum " + text(5)) for i in range(20)]
     docs += [(200, docs[3][1]), (201, docs[3][1].upper()), (202, None), (203, ""), (None, text()), (None, docs[4][1])]
-    docs += [(300, text(10) + " " + item + " " + text(10)), (301, text(10) + ' token = "abcdef123456" ' + text(9)), (302, "ba " * 40_000), (7, docs[7][1])]
+    docs += [(300, text(10) + " " + item + " " + text(10)), (301, text(10) + ' token = "abcdef123456" ' + text(9)), (302, "ba " * 40_000), (7, docs[7][1]), (8, text()), (9, docs[4][1])]
     labels = [(i, 1, int(i >= 100)) for i in [*range(40), *range(100, 112)]]
     folder = tables(documents=docs_of(docs), labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
                     benchmark=spark.createDataFrame([(1, item)], "item_id long, text string"))
@@ -36,6 +36,8 @@ def test_stages_keep_and_drop(spark, docs_of, tables):
     assert ids[0] == sorted(clean)
     assert not {"200", "201", "203"} & set(ids[1]) and ids[1].count("7") == 1 and ids[1].count("None") == 1 and "202" in ids[1]
     assert set(ids[0]) - set(ids[1]) == {"200", "201", "203"}
+    texts = [r.text for r in seen[1]]
+    assert ids[1].count("8") == 2 and ids[1].count("9") == 1 and texts.count(docs[4][1]) == 1  # one id on two texts
     assert set(ids[1]) - set(ids[2]) == {"300"}
     assert ids[3] == ids[2]
     masked = next(r for r in seen[3] if r.doc_id == 301)
@@ -43,6 +45,13 @@ def test_stages_keep_and_drop(spark, docs_of, tables):
     assert sorted({str(r.doc_id) for r in seen[4]}) == sorted(set(ids[3]))
 
 
+def test_near_duplicates_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 7, 8), (2, "a b c d", 9, 9), (3, "e f g h", 5, 5)], "doc_id long, text string, _key long, n long")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [(1, "a b c d", 7, 8), (3, "e f g h", 5, 5)]
+
+
 def test_run_on_empty_tables(spark, docs_of, tables):
     folder = tables(documents=docs_of([]), labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"),
                     benchmark=spark.createDataFrame([], "item_id long, text string"))
