@@ -26,6 +26,7 @@ MIN_MATCH = 5
 COVERAGE = 0.6
 BLOCK_BYTES = 16 << 20   # item text in one task closure
 SLICE = 1 << 20
+MOST_MATCHES = 1 << 20   # seed matches expanded at a time
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -50,6 +51,7 @@ class Items:
         t = Texts(texts)
         start, end, doc = t.runs(WORD)
         self.first = np.searchsorted(doc, np.arange(len(ids) + 1))
+        self.size = np.diff(self.first)
         raw = t.buf.tobytes()
         self.words = [[raw[s:e] for s, e in zip(start[a:b], end[a:b])] for a, b in zip(self.first[:-1], self.first[1:])]
         at, g = _windows(mix(t.hashes(t.running(), start, end)), doc, min_match)
@@ -58,17 +60,51 @@ class Items:
         self.table = np.zeros(1 << 22, dtype=bool)
         self.table[(self.seed >> np.uint64(42)).astype(np.int64)] = True
 
-    def seeds(self, at: np.ndarray, g: np.ndarray):
-        """(document word, item, item word) of all seed matches by hash."""
+    def find(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, first index entry, entries) of the windows whose hash is in the index."""
         hit = np.flatnonzero(self.table[(g >> np.uint64(42)).astype(np.int64)])
-        if not len(hit) or not len(self.seed):
-            z = np.zeros(0, dtype=np.int64)
-            return z, z, z
         lo = np.searchsorted(self.seed, g[hit], side="left")
         n = np.searchsorted(self.seed, g[hit], side="right") - lo
-        row = np.repeat(np.arange(len(hit)), n)
-        k = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return at[hit][row], self.item[k], self.pos[k]
+        return hit[n > 0], lo[n > 0], n[n > 0]
+
+
+def _ranges(n: np.ndarray, most: int):
+    """Ranges (from, to) of rows whose ``n`` add up to about ``most``."""
+    cuts = np.flatnonzero(np.diff((np.cumsum(n) - n) // most)) + 1
+    edge = [0, *cuts.tolist(), len(n)]
+    return zip(edge[:-1], edge[1:])
+
+
+def _expand(lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, lo[row] + k) for each k below n[row]."""
+    return np.repeat(np.arange(len(n)), n), np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _heads(key: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.diff(key, prepend=-1))
+
+
+def _candidates(doc: np.ndarray, lo: np.ndarray, n: np.ndarray, items: Items, coverage: float) -> np.ndarray:
+    """Sorted keys (document * items + item) of the pairs whose seeds together could reach the
+    coverage.  A document counts a seed once, so at most the whole index is expanded for it."""
+    order = np.lexsort((lo, doc))
+    doc, lo, n = doc[order], lo[order], n[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (lo[1:] != lo[:-1])
+    doc, lo, n = doc[new], lo[new], n[new]
+    edge, out = np.append(_heads(doc), len(doc)), []
+    for a, b in _ranges(np.add.reduceat(n, edge[:-1]), MOST_MATCHES):
+        own = slice(edge[a], edge[b])
+        row, k = _expand(lo[own], n[own])
+        key, pos = doc[own][row] * len(items.ids) + items.item[k], items.pos[k]
+        order = np.lexsort((pos, key))
+        key, pos = key[order], pos[order]
+        step = np.full(len(key), items.width)
+        step[:-1] = np.where(key[1:] == key[:-1], np.minimum(np.diff(pos), items.width), items.width)
+        head = _heads(key)
+        pair = key[head]
+        out.append(pair[np.add.reduceat(step, head) >= coverage * items.size[pair % len(items.ids)]])
+    return np.concatenate(out)
 
 
 def tile(matches: list[tuple[int, int]], width: int) -> tuple[list[tuple[int, int, int]], int]:
@@ -112,27 +148,35 @@ def _block_hits(texts: list[bytes], items: Items, coverage: float):
     t = Texts(texts)
     start, end, doc = t.runs(WORD)
     at, g = _windows(mix(t.hashes(t.running(), start, end)), doc, items.width)
-    word, item, pos = items.seeds(at, g)
-    if not len(word):
+    hit, first, n = items.find(g)
+    if not len(hit):
         return
-    order = np.lexsort((pos, item, doc[word]))
-    word, item, pos, text = word[order], item[order], pos[order], doc[word][order]
-    edge = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]), [True])))
+    pairs = _candidates(doc[at[hit]], first, n, items, coverage)
+    if not len(pairs):
+        return
+    found = []
+    for a, b in _ranges(n, MOST_MATCHES):
+        row, k = _expand(first[a:b], n[a:b])
+        w = at[hit[a:b]][row]
+        key = doc[w] * len(items.ids) + items.item[k]
+        own = pairs[np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)] == key
+        found.append((key[own], w[own], items.pos[k[own]]))
+    key, word, pos = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(key, kind="stable")
+    key, word, pos = key[order], word[order], pos[order]
+    edge = np.append(_heads(key), len(key))
     raw = t.buf.tobytes()
     for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
-        words = items.words[item[lo]]
-        spots = np.unique(pos[lo:hi])
-        reach = np.minimum(np.diff(np.append(spots, spots[-1] + items.width)), items.width).sum()
-        if reach < coverage * len(words):
-            continue
-        base = int(np.searchsorted(doc, text[lo]))
+        text, item = divmod(int(key[lo]), len(items.ids))
+        words = items.words[item]
+        base = int(np.searchsorted(doc, text))
         equal = []
         for w, i in zip(word[lo:hi].tolist(), pos[lo:hi].tolist()):  # the hash match, word for word
             if all(raw[start[w + k]:end[w + k]] == words[i + k] for k in range(items.width)):
                 equal.append((i, w - base))
         tiles, covered = tile(equal, items.width)
         if tiles and covered >= coverage * len(words):
-            yield int(text[lo]), int(item[lo]), tiles, covered / len(words)
+            yield text, item, tiles, covered / len(words)
 
 
 def _item_blocks(items: DataFrame, id_col: str, text_col: str, min_match: int):

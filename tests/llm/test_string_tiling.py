@@ -78,3 +78,17 @@ def test_empty_tables(spark, docs_of):
     assert T.contaminated(docs_of([]), bench).count() == 0
     assert T.contaminated(docs_of(docs), bench.limit(0)).count() == 0
     assert T.drop_contaminated(docs_of(docs), bench.limit(0)).count() == len(docs)
+
+
+def test_small_expansions_give_the_same_hits(monkeypatch):
+    docs, items = data()
+    rnd = random.Random(4)
+    shared = "which of the following is most true about"
+    items = [(i, s) for i, s in items if s] + [(200 + k, f"{shared} " + " ".join(f"w{rnd.randrange(40)}" for _ in range(4))) for k in range(300)]
+    texts = [(t or "").encode() for _, t in docs] + [(shared + " w1 ").encode() * 50, (items[-1][1] + " and " + items[-2][1]).encode()]
+    index = T.Items([i for i, _ in items], [s.encode() for _, s in items], 5)
+    whole = list(T._block_hits(texts, index, 0.6))
+    monkeypatch.setattr(T, "MOST_MATCHES", 7)
+    assert list(T._block_hits(texts, index, 0.6)) == whole
+    hit = {(d, index.ids[i]) for d, i, _, _ in whole}
+    assert (len(texts) - 1, items[-1][0]) in hit and (len(texts) - 1, items[-2][0]) in hit
