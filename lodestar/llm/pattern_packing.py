@@ -33,6 +33,19 @@ _PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z
 _OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]|<\|")
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for; ``new`` lists those not yet learned."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
 class PartIds:
     """Token ids of texts through a cache of word parts.
 
@@ -53,7 +66,7 @@ class PartIds:
         self._reset()
 
     def _reset(self):
-        self.at: dict[str, int] = {}
+        self.at = _Numbers()
         self.pool = np.zeros(0, dtype=np.uint32)
         self.start = np.zeros(0, dtype=np.int64)
         self.size = np.zeros(0, dtype=np.int64)
@@ -61,8 +74,10 @@ class PartIds:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]):
-        """Encode the parts (white space in front marks a whole word) and remember them."""
+    def _learn(self):
+        """Encode the new parts (white space in front marks a whole word) and remember them."""
+        new, self.at.new = self.at.new, []
+        whole = np.fromiter((p[0] == " " for p in new), dtype=bool, count=len(new))
         parts, words = [p for p in new if p[0] != " "], [p for p in new if p[0] == " "]
         flat, sizes = [], []
         for lo in range(0, len(parts), 256):
@@ -78,9 +93,10 @@ class PartIds:
             flat.append(ids)
             sizes.append([len(ids)])
         size = np.concatenate(sizes).astype(np.int64)
-        self.at.update(zip(parts + words, range(len(self.at), len(self.at) + len(new))))
-        self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
+        start = len(self.pool) + np.cumsum(size) - size
+        row = np.argsort(np.argsort(whole, kind="stable"))  # encoded parts first, words after them
+        self.start = np.concatenate((self.start, start[row]))
+        self.size = np.concatenate((self.size, size[row]))
         self.pool = np.concatenate((self.pool, *(np.array(ids, dtype=np.uint32) for ids in flat)))
 
     @staticmethod
@@ -104,9 +120,9 @@ class PartIds:
             p = self.parts(t.decode("utf-8", "replace"))
             per_doc.append(len(p))
             found += p
-        if new := set(found).difference(self.at):
-            self._learn(list(new))
         row = np.fromiter(map(self.at.__getitem__, found), dtype=np.int64, count=len(found))
+        if self.at.new:
+            self._learn()
         size, start = self.size[row], self.start[row]
         doc = np.repeat(np.arange(len(texts)), per_doc)
         counts = np.bincount(doc, size, minlength=len(texts)).astype(np.int64)
