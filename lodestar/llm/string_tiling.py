@@ -199,8 +199,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """One row per contaminated (document row, item): doc_id, item_id, tiles, longest,
     covered, coverage, spans (``item word:document word:length`` of each tile by item word).
 
-    Words are runs of letters and digits, A-Z lower-cased, so case, punctuation and
-    white space do not hide a passage.  Null and empty texts, and items of fewer than
+    Words are runs of letters, digits and marks after Unicode case folding, so case,
+    punctuation and white space do not hide a passage.  Null and empty texts, and items of fewer than
     ``min_match`` words, match nothing.  Repeated rows are judged row by row.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

@@ -8,6 +8,10 @@ the bytes themselves after a hash match.
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from functools import cache
+
 import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -23,8 +27,27 @@ def byte_table(member) -> np.ndarray:
 
 #: Letters, digits and every byte of a non-ASCII character.
 WORD = byte_table(lambda b: b >= 128 or chr(b).isalnum())
-#: A-Z to a-z, other bytes unchanged.
-LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+
+
+_OTHER = re.compile(r"[^\x00-\x7f\w]+")
+
+
+@cache
+def _shown(char: str) -> str:
+    kind = unicodedata.category(char)
+    if kind == "Cf" and char != "\u200b":  # a zero width space parts words as other spaces do
+        return ""
+    return " " if kind[0] in "ZPS" or kind in ("Cc", "Cf") else char
+
+
+def folded(text: bytes) -> bytes:
+    """``text`` without case: Unicode case folding, non-ASCII spaces, punctuation, symbols and controls as
+    blanks, format characters (soft hyphens, joiners, byte order marks) left out; marks stay in their words."""
+    if text.isascii():
+        return text.lower()
+    t = text.decode("utf-8", "replace").upper().casefold()  # upper first: a dotless i has no capital of its own
+    return _OTHER.sub(lambda m: "".join(map(_shown, m[0])), t).encode()
+
 
 _POWERS = np.ones(1, dtype=np.uint64)
 _INVERSES = np.ones(1, dtype=np.uint64)
@@ -41,13 +64,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Texts:
-    """Several texts as one byte array with offsets."""
+    """Several texts as one byte array with offsets; ``lower`` folds them first."""
 
     def __init__(self, texts: list[bytes], lower: bool = True):
+        if lower:
+            texts = [folded(t) for t in texts]
         self.size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         self.offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(self.size)))
-        self.raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        self.buf = LOWER[self.raw] if lower else self.raw
+        self.buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
 
     def runs(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, text) of all maximal runs of bytes of ``table`` within a text."""

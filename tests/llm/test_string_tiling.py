@@ -92,3 +92,15 @@ def test_small_expansions_give_the_same_hits(monkeypatch):
     assert list(T._block_hits(texts, index, 0.6)) == whole
     hit = {(d, index.ids[i]) for d, i, _, _ in whole}
     assert (len(texts) - 1, items[-1][0]) in hit and (len(texts) - 1, items[-2][0]) in hit
+
+
+def test_case_and_punctuation_beyond_ascii_hide_nothing(spark, docs_of):
+    items = [(1, "où l'élève français a-t-il étudié l'économie générale très tôt à genève"), (2, "die straße führt über größere flüsse nach köln und münchen"),
+             (3, "ο λόγος τους είναι πολύ καλός για όλους"), (4, "alpha beta gamma delta epsilon zeta")]
+    docs = [(10 + i, t.upper()) for i, t in items] + [
+        (21, items[0][1].replace(" ", "\u00a0").replace("'", "\u2019")), (22, "\u00ab" + items[1][1].replace(" ", "\u2014") + "\u00bb"),
+        (24, "\u201calpha beta\u2026gamma\u200bdelta\u3000epsi\u00adlon\u00b7zeta\u201d"), (30, "où l'eleve francais a-t-il etudie l'economie generale tres tot a geneve")]
+    df, bench = docs_of(docs), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.coverage) for r in T.contaminated(df, bench).collect()}
+    assert got == {(11, 1, 1.0), (12, 2, 1.0), (13, 3, 1.0), (14, 4, 1.0), (21, 1, 1.0), (22, 2, 1.0), (24, 4, 1.0)}
+    assert [r.doc_id for r in T.drop_contaminated(df, bench).collect()] == [30]
