@@ -481,20 +481,20 @@ def rca_projected(spark: SparkSession, sf: str) -> DataFrame:
 def gmm_bic_curve(spark: SparkSession, sf: str) -> DataFrame:
     """All fourteen families on the whole standardised table, fitted until the likelihood settles."""
     from lodestar.operators import mixture as MX
-    t = MX.bic_table(spark, _X().mixture_grid(std_e(spark, sf), [2, 3], MX.FAMILIES, SEED))
+    t = MX.bic_table(spark, _X().mixture_grid(std_e(spark, sf), [2, 3, 4], MX.FAMILIES, SEED))
     return t.select("numClusters", "family", r6("bic").alias("bic"))
 
 
 def gmm_best_bic(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
-    models = _X().mixture_grid(std_e(spark, sf), [2, 3], MX.FAMILIES, SEED)
+    models = _X().mixture_grid(std_e(spark, sf), [2, 3, 4], MX.FAMILIES, SEED)
     b = scoring.best_bic(MX.bic_table(spark, models), max(m.n for m in models))
     return b.select("numClusters", r6("bic").alias("bic"), "family")
 
 
 def gmm_components(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
-    m = _X().mixture_grid(std_e(spark, sf), [3], ["VVI"], SEED)[0]
+    m = _X().mixture_grid(std_e(spark, sf), [3], ["VVV"], SEED)[0]
     return MX.components_frame(spark, m).select("component", r6("weight").alias("weight"),
                                                  "mean", "cov")
 
@@ -566,7 +566,7 @@ def mlp_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mlp_error_by_dims(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_error_by_dims(spark, std_e(spark, sf), [5], [1, 2], SEED, 15)
+    e = _X().net_error_by_dims(spark, std_e(spark, sf), [5, 10], [1, 2], SEED, 15)
     return e.select("dims", "algo", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"))
 
 
