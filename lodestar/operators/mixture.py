@@ -328,17 +328,17 @@ def posterior(df: DataFrame, m: Mixture, x: str = "x", passthrough=("id", "label
 
 
 def components_frame(spark, m: Mixture) -> DataFrame:
-    """(component, weight, mean, cov) as a small table."""
+    """(component, weight, mean, cov, converged) as a small table."""
     rows = [(g, float(m.weights[g]), [float(v) for v in m.means[g]],
-             [float(v) for v in m.full(g).ravel()]) for g in range(m.G)]
+             [float(v) for v in m.full(g).ravel()], m.converged) for g in range(m.G)]
     return spark.createDataFrame(rows, "component INT, weight DOUBLE, mean ARRAY<DOUBLE>, "
-                                       "cov ARRAY<DOUBLE>")
+                                       "cov ARRAY<DOUBLE>, converged BOOLEAN")
 
 
 def bic_table(spark, models: list[Mixture]) -> DataFrame:
-    """(numClusters, family, bic nullable)."""
-    rows = [(m.G, m.family, m.bic()) for m in models]
-    return spark.createDataFrame(rows, "numClusters INT, family STRING, bic DOUBLE")
+    """(numClusters, family, bic nullable, converged)."""
+    rows = [(m.G, m.family, m.bic(), m.converged) for m in models]
+    return spark.createDataFrame(rows, "numClusters INT, family STRING, bic DOUBLE, converged BOOLEAN")
 
 
 def hard_assign(soft: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def pca_contributions(spark: SparkSession, df: DataFrame) -> DataFrame:
 def ica_sources(df: DataFrame, d: int, seed: int) -> DataFrame:
     model = RD.ica_fit(df, tables.dims(df), d, seed)
     z = RD.ica_sources(df, model, out="z")
-    return z.select("id", "label", F.posexplode("z").alias("j", "v")).withColumn(
+    return z.select("id", "label", F.posexplode("z").alias("j", "v"), F.lit(model.converged).alias("ica_converged")).withColumn(
         "j", F.col("j").cast("int"))
 
 
@@ -115,19 +115,21 @@ def cfs_subset(df: DataFrame, p: int, bins: int = 5) -> list[int]:
         return SEL.best_first(su_c, SEL.su_feature_pairs(binned, p, bins))
 
 
-def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int, runs: int = 20, ica_iters: int = 40) -> dict[str, tuple[DataFrame, int]]:
-    """{algo: (Features(id, x, label), width)}: the input itself, its first d principal and
-    independent components, its best of ``runs`` random projections to d, its CFS features."""
+def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int, runs: int = 20, ica_iters: int = 200) -> dict[str, tuple[DataFrame, int, bool | None]]:
+    """{algo: (Features(id, x, label), width, settled)}: the input itself, its first d principal and
+    independent components, its best of ``runs`` random projections to d, its CFS features.
+    ``settled`` tells whether FastICA converged; the others have no fit to stop: null."""
     from lodestar.functions.vectors import select_idx
     p = tables.dims(df)
     R, rca = rca_best_projection(spark, df, d, runs, seed)
     keep = cfs_subset(df, p) or [0]
+    ica = RD.ica_fit(df, p, d, seed, max_iter=ica_iters)
     return {
-        "N/A": (df, p),
-        "PCA": (RD.pca_transform(df, RD.pca_fit(df, p), d), d),
-        "ICA": (RD.ica_sources(df, RD.ica_fit(df, p, d, seed, max_iter=ica_iters)), d),
-        "RCA": (rca, d),
-        "CFS": (df.select("id", select_idx("x", keep).alias("x"), "label"), len(keep)),
+        "N/A": (df, p, None),
+        "PCA": (RD.pca_transform(df, RD.pca_fit(df, p), d), d, None),
+        "ICA": (RD.ica_sources(df, ica), d, ica.converged),
+        "RCA": (rca, d, None),
+        "CFS": (df.select("id", select_idx("x", keep).alias("x"), "label"), len(keep), None),
     }
 
 
@@ -142,65 +144,66 @@ def label_errors(df: DataFrame, models: dict, lv: DataFrame) -> dict[int, float]
 
 def reduced_kmeans_error(spark: SparkSession, df: DataFrame, d: int, ks, seed: int,
                          runs: int = 50, iters: int = 100) -> DataFrame:
-    """(k, err, dims, algo): label error of k-means on each reduction."""
+    """(k, err, dims, algo, ica_converged): label error of k-means on each reduction."""
     lv = prep.levels(df)
     parts, p = [], tables.dims(df)
-    for algo, (red, width) in reductions(spark, df, d, seed).items():
+    for algo, (red, width, settled) in reductions(spark, df, d, seed).items():
         with cached(red) as red:
             best = KM.kmeans_grid(red, ks, seed, runs=runs, max_iter=iters)
             for k, e in sorted(label_errors(red, {k: m.centers for k, m in best.items()}, lv).items()):
                 # The unreduced result is a reference line spanning dims 1 .. p
-                parts += [(k, e, at, algo) for at in ((1, p) if algo == "N/A" else (width,))]
-    return spark.createDataFrame(parts, "k INT, err DOUBLE, dims INT, algo STRING")
+                parts += [(k, e, at, algo, settled) for at in ((1, p) if algo == "N/A" else (width,))]
+    return spark.createDataFrame(parts, "k INT, err DOUBLE, dims INT, algo STRING, ica_converged BOOLEAN")
 
 
 def reduced_sse_curve(spark: SparkSession, df: DataFrame, d: int, ks, seed: int,
                       runs: int = 50, iters: int = 100) -> DataFrame:
-    """(k, within_ss_mean, algo) per reduction (X8 SSE curves)."""
+    """(k, within_ss_mean, algo, ica_converged) per reduction (X8 SSE curves)."""
     out = []
-    for algo, (red, _) in reductions(spark, df, d, seed).items():
+    for algo, (red, _, settled) in reductions(spark, df, d, seed).items():
         with cached(red) as red:
             best = KM.kmeans_grid(red, ks, seed, runs=runs, max_iter=iters)
-            out += [(int(k), float(m.cost / m.sizes.sum()), algo) for k, m in sorted(best.items())]
-    return spark.createDataFrame(out, "k INT, within_ss_mean DOUBLE, algo STRING")
+            out += [(int(k), float(m.cost / m.sizes.sum()), algo, settled) for k, m in sorted(best.items())]
+    return spark.createDataFrame(out, "k INT, within_ss_mean DOUBLE, algo STRING, ica_converged BOOLEAN")
 
 
 def reduced_em_bic(spark: SparkSession, df: DataFrame, d: int, Gs, families, seed: int,
                    iters: int = 100) -> DataFrame:
-    """(algo, numClusters, family, bic, converged): mixtures on the input and on every
+    """(algo, numClusters, family, bic, converged, ica_converged): mixtures on the input and on every
     reduction (X8 EM half, X11)."""
     rows = []
-    for algo, (red, _) in reductions(spark, df, d, seed).items():
+    for algo, (red, _, settled) in reductions(spark, df, d, seed).items():
         with cached(red) as red:
-            rows += [(algo, m.G, m.family, m.bic(), m.converged) for m in mixture_grid(red, Gs, families, seed, iters)]
-    return spark.createDataFrame(rows, "algo STRING, numClusters INT, family STRING, bic DOUBLE, converged BOOLEAN")
+            rows += [(algo, m.G, m.family, m.bic(), m.converged, settled) for m in mixture_grid(red, Gs, families, seed, iters)]
+    return spark.createDataFrame(rows, "algo STRING, numClusters INT, family STRING, bic DOUBLE, converged BOOLEAN, ica_converged BOOLEAN")
 
 
 def reduced_error_table(spark: SparkSession, df: DataFrame, d: int, k: int, G: int, family: str, seed: int,
                         runs: int = 10, iters: int = 100) -> DataFrame:
-    """(reduction, em, kmeans): label error of a fitted mixture and of k-means on the input
+    """(reduction, em, kmeans, converged, ica_converged): label error of a fitted mixture and of k-means on the input
     and every reduction (X9)."""
     lv = prep.levels(df)
     c, rows = lv.count(), []
-    for algo, (red, _) in reductions(spark, df, d, seed).items():
+    for algo, (red, _, settled) in reductions(spark, df, d, seed).items():
         with cached(red) as red:
             m = KM.kmeans(red, k, seed, runs=runs, max_iter=iters)
             km = scoring.confusion_error(scoring.cluster_confusion(KM.assign(red, m.centers), lv, c)).first()["err"]
             mix = mixture_grid(red, [G], [family], seed, iters)[0]
             em = None if mix.failed else scoring.confusion_error(scoring.soft_label_confusion(MX.posterior(red, mix), lv, G, c)).first()["err"]
-            rows.append((algo, em, km))
-    return spark.createDataFrame(rows, "reduction STRING, em DOUBLE, kmeans DOUBLE")
+            rows.append((algo, em, km, mix.converged, settled))
+    return spark.createDataFrame(rows, "reduction STRING, em DOUBLE, kmeans DOUBLE, converged BOOLEAN, ica_converged BOOLEAN")
 
 
 def reduced_spectrum(spark: SparkSession, df: DataFrame, d: int, k: int, seed: int, runs: int = 10, iters: int = 100) -> DataFrame:
-    """(algo, idx, cluster, size, share): cluster sizes of k-means on the input and every reduction."""
-    out = None
-    for algo, (red, _) in reductions(spark, df, d, seed).items():
+    """(algo, idx, cluster, size, share, ica_converged): cluster sizes of k-means on the input and every reduction."""
+    out, ica = None, None
+    for algo, (red, _, settled) in reductions(spark, df, d, seed).items():
         with cached(red) as red:
             m = KM.kmeans(red, k, seed, runs=runs, max_iter=iters)
+        ica = settled if algo == "ICA" else ica
         part = KM.assign(red, m.centers).select(F.lit(algo).alias("algo"), "cluster")
         out = part if out is None else out.unionByName(part)
-    return scoring.cluster_spectrum(out, algo="algo")
+    return scoring.cluster_spectrum(out, algo="algo").withColumn("ica_converged", F.when(F.col("algo") == "ICA", F.lit(ica)))
 
 
 # --- k-means sweeps (X2-X4) ------------------------------------------------------------
@@ -253,20 +256,20 @@ def _mean_sd(raw: DataFrame, *keys: str) -> DataFrame:
 
 def net_error_by_dims(spark: SparkSession, df: DataFrame, dims, seeds, seed: int,
                       max_iter: int = 15) -> DataFrame:
-    """(dims, algo, error, error_sd, stage) over repeated fits, on the input and on every
+    """(dims, algo, error, error_sd, stage, ica_converged) over repeated fits, on the input and on every
     reduction (X22, M29, A17)."""
     lv = prep.levels(df)
     c, rows, whole = lv.count(), [], True
     for d in dims:
-        for algo, (data, width) in reductions(spark, df, d, seed).items():
+        for algo, (data, width, settled) in reductions(spark, df, d, seed).items():
             if algo == "N/A" and not whole:
                 continue  # the same input for every d
             whole = whole and algo != "N/A"
             with net_split(data, lv, seed) as (tr, te):
-                rows += [(int(width), algo, int(run), stage, float(err))
+                rows += [(int(width), algo, int(run), stage, float(err), settled)
                          for run, stage, err in NN.repeated_error(tr, te, width, c, seeds, max_iter)]
-    raw = spark.createDataFrame(rows, "dims INT, algo STRING, run INT, stage STRING, err DOUBLE")
-    return _mean_sd(raw, "dims", "algo", "stage")
+    raw = spark.createDataFrame(rows, "dims INT, algo STRING, run INT, stage STRING, err DOUBLE, ica_converged BOOLEAN")
+    return _mean_sd(raw, "dims", "algo", "stage", "ica_converged")
 
 
 def net_learning_by_dims(spark: SparkSession, df: DataFrame, dims, seed: int,
@@ -286,10 +289,10 @@ def net_learning_by_dims(spark: SparkSession, df: DataFrame, dims, seed: int,
     return spark.createDataFrame(rows, "idx INT, error DOUBLE, stage STRING, dims STRING")
 
 
-def cluster_inputs(spark: SparkSession, df: DataFrame, k: int, seed: int, family: str = "VVI", runs: int = 4, iters: int = 25):
-    """Yields (inputs, algo, Features, width): cluster memberships as net inputs (one-hot
+def cluster_inputs(spark: SparkSession, df: DataFrame, k: int, seed: int, family: str = "VVI", runs: int = 4, iters: int = 100):
+    """Yields (inputs, algo, Features, width, converged): cluster memberships as net inputs (one-hot
     k-means clusters; posteriors of a fitted mixture), the raw inputs with them ('Both'),
-    and the raw inputs alone ('N/A') (X23, X24)."""
+    and the raw inputs alone ('N/A') (X23, X24).  ``converged`` is the mixture's; null without one."""
     p = tables.dims(df)
     m = KM.kmeans(df, k, seed, runs=runs, max_iter=100)
     hot = F.array(*[(F.col("cluster") == i).cast("double") for i in range(k)])
@@ -298,36 +301,37 @@ def cluster_inputs(spark: SparkSession, df: DataFrame, k: int, seed: int, family
                "em": MX.posterior(df, mix).withColumnRenamed("z", "x")}
     for algo, own in members.items():
         both = own.join(df.select("id", F.col("x").alias("raw")), "id").select("id", F.concat("x", "raw").alias("x"), "label")
-        yield "Clusters", algo, own, k
-        yield "Both", algo, both, k + p
-    yield "N/A", "raw", df, p
+        settled = mix.converged if algo == "em" else None
+        yield "Clusters", algo, own, k, settled
+        yield "Both", algo, both, k + p, settled
+    yield "N/A", "raw", df, p, None
 
 
 def net_on_clusters(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int,
                     max_iter: int = 15) -> DataFrame:
-    """(inputs, type, stage, error, error_sd): repeated nets on each of :func:`cluster_inputs`."""
+    """(inputs, type, stage, error, error_sd, converged): repeated nets on each of :func:`cluster_inputs`."""
     lv = prep.levels(df)
     c, rows = lv.count(), []
-    for inputs, kind, data, width in cluster_inputs(spark, df, k, seed):
+    for inputs, kind, data, width, settled in cluster_inputs(spark, df, k, seed):
         with net_split(data, lv, seed) as (tr, te):
-            rows += [(inputs, kind, stage, int(run), float(err)) for run, stage, err in NN.repeated_error(tr, te, width, c, seeds, max_iter)]
-    raw = spark.createDataFrame(rows, "inputs STRING, type STRING, stage STRING, run INT, err DOUBLE")
-    return _mean_sd(raw, "inputs", "type", "stage")
+            rows += [(inputs, kind, stage, int(run), float(err), settled) for run, stage, err in NN.repeated_error(tr, te, width, c, seeds, max_iter)]
+    raw = spark.createDataFrame(rows, "inputs STRING, type STRING, stage STRING, run INT, err DOUBLE, converged BOOLEAN")
+    return _mean_sd(raw, "inputs", "type", "stage", "converged")
 
 
 def net_cluster_learning_curve(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int,
                                iters: int = 200) -> DataFrame:
-    """(idx, stage, algo, inputs, err_mean, err_sd): learning curves on each of
+    """(idx, stage, algo, inputs, err_mean, err_sd, converged): learning curves on each of
     :func:`cluster_inputs`, mean / sd over runs (X23, A4)."""
     lv = prep.levels(df)
     c, rows = lv.count(), []
-    for inputs, kind, data, width in cluster_inputs(spark, df, k, seed):
+    for inputs, kind, data, width, settled in cluster_inputs(spark, df, k, seed):
         with net_split(data, lv, seed) as (tr, te):
             for s in seeds:
-                rows += [(idx, stage, kind, inputs, int(s), float(err))
+                rows += [(idx, stage, kind, inputs, int(s), float(err), settled)
                          for idx, err, stage in NN.learning_curve(tr, te, width, c, int(s), iters=iters)]
-    raw = spark.createDataFrame(rows, "idx INT, stage STRING, algo STRING, inputs STRING, run INT, err DOUBLE")
-    return raw.groupBy("idx", "stage", "algo", "inputs").agg(F.avg("err").alias("err_mean"),
+    raw = spark.createDataFrame(rows, "idx INT, stage STRING, algo STRING, inputs STRING, run INT, err DOUBLE, converged BOOLEAN")
+    return raw.groupBy("idx", "stage", "algo", "inputs", "converged").agg(F.avg("err").alias("err_mean"),
                                                              F.stddev_samp("err").alias("err_sd"))
 
 

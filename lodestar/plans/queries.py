@@ -454,7 +454,7 @@ def mds_points(spark: SparkSession, sf: str) -> DataFrame:
 
 def ica_sources(spark: SparkSession, sf: str) -> DataFrame:
     z = _X().ica_sources(std_e(spark, sf), 2, SEED)
-    return z.select("id", "label", "j", r6("v").alias("v"))
+    return z.select("id", "label", "j", r6("v").alias("v"), "ica_converged")
 
 
 def ica_recon_error(spark: SparkSession, sf: str) -> DataFrame:
@@ -482,21 +482,22 @@ def gmm_bic_curve(spark: SparkSession, sf: str) -> DataFrame:
     """All fourteen families on the whole standardised table, fitted until the likelihood settles."""
     from lodestar.operators import mixture as MX
     t = MX.bic_table(spark, _X().mixture_grid(std_e(spark, sf), [2, 3, 4], MX.FAMILIES, SEED))
-    return t.select("numClusters", "family", r6("bic").alias("bic"))
+    return t.select("numClusters", "family", r6("bic").alias("bic"), "converged")
 
 
 def gmm_best_bic(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
     models = _X().mixture_grid(std_e(spark, sf), [2, 3, 4], MX.FAMILIES, SEED)
-    b = scoring.best_bic(MX.bic_table(spark, models), max(m.n for m in models))
-    return b.select("numClusters", r6("bic").alias("bic"), "family")
+    t = MX.bic_table(spark, models)
+    b = scoring.best_bic(t, max(m.n for m in models)).join(t.drop("bic"), ["numClusters", "family"], "left")
+    return b.select("numClusters", r6("bic").alias("bic"), "family", "converged")
 
 
 def gmm_components(spark: SparkSession, sf: str) -> DataFrame:
     from lodestar.operators import mixture as MX
     m = _X().mixture_grid(std_e(spark, sf), [3], ["VVV"], SEED)[0]
     return MX.components_frame(spark, m).select("component", r6("weight").alias("weight"),
-                                                 "mean", "cov")
+                                                 "mean", "cov", "converged")
 
 
 def em_confusion(spark: SparkSession, sf: str) -> DataFrame:
@@ -504,7 +505,8 @@ def em_confusion(spark: SparkSession, sf: str) -> DataFrame:
     s = std_e(spark, sf)
     m = _X().mixture_grid(s, [4], ["VVI"], SEED)[0]
     lv, c = e_levels(s)
-    return scoring.soft_label_confusion(MX.posterior(s, m), lv, m.G, c).select("predicted", "actual", "n")
+    return scoring.soft_label_confusion(MX.posterior(s, m), lv, m.G, c).select(
+        "predicted", "actual", "n", F.lit(m.converged).alias("converged"))
 
 
 def lda_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -529,12 +531,12 @@ def rff_pca(spark: SparkSession, sf: str) -> DataFrame:
 
 def reduced_kmeans_error(spark: SparkSession, sf: str) -> DataFrame:
     e = _X().reduced_kmeans_error(spark, std_e(spark, sf), 4, [10], SEED, runs=8)
-    return e.select("k", r6("err").alias("err"), "dims", "algo")
+    return e.select("k", r6("err").alias("err"), "dims", "algo", "ica_converged")
 
 
 def reduced_sse_curve(spark: SparkSession, sf: str) -> DataFrame:
     e = _X().reduced_sse_curve(spark, std_e(spark, sf), 4, [4, 8, 12], SEED, runs=3)
-    return e.select("k", r6("within_ss_mean").alias("within_ss_mean"), "algo")
+    return e.select("k", r6("within_ss_mean").alias("within_ss_mean"), "algo", "ica_converged")
 
 
 def kmeans_clusters(spark: SparkSession, sf: str) -> DataFrame:
@@ -567,12 +569,12 @@ def mlp_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 def mlp_error_by_dims(spark: SparkSession, sf: str) -> DataFrame:
     e = _X().net_error_by_dims(spark, std_e(spark, sf), [5, 10], [1, 2], SEED, 15)
-    return e.select("dims", "algo", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"))
+    return e.select("dims", "algo", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"), "ica_converged")
 
 
 def mlp_on_clusters(spark: SparkSession, sf: str) -> DataFrame:
     e = _X().net_on_clusters(spark, std_e(spark, sf), 10, [1, 2], SEED, 15)
-    return e.select("inputs", "type", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"))
+    return e.select("inputs", "type", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"), "converged")
 
 
 def cfs_selection(spark: SparkSession, sf: str) -> DataFrame:
@@ -686,7 +688,7 @@ def spectrum_by_algo(spark: SparkSession, sf: str) -> DataFrame:
 def reduced_spectrum(spark: SparkSession, sf: str) -> DataFrame:
     """Cluster sizes of fitted k-means on the input and all four reductions."""
     return _X().reduced_spectrum(spark, std_e(spark, sf), 4, 10, SEED, runs=4).select(
-        "algo", "idx", "cluster", "size", r6("share").alias("share"))
+        "algo", "idx", "cluster", "size", r6("share").alias("share"), "ica_converged")
 
 
 def error_table_cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -713,8 +715,8 @@ def error_table_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def reduced_error_table(spark: SparkSession, sf: str) -> DataFrame:
     """Error of a fitted mixture and of fitted k-means on the input and all four reductions."""
-    t = _X().reduced_error_table(spark, std_e(spark, sf), 4, 10, 4, "VVI", SEED, runs=2, iters=12)
-    return t.select("reduction", r6("em").alias("em"), r6("kmeans").alias("kmeans"))
+    t = _X().reduced_error_table(spark, std_e(spark, sf), 4, 10, 4, "VVI", SEED, runs=2)
+    return t.select("reduction", r6("em").alias("em"), r6("kmeans").alias("kmeans"), "converged", "ica_converged")
 
 
 def label_variance_sweep(spark: SparkSession, sf: str) -> DataFrame:
@@ -761,8 +763,8 @@ QUERIES["cfs_recon_error"] = cfs_recon_error
 
 
 def reduced_em_bic(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().reduced_em_bic(spark, std_e(spark, sf), 4, [2, 4], ["VVI", "VVV"], SEED, iters=25)
-    return e.select("algo", "numClusters", "family", r6("bic").alias("bic"), "converged")
+    e = _X().reduced_em_bic(spark, std_e(spark, sf), 4, [2, 4], ["VVI", "VVV"], SEED)
+    return e.select("algo", "numClusters", "family", r6("bic").alias("bic"), "converged", "ica_converged")
 
 
 QUERIES["reduced_em_bic"] = reduced_em_bic
@@ -771,7 +773,7 @@ QUERIES["reduced_em_bic"] = reduced_em_bic
 def mlp_cluster_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
     e = _X().net_cluster_learning_curve(spark, std_e(spark, sf), 10, [1, 2], SEED, iters=4)
     return e.select("idx", "stage", "algo", "inputs", r6("err_mean").alias("err_mean"),
-                    r6("err_sd").alias("err_sd"))
+                    r6("err_sd").alias("err_sd"), "converged")
 
 
 QUERIES["mlp_cluster_learning_curve"] = mlp_cluster_learning_curve

@@ -35,8 +35,40 @@ def test_net_errors_cover_both_dims(spark, monkeypatch):
 
     def errors(spark, df, dims, *rest):
         asked.extend(dims)
-        return spark.createDataFrame([], "dims INT, algo STRING, stage STRING, error DOUBLE, error_sd DOUBLE")
+        return spark.createDataFrame([], "dims INT, algo STRING, stage STRING, error DOUBLE, error_sd DOUBLE, ica_converged BOOLEAN")
 
     monkeypatch.setattr(X, "net_error_by_dims", errors)
     Q.mlp_error_by_dims(spark, SF0001).collect()
     assert asked == [5, 10]
+
+
+def test_fits_run_to_their_tolerance_and_tables_tell(spark, std_e, monkeypatch):
+    caps, em, ica = [], MX.em, X.RD.ica_fit
+
+    def short_em(df, starts, max_iter=100, **kw):
+        caps.append(("em", max_iter))
+        return em(df, starts, max_iter=2, **kw)
+
+    def short_ica(*args, max_iter=200, **kw):
+        caps.append(("ica", max_iter))
+        return ica(*args, max_iter=1, **kw)
+
+    monkeypatch.setattr(MX, "em", short_em)
+    monkeypatch.setattr(X.RD, "ica_fit", short_ica)
+    monkeypatch.setattr(Q, "std_e", lambda *_: std_e)
+    monkeypatch.setattr(X, "cfs_subset", lambda df, p: [0, 1, 2])
+    rows = {r["reduction"]: r for r in Q.reduced_error_table(spark, SF0001).collect()}
+    assert set(caps) == {("em", 100), ("ica", 200)}
+    assert not any(r["converged"] for r in rows.values())
+    assert {a: r["ica_converged"] for a, r in rows.items()} == {"N/A": None, "PCA": None, "ICA": False, "RCA": None, "CFS": None}
+    assert {r["ica_converged"] for r in Q.ica_sources(spark, SF0001).collect()} == {False}
+    assert {r["converged"] for r in Q.em_confusion(spark, SF0001).collect()} == {False}
+    caps.clear()
+    told = {kind: settled for _, kind, _, _, settled in X.cluster_inputs(spark, std_e, 3, 1)}
+    assert told == {"kmeans": None, "em": False, "raw": None} and caps == [("em", 100)]
+
+
+def test_best_bic_tells_whether_its_mixture_converged(spark, monkeypatch):
+    monkeypatch.setattr(X, "mixture_grid", grid_only([]))
+    assert [r["converged"] for r in Q.gmm_best_bic(spark, SF0001).collect()] == [False] * 3
+    assert not any(r["converged"] for r in Q.gmm_components(spark, SF0001).collect())
