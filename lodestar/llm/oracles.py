@@ -49,4 +49,48 @@ SELECT record_id, url, ts, status, rid AS response_id, rts AS response_ts, CASE
 FROM found
 """
 
-SQL: dict[str, str] = {"op3_warc_revisits": OP3, "op6_product_quantisation": OP6}
+OP11 = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, total GROUP BY term, docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (doc_id), total GROUP BY item_id, doc_id
+), ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def _op12(k: int = 8, rounds: int = 10) -> str:
+    """Rounds unrolled: a<i> assigns to the centroids c<i> in long form (cluster, dimension, value)."""
+    parts = ["""v AS MATERIALIZED (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), x -> CAST(floor(1024 * x) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> isfinite(x))) = 64
+)""", """cells AS MATERIALIZED (SELECT vec_id, unnest(range(64)) AS d, unnest(e) AS x FROM v)""",
+             f"""first AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster, e FROM v QUALIFY cluster < {k})""",
+             """c0 AS MATERIALIZED (SELECT cluster, unnest(range(64)) AS d, unnest(e) AS x FROM first)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, cluster, distance FROM (
+    SELECT vec_id, c.cluster, CAST(sum((t.x - c.x) * (t.x - c.x)) AS BIGINT) AS distance FROM cells t JOIN c{i} c USING (d) GROUP BY vec_id, c.cluster)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.d, CASE WHEN s.n > 0 THEN CAST((s.t - ((s.t % s.n) + s.n) % s.n) // s.n AS BIGINT) ELSE c.x END AS x
+  FROM c{i} c LEFT JOIN (SELECT cluster, d, sum(x) AS t, count(*) AS n FROM a{i} JOIN cells USING (vec_id) GROUP BY cluster, d) s USING (cluster, d)
+)""")
+    parts.append(f"digest AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN digest USING (cluster)
+"""
+
+
+SQL: dict[str, str] = {"op3_warc_revisits": OP3, "op6_product_quantisation": OP6, "op11_pipelined_terms": OP11, "op12_lookup_kmeans": _op12()}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import (pattern_packing, pq_dedup, revisit, secret_scan, simhash_vp, site_quality, string_tiling, token_scan,
-                          toxicity, url_rules)
+from lodestar.llm import (cube_mix, lexical_search, lookup_kmeans, pattern_packing, pq_dedup, revisit, secret_scan, simhash_vp, site_quality,
+                          string_tiling, token_scan, toxicity, url_rules)
 from lodestar.llm.common import table
 
 
@@ -67,6 +67,18 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op11_pipelined_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_lookup_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup_kmeans.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, salt="3")
+
+
+def op13_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cube_mix.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_separator_scan,
     op2_secret_scans,
@@ -78,4 +90,7 @@ QUERIES = {f.__name__: f for f in (
     op8_url_association_rules,
     op9_simhash_vp_trees,
     op10_pattern_packing,
+    op11_pipelined_terms,
+    op12_lookup_kmeans,
+    op13_cube_mix,
 )}
