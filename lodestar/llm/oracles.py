@@ -69,8 +69,8 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r
 def _op12(k: int = 8, rounds: int = 10) -> str:
     """Rounds unrolled: a<i> assigns to the centroids c<i> in long form (cluster, dimension, value)."""
     parts = ["""v AS MATERIALIZED (
-  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), x -> CAST(floor(1024 * x) AS BIGINT)) AS e FROM embeddings
-  WHERE len(embedding) = 64 AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> isfinite(x))) = 64
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(1024 * x) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: isfinite(x))) = 64
 )""", """cells AS MATERIALIZED (SELECT vec_id, unnest(range(64)) AS d, unnest(e) AS x FROM v)""",
              f"""first AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster, e FROM v QUALIFY cluster < {k})""",
              """c0 AS MATERIALIZED (SELECT cluster, unnest(range(64)) AS d, unnest(e) AS x FROM first)"""]
