@@ -3,7 +3,7 @@ exactly collinear columns."""
 
 import numpy as np
 
-from conftest import features_from
+from core_helpers import features_from
 from lodestar.operators import kmeans as KM
 from lodestar.operators import linalg as LA
 from lodestar.operators import mixture as MX

@@ -6,7 +6,7 @@ from lodestar.operators import mixture as MX
 from lodestar.plans import experiments as X
 from lodestar.plans import queries as Q
 
-from conftest import SF0001
+from core_helpers import SF0001
 
 
 def grid_only(asked):

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001, collect_matrix, features_from
+from core_helpers import SF0001, collect_matrix, features_from
 from lodestar.operators import kmeans as KM
 from lodestar.operators import prep, scoring
 from lodestar.operators import histogram as H

@@ -2,7 +2,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from conftest import SF0001, collect_matrix, features_from
+from core_helpers import SF0001, collect_matrix, features_from
 from lodestar.operators import kmeans as KM
 from lodestar.operators import mixture as MX
 from lodestar.operators import net as NN

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import collect_matrix, features_from
+from core_helpers import collect_matrix, features_from
 from lodestar.operators import kmeans as KM
 from lodestar.operators import linalg as LA
 from lodestar.operators import reduce as RD

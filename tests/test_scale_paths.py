@@ -61,7 +61,7 @@ def test_nearest_matches_direct():
 
 
 def test_partition_count_and_width_do_not_change_values(spark):
-    from conftest import collect_matrix, features_from
+    from core_helpers import collect_matrix, features_from
     from lodestar.operators import prep
     rng = np.random.default_rng(8)
     for p in (10, 2000):

@@ -3,7 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001, SF001, collect_matrix, features_from
+from core_helpers import SF0001, SF001, collect_matrix, features_from
 from lodestar.functions.ranking import exact_group_rank, exact_rank, ntile_expr
 from lodestar.operators import prep
 from lodestar.sources import text, tables
