@@ -31,7 +31,7 @@ def _direct_d2(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return D
 
 
-def _nearest(X: np.ndarray, C: np.ndarray):
+def nearest(X: np.ndarray, C: np.ndarray):
     """argmin_c ‖x−c‖² (first wins) and the exact squared distance to it.
 
     The expansion ‖x‖² − 2x·c + ‖c‖² about the mean centre picks, per row, every
@@ -108,7 +108,7 @@ def assign(df: DataFrame, centers: np.ndarray, x: str = "x",
     keep = [c for c in passthrough if c in df.columns]
 
     def fn(b):
-        a, d2 = _nearest(b[x], C)
+        a, d2 = nearest(b[x], C)
         return {"cluster": a, "d2": d2}
 
     schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] +
@@ -123,7 +123,7 @@ def assign_many(df: DataFrame, models: dict, x: str = "x", passthrough: tuple =
     keys, Cs = list(models), [np.asarray(c, dtype=float) for c in models.values()]
 
     def fn(b):
-        got = [_nearest(b[x], C) for C in Cs]
+        got = [nearest(b[x], C) for C in Cs]
         return {"clusters": np.stack([a for a, _ in got], axis=1).astype(float), "d2s": np.stack([d for _, d in got], axis=1)}
 
     schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] + ["clusters ARRAY<DOUBLE>", "d2s ARRAY<DOUBLE>"])
@@ -212,7 +212,7 @@ def _pass_stats(df: DataFrame, x: str, centers: list[np.ndarray], p: int):
         out = np.zeros(size)
         for m, C in enumerate(Cs):
             k = C.shape[0]
-            a, d2 = _nearest(X, C)
+            a, d2 = nearest(X, C)
             o = offs[m]
             out[o:o + k] = np.bincount(a, minlength=k)
             out[o + k:o + 2 * k] = np.bincount(a, weights=d2, minlength=k)

@@ -15,11 +15,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestar.functions.arrowkit import map_rows
 from lodestar.functions.caching import cached
+from lodestar.operators import backprop as BP
 from lodestar.operators import kmeans as KM
 from lodestar.operators import linalg as LA
 from lodestar.operators import mixture as MX
-from lodestar.operators import net as NN
 from lodestar.operators import prep, scoring
 from lodestar.operators import reduce as RD
 from lodestar.operators import select as SEL
@@ -240,99 +241,148 @@ def mixture_grid(df: DataFrame, Gs, families, seed: int, iters: int = 100) -> li
 
 # --- nets (X20-X24) ---------------------------------------------------------------------
 
+RCA_RUNS = 20  # random projections of which the best feeds a net
+
+
 @contextmanager
 def net_split(df: DataFrame, lv: DataFrame, seed: int, f: float = 0.8):
-    """(train, test) of the labelled rows, cached while the block runs: every training
-    step reads them."""
+    """The labelled rows with ``label_ix`` and ``fold`` (0 train, 1 test), cached while the block runs:
+    reductions and every training step read them."""
     labelled = prep.with_label_ix(df, lv)
     train, test = prep.split_frames(labelled, prep.train_test_split(labelled, f, seed))
-    with cached(train) as train, cached(test) as test:
-        yield train, test
+    with cached(train.withColumn("fold", F.lit(0)).unionByName(test.withColumn("fold", F.lit(1)))) as rows:
+        yield rows
+
+
+def _fitted_on(rows: DataFrame, fit_on: str) -> DataFrame:
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"reductions are fitted on 'all' or 'train' rows, not on {fit_on!r}")
+    return rows.where("fold = 0") if fit_on == "train" else rows
+
+
+def _widened(rows: DataFrame, maps: list[tuple]) -> DataFrame:
+    """x followed by x @ M - shift of every (M, shift), in one pass."""
+    M = np.concatenate([m for m, _ in maps], axis=1)
+    shift = np.concatenate([s for _, s in maps])
+    keep = ["id", "label_ix", "fold"]
+    schema = ", ".join([f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep] + ["x ARRAY<DOUBLE>"])
+    return map_rows(rows, ["x"], lambda b: {"x": np.concatenate((b["x"], b["x"] @ M - shift), axis=1)}, schema, passthrough=keep)
+
+
+def reduced_net_inputs(spark: SparkSession, rows: DataFrame, dims, seed: int, algos=("PCA", "ICA", "RCA", "CFS"), fit_on: str = "all"):
+    """(frame, cells): the inputs and all their reductions side by side in one vector, and one cell
+    (algo, width, entries of the vector, FastICA converged) per reduction; 'N/A' is the input itself.
+    ``fit_on="train"`` fits every reduction on the training rows alone (D12)."""
+    p, source = tables.dims(rows), _fitted_on(rows, fit_on)
+    cells, maps, at = [("N/A", p, tuple(range(p)), None)], [], p
+
+    def add(algo, M, mean, settled=None):
+        nonlocal at
+        maps.append((M, np.zeros(M.shape[1]) if mean is None else mean @ M))
+        cells.append((algo, M.shape[1], tuple(range(at, at + M.shape[1])), settled))
+        at += M.shape[1]
+
+    if "PCA" in algos:
+        pca = RD.pca_fit(source, p)
+        for d in dims:
+            add("PCA", pca.rotation[:, :d], pca.mean)
+    if "ICA" in algos:
+        for model in RD.ica_fit_many(source, p, dims, seed):
+            add("ICA", model.unmixing, model.mean, model.converged)
+    if "RCA" in algos:
+        wins = RD.best_run(RD.projection_errors(spark, LA.moments(source, p).g, dims, RCA_RUNS, seed, family="haar")).collect()
+        for d, run in sorted((w["dims"], w["run"]) for w in wins):
+            add("RCA", RD.haar_matrix(p, d, seed, run), None)
+    if "CFS" in algos:
+        keep = cfs_subset(source, p) or [0]
+        cells.append(("CFS", len(keep), tuple(keep), None))
+    return _widened(rows, maps) if maps else rows, cells
+
 
+def _trained(frame: DataFrame, cells, seeds, classes: int, steps: int) -> list[BP.Fit]:
+    """All cells and seeds trained together; a net's tag is its cell's place."""
+    nets = [BP.Net((k,), int(s), cell[2]) for k, cell in enumerate(cells) for s in seeds]
+    return BP.train(frame, nets, classes, steps)
 
-def _mean_sd(raw: DataFrame, *keys: str) -> DataFrame:
-    return raw.groupBy(*keys).agg(F.avg("err").alias("error"), F.stddev_samp("err").alias("error_sd"))
 
+def _mean_sd(raw: DataFrame, *keys: str, value: str = "err", mean: str = "error", sd: str = "error_sd") -> DataFrame:
+    return raw.groupBy(*keys).agg(F.avg(value).alias(mean), F.stddev_samp(value).alias(sd))
 
-def net_error_by_dims(spark: SparkSession, df: DataFrame, dims, seeds, seed: int,
-                      max_iter: int = 15) -> DataFrame:
+
+def net_learning_curve(spark: SparkSession, df: DataFrame, seed: int, iters: int = 100) -> DataFrame:
+    """(idx, error, stage): the reference net on the raw inputs; ``error`` is the squared error."""
+    lv = prep.levels(df)
+    with net_split(df, lv, seed) as rows:
+        fits = _trained(rows, [("N/A", 0, tuple(range(tables.dims(rows))), None)], [seed], lv.count(), iters)
+    return spark.createDataFrame([(idx, sse, stage) for _, _, idx, stage, sse in BP.stacked(fits)], "idx INT, error DOUBLE, stage STRING")
+
+
+def net_error_by_dims(spark: SparkSession, df: DataFrame, dims, seeds, seed: int, max_iter: int = 15, fit_on: str = "all") -> DataFrame:
     """(dims, algo, error, error_sd, stage, ica_converged) over repeated fits, on the input and on every
     reduction (X22, M29, A17)."""
     lv = prep.levels(df)
-    c, rows, whole = lv.count(), [], True
-    for d in dims:
-        for algo, (data, width, settled) in reductions(spark, df, d, seed).items():
-            if algo == "N/A" and not whole:
-                continue  # the same input for every d
-            whole = whole and algo != "N/A"
-            with net_split(data, lv, seed) as (tr, te):
-                rows += [(int(width), algo, int(run), stage, float(err), settled)
-                         for run, stage, err in NN.repeated_error(tr, te, width, c, seeds, max_iter)]
-    raw = spark.createDataFrame(rows, "dims INT, algo STRING, run INT, stage STRING, err DOUBLE, ica_converged BOOLEAN")
+    with net_split(df, lv, seed) as rows:
+        frame, cells = reduced_net_inputs(spark, rows, dims, seed, fit_on=fit_on)
+        errs = BP.final_errors(_trained(frame, cells, seeds, lv.count(), max_iter))
+    table = [(cells[k][1], cells[k][0], run, stage, err, cells[k][3]) for k, run, stage, err in errs]
+    raw = spark.createDataFrame(table, "dims INT, algo STRING, run INT, stage STRING, err DOUBLE, ica_converged BOOLEAN")
     return _mean_sd(raw, "dims", "algo", "stage", "ica_converged")
 
 
-def net_learning_by_dims(spark: SparkSession, df: DataFrame, dims, seed: int,
-                         iters: int = 100) -> DataFrame:
-    """(idx, error, stage, dims): learning curves on the first d principal
+def net_learning_by_dims(spark: SparkSession, df: DataFrame, dims, seed: int, iters: int = 100, fit_on: str = "all") -> DataFrame:
+    """(idx, error, stage, dims): squared-error curves on the first d principal
     components and on the raw inputs ('N/A') (X21, M13 + M27 + M28)."""
     lv = prep.levels(df)
-    c = lv.count()
-    p = tables.dims(df)
-    model = RD.pca_fit(df, p)
-    cells = [(str(d), d, RD.pca_transform(df, model, d)) for d in dims] + [("N/A", p, df)]
-    rows = []
-    for tag, d, data in cells:
-        with net_split(data, lv, seed) as (tr, te):
-            rows += [(idx, float(err), stage, tag)
-                     for idx, err, stage in NN.learning_curve(tr, te, d, c, seed, iters=iters)]
-    return spark.createDataFrame(rows, "idx INT, error DOUBLE, stage STRING, dims STRING")
-
-
-def cluster_inputs(spark: SparkSession, df: DataFrame, k: int, seed: int, family: str = "VVI", runs: int = 4, iters: int = 100):
-    """Yields (inputs, algo, Features, width, converged): cluster memberships as net inputs (one-hot
-    k-means clusters; posteriors of a fitted mixture), the raw inputs with them ('Both'),
-    and the raw inputs alone ('N/A') (X23, X24).  ``converged`` is the mixture's; null without one."""
-    p = tables.dims(df)
-    m = KM.kmeans(df, k, seed, runs=runs, max_iter=100)
-    hot = F.array(*[(F.col("cluster") == i).cast("double") for i in range(k)])
-    mix = mixture_grid(df, [k], [family], seed, iters)[0]
-    members = {"kmeans": KM.assign(df, m.centers).select("id", hot.alias("x"), "label"),
-               "em": MX.posterior(df, mix).withColumnRenamed("z", "x")}
-    for algo, own in members.items():
-        both = own.join(df.select("id", F.col("x").alias("raw")), "id").select("id", F.concat("x", "raw").alias("x"), "label")
-        settled = mix.converged if algo == "em" else None
-        yield "Clusters", algo, own, k, settled
-        yield "Both", algo, both, k + p, settled
-    yield "N/A", "raw", df, p, None
-
-
-def net_on_clusters(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int,
-                    max_iter: int = 15) -> DataFrame:
-    """(inputs, type, stage, error, error_sd, converged): repeated nets on each of :func:`cluster_inputs`."""
+    with net_split(df, lv, seed) as rows:
+        frame, cells = reduced_net_inputs(spark, rows, dims, seed, algos=("PCA",), fit_on=fit_on)
+        curves = BP.stacked(_trained(frame, cells, [seed], lv.count(), iters))
+    name = lambda k: "N/A" if cells[k][0] == "N/A" else str(cells[k][1])
+    return spark.createDataFrame([(idx, sse, stage, name(k)) for k, _, idx, stage, sse in curves], "idx INT, error DOUBLE, stage STRING, dims STRING")
+
+
+def cluster_net_inputs(spark: SparkSession, rows: DataFrame, k: int, seed: int, family: str = "VVI", runs: int = 4, iters: int = 100, fit_on: str = "all"):
+    """(frame, cells): the raw inputs, one-hot k-means clusters and posteriors of a fitted mixture side by side
+    in one vector, and one cell (algo, inputs, entries of the vector, mixture converged) per input set (X23, X24);
+    the last is null where no mixture is behind it."""
+    p, source = tables.dims(rows), _fitted_on(rows, fit_on)
+    centres = KM.kmeans(source, k, seed, runs=runs, max_iter=100).centers
+    mix = mixture_grid(source, [k], [family], seed, iters)[0]
+    if mix.failed:
+        raise ValueError(f"the mixture of {k} components broke down; its posteriors cannot feed a net")
+    keep = ["id", "label_ix", "fold"]
+
+    def fn(b):
+        near, _ = KM.nearest(b["x"], centres)
+        return {"x": np.concatenate((b["x"], np.eye(k)[near], MX.responsibilities(b["x"], mix)[0]), axis=1)}
+
+    schema = ", ".join([f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep] + ["x ARRAY<DOUBLE>"])
+    raw, hot, soft = (tuple(range(a, b)) for a, b in ((0, p), (p, p + k), (p + k, p + 2 * k)))
+    cells = [("kmeans", "Clusters", hot, None), ("kmeans", "Both", hot + raw, None), ("em", "Clusters", soft, mix.converged),
+             ("em", "Both", soft + raw, mix.converged), ("raw", "N/A", raw, None)]
+    return map_rows(rows, ["x"], fn, schema, passthrough=keep), cells
+
+
+def net_on_clusters(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int, max_iter: int = 15, fit_on: str = "all") -> DataFrame:
+    """(inputs, type, stage, error, error_sd, converged): repeated nets on each of :func:`cluster_net_inputs`."""
     lv = prep.levels(df)
-    c, rows = lv.count(), []
-    for inputs, kind, data, width, settled in cluster_inputs(spark, df, k, seed):
-        with net_split(data, lv, seed) as (tr, te):
-            rows += [(inputs, kind, stage, int(run), float(err), settled) for run, stage, err in NN.repeated_error(tr, te, width, c, seeds, max_iter)]
-    raw = spark.createDataFrame(rows, "inputs STRING, type STRING, stage STRING, run INT, err DOUBLE, converged BOOLEAN")
+    with net_split(df, lv, seed) as rows:
+        frame, cells = cluster_net_inputs(spark, rows, k, seed, fit_on=fit_on)
+        errs = BP.final_errors(_trained(frame, cells, seeds, lv.count(), max_iter))
+    table = [(cells[j][1], cells[j][0], stage, run, err, cells[j][3]) for j, run, stage, err in errs]
+    raw = spark.createDataFrame(table, "inputs STRING, type STRING, stage STRING, run INT, err DOUBLE, converged BOOLEAN")
     return _mean_sd(raw, "inputs", "type", "stage", "converged")
 
 
-def net_cluster_learning_curve(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int,
-                               iters: int = 200) -> DataFrame:
-    """(idx, stage, algo, inputs, err_mean, err_sd, converged): learning curves on each of
-    :func:`cluster_inputs`, mean / sd over runs (X23, A4)."""
+def net_cluster_learning_curve(spark: SparkSession, df: DataFrame, k: int, seeds, seed: int, iters: int = 200, fit_on: str = "all") -> DataFrame:
+    """(idx, stage, algo, inputs, err_mean, err_sd, converged): squared-error curves on each of
+    :func:`cluster_net_inputs`, mean / sd over runs (X23, A4)."""
     lv = prep.levels(df)
-    c, rows = lv.count(), []
-    for inputs, kind, data, width, settled in cluster_inputs(spark, df, k, seed):
-        with net_split(data, lv, seed) as (tr, te):
-            for s in seeds:
-                rows += [(idx, stage, kind, inputs, int(s), float(err), settled)
-                         for idx, err, stage in NN.learning_curve(tr, te, width, c, int(s), iters=iters)]
-    raw = spark.createDataFrame(rows, "idx INT, stage STRING, algo STRING, inputs STRING, run INT, err DOUBLE, converged BOOLEAN")
-    return raw.groupBy("idx", "stage", "algo", "inputs", "converged").agg(F.avg("err").alias("err_mean"),
-                                                             F.stddev_samp("err").alias("err_sd"))
+    with net_split(df, lv, seed) as rows:
+        frame, cells = cluster_net_inputs(spark, rows, k, seed, fit_on=fit_on)
+        curves = BP.stacked(_trained(frame, cells, seeds, lv.count(), iters))
+    table = [(idx, stage, cells[j][0], cells[j][1], run, sse, cells[j][3]) for j, run, idx, stage, sse in curves]
+    raw = spark.createDataFrame(table, "idx INT, stage STRING, algo STRING, inputs STRING, run INT, err DOUBLE, converged BOOLEAN")
+    return _mean_sd(raw, "idx", "stage", "algo", "inputs", "converged", mean="err_mean", sd="err_sd")
 
 
 # --- Scala main (X25): PCA dims x MLlib k-means, cost and label spread ----------------

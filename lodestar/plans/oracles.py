@@ -730,3 +730,44 @@ def eii_bic_sql(G: int, p: int = 64) -> str:
 
 
 SQL["em_spherical_bic"] = with_(E, EL, ST, SL) + eii_bic_sql(2) + " UNION ALL " + eii_bic_sql(3)
+
+
+# --- nets: two descent steps unrolled ---------------------------------------------------
+
+def net_ctes(seeds: list[int], steps: int, hidden: int, rate: float = 0.6, p: int = 64) -> list[str]:
+    """w1_t / w2_t: weights before step t (i = p and h = hidden are the biases), a_t / o_t: activations, e_t: the squared error."""
+    sv = ", ".join(f"({k})" for k in seeds)
+    w = ("(CAST('0x' || substr(md5(s.seed || ':' || ({k})), 1, 8) AS BIGINT) / 4294967296.0 * 2 - 1) * 0.3")
+    out = [
+        f"sd AS (SELECT * FROM (VALUES {sv}) t(seed))",
+        "nc AS (SELECT count(*) AS c FROM lv)",
+        "tg AS (SELECT e.id, lv.label_ix AS y FROM e JOIN lv USING (label))",
+        f"xi AS (SELECT id, j AS i, v FROM sl UNION ALL SELECT DISTINCT id, {p} AS i, 1.0 AS v FROM sl)",
+        f"w1_0 AS MATERIALIZED (SELECT s.seed, i.i, h.h, {w.format(k=f'i.i * {hidden} + h.h')} AS w "
+        f"FROM sd s CROSS JOIN range({p + 1}) i(i) CROSS JOIN range({hidden}) h(h))",
+        f"w2_0 AS MATERIALIZED (SELECT s.seed, h.h, lv.label_ix AS c, {w.format(k=f'{(p + 1) * hidden} + h.h * (SELECT c FROM nc) + lv.label_ix')} AS w "
+        f"FROM sd s CROSS JOIN range({hidden + 1}) h(h) CROSS JOIN lv)",
+    ]
+    for t in range(steps + 1):
+        out += [
+            f"h_{t} AS MATERIALIZED (SELECT w.seed, x.id, w.h, 1 / (1 + exp(-sum(x.v * w.w))) AS a FROM xi x JOIN w1_{t} w USING (i) GROUP BY w.seed, x.id, w.h)",
+            f"a_{t} AS MATERIALIZED (SELECT * FROM h_{t} UNION ALL SELECT s.seed, tg.id, {hidden} AS h, 1.0 AS a FROM sd s CROSS JOIN tg)",
+            f"o_{t} AS MATERIALIZED (SELECT seed, id, c, o, o - CASE WHEN c = y THEN 1.0 ELSE 0.0 END AS e, y FROM (SELECT a.seed, a.id, w.c, "
+            f"1 / (1 + exp(-sum(a.a * w.w))) AS o FROM a_{t} a JOIN w2_{t} w USING (seed, h) GROUP BY a.seed, a.id, w.c) JOIN tg USING (id))",
+        ]
+        if t < steps:
+            out += [
+                f"g2_{t} AS (SELECT o.seed, a.h, o.c, sum(o.e * o.o * (1 - o.o) * a.a) AS g FROM o_{t} o JOIN a_{t} a USING (seed, id) GROUP BY o.seed, a.h, o.c)",
+                f"d1_{t} AS (SELECT o.seed, o.id, w.h, sum(o.e * o.o * (1 - o.o) * w.w) AS d FROM o_{t} o JOIN w2_{t} w USING (seed, c) "
+                f"WHERE w.h < {hidden} GROUP BY o.seed, o.id, w.h)",
+                f"g1_{t} AS (SELECT d.seed, x.i, d.h, sum(d.d * a.a * (1 - a.a) * x.v) AS g FROM d1_{t} d JOIN a_{t} a USING (seed, id, h) "
+                f"JOIN xi x USING (id) GROUP BY d.seed, x.i, d.h)",
+                f"w1_{t + 1} AS MATERIALIZED (SELECT seed, i, h, w.w - {rate} * g.g / (SELECT count(*) FROM tg) AS w FROM w1_{t} w JOIN g1_{t} g USING (seed, i, h))",
+                f"w2_{t + 1} AS MATERIALIZED (SELECT seed, h, c, w.w - {rate} * g.g / (SELECT count(*) FROM tg) AS w FROM w2_{t} w JOIN g2_{t} g USING (seed, h, c))",
+            ]
+    return out
+
+
+SQL["mlp_descent_steps"] = with_(E, EL, ST, SL, LV, *net_ctes([1, 2], 2, 4)) + " UNION ALL ".join(
+    f"SELECT CAST(seed AS INTEGER) AS seed, {t} AS step, round(sum(s), 6) AS sse, CAST(count_if(top <> y) AS BIGINT) AS wrong FROM (SELECT seed, id, sum(e * e) AS s, any_value(y) AS y, "
+    f"arg_max(c, (o, -c)) AS top FROM o_{t} GROUP BY seed, id) GROUP BY seed" for t in range(3))

@@ -557,26 +557,37 @@ def kmeans_confusion_fitted(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.cluster_confusion(KM.assign(s, m.centers), lv, c).select("predicted", "actual", "n")
 
 
+RUNS = range(1, 21)  # seeds of the repeated nets
+
+
 def mlp_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
-    from lodestar.operators import net as NN
-    s = std_e(spark, sf)
-    lv, c = e_levels(s)
-    with _X().net_split(s, lv, SEED) as (tr, te):
-        rows = NN.learning_curve(tr, te, tables.dims(s), c, SEED, iters=8)
-    df = spark.createDataFrame(rows, "idx INT, error DOUBLE, stage STRING")
-    return df.select("idx", r6("error").alias("error"), "stage")
+    e = _X().net_learning_curve(spark, std_e(spark, sf), SEED, iters=100)
+    return e.select("idx", r6("error").alias("error"), "stage")
 
 
 def mlp_error_by_dims(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_error_by_dims(spark, std_e(spark, sf), [5, 10], [1, 2], SEED, 15)
+    e = _X().net_error_by_dims(spark, std_e(spark, sf), [2, 5, 10, 15, 20, 25], RUNS, SEED, 15)
     return e.select("dims", "algo", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"), "ica_converged")
 
 
 def mlp_on_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_on_clusters(spark, std_e(spark, sf), 10, [1, 2], SEED, 15)
+    e = _X().net_on_clusters(spark, std_e(spark, sf), 10, RUNS, SEED, 15)
     return e.select("inputs", "type", "stage", r6("error").alias("error"), r6("error_sd").alias("error_sd"), "converged")
 
 
+def mlp_descent_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """M27 step by step: squared error and wrong rows of two nets before, after one and after two plain
+    descent steps on every row from md5 weights."""
+    from lodestar.operators import backprop as BP
+    s = std_e(spark, sf)
+    lv, c = e_levels(s)
+    p = tables.dims(s)
+    fits = BP.train(prep.with_label_ix(s, lv).withColumn("fold", F.lit(0)), [BP.Net((), seed, tuple(range(p))) for seed in (1, 2)], c, 2,
+                    hidden=4, method="descent")
+    rows = [(f.net.seed, step, sse, wrong) for f in fits for step, stage, sse, wrong, _ in f.curve if stage == "Train"]
+    return spark.createDataFrame(rows, "seed INT, step INT, sse DOUBLE, wrong BIGINT").select("seed", "step", r6("sse").alias("sse"), "wrong")
+
+
 def cfs_selection(spark: SparkSession, sf: str) -> DataFrame:
     """M25 best-first subset and M26 / X5 error of dropping the rest (total and per row)."""
     import numpy as np
@@ -632,6 +643,7 @@ QUERIES.update({
     "mlp_learning_curve": mlp_learning_curve,
     "mlp_error_by_dims": mlp_error_by_dims,
     "mlp_on_clusters": mlp_on_clusters,
+    "mlp_descent_steps": mlp_descent_steps,
     "cfs_selection": cfs_selection,
     "scala_sweep": scala_sweep,
     "silhouette_squared_e": silhouette_squared_e,
@@ -771,7 +783,7 @@ QUERIES["reduced_em_bic"] = reduced_em_bic
 
 
 def mlp_cluster_learning_curve(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_cluster_learning_curve(spark, std_e(spark, sf), 10, [1, 2], SEED, iters=4)
+    e = _X().net_cluster_learning_curve(spark, std_e(spark, sf), 10, RUNS, SEED, iters=200)
     return e.select("idx", "stage", "algo", "inputs", r6("err_mean").alias("err_mean"),
                     r6("err_sd").alias("err_sd"), "converged")
 
@@ -780,7 +792,7 @@ QUERIES["mlp_cluster_learning_curve"] = mlp_cluster_learning_curve
 
 
 def mlp_learning_by_dims(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().net_learning_by_dims(spark, std_e(spark, sf), [5, 10], SEED, iters=4)
+    e = _X().net_learning_by_dims(spark, std_e(spark, sf), [5, 10, 15], SEED, iters=100)
     return e.select("idx", r6("error").alias("error"), "stage", "dims")
 
 

@@ -30,16 +30,16 @@ def test_mixture_queries_fit_their_whole_grids(spark, monkeypatch):
     assert asked[-1] == ([3], ["VVV"])
 
 
-def test_net_errors_cover_both_dims(spark, monkeypatch):
+def test_net_errors_cover_all_dims_and_runs(spark, monkeypatch):
     asked = []
 
-    def errors(spark, df, dims, *rest):
-        asked.extend(dims)
+    def errors(spark, df, dims, seeds, seed, steps):
+        asked.append((list(dims), len(seeds), steps))
         return spark.createDataFrame([], "dims INT, algo STRING, stage STRING, error DOUBLE, error_sd DOUBLE, ica_converged BOOLEAN")
 
     monkeypatch.setattr(X, "net_error_by_dims", errors)
     Q.mlp_error_by_dims(spark, SF0001).collect()
-    assert asked == [5, 10]
+    assert asked == [([2, 5, 10, 15, 20, 25], 20, 15)]
 
 
 def test_fits_run_to_their_tolerance_and_tables_tell(spark, std_e, monkeypatch):
@@ -64,7 +64,8 @@ def test_fits_run_to_their_tolerance_and_tables_tell(spark, std_e, monkeypatch):
     assert {r["ica_converged"] for r in Q.ica_sources(spark, SF0001).collect()} == {False}
     assert {r["converged"] for r in Q.em_confusion(spark, SF0001).collect()} == {False}
     caps.clear()
-    told = {kind: settled for _, kind, _, _, settled in X.cluster_inputs(spark, std_e, 3, 1)}
+    with X.net_split(std_e, X.prep.levels(std_e), 1) as rows:
+        told = {kind: settled for kind, _, _, settled in X.cluster_net_inputs(spark, rows, 3, 1)[1]}
     assert told == {"kmeans": None, "em": False, "raw": None} and caps == [("em", 100)]
 
 

@@ -5,7 +5,6 @@ import pytest
 from core_helpers import SF0001, collect_matrix, features_from
 from lodestar.operators import kmeans as KM
 from lodestar.operators import mixture as MX
-from lodestar.operators import net as NN
 from lodestar.operators import prep
 from lodestar.operators import reduce as RD
 
@@ -57,16 +56,6 @@ def test_bic_df_and_failed_fit_is_null(small):
     assert m.failed and m.bic() is None
 
 
-def test_net_learning_curve_and_resume(spark, std_e):
-    from lodestar.plans import experiments
-    lv = prep.levels(std_e)
-    with experiments.net_split(std_e, lv, 1) as (tr, te):
-        rows = NN.learning_curve(tr, te, 64, lv.count(), seed=1, iters=3)
-        assert tr.is_cached and te.is_cached
-    assert [r[0] for r in rows] == [1, 1, 2, 2, 3, 3]
-    assert all(0.0 <= r[1] <= 1.0 for r in rows)
-
-
 def test_entry_and_catalogue(spark):
     import __spark_entry__ as entry
     df = entry.entry(spark)

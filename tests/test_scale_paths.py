@@ -55,7 +55,7 @@ def test_nearest_matches_direct():
             X = np.round(rng.normal(size=(2000, 2)), 1) + off      # coarse values: many near-ties
             C = np.round(rng.normal(size=(k, 2)), 1) + off
             C[k // 2] = C[0]                                       # two equal centres
-            a, d = KM._nearest(X, C)
+            a, d = KM.nearest(X, C)
             D = KM._direct_d2(X, C)
             assert (a == np.argmin(D, axis=1)).all() and np.array_equal(d, D.min(1))
 
