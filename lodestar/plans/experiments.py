@@ -25,6 +25,7 @@ from lodestar.operators import prep, scoring
 from lodestar.operators import reduce as RD
 from lodestar.operators import select as SEL
 from lodestar.operators import silhouette as SH
+from lodestar.operators import supervised_cuts as CUT
 from lodestar.sources import tables
 
 
@@ -107,13 +108,16 @@ def rca_best_projection(spark: SparkSession, df: DataFrame, d: int, runs: int, s
 
 # --- reductions feeding re-clustering (X6, X8-X10) --------------------------------
 
-def cfs_subset(df: DataFrame, p: int, bins: int = 5) -> list[int]:
-    """The features that correlation-based selection keeps."""
-    with cached(SEL.discretize(df, bins)) as binned:
+def cfs_subset(df: DataFrame, p: int) -> list[int]:
+    """The features that correlation-based selection keeps (M25), on supervised cuts; a feature without a cut says
+    nothing about the class."""
+    lv = prep.levels(df)
+    cuts = CUT.entropy_cuts(prep.with_label_ix(df, lv), lv.count())
+    with cached(CUT.discretize_by(df, cuts, keep=("label",))) as binned:
         su_c = np.zeros(p)
         for r in SEL.su_feature_class(binned).collect():
             su_c[r["j"]] = r["su"]
-        return SEL.best_first(su_c, SEL.su_feature_pairs(binned, p, bins))
+        return SEL.best_first(su_c, SEL.su_feature_pairs(binned, p, 1 + max(map(len, cuts), default=0)))
 
 
 def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int, runs: int = 20, ica_iters: int = 200) -> dict[str, tuple[DataFrame, int, bool | None]]:

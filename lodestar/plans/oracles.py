@@ -771,3 +771,26 @@ def net_ctes(seeds: list[int], steps: int, hidden: int, rate: float = 0.6, p: in
 SQL["mlp_descent_steps"] = with_(E, EL, ST, SL, LV, *net_ctes([1, 2], 2, 4)) + " UNION ALL ".join(
     f"SELECT CAST(seed AS INTEGER) AS seed, {t} AS step, round(sum(s), 6) AS sse, CAST(count_if(top <> y) AS BIGINT) AS wrong FROM (SELECT seed, id, sum(e * e) AS s, any_value(y) AS y, "
     f"arg_max(c, (o, -c)) AS top FROM o_{t} GROUP BY seed, id) GROUP BY seed" for t in range(3))
+
+
+# --- supervised cuts: the first of every feature ------------------------------------------
+
+def _bits(c: str, n: str) -> str:
+    """Rows times class entropy as n log2 n - sum c log2 c over the classes of a group."""
+    return f"({n} * log2({n}) - sum(CASE WHEN {c} > 0 THEN {c} * log2({c}) ELSE 0 END))"
+
+
+SQL["supervised_first_cuts"] = with_(E, EL, ST, SL, near(2), (
+    "tot AS (SELECT cluster, count(*) AS t, sum(count(*)) OVER () AS n FROM asg GROUP BY cluster)"), (
+    "val AS (SELECT j, v, lead(v) OVER (PARTITION BY j ORDER BY v) AS nv FROM (SELECT DISTINCT j, v FROM sl))"), (
+    "own AS (SELECT j, v, cluster, count(*) AS c FROM sl JOIN asg USING (id) GROUP BY j, v, cluster)"), (
+    "cell AS (SELECT g.j, g.v, g.nv, tot.cluster, tot.t, tot.n, coalesce(own.c, 0) AS c FROM val g CROSS JOIN tot "
+    "LEFT JOIN own ON own.j = g.j AND own.v = g.v AND own.cluster = tot.cluster)"), (
+    "cum AS (SELECT j, v, nv, cluster, t, n, sum(c) OVER (PARTITION BY j, cluster ORDER BY v) AS l FROM cell)"), (
+    "side AS (SELECT *, t - l AS r, sum(l) OVER (PARTITION BY j, v) AS nl FROM cum)"), (
+    "cost AS (SELECT j, v, nv, any_value(n) AS n, " + _bits("l", "any_value(nl)") + " AS gl, " + _bits("r", "(any_value(n) - any_value(nl))") + " AS gr, "
+    + _bits("t", "any_value(n)") + " AS gt, any_value(nl) AS nl, count(*) AS k, count_if(l > 0) AS kl, count_if(r > 0) AS kr FROM side WHERE nv IS NOT NULL GROUP BY j, v, nv)"), (
+    "best AS (SELECT * FROM (SELECT *, min(gl + gr) OVER (PARTITION BY j) AS least FROM cost) WHERE gl + gr <= least + 1e-9 * n "
+    "QUALIFY row_number() OVER (PARTITION BY j ORDER BY v) = 1)")) + (
+    "SELECT j, round(v + (nv - v) / 2, 6) AS cut FROM best "
+    "WHERE gt - gl - gr > log2(n - 1) + log2(pow(3, k) - 2) - (k * gt / n - kl * gl / nl - kr * gr / (n - nl))")

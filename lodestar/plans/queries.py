@@ -605,6 +605,16 @@ def cfs_selection(spark: SparkSession, sf: str) -> DataFrame:
                      r6("err_mean").alias("err_mean"))
 
 
+def supervised_first_cuts(spark: SparkSession, sf: str) -> DataFrame:
+    """The first accepted description-length cut of every feature against the nearer of two centres."""
+    from lodestar.operators import supervised_cuts as CUT
+    s = std_e(spark, sf)
+    a = KM.assign(s, KM.first_rows(s, 2), passthrough=("id", "x"))
+    cuts = CUT.entropy_cuts(a, 2, ix="cluster", depth=1)
+    rows = [(j, float(v)) for j, own in enumerate(cuts) for v in own]
+    return spark.createDataFrame(rows, "j INT, cut DOUBLE").select("j", r6("cut").alias("cut"))
+
+
 def scala_sweep(spark: SparkSession, sf: str) -> DataFrame:
     e = _X().scala_sweep(spark, std_e(spark, sf), [0, 4, 8], [5, 10], SEED)
     return e.select("dims", "k", r6("cost").alias("cost"), "cluster", "n", r6("label_var").alias("label_var"))
@@ -644,6 +654,7 @@ QUERIES.update({
     "mlp_error_by_dims": mlp_error_by_dims,
     "mlp_on_clusters": mlp_on_clusters,
     "mlp_descent_steps": mlp_descent_steps,
+    "supervised_first_cuts": supervised_first_cuts,
     "cfs_selection": cfs_selection,
     "scala_sweep": scala_sweep,
     "silhouette_squared_e": silhouette_squared_e,
