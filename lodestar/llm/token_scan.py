@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import cut, map_arrow, record_batch, text_slices, texts_of
+from lodestar.llm.common import cut, map_arrow, record_batch, shuffle_width, text_slices, texts_of
 from lodestar.session import ensure_checkpoint_dir
 
 BLOCK_TOKENS = 1 << 20     # tokens per block
@@ -112,13 +112,15 @@ def count_tokens(spark: SparkSession, folder: str, separator: int, width: int =
     """
     work = blocks(spark, folder, width, block_tokens)
     found = cut(_searched(work.repartition("file", "block"), separator, width))
-    full = found.join(_carried(found), ["file", "block"])
+    full = found.join(_carried(found), ["file", "block"]).repartition(shuffle_width(spark), "file", "block")  # packed blocks unfold into many rows
     starts = F.concat(F.array("since"), F.transform("ends", lambda e: e + 1))
     stops = F.when(F.col("final") & (F.element_at(starts, -1) < F.col("start") + F.col("tokens")),
                    F.concat("ends", F.array(F.col("start") + F.col("tokens")))).otherwise(F.col("ends"))
-    return full.select("file", "before", F.size("ends").alias("n"), starts.alias("starts"), F.posexplode(stops).alias("k", "stop")).select(
-        "file", (F.col("before") + F.col("k")).alias("doc"), F.get("starts", F.col("k")).alias("start"),
-        (F.col("stop") - F.get("starts", F.col("k"))).alias("tokens"), (F.col("k") < F.col("n")).alias("ended"))
+    docs = F.arrays_zip(F.slice(starts, F.lit(1), F.size(stops)).alias("start"), stops.alias("stop"))
+    narrow = full.select("file", "before", F.size("ends").alias("n"), docs.alias("docs"))  # no array stands beside the unfolded rows
+    return narrow.select("file", "before", "n", F.posexplode("docs").alias("k", "own")).select(
+        "file", (F.col("before") + F.col("k")).alias("doc"), F.col("own.start").alias("start"),
+        (F.col("own.stop") - F.col("own.start")).alias("tokens"), (F.col("k") < F.col("n")).alias("ended"))
 
 
 def scratch(spark: SparkSession, name: str) -> str:

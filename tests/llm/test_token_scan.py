@@ -51,3 +51,13 @@ def test_written_files_round_trip(spark, docs_of, tmp_path):
 def test_no_documents(spark, docs_of, tmp_path):
     T.write_flat(docs_of([]), str(tmp_path / "flat"), public_tokenizers.path("byte_bpe_50k.tiktoken"), 50256)
     assert T.count_tokens(spark, str(tmp_path / "flat"), 50256).count() == 0
+
+
+def test_very_many_short_documents_in_a_block(spark, tmp_path):
+    import time
+    ids = np.full(1_000_000, 7, dtype="<u2")
+    ids[1::2] = 50256
+    (tmp_path / "short.bin").write_bytes(ids.tobytes())
+    t0 = time.time()
+    r = T.count_tokens(spark, str(tmp_path), 50256).selectExpr("count(*) n", "sum(tokens) t", "count(distinct doc) d", "sum(start) s", "bool_and(ended) e").first()
+    assert tuple(r) == (500_000, 500_000, 500_000, 2 * sum(range(500_000)), True) and time.time() - t0 < 60
