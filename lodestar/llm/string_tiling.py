@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import map_arrow, record_batch, text_slices, texts_of
+from lodestar.llm.common import cut, map_arrow, record_batch, text_slices, texts_of
 from lodestar.llm.textscan import WORD, Texts, mix
 
 MIN_MATCH = 5
@@ -53,7 +53,8 @@ class Items:
         self.first = np.searchsorted(doc, np.arange(len(ids) + 1))
         self.size = np.diff(self.first)
         raw = t.buf.tobytes()
-        self.words = [[raw[s:e] for s, e in zip(start[a:b], end[a:b])] for a, b in zip(self.first[:-1], self.first[1:])]
+        self.code: dict = {}  # item word -> number, so that words are compared as numbers
+        self.words = np.fromiter((self.code.setdefault(raw[s:e], len(self.code)) for s, e in zip(start, end)), dtype=np.int64, count=len(start))
         at, g = _windows(mix(t.hashes(t.running(), start, end)), doc, min_match)
         order = np.argsort(g, kind="stable")
         self.seed, self.item, self.pos = g[order], doc[at][order], (at - self.first[doc[at]])[order]
@@ -107,40 +108,65 @@ def _candidates(doc: np.ndarray, lo: np.ndarray, n: np.ndarray, items: Items, co
     return np.concatenate(out)
 
 
-def tile(matches: list[tuple[int, int]], width: int) -> tuple[list[tuple[int, int, int]], int]:
-    """Greedy tiling from equal ``width``-word windows given as (item word, document word).
+def tile(runs, width: int, item_words: int, doc_words: int) -> tuple[list[tuple[int, int, int]], int]:
+    """Greedy tiling from maximal runs (item word, document word, length) of equal words.
 
     Returns the tiles (item word, document word, length), longest first (ties: earlier
-    in the item, then in the document), and how many item words they cover.
+    in the item, then in the document), and how many item words they cover.  It ends as soon as
+    no stretch of ``width`` item words is left, however many runs there are.
     """
-    runs: list[list[int]] = []
-    for d, i in sorted((d - i, i) for i, d in set(matches)):
-        if runs and runs[-1][0] == d and i <= runs[-1][1] + runs[-1][2] - width + 1:
-            runs[-1][2] = i + width - runs[-1][1]
-        else:
-            runs.append([d, i, width])
-    todo = [(-n, i, i + d, n) for d, i, n in runs]
     import heapq
+    todo = [(-n, i, d) for i, d, n in runs]
     heapq.heapify(todo)
-    seen_i, seen_d, tiles = set(), set(), []
-    while todo:
-        _, i, d, n = heapq.heappop(todo)
-        free = [k for k in range(n) if i + k not in seen_i and d + k not in seen_d]
-        if len(free) == n:
-            tiles.append((i, d, n))
-            seen_i.update(range(i, i + n))
-            seen_d.update(range(d, d + n))
+    free_i, free_d = np.ones(item_words, dtype=bool), np.ones(doc_words, dtype=bool)
+    tiles, covered, room = [], 0, True
+    while todo and room:
+        n, i, d = heapq.heappop(todo)
+        free = free_i[i:i - n] & free_d[d:d - n]
+        if free.all():
+            tiles.append((i, d, -n))
+            free_i[i:i - n] = free_d[d:d - n] = False
+            covered -= n
+            room = any(z - a >= width for a, z in _stretches(free_i))
             continue
-        start = None
-        for k in [*free, None]:  # what is left of the run, piece by piece
-            if start is not None and k != last + 1:
-                if last + 1 - start >= width:
-                    heapq.heappush(todo, (-(last + 1 - start), i + start, d + start, last + 1 - start))
-                start = None
-            if k is not None and start is None:
-                start = k
-            last = k
-    return tiles, len(seen_i)
+        for a, z in _stretches(free):  # what is left of the run, piece by piece
+            if z - a >= width:
+                heapq.heappush(todo, (a - z, i + a, d + a))
+    return tiles, covered
+
+
+def _stretches(free: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of the runs of true entries."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], free.astype(np.int8), [0]))))
+    return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
+
+
+def _runs(items: Items, pairs: np.ndarray, code: np.ndarray, doc: np.ndarray, word: np.ndarray, first: np.ndarray, n: np.ndarray):
+    """(pair, item word, document word, length) of the maximal runs of equal words, sorted by pair.
+
+    Seed matches are expanded in bounded ranges and compared word for word; only those that start or end
+    a run are kept, and on a diagonal the n-th start belongs to the n-th end."""
+    ends: tuple[list, list] = ([], [])
+    width, last = items.width, len(items.words) - 1
+    for a, b in _ranges(n, MOST_MATCHES):
+        row, k = _expand(first[a:b], n[a:b])
+        w = word[a:b][row]
+        key = doc[w] * len(items.ids) + items.item[k]
+        own = pairs[np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)] == key
+        key, w, i = key[own], w[own], items.first[items.item[k[own]]] + items.pos[k[own]]
+        same = np.ones(len(w), dtype=bool)
+        for step in range(width):
+            same &= code[w + step] == items.words[i + step]
+        key, w, i = key[same], w[same], i[same]
+        item = key % len(items.ids)
+        into = (w > 0) & (i > items.first[item]) & (doc[w - 1] == doc[w]) & (code[w - 1] == items.words[i - 1])
+        z, j = np.minimum(w + width, len(code) - 1), np.minimum(i + width, last)
+        on = (w + width < len(code)) & (i + width < items.first[item + 1]) & (doc[z] == doc[w]) & (code[z] == items.words[j])
+        for out, own in zip(ends, (~into, ~on)):
+            out.append(np.stack((key[own], w[own] - i[own], w[own], i[own])))
+    start, stop = (np.concatenate(x, axis=1) for x in ends)
+    start, stop = (x[:, np.lexsort((x[2], x[1], x[0]))] for x in (start, stop))
+    return start[0], start[3], start[2], stop[2] - start[2] + width
 
 
 def _block_hits(texts: list[bytes], items: Items, coverage: float):
@@ -154,44 +180,49 @@ def _block_hits(texts: list[bytes], items: Items, coverage: float):
     pairs = _candidates(doc[at[hit]], first, n, items, coverage)
     if not len(pairs):
         return
-    found = []
-    for a, b in _ranges(n, MOST_MATCHES):
-        row, k = _expand(first[a:b], n[a:b])
-        w = at[hit[a:b]][row]
-        key = doc[w] * len(items.ids) + items.item[k]
-        own = pairs[np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)] == key
-        found.append((key[own], w[own], items.pos[k[own]]))
-    key, word, pos = (np.concatenate(x) for x in zip(*found))
-    order = np.argsort(key, kind="stable")
-    key, word, pos = key[order], word[order], pos[order]
-    edge = np.append(_heads(key), len(key))
     raw = t.buf.tobytes()
+    code = np.full(len(doc), -1, dtype=np.int64)
+    span = np.searchsorted(doc, np.arange(len(texts) + 1))
+    for d in np.unique(pairs // len(items.ids)):
+        code[span[d]:span[d + 1]] = [items.code.get(raw[s:e], -1) for s, e in zip(start[span[d]:span[d + 1]], end[span[d]:span[d + 1]])]
+    key, i, w, size = _runs(items, pairs, code, doc, at[hit], first, n)
+    edge = np.append(_heads(key), len(key))
     for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
         text, item = divmod(int(key[lo]), len(items.ids))
-        words = items.words[item]
-        base = int(np.searchsorted(doc, text))
-        equal = []
-        for w, i in zip(word[lo:hi].tolist(), pos[lo:hi].tolist()):  # the hash match, word for word
-            if all(raw[start[w + k]:end[w + k]] == words[i + k] for k in range(items.width)):
-                equal.append((i, w - base))
-        tiles, covered = tile(equal, items.width)
-        if tiles and covered >= coverage * len(words):
-            yield text, item, tiles, covered / len(words)
-
-
-def _item_blocks(items: DataFrame, id_col: str, text_col: str, min_match: int):
-    """Items on the driver in blocks of ``BLOCK_BYTES``; one is held at a time."""
+        runs = zip((i[lo:hi] - items.first[item]).tolist(), (w[lo:hi] - span[text]).tolist(), size[lo:hi].tolist())
+        tiles, covered = tile(runs, items.width, int(items.size[item]), int(span[text + 1] - span[text]))
+        if tiles and covered >= coverage * items.size[item]:
+            yield text, item, tiles, covered / int(items.size[item])
+
+
+def _item_blocks(items: DataFrame, id_col: str, text_col: str, min_match: int, coverage: float):
+    """(items, coverage asked, whether more follow) in blocks of ``BLOCK_BYTES``; one is made at a time.  Items of fewer than
+    ``min_match`` words come in blocks of their own, one per number of words, and must be covered whole."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    ids, texts, size = [], [], 0
-    for r in rows.orderBy("id", "text").toLocalIterator():
-        t = r.text.encode()
-        if texts and size + len(t) > BLOCK_BYTES:
-            yield Items(ids, texts, min_match)
-            ids, texts, size = [], [], 0
-        ids.append(r.id)
-        texts.append(t)
-        size += len(t)
-    yield Items(ids, texts, min_match)
+    open_: dict[int, tuple[list, list]] = {}
+    size: dict[int, int] = {}
+
+    def made():
+        for r in rows.orderBy("id", "text").toLocalIterator():
+            t = r.text.encode()
+            width = min(min_match, len(Texts([t]).runs(WORD)[0]))
+            if not width:
+                continue
+            if width in open_ and size[width] + len(t) > BLOCK_BYTES:
+                yield width, open_.pop(width)
+            ids, texts = open_.setdefault(width, ([], []))
+            size[width] = len(t) + (size[width] if texts else 0)
+            ids.append(r.id)
+            texts.append(t)
+        yield from sorted(open_.items(), reverse=True)
+
+    ahead = made()
+    now = next(ahead, None)
+    while now is not None:
+        after = next(ahead, None)
+        width, (ids, texts) = now
+        yield Items(ids, texts, width), coverage if width == min_match else 1.0, after is not None
+        now = after
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -200,17 +231,19 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     covered, coverage, spans (``item word:document word:length`` of each tile by item word).
 
     Words are runs of letters, digits and marks after Unicode case folding, so case,
-    punctuation and white space do not hide a passage.  Null and empty texts, and items of fewer than
-    ``min_match`` words, match nothing.  Repeated rows are judged row by row.
+    punctuation and white space do not hide a passage.  Null and empty texts match nothing, nor do items without a
+    word; an item of fewer than ``min_match`` words must stand whole and in order.  Repeated rows are judged row by row,
+    null ids are kept, equal item ids are items of their own, and other columns are not looked at.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    kind = "doc_id long, item_id long, tiles int, longest int, covered int, coverage double, spans string"
     out = None
-    for block in _item_blocks(items, item_id, item_text, min_match):
-        def run(batches, block=block):
+    for block, share, more in _item_blocks(items, item_id, item_text, min_match, coverage):
+        def run(batches, block=block, share=share):
             for b in batches:
                 col, ids = b.column("text"), b.column("id")
                 for lo, hi in text_slices(col, SLICE):
-                    hits = list(_block_hits(texts_of(col.slice(lo, hi - lo)), block, coverage))
+                    hits = list(_block_hits(texts_of(col.slice(lo, hi - lo)), block, share))
                     if hits:
                         yield record_batch(
                             doc_id=ids.take(pa.array([lo + h[0] for h in hits])), item_id=pa.array([block.ids[h[1]] for h in hits], pa.int64()),
@@ -218,21 +251,27 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                             covered=pa.array([sum(x[2] for x in h[2]) for h in hits], pa.int32()), coverage=[h[3] for h in hits],
                             spans=[",".join(f"{i}:{d}:{n}" for i, d, n in sorted(h[2])) for h in hits])
 
-        part = map_arrow(rows, run, "doc_id long, item_id long, tiles int, longest int, covered int, coverage double, spans string")
+        part = map_arrow(rows, run, kind)
+        part = cut(part) if more else part  # the block leaves the driver before the next one is made
         out = part if out is None else out.union(part)
-    return out
+    return rows.sparkSession.createDataFrame([], kind) if out is None else out
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
                       item_text: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs`` that no item contaminates, with all their columns."""
-    for block in _item_blocks(items, item_id, item_text, min_match):
-        def run(batches, block=block):
+    """The rows of ``docs`` that no item contaminates, with all their columns.
+
+    Rows are judged one by one by their text alone: null and empty texts stay, repeated rows stay or go together, null
+    and repeated ids are no matter.  With several blocks of items, what a block leaves is written before the next is made.
+    """
+    for block, share, more in _item_blocks(items, item_id, item_text, min_match, coverage):
+        def run(batches, block=block, share=share):
             for b in batches:
                 col = b.column(text_col)
                 for lo, hi in text_slices(col, SLICE):
-                    bad = {h[0] for h in _block_hits(texts_of(col.slice(lo, hi - lo)), block, coverage)}
+                    bad = {h[0] for h in _block_hits(texts_of(col.slice(lo, hi - lo)), block, share)}
                     yield b.slice(lo, hi - lo).filter(pa.array([k not in bad for k in range(hi - lo)]))
 
         docs = map_arrow(docs, run, docs.schema)
+        docs = cut(docs) if more else docs
     return docs

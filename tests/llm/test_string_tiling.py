@@ -30,7 +30,7 @@ def brute_tiles(item, doc, width):
 def data():
     rnd = random.Random(8)
     vocab = [f"w{k}" for k in range(40)]
-    items = [(k, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(5, 30)))) for k in range(12)] + [(90, "one two"), (91, None), (92, ""), (3, "w1 w2 w3 w4 w5 w6")]
+    items = [(k, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(5, 30)))) for k in range(12)] + [(90, "one two"), (93, "w7 w8"), (94, "w39"), (91, None), (92, ""), (3, "w1 w2 w3 w4 w5 w6")]
     docs = [(0, None), (1, ""), (2, "w1 " * 4000)]
     for k in range(60):
         ws = rnd.choice(items[:12])[1].split()
@@ -49,10 +49,10 @@ def test_matches_brute_force(spark, docs_of):
     for d, t in docs:
         for i, s in items:
             w = words(s)
-            if len(w) >= 5:
-                tiles = brute_tiles(w, words(t)[:300], 5) if t is None or len(t) < 5000 else []
+            if w:
+                tiles = brute_tiles(w, words(t)[:300], min(5, len(w))) if t is None or len(t) < 5000 else []
                 covered = sum(x[2] for x in tiles)
-                if tiles and covered >= 0.6 * len(w):
+                if tiles and covered >= (0.6 if len(w) >= 5 else 1) * len(w):
                     want.append((d, i, covered, max(x[2] for x in tiles)))
     df = docs_of(docs).withColumnRenamed("lang", "item_id").withColumnRenamed("source", "tiles").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -104,3 +104,34 @@ def test_case_and_punctuation_beyond_ascii_hide_nothing(spark, docs_of):
     got = {(r.doc_id, r.item_id, r.coverage) for r in T.contaminated(df, bench).collect()}
     assert got == {(11, 1, 1.0), (12, 2, 1.0), (13, 3, 1.0), (14, 4, 1.0), (21, 1, 1.0), (22, 2, 1.0), (24, 4, 1.0)}
     assert [r.doc_id for r in T.drop_contaminated(df, bench).collect()] == [30]
+
+
+def test_repetitive_texts_need_little_time_and_memory(spark):
+    import resource
+    import time
+    index = T.Items([1, 2, 3], [b"again " * 120, b"again " * 100 + b"a b c d e f g h " * 3, b"x y " * 60], 5)
+    texts = [b"again " * 100_000, b"x y " * 50_000, b"a b c d e f g h " * 9000]
+    before, t0 = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    got = [(d, i, tiles[0], share) for d, i, tiles, share in T._block_hits(texts, index, 0.6)]
+    assert got == [(0, 0, (0, 0, 120), 1.0), (0, 1, (0, 0, 100), 100 / 124), (1, 2, (0, 0, 120), 1.0)]
+    assert time.time() - t0 < 20 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600 * 1024
+
+
+def test_repetitive_texts_match_brute_force():
+    rnd = random.Random(3)
+    for width in (2, 3, 5):
+        for _ in range(40):
+            item = [rnd.choice("ab") for _ in range(rnd.randint(width, 14))]
+            doc = [rnd.choice("abc" if rnd.random() < 0.3 else "ab") for _ in range(rnd.randint(width, 40))]
+            index = T.Items([0], [" ".join(item).encode()], width)
+            got = [(tiles, share) for _, _, tiles, share in T._block_hits([" ".join(doc).encode()], index, 0.01)]
+            want = brute_tiles(item, doc, width)
+            assert [t for t, _ in got] == ([want] if want else [])
+
+
+def test_short_items_must_stand_whole(spark, docs_of):
+    bench = spark.createDataFrame([(1, "alpha beta"), (2, "gamma"), (3, "one two three four"), (4, "..."), (5, None)], "item_id long, text string")
+    docs = docs_of([(1, "Alpha, beta!"), (2, "beta alpha"), (3, "x GAMMA y"), (4, "one two x three four"), (5, "say one two three four"), (6, None), (None, "gamma")])
+    got = sorted(((r.doc_id, r.item_id, r.coverage) for r in T.contaminated(docs, bench).collect()), key=repr)
+    assert got == [(1, 1, 1.0), (3, 2, 1.0), (5, 3, 1.0), (None, 2, 1.0)]
+    assert sorted(r.doc_id for r in T.drop_contaminated(docs, bench).collect()) == [2, 4, 6]
