@@ -74,6 +74,16 @@ def hash_sample(df: DataFrame, key_cols: list[str], rows: int, total: int) -> Da
     return df.where(F.shiftrightunsigned(F.xxhash64(F.lit("sample"), *[F.col(c) for c in key_cols]), 2) < F.lit(share))
 
 
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """One row for each ``id``: the one whose ``text`` has the lowest hash (repeated texts are
+    alike).  ``rows`` must hold a bounded number of ids, on any number of rows: hashes are reduced before the
+    texts are looked at, so an id on very many rows is no hot group."""
+    h = F.xxhash64("text")
+    least = rows.groupBy("id").agg(F.min(h).alias("_least"))
+    near = rows.join(F.broadcast(least), "id").where(h == F.col("_least")).drop("_least")
+    return near.groupBy(*[c for c in near.columns if c != "text"]).agg(F.any_value("text").alias("text"))
+
+
 class Forest:
     """Union-find over hashable keys; ``join`` tells whether two trees were joined."""
 

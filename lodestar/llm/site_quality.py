@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import cut, hash_sample, map_arrow, record_batch, text_slices, texts_of
+from lodestar.llm.common import cut, hash_sample, map_arrow, one_per_id, record_batch, text_slices, texts_of
 from lodestar.llm.textscan import WORD, Texts, byte_table, mix
 from lodestar.llm.toxicity import fit_ordinal
 
@@ -79,8 +79,10 @@ class Shape:
 
 
 def fit_shape(docs: DataFrame, known: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Shape:
-    """(id, text) documents and (id, y) labels -> the shape model, on a bounded sample."""
+    """(id, text) documents and (id, y) labels -> the shape model, on a bounded sample: about
+    ``sample_rows`` labelled ids, one document each (of several, the one whose text hashes lowest)."""
     pick = hash_sample(known, ["id"], sample_rows, known.count())
+    docs = one_per_id(docs.join(F.broadcast(pick), "id"))
 
     def run(batches):
         for b in batches:
@@ -89,7 +91,7 @@ def fit_shape(docs: DataFrame, known: DataFrame, sample_rows: int = SAMPLE_ROWS)
                 x = measure(texts_of(col.slice(lo, hi - lo)))
                 yield record_batch(y=b.column("y").slice(lo, hi - lo), x=pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64())))
 
-    got = map_arrow(docs.join(F.broadcast(pick), "id").select("y", "text"), run, "y int, x array<double>").toArrow().combine_chunks()
+    got = map_arrow(docs.select("y", "text"), run, "y int, x array<double>").toArrow().combine_chunks()
     y = got.column("y").to_numpy().astype(np.int64)
     if len(y) < 2 or y.min() == y.max():
         rate = float(np.clip((y.sum() + 1) / (len(y) + 2), 1e-6, 1 - 1e-6)) if len(y) else 0.5

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import cut, hash_sample, map_arrow, record_batch, text_slices, texts_of
+from lodestar.llm.common import cut, hash_sample, map_arrow, one_per_id, record_batch, text_slices, texts_of
 from lodestar.llm.textscan import WORD, Texts, mix
 
 SAMPLE_ROWS = 20_000     # labelled documents the model is fitted on, at most about
@@ -67,11 +67,13 @@ def feature_hits(texts: list[bytes], kept: Kept | None = None):
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, id_col, text_col, target: str, sample_rows: int) -> DataFrame:
-    """(y, feats) of a bounded labelled sample; several labels of one id: the highest."""
+    """(y, feats) of a bounded labelled sample: about ``sample_rows`` ids, one document each (of several, the one
+    whose text hashes lowest); several labels of one id: the highest."""
     known = cut(labels.select(F.col(id_col).alias("id"), F.col(target).cast("int").alias("y"))
                 .where("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y")))
     pick = hash_sample(known, ["id"], sample_rows, known.count())
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(pick), "id").select("y", "text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(pick), "id")
+    rows = one_per_id(rows).select("y", "text")
 
     def run(batches):
         for b in batches:
@@ -211,7 +213,9 @@ def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str
 
 
 def drop_toxic(docs: DataFrame, model: Ordinal, text_col: str = "text", cutoff: float = 0.5) -> DataFrame:
-    """The rows that are not toxic, with all their columns."""
+    """The rows that are not toxic, with all their columns.  Rows are judged one by one by their text alone: null and
+    empty texts have no feature and stay unless the thresholds alone call them toxic; repeated rows stay or go
+    together; null and repeated ids are no matter."""
     def run(batches):
         kept = Kept(model.features)
         for b in batches:

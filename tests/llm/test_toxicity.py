@@ -57,3 +57,45 @@ def test_ordinal_fit_recovers_thresholds_and_shared_weights():
     rows, cols = np.nonzero(x)
     got, cut = T.fit_ordinal(rows, cols, y.sum(axis=1), 3, l2=0.0)
     assert np.abs(got - w).max() < 0.1 and np.abs(cut - t).max() < 0.1
+
+
+def slow_features(text):
+    """The features of one text, word by word: the word's and its beginnings' polynomial hashes."""
+    mask, out = (1 << 64) - 1, set()
+
+    def mixed(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return x ^ (x >> 31)
+
+    import re
+    for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").lower().encode()):
+        for stem in (0, 4, 6, 8):
+            if stem < len(w):
+                h = sum((b + 1) * pow(0x9E3779B97F4A7C15, k, 1 << 64) for k, b in enumerate(w[:stem] if stem else w)) & mask
+                out.add(mixed((h + stem) & mask) >> 1)
+    return out
+
+
+def test_scores_match_a_computation_text_by_text(spark, docs_of):
+    docs, labels = corpus(200)
+    docs = docs + [(900, None), (901, ""), (902, "TRASH, moron! scumbag clowns"), (903, "Ünïcode trash\u00a0moron"), (904, "clown " * 3000)]
+    m = T.fit(docs_of(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    weight = dict(zip(m.features.tolist(), m.weights.tolist()))
+    for r in T.score(docs_of(docs).repartition(3), m).collect():
+        s = sum(weight.get(f, 0.0) for f in slow_features(dict(docs)[r.doc_id]))
+        up = [1 / (1 + np.exp(t - s)) for t in m.thresholds]
+        each = -np.diff([1.0, *up, 0.0])
+        assert abs(r.severity - sum(up)) < 1e-9 and abs(r.p_toxic - up[0]) < 1e-9
+        assert each[r.grade] > each.max() - 1e-12 and r.toxic == (up[0] >= 0.5)
+
+
+def test_an_id_on_very_many_rows_is_one_labelled_document(spark, docs_of):
+    docs, labels = corpus(60)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    many = docs + [(0, docs[0][1])] * 50 + [(0, "another text of the same id")] * 50
+    from lodestar.llm.site_quality import fit_shape
+    rows = T._sampled(docs_of(many).repartition(4), lab, "doc_id", "text", "toxic", 1000)
+    assert rows.count() == 60
+    known = lab.selectExpr("doc_id id", "quality y")
+    assert fit_shape(docs_of(many).selectExpr("doc_id id", "text"), known).threshold is not None
