@@ -137,9 +137,12 @@ def _joined(found) -> str:
 
 def labelled_strings(docs: DataFrame, text_col: str = "text", total: int | None = None, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Training strings (text, label) of a bounded sample of documents: values that the
-    fixed patterns find are 1, other identifiers outside their spans 0."""
+    fixed patterns find are 1, other identifiers outside their spans 0.  A text counts once however often it
+    is repeated; about ``sample_docs`` of ``total`` (default: all) texts are taken, by hash of the text."""
     rows = docs.select(F.col(text_col).alias("text")).where("text is not null")
-    rows = hash_sample(rows, ["text"], sample_docs, rows.count() if total is None else total)
+    rows = hash_sample(rows, ["text"], sample_docs, rows.select(F.approx_count_distinct("text", 0.02)).first()[0] if total is None else total)
+    first = rows.groupBy(F.xxhash64("text"), F.md5("text")).agg(F.any_value("text").alias("text"))
+    rows = first.select("text")
     ident = re.compile(r"[A-Za-z][A-Za-z0-9_-]{%d,}" % (LEAST_SAMPLE - 1))
 
     def run(batches):
@@ -230,5 +233,6 @@ def redact(docs: DataFrame, model: Markov, text_col: str = "text", length_col: s
     return map_arrow(docs, run, schema)
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> Markov:
-    return train(cut(labelled_strings(docs, text_col)))
+def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Markov:
+    """Both models from the strings of about ``sample_docs`` distinct texts (documented bound on labelled rows)."""
+    return train(cut(labelled_strings(docs, text_col, sample_docs=sample_docs)))

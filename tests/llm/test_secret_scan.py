@@ -79,3 +79,40 @@ def test_overlaps_are_found_in_one_sweep():
     got = [m.span() for m in S.untouched(S.CANDIDATE.finditer(text), base)]
     want = [m.span() for m in S.CANDIDATE.finditer(text) if not any(a < m.end() and m.start() < z for a, _, z in base)]
     assert got == want and len(want) >= 500
+
+
+def slow_markov(text, m):
+    """Markov spans by walking over every candidate's characters."""
+    base, out = brute(text), []
+    for c in S.CANDIDATE.finditer(text or ""):
+        if any(s < c.end() and c.start() < e for s, _, e in base) or len(c[0]) < S.LEAST_MARKOV:
+            continue
+        score, last = 0.0, S.STATES - 1
+        for ch in c[0]:
+            now = S._ALPHABET.index(ch) if ch in S._ALPHABET else len(S._ALPHABET)
+            score += m.ratio[last * S.STATES + now]
+            last = now
+        if score >= S.MARGIN:
+            out.append(f"markov:{c.start()}:{c.end()}")
+    return out
+
+
+def test_markov_spans_match_brute_force(spark, docs_of):
+    import random
+    rnd, m = random.Random(5), model(spark)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
+    docs = [(100 + k, " ".join(rnd.choice(["plain words here", "identifier_of_thing_again", "é😀", "token=abcdef12", hashlib.sha256(str(rnd.random()).encode()).hexdigest()[:rnd.randint(18, 23)], "".join(rnd.choice(chars) for _ in range(rnd.randint(5, 60)))])
+                               for _ in range(8))) for k in range(80)] + DOCS[:-2]
+    seen = 0
+    for r in S.scan(docs_of(docs).repartition(3), m).where("doc_id is not null").collect():
+        own = [s for s in r.spans.split(",") if s.startswith("markov")]
+        want = slow_markov(dict(docs)[r.doc_id], m)
+        assert own == want
+        seen += len(own)
+    assert seen > 30
+
+
+def test_a_repeated_text_trains_once(spark, docs_of):
+    texts = [(k, f'token = "{hashlib.sha256(str(k).encode()).hexdigest()}" and someordinaryname{k}') for k in range(30)]
+    once = S.fit(docs_of(texts)).ratio
+    assert (S.fit(docs_of(texts + [(99, texts[0][1])] * 40).repartition(4)).ratio == once).all()
