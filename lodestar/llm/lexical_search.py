@@ -28,7 +28,7 @@ from lodestar.llm.textscan import WORD, Texts
 from lodestar.session import ship_package
 
 TOP = 10
-BLOCK_BYTES = 8 << 20                  # text of a block, at most (a longer single text is a block)
+BLOCK_BYTES = 4 << 20                  # text of a block, at most (a longer single text is a block)
 BUNDLE_ITEMS = 256                     # items of a bundle
 OWNER_SHARES = (1 / 256, 1 / 16, 1 / 4)  # an owner's terms stand in up to this share of documents; a last owner has the rest
 FILTER_BITS = 22                       # the scan's term filter is a table of 2**22 entries
