@@ -200,7 +200,7 @@ class LloydModel:
         return float(self.sse.sum())
 
 
-def _pass_stats(df: DataFrame, x: str, centers: list[np.ndarray], p: int):
+def pass_stats(df: DataFrame, x: str, centers: list[np.ndarray], p: int):
     """One scan: for every model, per-cluster (count, Σd², Σx)."""
     ks = [c.shape[0] for c in centers]
     offs = np.cumsum([0] + [k * (2 + p) for k in ks])
@@ -246,10 +246,10 @@ def _lloyd(df, starts, max_iter, x, tol, tags) -> list[LloydModel]:
     active = list(range(len(models)))
     it = 0
     while active:
-        chunks = _chunks(active, [models[i].centers.size for i in active])
+        groups = chunks(active, [models[i].centers.size for i in active])
         stats = {}
-        for ch in chunks:
-            for i, st in zip(ch, _pass_stats(df, x, [models[i].centers for i in ch], p)):
+        for ch in groups:
+            for i, st in zip(ch, pass_stats(df, x, [models[i].centers for i in ch], p)):
                 stats[i] = st
         still = []
         for i in active:
@@ -275,10 +275,11 @@ def _lloyd(df, starts, max_iter, x, tol, tags) -> list[LloydModel]:
     return models
 
 
-def _chunks(ids, sizes):
+def chunks(ids, sizes, most: int | None = None):
+    """Models in groups of MAX_CENTER_ENTRIES_PER_SCAN centre entries (and ``most`` models) at most."""
     out, cur, acc = [], [], 0
     for i, s in zip(ids, sizes):
-        if cur and acc + s > MAX_CENTER_ENTRIES_PER_SCAN:
+        if cur and (acc + s > MAX_CENTER_ENTRIES_PER_SCAN or len(cur) == most):
             out.append(cur)
             cur, acc = [], 0
         cur.append(i)

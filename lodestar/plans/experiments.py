@@ -19,6 +19,7 @@ from lodestar.functions.arrowkit import map_rows
 from lodestar.functions.caching import cached
 from lodestar.operators import backprop as BP
 from lodestar.operators import kmeans as KM
+from lodestar.operators import kmeans_sweep as KS
 from lodestar.operators import linalg as LA
 from lodestar.operators import mixture as MX
 from lodestar.operators import prep, scoring
@@ -138,7 +139,7 @@ def reductions(spark: SparkSession, df: DataFrame, d: int, seed: int, runs: int
     }
 
 
-def label_errors(df: DataFrame, models: dict, lv: DataFrame) -> dict[int, float]:
+def label_errors(df: DataFrame, models: dict) -> dict[int, float]:
     """{key: label error} of every model of {key: centres}, from one scan."""
     long = KM.assign_many(df, models, passthrough=("label",))
     counts = long.groupBy("model", "cluster", "label").agg(F.count("*").alias("n"))
@@ -155,7 +156,7 @@ def reduced_kmeans_error(spark: SparkSession, df: DataFrame, d: int, ks, seed: i
     for algo, (red, width, settled) in reductions(spark, df, d, seed).items():
         with cached(red) as red:
             best = KM.kmeans_grid(red, ks, seed, runs=runs, max_iter=iters)
-            for k, e in sorted(label_errors(red, {k: m.centers for k, m in best.items()}, lv).items()):
+            for k, e in sorted(label_errors(red, {k: m.centers for k, m in best.items()}).items()):
                 # The unreduced result is a reference line spanning dims 1 .. p
                 parts += [(k, e, at, algo, settled) for at in ((1, p) if algo == "N/A" else (width,))]
     return spark.createDataFrame(parts, "k INT, err DOUBLE, dims INT, algo STRING, ica_converged BOOLEAN")
@@ -215,20 +216,32 @@ def reduced_spectrum(spark: SparkSession, df: DataFrame, d: int, k: int, seed: i
 
 def kmeans_clusters(spark: SparkSession, df: DataFrame, ks, seed: int, runs: int, iters: int,
                     test: str) -> DataFrame:
-    """(k, avg_s, within_ss, label_err, test) (X2); all k share one distance pass and one scoring pass."""
-    best = KM.kmeans_grid(df, ks, seed, runs=runs, max_iter=iters)
+    """(k, avg_s, within_ss, label_err, test, converged) (X2); all k share one distance pass and one scoring pass."""
+    best = KS.sweep(df, ks, seed, runs=runs, max_iter=iters)
     centres = {k: m.centers for k, m in best.items()}
-    err = label_errors(df, centres, prep.levels(df))
+    err = label_errors(df, centres)
     with cached(KM.assign_many(df, centres, passthrough=("id", "x"))) as a:
         width = {r["model"]: r["w"] for r in SH.silhouette_many(a).groupBy("model").agg(F.avg("s").alias("w")).collect()}
-    rows = [(int(k), float(width[k]), float(m.cost / m.sizes.sum()), err[k], test) for k, m in sorted(best.items())]
-    return spark.createDataFrame(rows, "k INT, avg_s DOUBLE, within_ss DOUBLE, label_err DOUBLE, test STRING")
+    rows = [(int(k), float(width[k]), float(m.cost / m.sizes.sum()), err[k], test, m.converged) for k, m in sorted(best.items())]
+    return spark.createDataFrame(rows, "k INT, avg_s DOUBLE, within_ss DOUBLE, label_err DOUBLE, test STRING, converged BOOLEAN")
+
+
+def kmeans_sweep(spark: SparkSession, df: DataFrame, ks, seed: int, runs: int = 50) -> DataFrame:
+    """(k, lloyd, cost, label_err, converged): the reference's sweep at its number of starts; total within-SS of the
+    best start before and after exchange steps on it (X2, M2)."""
+    ks = list(ks)
+    with cached(df) as df:
+        plain = KS.sweep(df, ks, seed, runs=runs)
+        best = KS.exchange(df, [plain[k] for k in ks])
+        err = label_errors(df, {k: m.centers for k, m in zip(ks, best)})
+    rows = [(int(k), float(plain[k].cost), float(m.cost), err[k], m.converged) for k, m in zip(ks, best)]
+    return spark.createDataFrame(rows, "k INT, lloyd DOUBLE, cost DOUBLE, label_err DOUBLE, converged BOOLEAN")
 
 
 def kmeans_silhouettes(df: DataFrame, k: int, seed: int, runs: int, iters: int) -> DataFrame:
     """Per-row silhouette of a fitted k-means (X3, M2 + M7)."""
-    m = KM.kmeans(df, k, seed, runs=runs, max_iter=iters)
-    return SH.silhouette_exact(KM.assign(df, m.centers, passthrough=("id", "x", "label")))
+    m = KS.sweep(df, [k], seed, runs=runs, max_iter=iters)[k]
+    return SH.silhouette_exact(KM.assign(df, m.centers, passthrough=("id", "x", "label"))).withColumn("converged", F.lit(m.converged))
 
 
 # --- mixtures (X7, X11, M10) --------------------------------------------------------------

@@ -540,21 +540,27 @@ def reduced_sse_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmeans_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    e = _X().kmeans_clusters(spark, std_e(spark, sf), [2, 4, 8], SEED, 2, 10, "E")
+    e = _X().kmeans_clusters(spark, std_e(spark, sf), [2, 4, 8], SEED, 5, 100, "E")
     return e.select("k", r6("avg_s").alias("avg_s"), r6("within_ss").alias("within_ss"),
-                    r6("label_err").alias("label_err"), "test")
+                    r6("label_err").alias("label_err"), "test", "converged")
+
+
+def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    e = _X().kmeans_sweep(spark, std_e(spark, sf), [2, 5, 10, 20], SEED, runs=50)
+    return e.select("k", r6("lloyd").alias("lloyd"), r6("cost").alias("cost"), r6("label_err").alias("label_err"), "converged")
 
 
 def kmeans_silhouettes(spark: SparkSession, sf: str) -> DataFrame:
-    per = _X().kmeans_silhouettes(std_e(spark, sf), 4, SEED, runs=2, iters=10)
-    return per.select("id", "cluster", "neighbour", r6("s").alias("s"))
+    per = _X().kmeans_silhouettes(std_e(spark, sf), 4, SEED, runs=5, iters=100)
+    return per.select("id", "cluster", "neighbour", r6("s").alias("s"), "converged")
 
 
 def kmeans_confusion_fitted(spark: SparkSession, sf: str) -> DataFrame:
+    from lodestar.operators import kmeans_sweep as KS
     s = std_e(spark, sf)
-    m = KM.kmeans(s, 10, SEED, runs=2, max_iter=20)
+    m = KS.sweep(s, [10], SEED, runs=5)[10]
     lv, c = e_levels(s)
-    return scoring.cluster_confusion(KM.assign(s, m.centers), lv, c).select("predicted", "actual", "n")
+    return scoring.cluster_confusion(KM.assign(s, m.centers), lv, c).select("predicted", "actual", "n", F.lit(m.converged).alias("converged"))
 
 
 RUNS = range(1, 21)  # seeds of the repeated nets
@@ -650,6 +656,7 @@ QUERIES.update({
     "kmeans_clusters": kmeans_clusters,
     "kmeans_confusion_fitted": kmeans_confusion_fitted,
     "kmeans_silhouettes": kmeans_silhouettes,
+    "kmeans_sweep": kmeans_sweep,
     "mlp_learning_curve": mlp_learning_curve,
     "mlp_error_by_dims": mlp_error_by_dims,
     "mlp_on_clusters": mlp_on_clusters,
