@@ -4,8 +4,8 @@
 a(i) = mean distance to the other members of i's cluster, b(i) = smallest
 mean distance to another cluster, s = (b − a) / max(a, b), 0 for singletons.
 It needs every pair distance, so its work is quadratic by definition; the
-state is not: rows are hashed by id into a grid of blocks sized from the
-session's tasks, each task takes one unordered block pair in GEMM tiles (used in both
+state is not: rows are hashed by id into a grid of blocks of bounded size (at least as many pairs as
+the session has tasks), each task takes one unordered block pair at a time in GEMM tiles (used in both
 directions) and emits only per-(row, cluster) distance sums.  Hashing ids (unique)
 keeps every task the same size no matter how lopsided the clusters are, and several
 clusterings of the same rows share one distance pass.
@@ -29,6 +29,7 @@ from lodestar.functions.arrowkit import group_sums, list_array, map_rows, partia
 from lodestar.operators import prep
 from lodestar.session import ship_package
 
+GROUP_DOUBLES = 1 << 23  # numbers of one pair of blocks: vectors and sums per cluster (64 MB)
 TILE = 2048  # rows of a distance tile
 
 
@@ -66,15 +67,22 @@ def silhouette_exact(assigned: DataFrame, x: str = "x", cluster: str = "cluster"
     return silhouette_many(one, x, cluster, id_col, grid=grid).drop("model")
 
 
+def grid_for(n: int, tasks: int, width: int) -> int:
+    """Blocks for ``n`` rows of ``width`` numbers each (vector and sums per cluster): enough pairs to
+    occupy ``tasks``, and blocks so small that two of them make GROUP_DOUBLES numbers at most."""
+    rows = max(1, GROUP_DOUBLES // (2 * max(width, 1)))
+    return max(1, math.ceil(math.sqrt(2 * tasks)), math.ceil(n / rows))
+
+
 def silhouette_many(assigned: DataFrame, x: str = "x", cluster: str = "cluster", id_col: str = "id",
                     model: str = "model", grid: int | None = None) -> DataFrame:
     """Silhouettes of several clusterings of the same rows: (model, id, cluster, neighbour, a, b, s).
 
     ``assigned`` has one row per (id, model).  Distances do not depend on the model, so
     each is computed once for all of them.  Rows are hashed by id into ``grid`` blocks; each
-    unordered block pair is one task, which works through tiles of TILE rows, so a row is
-    shuffled to ``grid`` tasks.  ``grid`` follows the session's shuffle partitions, not the data: about
-    as many pairs as partitions.
+    unordered block pair is one group, which works through tiles of TILE rows, so a row is
+    shuffled to ``grid`` groups.  A task holds one group at a time, and :func:`grid_for` keeps a group
+    to GROUP_DOUBLES numbers whatever the number of rows.
     """
     spark = assigned.sparkSession
     ship_package(spark)
@@ -86,10 +94,11 @@ def silhouette_many(assigned: DataFrame, x: str = "x", cluster: str = "cluster",
     for r in counts:
         sizes[offs[names.index(int(r[model]))] + int(r[cluster])] = r["count"]
     total = int(offs[-1])
+    first = np.array(prep.column_stats(assigned.where(F.col(model) == names[0]), x).mean) if names else np.zeros(0)
     if grid is None:
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        grid = max(1, math.ceil(math.sqrt(2 * tasks)))
-    first = np.array(prep.column_stats(assigned.where(F.col(model) == names[0]), x).mean) if names else np.zeros(0)
+        n = max((sum(r["count"] for r in counts if r[model] == m) for m in names), default=0)
+        grid = grid_for(n, tasks, total + len(first))
     rows = assigned.groupBy(F.col(id_col).alias("id")).agg(
         F.first(x).alias("x"), F.array_sort(F.collect_list(F.struct(F.col(model).cast("int").alias("m"), F.col(cluster).cast("int").alias("c")))).alias("mc"))
     rows = rows.select("id", "x", F.transform("mc", lambda s: s["c"]).cast("array<double>").alias("cl"),

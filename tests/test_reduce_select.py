@@ -190,3 +190,18 @@ def test_landmark_mds_equals_pca_scores(spark, std_e):
     _, P = collect_matrix(RD.pca_transform(std_e, RD.pca_fit(std_e, 64), 2))
     for j in range(2):
         assert np.allclose(np.abs(Z[:, j]), np.abs(P[:, j]), atol=1e-6)
+
+
+def test_silhouette_groups_stay_small_however_many_rows(spark, std_e, monkeypatch):
+    for n in (10, 10 ** 6, 10 ** 9):
+        for width in (66, 5_000):
+            block = -(-n // SH.grid_for(n, 200, width))
+            assert 2 * block * width <= 1.01 * SH.GROUP_DOUBLES or block == 1
+    a = KM.assign(std_e, KM.first_rows(std_e, 4), passthrough=("id", "x"))
+    one = SH.silhouette_exact(a, grid=1).toPandas().sort_values("id")
+    seen = []
+    monkeypatch.setattr(SH, "GROUP_DOUBLES", 10 * 2 * 68)
+    monkeypatch.setattr(SH, "grid_for", lambda *args, f=SH.grid_for: seen.append(f(*args)) or seen[-1])
+    many = SH.silhouette_exact(a).toPandas().sort_values("id")
+    assert seen == [-(-len(one) // 10)]
+    assert np.allclose(one["s"], many["s"], atol=1e-9) and (one["neighbour"].to_numpy() == many["neighbour"].to_numpy()).all()
