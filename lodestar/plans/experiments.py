@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.arrowkit import map_rows
 from lodestar.functions.caching import cached
 from lodestar.operators import backprop as BP
+from lodestar.operators import cftree as CF
 from lodestar.operators import kmeans as KM
 from lodestar.operators import kmeans_sweep as KS
 from lodestar.operators import linalg as LA
@@ -246,14 +247,23 @@ def kmeans_silhouettes(df: DataFrame, k: int, seed: int, runs: int, iters: int)
 
 # --- mixtures (X7, X11, M10) --------------------------------------------------------------
 
-def mixture_grid(df: DataFrame, Gs, families, seed: int, iters: int = 100) -> list[MX.Mixture]:
-    """All (G, family) mixtures fitted together from k-means starts (EM start D-note)."""
-    p = tables.dims(df)
-    st = prep.column_stats(df, "x", p)
-    var = float(np.nanmean(st.sd ** 2))
-    km = KM.kmeans_grid(df, list(Gs), seed, runs=1, max_iter=100)
-    starts = [MX.init_from_centers(km[G].centers, fam, var) for G in Gs for fam in families]
-    return MX.em(df, starts, max_iter=iters, tol=1e-6)
+def mixture_grid(df: DataFrame, Gs, families, seed: int, iters: int = 100, start: str = "tree") -> list[MX.Mixture]:
+    """All (G, family) mixtures fitted together, from the merged leaves of one clustering-feature tree
+    or (``start="kmeans"``) from a k-means per G."""
+    p, Gs = tables.dims(df), list(Gs)
+    with cached(df) as df:
+        st = prep.column_stats(df, "x", p)
+        var = float(np.nanmean(st.sd ** 2))
+        if start == "tree":
+            own = CF.tree_starts(df, Gs)
+        else:
+            own = {G: (m.sizes / m.sizes.sum(), m.centers) for G, m in KM.kmeans_grid(df, Gs, seed, runs=1, max_iter=100).items()}
+        starts = []
+        for G in Gs:
+            for fam in families:
+                starts.append(MX.init_from_centers(own[G][1], fam, var))
+                starts[-1].weights = np.maximum(own[G][0], 1e-12)
+        return MX.em(df, starts, max_iter=iters, tol=1e-6)
 
 
 # --- nets (X20-X24) ---------------------------------------------------------------------
