@@ -17,11 +17,6 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def as_double_array(c) -> Column:
-    """FLOAT[] / INT[] → ARRAY<DOUBLE> (exact widening)."""
-    return col_(c).cast("array<double>")
-
-
 def elem(c, i: int) -> Column:
     """0-based element access."""
     return col_(c).getItem(i)

@@ -322,30 +322,6 @@ def lda_directions(sc: Scatter, d: int = 2, ridge: float = 1e-9) -> np.ndarray:
     return fix_signs(Wh @ vb[:, order])
 
 
-# --- classical MDS re-aimed (M31) -----------------------------------------------
-
-def landmark_mds(df: DataFrame, landmarks: np.ndarray, d: int = 2, x: str = "x",
-                 passthrough=("id", "label")) -> DataFrame:
-    """Classical MDS through landmarks: (passthrough..., z ARRAY<DOUBLE> of d coordinates).
-
-    The squared distances among the m landmarks are double-centred and decomposed on the
-    driver (m x m); every row is placed from its squared distances to the landmarks.  With Euclidean
-    distances and landmarks that span the data this is the exact MDS configuration; the
-    n x n distance matrix is never built.
-    """
-    from lodestar.operators.kmeans import center_distances
-    L = np.asarray(landmarks, dtype=float)
-    D = np.stack([((L - r) ** 2).sum(axis=1) for r in L])
-    J = np.eye(len(L)) - 1.0 / len(L)
-    lam, vec = np.linalg.eigh(-0.5 * J @ D @ J)
-    order = np.argsort(lam)[::-1][:d]
-    vec = fix_signs(vec[:, order])
-    back = -0.5 * vec / np.sqrt(np.maximum(lam[order], 1e-300))
-    far = center_distances(df, L, x, passthrough=passthrough, out="_d2")
-    keep = tuple(c for c in passthrough if c in df.columns)
-    return LA.project(far, back, "_d2", "z", keep, center=D.mean(axis=0))
-
-
 # --- kernel PCA re-aimed: random Fourier features (M32) ------------------------
 
 def rff_map(df: DataFrame, p: int, n_features: int, sigma: float, seed: int, x: str = "x",

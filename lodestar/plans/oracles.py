@@ -801,3 +801,13 @@ SQL["supervised_first_cuts"] = with_(E, EL, ST, SL, near(2), (
     "QUALIFY row_number() OVER (PARTITION BY j ORDER BY v) = 1)")) + (
     "SELECT j, round(v + (nv - v) / 2, 6) AS cut FROM best "
     "WHERE gt - gl - gr > log2(n - 1) + log2(pow(3, k) - 2) - (k * gt / n - kl * gl / nl - kr * gr / (n - nl))")
+
+
+# --- scaling and stored models -----------------------------------------------------------
+
+SQL["mds_power_sums"] = with_(E, EL, ST, SL, (
+    "ce AS (SELECT id, j, v - avg(v) OVER (PARTITION BY j) AS v FROM sl)"), (
+    "co AS (SELECT a.j, b.j AS k, sum(a.v * b.v) / (SELECT count(*) FROM e) AS c FROM ce a JOIN ce b USING (id) GROUP BY a.j, b.j)")) + (
+    "SELECT 1 AS power, round(sum(c) FILTER (WHERE j = k), 6) AS total FROM co UNION ALL SELECT 2 AS power, round(sum(c * c), 6) AS total FROM co")
+
+SQL["stored_model_scores"] = with_(E, EL, ST, SL, *lloyd_ctes([4], 3)) + "SELECT id, cluster, round(d2, 6) AS d2 FROM a3"

@@ -444,12 +444,42 @@ def pca_contribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mds_points(spark: SparkSession, sf: str) -> DataFrame:
-    """M31 re-aimed: classical MDS in two dimensions, placed from distances to the first 200 rows."""
-    from lodestar.operators import reduce as RD
+    """Classical scaling in two dimensions, placed from 100 farthest-first landmarks; ``share`` is its fit."""
+    from lodestar.operators import manifold as MF
     s = std_e(spark, sf)
-    z = RD.landmark_mds(s, KM.first_rows(s, 200), 2)
-    return z.select("id", "label", F.posexplode("z").alias("j", "v")).select(
-        "id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("v"))
+    m = MF.mds_fit(s, 100)
+    z = MF.place(s, m, 2)
+    return z.select("id", "label", F.posexplode("z").alias("j", "v"), F.lit(m.share(2)).alias("share")).select(
+        "id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("v"), r6("share").alias("share"))
+
+
+def mds_power_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Power sums of the scaling's eigenvalues per row, which the full matrix fixes."""
+    from lodestar.operators import manifold as MF
+    s = std_e(spark, sf)
+    lam = MF.mds_fit(s, 100).eigenvalues / s.count()
+    df = spark.createDataFrame([(k, float((lam ** k).sum())) for k in (1, 2)], "power INT, total DOUBLE")
+    return df.select("power", r6("total").alias("total"))
+
+
+def kernel_pca(spark: SparkSession, sf: str) -> DataFrame:
+    """Two kernel components through 256 landmarks; ``residual`` is the mean kernel mass beyond their span."""
+    from lodestar.operators import manifold as MF
+    s = std_e(spark, sf)
+    m = MF.kernel_pca_fit(s, 256, 0.01)
+    z = MF.place(s, m, 2)
+    return z.select("id", "label", F.posexplode("z").alias("j", "v"), F.lit(m.residual).alias("residual")).select(
+        "id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("v"), r6("residual").alias("residual"))
+
+
+def stored_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """A k-means is fitted, stored, loaded and then scores every row."""
+    import uuid
+    from lodestar.sources import models as ST
+    s = std_e(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4()}"
+    ST.save(spark, KM.lloyd(s, [KM.first_rows(s, 4)], max_iter=3)[0], path)
+    return KM.assign(s, ST.load(spark, path).centers).select("id", "cluster", r6("d2").alias("d2"))
 
 
 def ica_sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -640,6 +670,9 @@ QUERIES.update({
     "pca_recon_error": pca_recon_error,
     "pca_contribution": pca_contribution,
     "mds_points": mds_points,
+    "mds_power_sums": mds_power_sums,
+    "kernel_pca": kernel_pca,
+    "stored_model_scores": stored_model_scores,
     "ica_sources": ica_sources,
     "ica_recon_error": ica_recon_error,
     "rca_haar_best": rca_haar_best,

@@ -184,14 +184,6 @@ def test_one_distance_pass_serves_all_clusterings(std_e):
         assert np.allclose(one["s"], got["s"], atol=1e-12) and (one["cluster"].to_numpy() == got["cluster"].to_numpy()).all()
 
 
-def test_landmark_mds_equals_pca_scores(spark, std_e):
-    z = RD.landmark_mds(std_e, KM.first_rows(std_e, std_e.count()), 2)
-    ids, Z = collect_matrix(z, "z")
-    _, P = collect_matrix(RD.pca_transform(std_e, RD.pca_fit(std_e, 64), 2))
-    for j in range(2):
-        assert np.allclose(np.abs(Z[:, j]), np.abs(P[:, j]), atol=1e-6)
-
-
 def test_silhouette_groups_stay_small_however_many_rows(spark, std_e, monkeypatch):
     for n in (10, 10 ** 6, 10 ** 9):
         for width in (66, 5_000):
