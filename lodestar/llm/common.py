@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,33 @@ def one_per_id(rows: DataFrame) -> DataFrame:
     return near.groupBy(*[c for c in near.columns if c != "text"]).agg(F.any_value("text").alias("text"))
 
 
+FILTER_BITS = 24  # entries of a key filter: 2 MB of bits
+
+
+def key_filter(keys: DataFrame, name: str):
+    """A test for a key column of another table: false only where the key is surely not among ``keys``.
+
+    The keys' hashes mark entries of a table of 2**FILTER_BITS bits, which alone reaches the driver and
+    the tasks; with very many keys it fills up and says yes more often.  Null keys are never among them.
+    """
+    size = 1 << FILTER_BITS
+
+    def spot(c):
+        return F.pmod(F.xxhash64(c), F.lit(size)).cast("int")
+
+    bits = np.zeros(size, dtype=bool)
+    bits[keys.where(F.col(name).isNotNull()).select(spot(F.col(name)).alias("s")).distinct().toArrow().column("s").to_numpy()] = True
+    packed = np.packbits(bits)
+    ship_package(keys.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def marked(s: pd.Series) -> pd.Series:
+        at = s.to_numpy()
+        return pd.Series((packed[at >> 3] >> (7 - (at & 7))) & 1).astype(bool)
+
+    return lambda c: F.when(c.isNull(), False).otherwise(marked(spot(c)))
+
+
 class Forest:
     """Union-find over hashable keys; ``join`` tells whether two trees were joined."""
 
