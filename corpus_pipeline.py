@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import pattern_packing, secret_scan, simhash_vp, string_tiling, toxicity
-from lodestar.llm.common import cut, table, unused
+from lodestar.llm.common import cut, key_filter, table, unused
 from lodestar.llm.queries import word_tokenizer
 from lodestar.session import ensure_checkpoint_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal model, fitted on the labelled ones, does not call toxic."""
+    """Documents that the ordinal model, fitted on the labelled ones, does not call toxic.  Rows are judged by their
+    text alone: null and empty texts carry no sign and stay, repeated rows stay or go together, null ids are no matter."""
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -29,7 +30,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     A row takes part under its id.  Rows without an id, and all rows of an id that stands
     on several, take part under a stand-in made from id and text, larger than real ids:
     rows with equal id and text are copies of each other, different texts of one id are
-    documents of their own.
+    documents of their own.  Null and empty texts have a fingerprint like any other.  The texts of
+    documents that stay are not moved: a filter on the keys that go leaves those alone for an exact join.
     """
     key = unused(docs, "_key")
     repeated = cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias(key)))
@@ -40,27 +42,36 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     stand_in = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2) + F.lit(1 << 62)
     keyed = keyed.withColumn(key, F.coalesce(own, stand_in))
     found = simhash_vp.near_duplicates(keyed, id_col=key, shingle=3, max_bits=2)
-    kept = cut(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-               .select(F.col("doc_id").alias(key), "n"))
-    out = keyed.join(kept.where("n = 1"), key, "left_semi")
-    copies = kept.where("n > 1")
-    if not copies.isEmpty():  # rows with equal id and text: these alone need a second pass
-        out = out.union(keyed.join(copies, key, "left_semi").dropDuplicates([key, "doc_id", "text"]))
+    first = (F.col("doc_id") == F.col("component_id"))
+    # keys that go, and keys whose rows are copies of each other: few against those that just stay
+    marked = cut(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_and(first).alias("first"))
+                 .where("n > 1 or not first").select(F.col("doc_id").alias(key), "first"))
+    if marked.isEmpty():
+        return docs
+    likely = key_filter(marked, key)
+    stay, look = keyed.where(~likely(F.col(key))), keyed.where(likely(F.col(key)))  # only the latter are shuffled
+    out = stay.union(look.join(marked, key, "left_anti").select(*stay.columns))
+    copies = marked.where("first").select(key)
+    if not copies.isEmpty():
+        out = out.union(look.join(copies, key, "left_semi").select(*stay.columns).dropDuplicates([key, "doc_id", "text"]))
     return out.select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.  Rows are judged by their text alone: null and empty texts stay, repeated
+    rows stay or go together, null ids are no matter; an empty benchmark removes nothing."""
     return string_tiling.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mask."""
+    """All documents, secrets replaced by a mask and ``n_chars`` counted anew where a text changed; null and
+    empty texts, repeated rows and null ids stay as they are."""
     return secret_scan.redact(docs, secret_scan.fit(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 4096 tokens."""
+    """Pieces of the documents in sequences of 4096 tokens; a null or empty text is one piece (its end token),
+    repeated rows and null ids are packed row by row."""
     return pattern_packing.pack(docs, word_tokenizer())
 
 
