@@ -56,6 +56,74 @@ def pca_fit(df: DataFrame, p: int, x: str = "x") -> PCAModel:
     return PCAModel(mo.mean, np.sqrt(w), v, mo.n)
 
 
+@dataclass
+class WidePCA:
+    """The first components of a wide table; no p x p matrix stands behind them."""
+    mean: np.ndarray        # p
+    eigenvalues: np.ndarray  # d, descending
+    rotation: np.ndarray    # p x d
+    total: float            # sum of all eigenvalues
+    n: int
+    passes: int
+    residual: float         # greatest |S v - lambda v| of the components, over the first eigenvalue
+    converged: bool
+
+
+def _orthonormal(B: np.ndarray, K: list[np.ndarray]) -> np.ndarray:
+    """An orthonormal basis of what the columns of B add to the span of the blocks K."""
+    scale = np.linalg.norm(B, axis=0).max(initial=0.0)
+    for _ in range(2):  # twice is enough for full orthogonality
+        for Q in K:
+            B = B - Q @ (Q.T @ B)
+    Q, R = np.linalg.qr(B)
+    return Q[:, np.abs(np.diag(R)) > 1e-10 * max(scale, 1e-300)]
+
+
+def pca_wide(df: DataFrame, d: int, seed: int, x: str = "x", oversample: int = 8, max_passes: int = 60, tol: float = 1e-10) -> WidePCA:
+    """First ``d`` principal components by block Krylov iteration (M13, M14 for wide tables).
+
+    A pass returns S Q for the newest block Q (p x (d + oversample)), S the covariance about the mean;
+    the blocks together span a Krylov space, in which the components are those of a small matrix
+    (Rayleigh-Ritz).  It stops when every component's residual is below ``tol`` of the first eigenvalue, or the
+    space is exhausted, in which case the components are exact.  The driver holds p x (blocks' columns)
+    numbers.  Signs are fixed as in :func:`pca_fit`; a constant table has no component.
+    """
+    with cached(df.select(x)) as df:
+        first = df.select(F.size(x).alias("p")).limit(1).collect()
+        p = first[0]["p"] if first else 0
+        s = partial_sums(df, [x], lambda b: np.concatenate(([len(b[x])], b[x].sum(axis=0))), p + 1) if p else np.zeros(1)
+        n, mean = int(s[0]), s[1:] / max(s[0], 1.0)
+        K, images = [], []
+        block = _orthonormal(np.random.default_rng([seed, p]).standard_normal((p, min(p, d + oversample))), []) if p else np.zeros((0, 0))
+        lam, V, residual, total, passes, settled = np.zeros(0), np.zeros((p, 0)), 0.0, 0.0, 0, True
+        while block.shape[1] and passes < max_passes:
+            width = block.shape[1]
+
+            def fn(b, block=block, width=width):
+                X = b[x] - mean
+                return np.append((X.T @ (X @ block)).ravel(), np.einsum("ij,ij->", X, X))
+
+            v = partial_sums(df, [x], fn, p * width + 1) / max(n - 1, 1)
+            total, passes = float(v[-1]), passes + 1
+            K.append(block)
+            images.append(v[:-1].reshape(p, width))
+            basis, image = np.concatenate(K, axis=1), np.concatenate(images, axis=1)
+            small = basis.T @ image
+            lam, U = np.linalg.eigh((small + small.T) / 2)
+            keep = np.argsort(lam)[::-1][:d]
+            lam, U = lam[keep], U[:, keep]
+            V = basis @ U
+            gaps = np.linalg.norm(image @ U - V * lam, axis=0)
+            residual = float(gaps.max(initial=0.0) / max(lam.max(initial=0.0), 1e-300))
+            settled = residual <= tol
+            if settled:
+                break
+            block = _orthonormal(images[-1], K)
+            settled = not block.shape[1]  # nothing left to add: the space is invariant
+    good = lam > 1e-13 * max(total, 1e-300)
+    return WidePCA(mean, lam[good], fix_signs(V[:, good]) if good.any() else V[:, good], total, n, passes, residual, settled)
+
+
 def pca_transform(df: DataFrame, model: PCAModel, d: int | None = None, x: str = "x",
                   out: str = "x", passthrough=("id", "label")) -> DataFrame:
     """Scores on the first d components."""

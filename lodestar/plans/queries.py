@@ -1031,4 +1031,14 @@ def ica_source_covariance(spark: SparkSession, sf: str) -> DataFrame:
     return LA.matrix_frame(spark, cov, "c").select("i", "j", r6("c").alias("c"))
 
 
-QUERIES.update({"side_file_tables": side_file_tables, "gmm_total_variance": gmm_total_variance, "ica_source_covariance": ica_source_covariance})
+def pca_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """M13, M14 without a p x p matrix: the first five components of the standardised embeddings and their squares side by side."""
+    from lodestar.operators import reduce as RD
+    e = std_e(spark, sf).select("id", F.concat("x", F.transform("x", lambda v: v * v)).alias("x"))
+    m = RD.pca_wide(e, 5, SEED)
+    df = spark.createDataFrame([(k + 1, float(v), float(v / m.total), m.converged) for k, v in enumerate(m.eigenvalues)],
+                               "component INT, eigenvalue DOUBLE, share DOUBLE, converged BOOLEAN")
+    return df.select("component", r6("eigenvalue").alias("eigenvalue"), r6("share").alias("share"), "converged")
+
+
+QUERIES.update({"pca_wide": pca_wide, "side_file_tables": side_file_tables, "gmm_total_variance": gmm_total_variance, "ica_source_covariance": ica_source_covariance})

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestar.operators.kmeans import LloydModel
 from lodestar.operators.manifold import LandmarkMap
 from lodestar.operators.mixture import Mixture
-from lodestar.operators.reduce import ICAModel, PCAModel
+from lodestar.operators.reduce import ICAModel, PCAModel, WidePCA
 
 FORMAT = 1
 PART = 1 << 17  # numbers of one row
@@ -28,7 +28,7 @@ class CutPoints:
     cuts: list
 
 
-KINDS = {c.__name__: c for c in (Mixture, PCAModel, ICAModel, LloydModel, LandmarkMap, CutPoints)}
+KINDS = {c.__name__: c for c in (Mixture, PCAModel, WidePCA, ICAModel, LloydModel, LandmarkMap, CutPoints)}
 _SCHEMA = "format INT, kind STRING, field STRING, part INT, dtype STRING, shape ARRAY<INT>, reals ARRAY<DOUBLE>, ints ARRAY<BIGINT>, text STRING"
 
 

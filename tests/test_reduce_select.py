@@ -197,3 +197,24 @@ def test_silhouette_groups_stay_small_however_many_rows(spark, std_e, monkeypatc
     many = SH.silhouette_exact(a).toPandas().sort_values("id")
     assert seen == [-(-len(one) // 10)]
     assert np.allclose(one["s"], many["s"], atol=1e-9) and (one["neighbour"].to_numpy() == many["neighbour"].to_numpy()).all()
+
+
+def test_wide_pca_equals_the_full_decomposition(spark, std_e):
+    full = RD.pca_fit(std_e, 64)
+    wide = RD.pca_wide(std_e, 6, 1)
+    assert wide.converged and wide.n == full.n and wide.total == pytest.approx(full.eigenvalues.sum())
+    assert np.allclose(wide.eigenvalues, full.eigenvalues[:6], rtol=1e-9) and np.allclose(wide.rotation, full.rotation[:, :6], atol=1e-7)
+    assert np.allclose(wide.mean, full.mean)
+
+
+def test_wide_pca_of_a_wide_low_rank_and_constant_table(spark):
+    rng = np.random.default_rng(3)
+    M = rng.normal(size=(60, 3)) * [9, 5, 2] @ np.linalg.qr(rng.normal(size=(3000, 3)))[0].T + 7
+    df = features_from(spark, M).repartition(3)
+    w = RD.pca_wide(df, 5, 1)
+    _, s, vt = np.linalg.svd(M - M.mean(axis=0), full_matrices=False)
+    assert w.converged and len(w.eigenvalues) == 3 and w.passes <= 4
+    assert np.allclose(w.eigenvalues, s[:3] ** 2 / 59) and np.allclose(np.abs((vt[:3] @ w.rotation)), np.eye(3), atol=1e-8)
+    flat = RD.pca_wide(features_from(spark, np.ones((5, 4))), 2, 1)
+    assert len(flat.eigenvalues) == 0 and flat.converged and flat.total == 0
+    assert RD.pca_wide(df.where("id < 0"), 2, 1).n == 0
