@@ -27,6 +27,7 @@ FAMILIES = ("EII", "VII", "EEI", "VEI", "EVI", "VVI", "EEE", "EVE", "VEE", "VVE"
 LOG2PI = math.log(2.0 * math.pi)
 # Statistic entries per scan; larger grids take several scans per iteration.
 MAX_STATS_PER_SCAN = 4_000_000
+TAIL = 1e-14  # share of a row's density that components left out of the E-step may hold
 _INNER = 30  # sweeps of the M-steps that alternate between volume, shape and orientation
 
 
@@ -75,27 +76,59 @@ def n_params(family: str, G: int, p: int) -> int:
     return (G - 1) + G * p + each[family[0]] + each[family[1]] * (p - 1) + each[family[2]] * (p * (p - 1) // 2)
 
 
-def _log_dens(X: np.ndarray, m: Mixture) -> np.ndarray:
-    """n x G matrix of log π_g + log N(x | μ_g, Σ_g)."""
-    n, p = X.shape
-    out = np.empty((n, m.G))
-    for g in range(m.G):
-        diff = X - m.means[g]
+class Densities:
+    """log w_g + log N(x | mu_g, S_g) of the components that matter for a row; -inf for the others.
+
+    A component's log density is at most its value at the mean less half the squared Euclidean distance over
+    its greatest variance, so one product of the rows with all means bounds every component.  Evaluated are
+    those whose bound comes within TAIL / G of the density of the row's likeliest component by bounds: what
+    is left out adds up to less than TAIL of what is kept.
+    """
+
+    def __init__(self, m: Mixture):
+        self.m = m
         if m.diagonal:
-            q = (diff * diff / m.covs[g]).sum(1)
-            logdet = np.log(m.covs[g]).sum()
+            self.root, logdet, self.top = None, np.log(m.covs).sum(axis=1), m.covs.max(axis=1)
         else:
-            L = np.linalg.cholesky(m.covs[g])
-            sol = np.linalg.solve(L, diff.T)
+            self.root = np.linalg.cholesky(m.covs)
+            logdet = 2.0 * np.log(np.einsum("gii->gi", self.root)).sum(axis=1)
+            self.top = np.linalg.eigvalsh(m.covs)[:, -1]
+        self.peak = np.log(m.weights) - 0.5 * (m.p * LOG2PI + logdet)
+
+    def one(self, X: np.ndarray, g: int) -> np.ndarray:
+        diff = X - self.m.means[g]
+        if self.root is None:
+            q = (diff * diff / self.m.covs[g]).sum(1)
+        else:
+            sol = np.linalg.solve(self.root[g], diff.T)
             q = (sol * sol).sum(0)
-            logdet = 2.0 * np.log(np.diag(L)).sum()
-        out[:, g] = math.log(m.weights[g]) - 0.5 * (p * LOG2PI + logdet + q)
-    return out
+        return self.peak[g] - 0.5 * q
+
+    def bounds(self, X: np.ndarray) -> np.ndarray:
+        mid = self.m.means.mean(axis=0)
+        A, B = X - mid, self.m.means - mid
+        a, b = np.einsum("ij,ij->i", A, A)[:, None], np.einsum("ij,ij->i", B, B)[None]
+        far = a - 2.0 * (A @ B.T) + b - 1e-12 * (a + b)  # never above the true distance
+        return self.peak - 0.5 * np.maximum(far, 0.0) / self.top
+
+    def __call__(self, X: np.ndarray) -> np.ndarray:
+        most = self.bounds(X)
+        first, floor = most.argmax(axis=1), np.empty(len(X))
+        for g in np.unique(first):
+            own = np.flatnonzero(first == g)
+            floor[own] = self.one(X[own], g)
+        near = most >= (floor + math.log(TAIL / self.m.G))[:, None]
+        out = np.full(most.shape, -np.inf)
+        for g in range(self.m.G):
+            own = np.flatnonzero(near[:, g])
+            if len(own):
+                out[own, g] = self.one(X[own], g)
+        return out
 
 
-def responsibilities(X: np.ndarray, m: Mixture) -> tuple[np.ndarray, np.ndarray]:
+def responsibilities(X: np.ndarray, m: Mixture, dens: Densities | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Posterior z (rows sum to 1) and per-row log-likelihood, by log-sum-exp."""
-    L = _log_dens(X, m)
+    L = (dens or Densities(m))(X)
     mx = L.max(1, keepdims=True)
     e = np.exp(L - mx)
     s = e.sum(1, keepdims=True)
@@ -110,17 +143,19 @@ def _pass(df: DataFrame, x: str, models: list[Mixture]):
     """One scan for a chunk of models: per component Σr, Σr·d and Σr·d² or Σr·ddᵀ with
     d = x − mean, plus the log-likelihood."""
     offs = np.cumsum([0] + [_stats_size(m) for m in models])
+    dens = [Densities(m) for m in models]
 
     def fn(b):
         X = b[x]
         out = np.zeros(int(offs[-1]))
-        for o, m in zip(offs, models):
-            z, ll = responsibilities(X, m)
+        for o, m, own in zip(offs, models, dens):
+            z, ll = responsibilities(X, m, own)
             parts = [z.sum(0)]
             first, second = [], []
             for g in range(m.G):
-                d = X - m.means[g]
-                rd = d * z[:, g:g + 1]
+                some = np.flatnonzero(z[:, g])
+                d = X[some] - m.means[g]
+                rd = d * z[some, g:g + 1]
                 first.append(rd.sum(0))
                 second.append((rd * d).sum(0) if m.diagonal else (rd.T @ d).ravel())
             part = np.concatenate(parts + first + second + [[ll.sum()]])
@@ -319,8 +354,10 @@ def posterior(df: DataFrame, m: Mixture, x: str = "x", passthrough=("id", "label
     """SoftAssignment (id, [label,] z ARRAY<DOUBLE>)."""
     keep = [c for c in passthrough if c in df.columns]
 
+    dens = Densities(m)
+
     def fn(b):
-        z, _ = responsibilities(b[x], m)
+        z, _ = responsibilities(b[x], m, dens)
         return {"z": z}
 
     schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep] + ["z ARRAY<DOUBLE>"])

@@ -378,9 +378,11 @@ def cluster_net_inputs(spark: SparkSession, rows: DataFrame, k: int, seed: int,
         raise ValueError(f"the mixture of {k} components broke down; its posteriors cannot feed a net")
     keep = ["id", "label_ix", "fold"]
 
+    dens = MX.Densities(mix)
+
     def fn(b):
         near, _ = KM.nearest(b["x"], centres)
-        return {"x": np.concatenate((b["x"], np.eye(k)[near], MX.responsibilities(b["x"], mix)[0]), axis=1)}
+        return {"x": np.concatenate((b["x"], np.eye(k)[near], MX.responsibilities(b["x"], mix, dens)[0]), axis=1)}
 
     schema = ", ".join([f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep] + ["x ARRAY<DOUBLE>"])
     raw, hot, soft = (tuple(range(a, b)) for a, b in ((0, p), (p, p + k), (p + k, p + 2 * k)))

@@ -67,3 +67,48 @@ def test_mixtures_from_the_tree_are_no_worse_than_from_kmeans(spark):
         if a.G == 8:
             assert a.loglik >= b.loglik - 1e-3
     assert isinstance(tree[0], MX.Mixture) and [m.G for m in tree] == [4, 4, 8, 8]
+
+
+def dense_log(X_, m):
+    """Log densities of all components, one by one."""
+    out = np.empty((len(X_), m.G))
+    for g in range(m.G):
+        S = m.full(g)
+        d = X_ - m.means[g]
+        out[:, g] = np.log(m.weights[g]) - 0.5 * (m.p * np.log(2 * np.pi) + np.linalg.slogdet(S)[1] + np.einsum("ij,ij->i", d, np.linalg.solve(S, d.T).T))
+    return out
+
+
+@pytest.mark.parametrize("family", MX.FAMILIES)
+def test_sparse_densities_equal_dense_ones_within_the_stated_tail(family):
+    rng = np.random.default_rng(7)
+    G, p = 50, 5
+    M = blobs(600, G, 9, p=p)
+    m = MX.init_from_centers(8 * rng.normal(size=(G, p)), family, 1.0)
+    m.weights = rng.dirichlet(np.full(G, 0.4)) + 1e-6
+    m.weights /= m.weights.sum()
+    if m.diagonal:
+        m.covs = m.covs * rng.uniform(0.05, 20, (G, p))
+    else:
+        A = rng.normal(size=(G, p, p))
+        m.covs = np.einsum("gij,gkj->gik", A, A) + 0.01 * np.eye(p)
+    evaluated = []
+    dens = MX.Densities(m)
+    one = dens.one
+    dens.one = lambda X_, g: (evaluated.append(len(X_)), one(X_, g))[1]
+    z, ll = MX.responsibilities(M, m, dens)
+    L = dense_log(M, m)
+    top = L.max(axis=1, keepdims=True)
+    want = np.exp(L - top)
+    total = want.sum(axis=1, keepdims=True)
+    assert np.abs(z - want / total).max() < 1e-9 and np.allclose(ll, (top + np.log(total)).ravel(), rtol=1e-10, atol=1e-9)
+    assert (want / total)[z == 0].max(initial=0.0) < MX.TAIL
+    assert (dens.bounds(M) >= L - 1e-9).all()
+    assert sum(evaluated) < len(M) * G if m.diagonal else True
+
+
+def test_mixtures_of_many_components_fit(spark):
+    M = blobs(1500, 40, 11)
+    m = X.mixture_grid(features_from(spark, M).repartition(3), [60], ["VII"], 1, iters=15)[0]
+    assert not m.failed and m.weights.sum() == pytest.approx(1.0) and m.history[-1] >= m.history[0]
+    assert np.mean((np.exp(dense_log(M, m) - dense_log(M, m).max(axis=1, keepdims=True)) > 1e-6).sum(axis=1)) < 20
