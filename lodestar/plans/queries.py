@@ -152,9 +152,8 @@ def kmeans_sse_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 def cluster_label_error_curve(spark: SparkSession, sf: str) -> DataFrame:
     s = std_e(spark, sf)
-    lv, _ = e_levels(s)
     best = KM.kmeans_grid(s, [2, 4, 8], SEED, runs=1, max_iter=2, init="first")
-    errs = _X().label_errors(s, {k: m.centers for k, m in best.items()}, lv)
+    errs = _X().label_errors(s, {k: m.centers for k, m in best.items()})
     df = spark.createDataFrame(sorted(errs.items()), "k INT, err DOUBLE")
     return df.select("k", r6("err").alias("err"))
 

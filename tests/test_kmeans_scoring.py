@@ -175,12 +175,12 @@ def test_sweep_jobs_do_not_grow_with_k(spark, std_e):
     def jobs(models):
         sc.setJobGroup("count", "jobs of one scoring call")
         before = len(tracker.getJobIdsForGroup("count"))
-        experiments.label_errors(std_e, models, lv)
+        experiments.label_errors(std_e, models)
         return len(tracker.getJobIdsForGroup("count")) - before
     one, many = jobs({2: centres[2]}), jobs(centres)
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert many == one
-    err = experiments.label_errors(std_e, centres, lv)
+    err = experiments.label_errors(std_e, centres)
     for k in (2, 9):
         want = scoring.label_error(KM.assign(std_e, centres[k]), lv).first()["err"]
         assert np.isclose(err[k], want)
