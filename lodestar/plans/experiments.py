@@ -113,6 +113,7 @@ def rca_best_projection(spark: SparkSession, df: DataFrame, d: int, runs: int, s
 def cfs_subset(df: DataFrame, p: int) -> list[int]:
     """The features that correlation-based selection keeps (M25), on supervised cuts; a feature without a cut says
     nothing about the class."""
+    df = df.select("x", "label")  # the nets' rows hold a level index already
     lv = prep.levels(df)
     cuts = CUT.entropy_cuts(prep.with_label_ix(df, lv), lv.count())
     with cached(CUT.discretize_by(df, cuts, keep=("label",))) as binned:
