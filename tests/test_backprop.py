@@ -1,5 +1,7 @@
 """Many-net trainer against a plain single-machine one."""
 
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -91,7 +93,8 @@ def test_ties_repeats_empty_stages_and_nulls(spark):
         BP.train(bad, [BP.Net((), 1, (0, 1))], 3, 1, hidden=2)
 
 
-def test_reductions_for_nets_lie_side_by_side(spark):
+def test_reductions_for_nets_lie_side_by_side(spark, monkeypatch):
+    monkeypatch.setattr(X.RD, "ica_fit_many", partial(X.RD.ica_fit_many, max_iter=5))
     rng = np.random.default_rng(4)
     df = features_from(spark, rng.normal(size=(120, 5)) * [5, 4, 3, 2, 1], [int(v) for v in rng.integers(0, 3, 120)])
     from lodestar.operators import prep, reduce as RD
@@ -108,7 +111,8 @@ def test_reductions_for_nets_lie_side_by_side(spark):
             X.reduced_net_inputs(spark, rows, [2], 1, fit_on="test")
 
 
-def test_repeated_nets_report_mean_and_spread(spark, std_e):
+def test_repeated_nets_report_mean_and_spread(spark, std_e, monkeypatch):
+    monkeypatch.setattr(X.RD, "ica_fit_many", partial(X.RD.ica_fit_many, max_iter=5))
     e = X.net_error_by_dims(spark, std_e, [4], [1, 2, 3], 1, 2).collect()
     assert {(r["algo"], r["stage"]) for r in e} == {(a, s) for a in ("N/A", "PCA", "ICA", "RCA", "CFS") for s in ("Train", "Test")}
     assert all(0 <= r["error"] <= 1 and r["error_sd"] is not None for r in e)
