@@ -91,7 +91,7 @@ CHUNK = 1 << 18
 FANIN = 64
 
 
-def partial_sums(df: DataFrame, cols: Sequence[str],
+def partial_sums(df, cols: Sequence[str],
                  fn: Callable[[dict], np.ndarray], size: int) -> np.ndarray:
     """Σ over all rows of ``fn(batch)``; returns a dense float64 vector.
 
@@ -102,7 +102,11 @@ def partial_sums(df: DataFrame, cols: Sequence[str],
     until the driver can add what is left; its shape follows the session and the
     statistic's size, never the data.  Only per-task vectors move, so a hot
     key or a skewed partition never funnels rows into one task.
+
+    ``df`` may be :class:`lodestar.functions.blocks.Blocks`, for passes that are repeated.
     """
+    if not isinstance(df, DataFrame):
+        return df.sums(fn, size)
     ship_package(df.sparkSession)
     cols = list(cols)
     n_chunks = max(1, -(-size // CHUNK))
