@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.arrowkit import group_sums, map_rows, partial_sums
+from lodestar.functions.blocks import blocks
 from lodestar.functions.caching import cached
 from lodestar.operators import linalg as LA
 
@@ -299,6 +300,11 @@ def _ica_fit_many(df, p, dims, seed, x, max_iter, tol, alpha) -> list[ICAModel]:
         K = vec[:, :d] / np.sqrt(lam[:d])
         rng = np.random.default_rng([seed, d])
         models.append(ICAModel(mean, K, _sym_decorrelate(rng.standard_normal((d, d))), 0))
+    with blocks(df, [x]) as df:
+        return _ica_rotate(df, models, mean, n, x, max_iter, tol, alpha)
+
+
+def _ica_rotate(df, models: list[ICAModel], mean: np.ndarray, n: int, x: str, max_iter: int, tol: float, alpha: float) -> list[ICAModel]:
     active = list(range(len(models)))
     for it in range(1, max_iter + 1):
         if not active:
