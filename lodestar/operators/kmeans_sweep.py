@@ -16,17 +16,16 @@ share no cluster (their gains add up exactly) to the centres, and lets Lloyd set
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.arrowkit import list_array, map_rows, partial_sums, to_numpy
+from lodestar.functions.blocks import Blocks, blocks
 from lodestar.functions.caching import cached
 from lodestar.operators import kmeans as KM
-from lodestar.session import ship_package
 
-STATE_MODELS = 64    # models whose bounds one state frame holds
+STATE_MODELS = 64    # models whose bounds the state holds for many rows,
+STATE_ENTRIES = 20_000_000  # or as many as keep rows x models below this for few
+MOVES_AT_DRIVER = 10_000    # moves of all tasks together that the driver compares itself
 REWRITE_SHARE = 0.25  # the state is written again when a pass measured so many of all distances
 SLACK = 1e-7         # bounds closer than this, relative to the vectors' size, are measured
 
@@ -37,19 +36,20 @@ def _distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0.0))
 
 
-def _written(df: DataFrame, x: str, centres: list[np.ndarray]) -> DataFrame:
-    """The state frame: x and, per model, cluster, upper and lower bound."""
+def _written(df: Blocks, x: str, centres: list[np.ndarray]) -> Blocks:
+    """The state: x and, per model, cluster, upper and lower bound."""
     def fn(b):
         X = b[x]
-        a, u, low = (np.empty((len(X), len(centres))) for _ in range(3))
+        u, low = (np.empty((len(X), len(centres))) for _ in range(2))
+        a = np.empty(u.shape, dtype=np.int32)
         for m, C in enumerate(centres):
             near, d2 = KM.nearest(X, C)
             D = _distances(X, C)
             D[np.arange(len(X)), near] = np.inf
             a[:, m], u[:, m], low[:, m] = near, np.sqrt(d2), D.min(axis=1)
-        return {"a": a, "u": u, "l": low}
+        return {x: X, "a": a, "u": u, "l": low}
 
-    return map_rows(df, [x], fn, f"{x} ARRAY<DOUBLE>, a ARRAY<DOUBLE>, u ARRAY<DOUBLE>, l ARRAY<DOUBLE>", passthrough=[x]).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.map(fn)
 
 
 class _Sums:
@@ -71,17 +71,17 @@ class _Sums:
         own[:, 1:] += sign * KM.group_sums(X, at, k)
 
 
-def _state_sums(state: DataFrame, x: str, lay: _Sums, models: list[int]) -> np.ndarray:
+def _state_sums(state: Blocks, x: str, lay: _Sums, models: list[int]) -> np.ndarray:
     def fn(b):
         out = np.zeros(lay.size)
         for m in models:
-            lay.add(out, m, b[x], b["a"][:, m].astype(np.int64))
+            lay.add(out, m, b[x], b["a"][:, m])
         return out
 
-    return partial_sums(state, [x, "a"], fn, lay.size)
+    return state.sums(fn, lay.size)
 
 
-def _changes(state: DataFrame, x: str, lay: _Sums, old: list[np.ndarray], new: list[np.ndarray], models: list[int]) -> np.ndarray:
+def _changes(state: Blocks, x: str, lay: _Sums, old: list[np.ndarray], new: list[np.ndarray], models: list[int]) -> np.ndarray:
     """What the moved centres change in the models' counts and sums, and how many distances that took."""
     drift = {m: np.sqrt(((new[m] - old[m]) ** 2).sum(axis=1)) for m in models}
 
@@ -89,7 +89,7 @@ def _changes(state: DataFrame, x: str, lay: _Sums, old: list[np.ndarray], new: l
         out, X = np.zeros(lay.size), b[x]
         size = np.sqrt(np.einsum("ij,ij->i", X, X))
         for m in models:
-            C, move, at = new[m], drift[m], b["a"][:, m].astype(np.int64)
+            C, move, at = new[m], drift[m], b["a"][:, m]
             others = np.full(len(C), move.max())  # how far any other centre moved at most
             top = int(move.argmax())
             others[top] = np.delete(move, top).max(initial=0.0)
@@ -106,27 +106,27 @@ def _changes(state: DataFrame, x: str, lay: _Sums, old: list[np.ndarray], new: l
                 lay.add(out, m, X[todo[gone]], near[gone])
         return out
 
-    return partial_sums(state, [x, "a", "u", "l"], fn, lay.size)
+    return state.sums(fn, lay.size)
 
 
-def bounded_lloyd(df: DataFrame, starts: list[np.ndarray], max_iter: int = 100, x: str = "x", tags: list | None = None) -> list[KM.LloydModel]:
+def bounded_lloyd(df: DataFrame | Blocks, starts: list[np.ndarray], max_iter: int = 100, x: str = "x", tags: list | None = None) -> list[KM.LloydModel]:
     """:func:`lodestar.operators.kmeans.lloyd` with carried bounds: the same centres up to rounding.
 
     ``history`` holds the number of distances of every pass instead of its cost; sizes and within-SS come
     from one plain pass at the end.  Ties go to the first centre, an empty cluster keeps its centre.
     """
     models = [KM.LloydModel(np.asarray(s, dtype=float).copy(), tag=tags[i] if tags else (i,)) for i, s in enumerate(starts)]
-    with cached(df.select(x)) as df:
-        n = df.count()
-        for chunk in KM.chunks(list(range(len(models))), [m.centers.size for m in models], STATE_MODELS):
-            _settle(df, x, [models[i] for i in chunk], max_iter, n)
+    with blocks(df, [x]) as df:
+        most = max(STATE_MODELS, STATE_ENTRIES // max(df.rows, 1))
+        for chunk in KM.chunks(list(range(len(models))), [m.centers.size for m in models], most):
+            _settle(df, x, [models[i] for i in chunk], max_iter)
             for i, (count, sse, _) in zip(chunk, KM.pass_stats(df, x, [models[i].centers for i in chunk], models[chunk[0]].centers.shape[1])):
                 models[i].sizes, models[i].sse = count, sse
     return models
 
 
-def _settle(df: DataFrame, x: str, models: list[KM.LloydModel], max_iter: int, n: int) -> None:
-    lay = _Sums([m.centers for m in models])
+def _settle(df: Blocks, x: str, models: list[KM.LloydModel], max_iter: int) -> None:
+    lay, n = _Sums([m.centers for m in models]), df.rows
     state, base, written, measured = None, None, None, np.inf
     active = list(range(len(models))) if n else []
     try:
@@ -165,16 +165,15 @@ def _settle(df: DataFrame, x: str, models: list[KM.LloydModel], max_iter: int, n
             state.unpersist()
 
 
-def _moves(df: DataFrame, x: str, id_col: str, models: list[KM.LloydModel]) -> list[dict[int, tuple]]:
+def _moves(df: Blocks, x: str, id_col: str, models: list[KM.LloydModel]) -> list[dict[int, tuple]]:
     """Per model and cluster the most profitable move out of it: (gain, to, x); ties: the smallest id."""
     weights = [(np.where(m.sizes > 1, m.sizes / np.maximum(m.sizes - 1, 1), 0.0), m.sizes / (m.sizes + 1)) for m in models]
     centres = [m.centers for m in models]
 
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            X, ids, out = to_numpy(b.column(x)), b.column(id_col), []
+    def best(rows):
+        top: dict[tuple, tuple] = {}
+        for b in rows:
+            X, ids = b[x], b[id_col]
             for m, (C, (leave, join)) in enumerate(zip(centres, weights)):
                 at, d2 = KM.nearest(X, C)
                 D = _distances(X, C) ** 2 * join[None]
@@ -182,21 +181,27 @@ def _moves(df: DataFrame, x: str, id_col: str, models: list[KM.LloydModel]) -> l
                 to = D.argmin(axis=1)
                 gain = leave[at] * d2 - join[to] * ((X - C[to]) ** 2).sum(axis=1)
                 good = np.flatnonzero(gain > 1e-9 * np.maximum(d2, 1e-300))
-                key = ids.to_numpy(zero_copy_only=False)[good]
-                order = good[np.lexsort((key, -gain[good], at[good]))]
-                first = order[np.flatnonzero(np.diff(at[order], prepend=-1))]
-                out.append((np.full(len(first), m), at[first], gain[first], to[first], first))
-            model, at, gain, to, row = (np.concatenate(c) for c in zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(model.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(gain), pa.array(to.astype(np.int32)),
-                 ids.take(pa.array(row)).cast(pa.int64()), list_array(X[row])], names=["m", "c", "gain", "to", "id", "x"])
-
-    ship_package(df.sparkSession)
-    best = F.max(F.struct("gain", (-F.col("id")).alias("low"), "to", "x")).alias("b")
-    rows = df.select(id_col, x).mapInArrow(run, "m INT, c INT, gain DOUBLE, to INT, id BIGINT, x ARRAY<DOUBLE>").groupBy("m", "c").agg(best).collect()
+                order = good[np.lexsort((ids[good], -gain[good], at[good]))]
+                for i in order[np.flatnonzero(np.diff(at[order], prepend=-1))]:
+                    move = (float(gain[i]), -int(ids[i]), int(to[i]), X[i])
+                    key = (m, int(at[i]))
+                    if key not in top or move[:3] > top[key][:3]:
+                        top[key] = move
+        return iter(top.items())
+
+    def better(p, q):
+        return p if p[:3] >= q[:3] else q
+
+    parts, clusters = df.rdd.getNumPartitions(), sum(len(C) for C in centres)
+    moves = df.rdd.mapPartitions(best)
+    if parts * clusters > MOVES_AT_DRIVER:
+        moves = moves.reduceByKey(better, min(parts, clusters))
+    top: dict[tuple, tuple] = {}
+    for key, move in moves.collect():
+        top[key] = better(top[key], move) if key in top else move
     out: list[dict[int, tuple]] = [{} for _ in models]
-    for r in rows:  # one row per model and cluster
-        out[r["m"]][r["c"]] = (r["b"]["gain"], r["b"]["to"], np.array(r["b"]["x"]))
+    for (m, c), (gain, _, to, own) in top.items():  # one entry per model and cluster
+        out[m][c] = (gain, to, own)
     return out
 
 
@@ -213,14 +218,22 @@ def _apply(model: KM.LloydModel, moves: dict[int, tuple]) -> np.ndarray:
     return new
 
 
-def exchange(df: DataFrame, models: list[KM.LloydModel], max_rounds: int = 50, max_iter: int = 100, x: str = "x", id_col: str = "id") -> list[KM.LloydModel]:
+def _numbered(df: DataFrame | Blocks, x: str, id_col: str):
+    """Blocks of the vectors and ids; a null id counts as the greatest, as it may only lose ties."""
+    if isinstance(df, Blocks):
+        return blocks(df, [x, id_col])
+    last = F.lit(2 ** 63 - 1)
+    return blocks(df.select(x, F.coalesce(F.col(id_col).cast("bigint"), last).alias(id_col)), [x, id_col])
+
+
+def exchange(df: DataFrame | Blocks, models: list[KM.LloydModel], max_rounds: int = 50, max_iter: int = 100, x: str = "x", id_col: str = "id") -> list[KM.LloydModel]:
     """Converged Lloyd models improved until no single move of a row lowers the cost (or ``max_rounds``).
 
     The cost of a model never rises: a round's moves lower it by the sum of their gains, and Lloyd passes from the new
     centres lower it again.  ``converged`` tells that no profitable move is left.
     """
     out = list(models)
-    with cached(df.select(id_col, x)) as df:
+    with _numbered(df, x, id_col) as df:
         active = [i for i, m in enumerate(out) if m.sizes is not None and m.sizes.sum() > 0]
         for i in active:
             out[i].converged = False
@@ -249,13 +262,13 @@ def sweep(df: DataFrame, ks, seed: int, runs: int = 50, max_iter: int = 100, x:
     """Best of ``runs`` hashed starts for every k, all fitted together; ties: the lowest run.
     The ``finalists`` cheapest models of every k (None: all) go on by exchange steps."""
     ks = list(ks)
-    with cached(df.select(id_col, x)) as df:
+    with cached(df.select(id_col, x)) as df, _numbered(df, x, id_col) as rows:
         starts = KM.hashed_starts(df, max(ks), seed, range(runs), x, id_col)
         grid = [(k, r) for r in range(runs) for k in ks]
-        models = bounded_lloyd(df, [starts[r][:k] for k, r in grid], max_iter, x, grid)
+        models = bounded_lloyd(rows, [starts[r][:k] for k, r in grid], max_iter, x, grid)
         ranked = {k: sorted((m for m in models if m.tag[0] == k), key=lambda m: (m.cost, m.tag[1])) for k in ks}
         if finalists != 0:
             chosen = [m for k in ks for m in ranked[k][:finalists]]
-            better = exchange(df, chosen, max_iter=max_iter, x=x, id_col=id_col)
+            better = exchange(rows, chosen, max_iter=max_iter, x=x, id_col=id_col)
             ranked = {k: sorted((m for m in better if m.tag[0] == k), key=lambda m: (m.cost, m.tag[1])) for k in ks}
         return {k: ranked[k][0] for k in ks}
