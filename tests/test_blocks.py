@@ -67,12 +67,11 @@ def test_a_further_pass_is_one_stage_over_all_cores(spark, name):
             sc.setLocalProperty("spark.jobGroup.id", None)
         status = sc.statusTracker()
         jobs = [status.getJobInfo(j).stageIds for j in sorted(status.getJobIdsForGroup(f"{name} {passes}"))]
-        return sorted(tuple(status.getStageInfo(s).numTasks for s in stages if status.getStageInfo(s)) for stages in jobs)
+        most = [max((status.getStageInfo(s).numTasks for s in stages if status.getStageInfo(s)), default=0) for stages in jobs]
+        return len(jobs), sum(m == sc.defaultParallelism for m in most)  # stages whose shuffle is there already are listed too
 
     few, many = tasks(2), tasks(5)
-    for job in few:
-        many.remove(job)
-    assert len(many) == 3 and all(max(job) == sc.defaultParallelism for job in many)  # stages whose shuffle is there already are listed too
+    assert (many[0] - few[0], many[1] - few[1]) == (3, 3)
 
 
 def test_sweeps_in_parts_equal_one(spark, monkeypatch):
