@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 from lodestar.session import ship_package
 
 # Numbers the driver adds up at most, beside one vector.
-DRIVER_SUM_ENTRIES = 2_000_000
+DRIVER_SUM_ENTRIES = 4_000_000
 # A session's shuffle width times the statistic's size over this gives the reducers of the
 # first level: one for a few hundred numbers, all of them for millions.
 REDUCER_ENTRIES = 200_000

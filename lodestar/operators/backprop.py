@@ -15,6 +15,7 @@ keeps its sign and halves when it turns) or by plain gradient descent on the mea
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ from lodestar.functions.arrowkit import partial_sums
 from lodestar.functions.blocks import blocks
 
 HIDDEN = 30
-ROWS = 64                    # rows a kernel handles at a time: what 20 nets hold for them stays in the CPU's cache
+NETS, ROWS = 5, 256          # nets and rows a kernel handles at a time: what they hold stays in the CPU's cache
 WEIGHTS_PER_SCAN = 2_000_000  # nets are trained in chunks of so many weights at most
 SPREAD = 0.3                 # starting weights lie in [-SPREAD, SPREAD)
 
@@ -49,7 +50,7 @@ class Fit:
 
     def classes(self, X: np.ndarray) -> np.ndarray:
         """Most activated output of every row (first wins)."""
-        return _forward(_ones(X[:, list(self.net.cols)]), self.hidden[None], self.output[None])[1][0].argmax(axis=1)
+        return _Stack(self.hidden[None], self.output[None], _Room()).forward(_inputs(X, list(self.net.cols)))[0].argmax(axis=0)
 
 
 def start_weights(seed: int, n: int) -> np.ndarray:
@@ -59,41 +60,90 @@ def start_weights(seed: int, n: int) -> np.ndarray:
     return (np.array(u, dtype=np.float64) / 2.0 ** 32 * 2 - 1) * SPREAD
 
 
-def _ones(A: np.ndarray) -> np.ndarray:
-    return np.concatenate((A, np.ones((*A.shape[:-1], 1))), axis=-1)
-
-
 def _sigmoid(a: np.ndarray) -> np.ndarray:
-    """Of the entries of ``a``, in their place."""
-    np.negative(a, out=a)
-    np.clip(a, -500, 500, out=a)
+    """Of the negated entries of ``a``, in their place."""
+    np.minimum(a, 500.0, out=a)
     np.exp(a, out=a)
     a += 1.0
-    return np.divide(1.0, a, out=a)
+    return np.reciprocal(a, out=a)
+
+
+class _Room:
+    """Arrays that every part of the rows, whatever its length, and every stack of nets uses again."""
 
+    def __init__(self):
+        self.flat: dict[str, np.ndarray] = {}
 
-def _forward(A: np.ndarray, W1: np.ndarray, W2: np.ndarray):
-    """(hidden, outputs) of R nets on the same rows A (n, inputs + 1); the nets' hidden units lie side by side."""
-    r, d, h = W1.shape
-    H = _sigmoid(A @ W1.transpose(1, 0, 2).reshape(d, r * h))
-    O = np.matmul(H.reshape(len(A), r, h).transpose(1, 0, 2), W2[:, :-1])
-    O += W2[:, -1:]
-    return H, _sigmoid(O)
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.flat or self.flat[name].size < size:
+            self.flat[name] = np.empty(size)
+        return self.flat[name][:size].reshape(shape)
 
 
-def _backward(A, H, O, E, W2):
-    """Gradients of half the squared error with respect to both weight arrays."""
-    (n, d), (r, h) = A.shape, (len(W2), W2.shape[1] - 1)
-    D2 = 1.0 - O
-    D2 *= O
-    D2 *= E
-    G2 = np.empty(W2.shape)
-    np.matmul(H.reshape(n, r, h).transpose(1, 2, 0), D2, out=G2[:, :-1])
-    D2.sum(axis=1, out=G2[:, -1])
-    D1 = 1.0 - H
-    D1 *= H
-    D1 *= np.matmul(D2, W2[:, :-1].transpose(0, 2, 1)).transpose(1, 0, 2).reshape(n, r * h)
-    return (A.T @ D1).reshape(d, r, h).transpose(1, 0, 2), G2
+class _Stack:
+    """R nets on the same inputs, for passes over rows.
+
+    Arrays lie units by rows, (R, units, rows): the nets' hidden units are one product with the rows, the others are
+    products of stacked matrices without a turned copy, and what a unit holds for the rows is contiguous.  Weights
+    are turned (and negated, as the sigmoid wants them) once.
+    """
+
+    def __init__(self, W1: np.ndarray, W2: np.ndarray, room: _Room):
+        (self.r, self.d, self.h), self.c = W1.shape, W2.shape[2]
+        self.first = -W1.transpose(0, 2, 1).reshape(self.r * self.h, self.d)
+        self.second = -W2[:, :-1].transpose(0, 2, 1)
+        self.bias = -W2[:, -1][:, :, None]
+        self.back = np.ascontiguousarray(W2[:, :-1])
+        self.room = room
+        self.G1, self.G2 = np.zeros(self.first.shape), np.zeros(W2.shape)
+
+    def forward(self, A: np.ndarray) -> np.ndarray:
+        """Outputs (R, classes, rows) for rows A (rows, inputs + 1); valid until the next call of a stack in the room."""
+        n = len(A)
+        self.H, self.O = self.room("H", self.r * self.h, n), self.room("O", self.r, self.c, n)
+        _sigmoid(np.matmul(self.first, A.T, out=self.H))
+        np.matmul(self.second, self.H.reshape(self.r, self.h, n), out=self.O)
+        self.O += self.bias
+        return _sigmoid(self.O)
+
+    def backward(self, A: np.ndarray, E: np.ndarray) -> None:
+        """Adds the gradients of half the squared error; A went :meth:`forward` just before, E is what came less the goal."""
+        n, H = len(A), self.H
+        D2 = np.subtract(1.0, self.O, out=self.room("D2", self.r, self.c, n))
+        D2 *= self.O
+        D2 *= E
+        self.G2[:, :-1] += np.matmul(H.reshape(self.r, self.h, n), D2.transpose(0, 2, 1))
+        self.G2[:, -1] += D2.sum(axis=2)
+        D1 = self.room("D1", self.r * self.h, n)
+        np.matmul(self.back, D2, out=D1.reshape(self.r, self.h, n))
+        D1 *= H
+        np.subtract(1.0, H, out=H)
+        D1 *= H
+        self.G1 += np.matmul(D1, A, out=self.room("G1", *self.first.shape))
+
+    def take(self, G1: np.ndarray, G2: np.ndarray) -> None:
+        """Moves the gradients added so far into (R, inputs + 1, hidden) and (R, hidden + 1, classes)."""
+        G1 += self.G1.reshape(self.r, self.h, self.d).transpose(0, 2, 1)
+        G2 += self.G2
+        self.G1[:], self.G2[:] = 0.0, 0.0
+
+    def errors(self, O: np.ndarray, goal: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(outputs less the goal, squared error and wrong rows per net); of equal outputs the first is the answer."""
+        E = np.subtract(O, goal, out=self.room("E", *O.shape))
+        top, own = O.max(axis=1), O[:, target, np.arange(len(target))]
+        if np.count_nonzero(O == top[:, None]) == top.size:
+            wrong = np.count_nonzero(own != top, axis=1)
+        else:  # equal outputs
+            wrong = np.count_nonzero(O.argmax(axis=1) != target, axis=1)
+        return E, np.einsum("rcn,rcn->r", E, E), wrong
+
+
+def _inputs(X: np.ndarray, cols) -> np.ndarray:
+    """The entries ``cols`` of every row and a 1 for the bias."""
+    A = np.ones((len(X), len(cols) + 1))
+    A[:, :-1] = X[:, cols]
+    return A
 
 
 class _Layout:
@@ -127,28 +177,34 @@ class _Layout:
 
 def _pass(df: DataFrame, x: str, y: str, fold: str, lay: _Layout, w: np.ndarray):
     """One scan: (gradients, (nets, 2 stages, [squared error, wrong]), rows per stage)."""
-    n_nets = len(lay.nets)
+    n_nets, stacks = len(lay.nets), []
 
     def fn(b):
+        if not stacks:  # once a task
+            room = _Room()
+            stacks.extend([_Stack(W1[lo:lo + NETS], W2[lo:lo + NETS], room) for lo in range(0, len(W1), NETS)] for _, _, W1, W2 in lay.views(w))
         X, target, stage = b[x], b[y].astype(np.int64), b[fold].astype(np.int64)
         out = np.zeros(lay.size + n_nets * 4 + 2)
         marks = out[lay.size:lay.size + n_nets * 4].reshape(n_nets, 2, 2)
         out[-2:] += np.bincount(stage, minlength=2)
         for s in (0, 1):
             rows = np.flatnonzero(stage == s)
-            for lo in range(0, len(rows), ROWS):
-                part = rows[lo:lo + ROWS]
-                goal = np.eye(lay.classes)[target[part]]
-                for (cols, members, W1, W2), (_, _, G1, G2) in zip(lay.views(w), lay.views(out[:lay.size])):
-                    A = _ones(X[part][:, cols])
-                    H, O = _forward(A, W1, W2)
-                    E = O - goal[None]
-                    marks[members, s, 0] += np.einsum("rnc,rnc->r", E, E)
-                    marks[members, s, 1] += (O.argmax(axis=2) != target[part][None]).sum(axis=1)
+            own, answer = X[rows], target[rows]
+            goal = (np.arange(lay.classes)[:, None] == answer).astype(np.float64)
+            for parts, (cols, members, G1, G2) in zip(stacks, lay.views(out[:lay.size])):
+                A = _inputs(own, cols)
+                for at, stack in zip(range(0, len(members), NETS), parts):
+                    here = marks[members[at:at + NETS], s]
+                    for lo in range(0, len(rows), ROWS):
+                        some = A[lo:lo + ROWS]
+                        E, sse, wrong = stack.errors(stack.forward(some), goal[:, lo:lo + ROWS], answer[lo:lo + ROWS])
+                        here[:, 0] += sse
+                        here[:, 1] += wrong
+                        if s == 0:
+                            stack.backward(some, E)
+                    marks[members[at:at + NETS], s] = here
                     if s == 0:
-                        g1, g2 = _backward(A, H, O, E, W2)
-                        G1 += g1
-                        G2 += g2
+                        stack.take(G1[at:at + NETS], G2[at:at + NETS])
         return out
 
     v = partial_sums(df, [x, y, fold], fn, lay.size + n_nets * 4 + 2)
